@@ -1,0 +1,39 @@
+"""Join helpers with an explicit, checked broadcast bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# Rows a dimension side may have to be shipped to every executor. Narrow
+# reference tables (a few columns) stay well under the broadcast size limit
+# at this count.
+DEFAULT_BROADCAST_MAX_ROWS = 100_000
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows, so it stays cheap even
+    when the answer is no.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def join_small(
+    big: DataFrame,
+    small: DataFrame,
+    on: Column | list | str,
+    how: str = "left",
+    max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+) -> DataFrame:
+    """Join ``big`` with a side expected to be small.
+
+    The small side is broadcast only after its row count is proven to be at
+    most ``max_rows``; otherwise the plan is left to Catalyst (sort-merge
+    join with AQE skew splitting), so a large "dimension" never lands whole
+    in executor memory.
+    """
+    if has_at_most(small, max_rows):
+        small = F.broadcast(small)
+    return big.join(small, on, how)
