@@ -165,7 +165,7 @@ def response_log_frame(
         F.col("doc_id").alias("id"), F.col("text").alias("text"), F.col("n_chars").alias("n_chars")
     )
     pages = docs.groupBy(
-        "lang", "source", F.floor(F.col("doc_id") / K.NEWS_PAGE_SIZE).cast("long").alias("page")
+        "lang", "source", F.expr(f"doc_id div {K.NEWS_PAGE_SIZE}").alias("page")
     ).agg(F.collect_list(article).alias("articles"))
     ok_body = F.to_json(F.struct(F.lit("ok").alias("status"), F.col("articles").alias("articles")))
     body = (

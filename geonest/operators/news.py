@@ -49,7 +49,7 @@ def classify_responses(df: DataFrame, body: str = "body") -> DataFrame:
 
 def stamp_call_timestamp(df: DataFrame, ts: Column) -> DataFrame:
     """TR10: add ``call_timestamp`` (ISO-8601 UTC text) to every article of
-    ``ok`` responses; other responses pass through unchanged."""
+    parsed responses; responses without articles pass through unchanged."""
     stamped = stamp_elements(F.col("payload.articles"), "call_timestamp", iso_utc(ts))
     # transform() of a null array is null, so non-ok responses keep no
     # articles; the stamp lands only where there are articles.
@@ -58,9 +58,17 @@ def stamp_call_timestamp(df: DataFrame, ts: Column) -> DataFrame:
 
 def explode_articles(df: DataFrame, keep: list[str] = ("country", "topic", "page")) -> DataFrame:
     """GE5: one row per article of ``ok`` responses, article fields as
-    top-level columns next to ``keep``."""
-    ok = df.filter(F.col("response_class") == OK)
-    return ok.select(*keep, F.explode("payload.articles").alias("a")).select(*keep, "a.*")
+    top-level columns next to ``keep``.
+
+    No filter on the class is needed (or wanted): every non-ok response has
+    a null ``articles`` array, which an inner explode drops. Any filter on a
+    parsed field -- including the ``size(...) > 0`` filter the optimizer
+    infers for a plain ``explode`` -- is pushed below the projection and
+    makes ``from_json`` run twice per body. ``posexplode_outer`` infers no
+    such filter; keeping rows with a position gives inner-explode rows
+    (null elements of a non-empty array included)."""
+    exploded = df.select(*keep, F.posexplode_outer("payload.articles").alias("_pos", "a"))
+    return exploded.filter(F.col("_pos").isNotNull()).select(*keep, "a.*")
 
 
 def articles_from_responses(
@@ -72,9 +80,9 @@ def articles_from_responses(
     row per non-ok response with its class (nothing is silently dropped).
     """
     call_ts = F.col("requested_at") if call_ts is None else call_ts
-    parsed = classify_responses(parse_responses(responses))
-    stamped = stamp_call_timestamp(parsed, call_ts)
-    articles = explode_articles(stamped, list(keep))
+    parsed = parse_responses(responses)
+    articles = explode_articles(stamp_call_timestamp(parsed, call_ts), list(keep))
+    parsed = classify_responses(parsed)
     rejects = parsed.filter(F.col("response_class") != OK).select(
         *keep, "status", "response_class"
     )

@@ -80,3 +80,10 @@ def test_sample_is_seeded_and_bounded(spark):
     a = [tuple(r) for r in sample_requests(grid, 5, seed=3).collect()]
     b = [tuple(r) for r in sample_requests(grid, 5, seed=3).collect()]
     assert a == b and len(a) == 5
+
+
+def test_body_parsed_once(spark):
+    from geonest.plans.explain import plan_text
+
+    arts, _ = articles_from_responses(responses(spark))
+    assert plan_text(arts, "simple").count("from_json(") == 1
