@@ -145,7 +145,7 @@ def population_frame(spark: SparkSession, sf_dir: str, unique: bool = True) -> D
 
 def topic_of_source(source: Column) -> Column:
     """Map ``srcN`` onto the fixed topic list (N modulo the list length)."""
-    n = F.regexp_extract(source, r"(\d+)$", 1).cast("int")
+    n = F.regexp_extract(source, r"(\d+)$", 1).try_cast("int")
     topics = F.array(*[F.lit(t) for t in K.NEWS_TOPICS])
     return F.element_at(topics, F.pmod(n, F.lit(len(K.NEWS_TOPICS))) + 1)
 
@@ -208,3 +208,14 @@ def write_multiline_json(df: DataFrame, path: str, key: str = "id", n_files: int
     )
     files.write.mode("overwrite").partitionBy("_file").text(path)
     return path
+
+
+def replicate_docs(docs: DataFrame, factor: int) -> DataFrame:
+    """``factor`` copies of every document with distinct ids (id * factor +
+    copy), for throughput runs at a multiple of the data. A per-row
+    generator: narrow, no join, output grows linearly."""
+    if factor <= 1:
+        return docs
+    cols = [c for c in docs.columns if c != "id"]
+    copies = docs.select("*", F.explode(F.sequence(F.lit(0), F.lit(factor - 1))).alias("_copy"))
+    return copies.select((F.col("id") * factor + F.col("_copy")).alias("id"), *cols)

@@ -97,7 +97,7 @@ SELECT '{table}', 'duplicate_keys', COUNT(*) FROM
 
 
 _TOPICS = "[" + ", ".join(f"'{t}'" for t in K.NEWS_TOPICS) + "]"
-TOPIC = f"({_TOPICS})[(CAST(regexp_extract(source, '(\\d+)$', 1) AS INTEGER) % {len(K.NEWS_TOPICS)}) + 1]"
+TOPIC = f"({_TOPICS})[(TRY_CAST(regexp_extract(source, '(\\d+)$', 1) AS INTEGER) % {len(K.NEWS_TOPICS)}) + 1]"
 PAGE = f"CAST(doc_id // {K.NEWS_PAGE_SIZE} AS BIGINT)"
 OK_SOURCE = "source IS NULL OR source NOT IN ('src3', 'src4', 'src5')"
 CALL_TS = "'2024-01-01T00:00:00.000000Z'"
@@ -162,6 +162,8 @@ ORACLE_SQL = {
     "top10": f"SELECT * FROM ({COUNTRIES}) c ORDER BY country_id LIMIT 10",
     "json_to_parquet": cities_sql(True),
     "table_replace_roundtrip": cities_sql(True),
+    "elt_states": states_sql(False),
+    "elt_cities": cities_sql(False),
     "validate_cities": checks_sql("cities", cities_sql(True), "city_id"),
     "population_duplicates": checks_sql("population", POPULATION_DUP, "Alpha_3"),
     "country_codes": "SELECT 'A' || s_nationkey AS Alpha_2 FROM supplier GROUP BY s_nationkey",

@@ -19,7 +19,7 @@ from geonest.operators.flatten import flatten_cities, flatten_states
 from geonest.operators.news import classify_responses, parse_responses
 from geonest.operators.preview import filter_equals, top_n
 from geonest.operators.requests import build_requests, coverage_gaps, request_grid, sample_requests
-from geonest.plans.location import convert_json_to_parquet, run_location_pipeline
+from geonest.plans.location import convert_json_to_parquet, run_elt, run_location_pipeline
 from geonest.plans.news import load_news, news_articles
 from geonest.plans.validate import validation_checks
 from geonest.session import new_scratch_dir
@@ -108,6 +108,25 @@ def q_table_replace_roundtrip(spark, sf):
     return comparable(read_contract(spark.table(f"{SCRATCH_DB}.{name}"), S.CITIES_COLUMNS))
 
 
+def _elt_single(spark, sf, dataset: str, table: str) -> DataFrame:
+    """The single-dataset ELT path: convert nothing, read the preprocessed
+    documents, transform with inner explode, replace the table, read back."""
+    docs_path = new_scratch_dir(spark, "preprocessed")
+    FX.location_docs(spark, sf).write.mode("overwrite").parquet(docs_path)
+    db = f"{SCRATCH_DB}_{docs_path.rsplit('-', 1)[-1]}"
+    run_elt(spark, dataset, docs_path, location=new_scratch_dir(spark, "tables"), database=db, run_ts=RUN_TS)
+    return comparable(read_contract(spark.table(f"{db}.{table}"), S.CONTRACTS[table]))
+
+
+def q_elt_states(spark, sf):
+    return _elt_single(spark, sf, "states", "states")
+
+
+def q_elt_cities(spark, sf):
+    # partitioned by country_code, state_code and city_name
+    return _elt_single(spark, sf, "cities", "cities")
+
+
 def q_validate_cities(spark, sf):
     cities = flatten_cities(FX.location_docs(spark, sf), outer=True, run_ts=RUN_TS)
     written, _ = _scratch_table(spark, cities, "cities", S.PARTITIONING["cities_combined"])
@@ -231,6 +250,8 @@ QUERIES = {
     "top10": q_top10,
     "json_to_parquet": q_json_to_parquet,
     "table_replace_roundtrip": q_table_replace_roundtrip,
+    "elt_states": q_elt_states,
+    "elt_cities": q_elt_cities,
     "validate_cities": q_validate_cities,
     "population_duplicates": q_population_duplicates,
     "country_codes": q_country_codes,

@@ -20,6 +20,7 @@ def write_table(
     partition_by: list[str] | None = None,
     fmt: str = "parquet",
     table_properties: dict[str, str] | None = None,
+    replace: str = "full",
 ) -> str:
     """Create or fully replace ``catalog.database.table`` from ``df``.
 
@@ -30,13 +31,35 @@ def write_table(
     A named (V2) catalog gets an atomic ``createOrReplace``; the built-in
     session catalog cannot replace a file-source table that way, so it gets
     ``saveAsTable`` in overwrite mode. The namespace is created first.
+
+    ``replace="partitions"`` refreshes only the partitions present in
+    ``df`` (dynamic partition overwrite) when the table already exists;
+    other partitions keep their rows.
     """
+    if replace not in ("full", "partitions"):
+        raise ValueError(f"replace must be 'full' or 'partitions', not {replace!r}")
     spark = df.sparkSession
     name = qualified_name(table, database, catalog)
     ns = qualified_name(database, None, catalog) if database else None
     if ns:
         spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {ns}")
     df = cluster_by(df, partition_by)
+    if replace == "partitions" and partition_by and spark.catalog.tableExists(name):
+        if catalog and catalog != SESSION_CATALOG:
+            df.writeTo(name).overwritePartitions()
+        else:
+            # insertInto is positional: follow the table's column order. The
+            # overwrite mode is a session setting for catalog inserts; it is
+            # set for this write only.
+            cols = spark.table(name).columns
+            key = "spark.sql.sources.partitionOverwriteMode"
+            before = spark.conf.get(key)
+            spark.conf.set(key, "dynamic")
+            try:
+                df.select(*cols).write.insertInto(name, overwrite=True)
+            finally:
+                spark.conf.set(key, before)
+        return name
     if catalog and catalog != SESSION_CATALOG:
         w = df.writeTo(name).using(fmt)
         if path:
