@@ -55,8 +55,17 @@ def quoted(c: Column | str) -> Column:
     return F.concat(F.lit('"'), c, F.lit('"'))
 
 
+def form_encode(value: Column) -> Column:
+    """Form-encode a value like the original request builder: space as
+    ``+``, and only letters, digits and ``_.-~`` left as they are. Spark's
+    encoder also leaves ``*`` and encodes ``~``, so those two are swapped
+    back."""
+    enc = F.url_encode(value.cast("string"))
+    return F.replace(F.replace(enc, F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+
+
 def _param(name: str, value: Column) -> Column:
-    return F.concat(F.lit(name + "="), F.url_encode(value.cast("string")))
+    return F.concat(F.lit(name + "="), form_encode(value))
 
 
 def request_query_string(

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from geonest.operators.news import articles_from_responses
 from geonest.sinks.files import append_partitioned
-from geonest.sources.news import read_response_log
+from geonest.functions.scalars import run_stamp
+from geonest.plans.location import new_run_ts
+from geonest.sources.news import read_response_files, read_response_log
 
 NEWS_PARTITIONS = ["date", "country", "topic"]
 
@@ -23,9 +25,24 @@ def news_articles(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
     return articles, rejects
 
 
-def load_news(spark: SparkSession, landing_path: str, table_path: str) -> DataFrame:
+def load_news(
+    spark: SparkSession, landing_path: str, table_path: str, landing: str = "log", run_ts=None
+) -> DataFrame:
     """TR12: append the articles of every landed response under
-    ``date=/country=/topic=``; returns the rejected responses."""
-    articles, rejects = news_articles(read_response_log(spark, landing_path))
+    ``date=/country=/topic=``; returns the rejected responses.
+
+    ``landing="log"``: JSON lines with request keys and time;
+    ``landing="files"``: one body per ``<country>/<topic>/<file>``, stamped
+    with ``run_ts`` (one load time per run)."""
+    if landing == "log":
+        responses = read_response_log(spark, landing_path)
+    elif landing == "files":
+        responses = read_response_files(spark, landing_path).select(
+            "country", "topic", F.lit(None).cast("long").alias("page"),
+            run_stamp(run_ts or new_run_ts()).alias("requested_at"), "body",
+        )
+    else:
+        raise ValueError(f"landing must be 'log' or 'files', not {landing!r}")
+    articles, rejects = news_articles(responses)
     append_partitioned(articles, table_path, NEWS_PARTITIONS)
     return rejects

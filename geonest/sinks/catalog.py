@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from geonest import constants as K
-from geonest.sinks.files import cluster_by
+from geonest.sinks.files import cluster_by, guard_partition_values
 from geonest.sources.catalog import qualified_name
 
 SESSION_CATALOG = "spark_catalog"
@@ -43,7 +43,7 @@ def write_table(
     ns = qualified_name(database, None, catalog) if database else None
     if ns:
         spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {ns}")
-    df = cluster_by(df, partition_by)
+    df = cluster_by(guard_partition_values(df, partition_by), partition_by)
     if replace == "partitions" and partition_by and spark.catalog.tableExists(name):
         if catalog and catalog != SESSION_CATALOG:
             df.writeTo(name).overwritePartitions()

@@ -3,12 +3,36 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def _norm(p: str) -> str:
     return p.replace("file:", "").rstrip("/")
 
 
+def guard_partition_values(df: DataFrame, cols: list[str] | None) -> DataFrame:
+    """Fail the write on an empty-string partition value.
+
+    Parquet folders store ``''`` like null (the default partition), so the
+    value would silently read back as null. The check is an expression
+    evaluated while the rows are written: no extra pass over the data.
+    Null values are accepted."""
+    if not cols:
+        return df
+    types = dict(df.dtypes)
+    out = []
+    for c in df.columns:
+        if c in cols and types[c] == "string":
+            out.append(
+                F.when(F.col(c) == "", F.raise_error(F.lit(f"empty string in partition column {c}")))
+                .otherwise(F.col(c))
+                .alias(c)
+            )
+        else:
+            out.append(F.col(c))
+    return df.select(*out)
+
+
 def cluster_by(df: DataFrame, cols: list[str] | None) -> DataFrame:
     """Cluster rows by the output partition columns before a partitioned
     write, so each task writes few partition folders (not every task every
@@ -31,5 +55,6 @@ def write_parquet_overwrite(df: DataFrame, path: str, input_paths=()) -> str:
 
 def append_partitioned(df: DataFrame, path: str, partition_by: list[str], fmt: str = "parquet") -> str:
     """SK6: append files under ``col=value`` folders (never rewrites)."""
+    df = guard_partition_values(df, partition_by)
     cluster_by(df, partition_by).write.mode("append").format(fmt).partitionBy(*partition_by).save(path)
     return path

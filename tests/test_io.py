@@ -115,3 +115,26 @@ def test_partitioned_append_clusters(spark, tmp_dir):
         len([f for f in fs if f.endswith(".parquet")]) for _, _, fs in os.walk(_local(f"{tmp_dir}/p"))
     )
     assert n_files <= 6  # not 8 tasks x 3 folders
+
+
+def test_empty_partition_value_is_rejected(spark, tmp_dir):
+    df = spark.createDataFrame([(1, ""), (2, None)], "id long, p string")
+    with pytest.raises(Exception, match="empty string in partition column p"):
+        append_partitioned(df, f"{tmp_dir}/e", ["p"])
+    ok = spark.createDataFrame([(2, None)], "id long, p string")
+    append_partitioned(ok, f"{tmp_dir}/n", ["p"])
+    assert spark.read.parquet(f"{tmp_dir}/n").count() == 1
+
+
+def test_load_news_from_files(spark, tmp_dir):
+    body = json.dumps({"status": "ok", "articles": [{"id": 7, "text": "t", "n_chars": 1}]})
+    d = f"{tmp_dir}/bodies/NG/tech"
+    os.makedirs(_local(d), exist_ok=True)
+    with open(os.path.join(_local(d), "r.json"), "w") as f:
+        f.write(body)
+    with open(os.path.join(_local(d), "bad.json"), "w") as f:
+        f.write("{bad")
+    rejects = load_news(spark, f"{tmp_dir}/bodies", f"{tmp_dir}/news2", landing="files", run_ts="2024-02-03 04:05:06")
+    back = spark.read.parquet(f"{tmp_dir}/news2").collect()
+    assert [(r.id, r.call_timestamp, str(r.date)) for r in back] == [(7, "2024-02-03T04:05:06.000000Z", "2024-02-03")]
+    assert [r.response_class for r in rejects.collect()] == ["malformed"]

@@ -87,3 +87,13 @@ def test_body_parsed_once(spark):
 
     arts, _ = articles_from_responses(responses(spark))
     assert plan_text(arts, "simple").count("from_json(") == 1
+
+
+def test_form_encoding_matches_python_urlencode(spark):
+    import urllib.parse
+
+    from geonest.functions.scalars import form_encode
+
+    raw = 'a b*~"+/&=é'
+    got = spark.range(1).select(form_encode(F.lit(raw)).alias("e")).collect()[0].e
+    assert got == urllib.parse.urlencode({"x": raw})[2:]
