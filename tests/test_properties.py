@@ -1,0 +1,69 @@
+"""Randomised flatten properties against a plain-Python flatten."""
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from geonest import schemas as S
+from geonest.operators.flatten import flatten_cities, flatten_states
+
+cities = st.one_of(
+    st.none(),
+    st.lists(
+        st.one_of(st.none(), st.fixed_dictionaries({"id": st.integers(0, 10**6), "name": st.text(max_size=3),
+                                                      "latitude": st.sampled_from(["1.5", "", "x", None]),
+                                                      "longitude": st.just("2")})),
+        max_size=3,
+    ),
+)
+states = st.one_of(
+    st.none(),
+    st.lists(
+        st.one_of(st.none(), st.fixed_dictionaries({"id": st.integers(0, 10**6), "name": st.text(max_size=3),
+                                                      "state_code": st.sampled_from(["A", "B", None]),
+                                                      "latitude": st.just("1"), "longitude": st.just("2"),
+                                                      "cities": cities})),
+        max_size=3,
+    ),
+)
+docs_strategy = st.lists(st.tuples(st.integers(0, 10**6), states), min_size=1, max_size=6)
+
+
+def to_rows(docs):
+    out = []
+    for cid, sts in docs:
+        d = {n: None for n, _ in S.COUNTRY_SCALARS}
+        d.update({"id": cid, "iso3": f"K{cid}", "states": sts})
+        out.append(d)
+    return out
+
+
+def py_flatten(docs, outer, level):
+    rows = []
+    for cid, sts in docs:
+        if not sts:
+            if outer:
+                rows.append((cid, None, None))
+            continue
+        for s in sts:
+            sid = s["id"] if s else None
+            if level == 1:
+                rows.append((cid, sid, None))
+                continue
+            cs = s["cities"] if s else None
+            if not cs:
+                if outer:
+                    rows.append((cid, sid, None))
+                continue
+            for c in cs:
+                rows.append((cid, sid, c["id"] if c else None))
+    return sorted(rows, key=repr)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(docs=docs_strategy, outer=st.booleans())
+def test_flatten_matches_python(spark, docs, outer):
+    df = spark.createDataFrame(to_rows(docs), S.COUNTRY)
+    got_s = sorted(((r.country_id, r.state_id, None) for r in flatten_states(df, outer).collect()), key=repr)
+    assert got_s == py_flatten(docs, outer, 1)
+    got_c = sorted(((r.country_id, r.state_id, r.city_id) for r in flatten_cities(df, outer).collect()), key=repr)
+    assert got_c == py_flatten(docs, outer, 2)
