@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 from geonest import constants as K
@@ -21,6 +23,7 @@ def write_table(
     fmt: str = "parquet",
     table_properties: dict[str, str] | None = None,
     replace: str = "full",
+    run_id: str | None = None,
 ) -> str:
     """Create or fully replace ``catalog.database.table`` from ``df``.
 
@@ -35,9 +38,23 @@ def write_table(
     ``replace="partitions"`` refreshes only the partitions present in
     ``df`` (dynamic partition overwrite) when the table already exists;
     other partitions keep their rows.
+
+    ``replace="swap"`` never rewrites data readers may be scanning: it
+    writes a new per-run table ``<table>__<run>`` (under ``<path>/<run>``)
+    and then points the view ``<table>`` at it in one catalog operation.
+    Filters on partition columns still prune through the view. Earlier
+    run tables are left in place for the caller to retire.
     """
-    if replace not in ("full", "partitions"):
-        raise ValueError(f"replace must be 'full' or 'partitions', not {replace!r}")
+    if replace not in ("full", "partitions", "swap"):
+        raise ValueError(f"replace must be 'full', 'partitions' or 'swap', not {replace!r}")
+    if replace == "swap":
+        run = run_id or uuid.uuid4().hex[:12]
+        physical = write_table(
+            df, f"{table}__{run}", database, catalog, f"{path.rstrip('/')}/{run}" if path else None,
+            partition_by, fmt, table_properties,
+        )
+        df.sparkSession.sql(f"CREATE OR REPLACE VIEW {qualified_name(table, database, catalog)} AS SELECT * FROM {physical}")
+        return physical
     spark = df.sparkSession
     name = qualified_name(table, database, catalog)
     ns = qualified_name(database, None, catalog) if database else None

@@ -46,3 +46,15 @@ def test_replicated_docs_scale_linearly(spark):
     assert big.select("id").distinct().count() == 3 * docs.count()
     assert flatten_cities(big, outer=True).count() == 3 * n
     S.assert_contract(flatten_cities(big), "cities")
+
+
+def test_swap_publishes_view_and_prunes(spark, tmp_dir):
+    df = spark.createDataFrame([(1, "X"), (2, "Y")], "id long, p string")
+    write_table(df, "t_swap", "geonest_test", path=f"{tmp_dir}/swap", partition_by=["p"], replace="swap", run_id="r1")
+    assert spark.table("geonest_test.t_swap").count() == 2
+    upd = spark.createDataFrame([(3, "X")], "id long, p string")
+    write_table(upd, "t_swap", "geonest_test", path=f"{tmp_dir}/swap", partition_by=["p"], replace="swap", run_id="r2")
+    view = spark.table("geonest_test.t_swap")
+    assert [(r.id, r.p) for r in view.collect()] == [(3, "X")]
+    assert spark.table("geonest_test.t_swap__r1").count() == 2  # earlier run still readable
+    assert "PartitionFilters: [isnotnull(p" in plan_text(view.filter(F.col("p") == "X"))
