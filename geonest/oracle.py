@@ -157,6 +157,10 @@ ORACLE_SQL = {
     "cities_inner": cities_sql(False),
     "states_outer": states_sql(True),
     "states_inner": states_sql(False),
+    "stamped_states": (
+        "SELECT country_id, state_id, TIMESTAMP '2025-06-30 23:59:59.123456' AS created_at, "
+        f"TIMESTAMP '2025-06-30 23:59:59.123456' AS last_updated_at FROM ({states_sql(True)}) s"
+    ),
     "countries": COUNTRIES,
     "filter_eq": f"SELECT * FROM ({states_sql(True)}) s WHERE state_name = '1-URGENT'",
     "top10": f"SELECT * FROM ({COUNTRIES}) c ORDER BY country_id LIMIT 10",

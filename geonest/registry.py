@@ -63,6 +63,15 @@ def q_states_inner(spark, sf):
     return comparable(flatten_states(FX.location_docs(spark, sf), outer=False, run_ts=RUN_TS))
 
 
+STAMP_TS = "2025-06-30 23:59:59.123456"
+
+
+def q_stamped_states(spark, sf):
+    """FN3: one literal load time on every row of a run (microseconds kept)."""
+    states = flatten_states(FX.location_docs(spark, sf), outer=True, run_ts=STAMP_TS)
+    return comparable(states.select("country_id", "state_id", "created_at", "last_updated_at"))
+
+
 def q_countries(spark, sf):
     docs = FX.location_docs(spark, sf)
     return comparable(transform_countries(docs, FX.population_frame(spark, sf), run_ts=RUN_TS))
@@ -245,6 +254,7 @@ QUERIES = {
     "cities_inner": q_cities_inner,
     "states_outer": q_states_outer,
     "states_inner": q_states_inner,
+    "stamped_states": q_stamped_states,
     "countries": q_countries,
     "filter_eq": q_filter_eq,
     "top10": q_top10,
