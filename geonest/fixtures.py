@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from geonest import constants as K
 from geonest import schemas as S
@@ -198,15 +199,34 @@ def write_multiline_json(df: DataFrame, path: str, key: str = "id", n_files: int
 
     Rows are spread over ``n_files`` files by a hash of ``key`` (default:
     one file per input partition), so no file -- and no task -- holds more
-    than its share; each file folder is written by exactly one task.
+    than its share. Each row stays its own line: the first line of a file
+    opens the array and the last closes it, found from a row number within
+    the file and the file's row count (one small row per file). Nothing is
+    concatenated into one value, so a file may be larger than any row can.
     """
     n_files = n_files or max(1, df.rdd.getNumPartitions())
-    bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(n_files)).alias("_file")
-    rows = df.select(bucket, F.to_json(F.struct(*df.columns)).alias("j"))
-    files = rows.groupBy("_file").agg(
-        F.concat(F.lit("[\n"), F.concat_ws(",\n", F.collect_list("j")), F.lit("\n]")).alias("value")
+    rows = df.select(
+        F.pmod(F.xxhash64(F.col(key)), F.lit(n_files)).alias("_file"),
+        F.col(key).alias("_key"),
+        F.to_json(F.struct(*df.columns)).alias("_json"),
     )
-    files.write.mode("overwrite").partitionBy("_file").text(path)
+    # Row number in (key, text) order: a total order, so a retried task
+    # numbers its rows exactly as the first attempt did.
+    ranked = rows.withColumn(
+        "_rn", F.row_number().over(Window.partitionBy("_file").orderBy("_key", "_json"))
+    )
+    sizes = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))  # n_files rows
+    lines = ranked.join(F.broadcast(sizes), "_file").select(
+        "_file",
+        F.concat(
+            F.when(F.col("_rn") == 1, F.lit("[\n")).otherwise(F.lit("")),
+            F.col("_json"),
+            F.when(F.col("_rn") == F.col("_n"), F.lit("\n]")).otherwise(F.lit(",")),
+        ).alias("value"),
+    )
+    # The broadcast join keeps the window's (_file, _key, _json) order, so
+    # each file's lines are written in row-number order.
+    lines.write.mode("overwrite").partitionBy("_file").text(path)
     return path
 
 

@@ -4,11 +4,55 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows a dimension side may have to be shipped to every executor. Narrow
-# reference tables (a few columns) stay well under the broadcast size limit
-# at this count.
+# Bounds a side must be proven to satisfy before it is shipped to every
+# executor: a row count and a byte size (both checked, see fits_broadcast).
 DEFAULT_BROADCAST_MAX_ROWS = 100_000
+DEFAULT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+
+_FIXED_WIDTH = {
+    T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
+    T.FloatType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8,
+}
+
+
+def _width(field: T.StructField) -> Column:
+    """Bytes one value of ``field`` takes (an upper-bound estimate for
+    nested values, measured as their JSON text)."""
+    c = F.col(f"`{field.name}`")
+    dt = field.dataType
+    for t, n in _FIXED_WIDTH.items():
+        if isinstance(dt, t):
+            return F.lit(n)
+    if isinstance(dt, T.DecimalType):
+        return F.lit(16)
+    if isinstance(dt, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0))
+    return F.coalesce(F.octet_length(F.to_json(c)), F.lit(0))
+
+
+def measure(df: DataFrame, max_rows: int) -> tuple[int, int]:
+    """``(rows, bytes)`` of at most the first ``max_rows + 1`` rows of
+    ``df``: one bounded pass, cheap even when ``df`` is large."""
+    width = F.lit(0)
+    for f in df.schema.fields:
+        width = width + _width(f)
+    r = df.limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
+    ).first()
+    return int(r["rows"]), int(r["bytes"])
+
+
+def fits_broadcast(
+    df: DataFrame,
+    max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
+) -> bool:
+    """True when ``df`` is proven to have at most ``max_rows`` rows and at
+    most ``max_bytes`` bytes of column data."""
+    rows, size = measure(df, max_rows)
+    return rows <= max_rows and size <= max_bytes
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
@@ -26,14 +70,15 @@ def join_small(
     on: Column | list | str,
     how: str = "left",
     max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """Join ``big`` with a side expected to be small.
 
-    The small side is broadcast only after its row count is proven to be at
-    most ``max_rows``; otherwise the plan is left to Catalyst (sort-merge
-    join with AQE skew splitting), so a large "dimension" never lands whole
-    in executor memory.
+    The small side is broadcast only after it is proven to hold at most
+    ``max_rows`` rows and ``max_bytes`` bytes; otherwise the plan is left
+    to Catalyst (sort-merge join with AQE skew splitting), so a large
+    "dimension" never lands whole in executor memory.
     """
-    if has_at_most(small, max_rows):
+    if fits_broadcast(small, max_rows, max_bytes):
         small = F.broadcast(small)
     return big.join(small, on, how)

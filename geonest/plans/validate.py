@@ -15,32 +15,30 @@ def validation_checks(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
     * ``null_<key>``: rows with a null key column
     * ``duplicate_keys``: key values occurring more than once
 
-    Two aggregations: a global one for the counts and a grouped one on the
-    key (map-side partial counts first, so a hot key collapses to one
-    partial row per task before the shuffle).
+    One scan: rows are counted per key value (map-side partial counts
+    first, so a hot key collapses to one partial row per task before the
+    shuffle; null keys form their own groups), and every check is a fold
+    over those per-key counts.
     """
-    counts = df.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        *[F.count_if(F.col(k).isNull()).alias(f"null_{k}") for k in keys],
-    )
-    names = ["row_count"] + [f"null_{k}" for k in keys]
-    stacked = counts.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(n).cast("long").alias("value")) for n in names])
-        ).alias("c")
-    ).select("c.*")
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     keyed = F.lit(True)
     for k in keys:
         keyed = keyed & F.col(k).isNotNull()
-    dup = (
-        df.filter(keyed)
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > 1)
-        .agg(F.count(F.lit(1)).cast("long").alias("value"))
-        .select(F.lit("duplicate_keys").alias("check_name"), "value")
+    names = ["row_count"] + [f"null_{k}" for k in keys] + ["duplicate_keys"]
+    summary = per_key.agg(
+        F.sum("_n").alias("row_count"),
+        *[F.sum(F.when(F.col(k).isNull(), F.col("_n"))).alias(f"null_{k}") for k in keys],
+        F.count_if(keyed & (F.col("_n") > 1)).alias("duplicate_keys"),
+    )
+    checks = F.array(
+        *[
+            F.struct(F.lit(n).alias("check_name"), F.coalesce(F.col(n).cast("long"), F.lit(0)).alias("value"))
+            for n in names
+        ]
+    )
+    return summary.select(F.explode(checks).alias("c")).select(
+        F.lit(table).alias("table_name"), "c.check_name", "c.value"
     )
-    return stacked.unionByName(dup).select(F.lit(table).alias("table_name"), "check_name", "value")
 
 
 def spot_check(df: DataFrame, column: str | None = None, value=None, n: int = 10, order_by=None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from geonest import schemas as S
 from geonest.operators.enrich import transform_countries
-from geonest.operators.joins import has_at_most, join_small
+from geonest.operators.joins import fits_broadcast, has_at_most, join_small, measure
 from geonest.plans.explain import plan_text
 
 
@@ -59,3 +59,14 @@ def test_large_side_is_not_forced_into_broadcast(spark):
     joined = join_small(big, other, "k", "left", max_rows=10)
     assert joined.count() == 50
     assert has_at_most(other, 50)
+
+
+def test_broadcast_bound_counts_bytes(spark):
+    wide = spark.range(20).selectExpr("id", "repeat('x', 1000) AS pad", "array(id, id) AS arr")
+    rows, size = measure(wide, 100)
+    # 8 bytes of id + 1000 of text + the JSON text of the array, per row
+    assert rows == 20 and size == sum(8 + 1000 + len(f"[{i},{i}]") for i in range(20))
+    assert fits_broadcast(wide, max_rows=100, max_bytes=10**6)
+    assert not fits_broadcast(wide, max_rows=100, max_bytes=10_000)  # few rows, too many bytes
+    assert not fits_broadcast(wide, max_rows=10, max_bytes=10**6)
+    assert measure(wide.limit(0), 10) == (0, 0)
