@@ -40,7 +40,39 @@ def _money_text(c: Column) -> Column:
     return c.cast("decimal(14,2)").cast("string")
 
 
-def cities_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+# A parent with more children than this is split into several entries of
+# about this many children each (salted by child key), so no group that
+# is collected into one row grows with the data.
+MAX_CHILDREN = 20_000
+
+
+def nest_children(
+    rows: DataFrame, parent: str, salt: list[str], child: Column, name: str, max_children: int = MAX_CHILDREN
+) -> DataFrame:
+    """``(parent, _part, name)``: the ``child`` structs of each parent value
+    collected into an array, one row per part.
+
+    Parents are counted first (partial counts per task, so a hot parent
+    costs one row per task in the shuffle). Only parents above
+    ``max_children`` -- at most ``rows / max_children`` of them -- are
+    joined back (broadcast only when proven small); their children are
+    spread over ``ceil(n / max_children)`` parts by a hash of ``salt``.
+    Every other parent is one part, 0.
+    """
+    hot = (
+        rows.groupBy(parent)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > max_children)
+        .select(F.col(parent).alias("_hot"), F.ceil(F.col("_n") / max_children).alias("_parts"))
+    )
+    tagged = join_small(rows, hot, rows[parent] == hot["_hot"], "left")
+    part = F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(
+        F.pmod(F.xxhash64(*[F.col(c) for c in salt]), F.col("_parts"))
+    )
+    return tagged.groupBy(F.col(parent), part.alias("_part")).agg(F.collect_list(child).alias(name))
+
+
+def cities_by_order(spark: SparkSession, sf_dir: str, max_children: int = MAX_CHILDREN) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     latitude = (
         F.when(F.col("l_returnflag") == "R", F.lit(""))
@@ -54,13 +86,16 @@ def cities_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
         latitude.alias("latitude"),
         _money_text(-F.col("l_extendedprice")).alias("longitude"),
     )
-    # Bounded groups: one order has a handful of line items.
-    return li.groupBy("l_orderkey").agg(F.collect_list(city).alias("cities"))
+    return nest_children(li, "l_orderkey", ["l_linenumber"], city, "cities", max_children).withColumnRenamed(
+        "_part", "_city_part"
+    )
 
 
-def states_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+def states_by_customer(spark: SparkSession, sf_dir: str, max_children: int = MAX_CHILDREN) -> DataFrame:
+    """State entries per customer. An order split into city parts gives
+    one state entry per part (same state fields, disjoint cities)."""
     orders = table(spark, sf_dir, "orders")
-    cities = cities_by_order(spark, sf_dir)
+    cities = cities_by_order(spark, sf_dir, max_children)
     o = orders.join(cities, orders["o_orderkey"] == cities["l_orderkey"], "left")
     state = F.struct(
         F.col("o_orderkey").alias("id"),
@@ -72,19 +107,23 @@ def states_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("longitude"),
         F.col("cities"),
     )
-    return o.groupBy("o_custkey").agg(F.collect_list(state).alias("states"))
+    return nest_children(o, "o_custkey", ["o_orderkey", "_city_part"], state, "states", max_children)
 
 
-def location_docs_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested country documents (unmaterialised plan)."""
+def location_docs_frame(spark: SparkSession, sf_dir: str, max_children: int = MAX_CHILDREN) -> DataFrame:
+    """Nested country documents (unmaterialised plan): one per customer,
+    or one per part of a customer with more than ``max_children`` state
+    entries. HOUSEHOLD customers get one document with no states."""
     cust = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
     dims = nation.join(region, nation["n_regionkey"] == region["r_regionkey"], "left").select(
         "n_nationkey", "n_name", "r_name"
     )
-    states = states_by_customer(spark, sf_dir)
-    c = cust.join(states, cust["c_custkey"] == states["o_custkey"], "left")
+    states = states_by_customer(spark, sf_dir, max_children)
+    c = cust.join(
+        states, (cust["c_custkey"] == states["o_custkey"]) & (cust["c_mktsegment"] != "HOUSEHOLD"), "left"
+    )
     c = join_small(c, dims, c["c_nationkey"] == dims["n_nationkey"], "left")
     code = F.concat(F.lit("N"), F.col("c_nationkey"))
     return c.select(
