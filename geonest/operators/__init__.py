@@ -1,4 +1,4 @@
-from geonest.operators.enrich import transform_countries  # noqa: F401
+from geonest.operators.enrich import transform_countries, transform_countries_sql  # noqa: F401
 from geonest.operators.flatten import (  # noqa: F401
     explode_cities,
     explode_states,

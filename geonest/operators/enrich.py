@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geonest import constants as K
 from geonest.functions.scalars import run_stamp, source_timestamp, to_float
-from geonest.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, join_small
+from geonest.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, fits_broadcast, join_small
 
 
 def transform_countries(
@@ -53,3 +53,39 @@ def transform_countries(
         stamp.alias("created_at"),
         stamp.alias("last_updated_at"),
     )
+
+
+_COUNTRIES_SQL = """
+SELECT {hint}d.id AS country_id, d.name AS country_name, d.iso3 AS country_code, d.capital,
+       d.currency, d.currency_name, d.currency_symbol, d.region, d.subregion, d.phone_code, d.emoji,
+       try_cast(d.latitude AS FLOAT) AS latitude, try_cast(d.longitude AS FLOAT) AS longitude,
+       p.Population AS population,
+       to_timestamp(:source_ts) AS population_source_last_updated_at,
+       {stamp} AS created_at, {stamp} AS last_updated_at
+FROM {{docs}} d LEFT JOIN {{pop}} p ON d.iso3 = p.Alpha_3
+"""
+
+
+def transform_countries_sql(
+    spark: SparkSession,
+    docs: DataFrame,
+    population: DataFrame,
+    run_ts=None,
+    population_updated_at: str = K.POPULATION_SOURCE_TIMESTAMP,
+    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+) -> DataFrame:
+    """TR1 written as SQL over the two inputs, the form the original job
+    uses (SC4). Same result and plan as ``transform_countries``.
+
+    The frames are passed as SQL parameters rather than session-wide temp
+    views, so concurrent callers cannot see or replace each other's
+    inputs; literals are bound as named parameters. The population side
+    gets a broadcast hint only after its size is proven small.
+    """
+    hint = "/*+ BROADCAST(p) */ " if fits_broadcast(population, broadcast_max_rows) else ""
+    stamp = "current_timestamp()" if run_ts is None else "CAST(:run_ts AS TIMESTAMP)"
+    args = {"source_ts": population_updated_at}
+    if run_ts is not None:
+        args["run_ts"] = str(run_ts)
+    query = _COUNTRIES_SQL.format(hint=hint, stamp=stamp)
+    return spark.sql(query, args=args, docs=docs, pop=population)

@@ -162,12 +162,19 @@ ORACLE_SQL = {
         f"TIMESTAMP '2025-06-30 23:59:59.123456' AS last_updated_at FROM ({states_sql(True)}) s"
     ),
     "countries": COUNTRIES,
+    "countries_sql": COUNTRIES,
     "filter_eq": f"SELECT * FROM ({states_sql(True)}) s WHERE state_name = '1-URGENT'",
     "top10": f"SELECT * FROM ({COUNTRIES}) c ORDER BY country_id LIMIT 10",
     "json_to_parquet": cities_sql(True),
     "table_replace_roundtrip": cities_sql(True),
     "elt_states": states_sql(False),
     "elt_cities": cities_sql(False),
+    "sql_states_filter": f"SELECT * FROM ({states_sql(True)}) s WHERE state_name = '1-URGENT'",
+    "sql_cities_top10": (
+        f"SELECT * FROM ({cities_sql(True)}) c ORDER BY "
+        + ", ".join(f"{k} ASC NULLS LAST" for k in ["city_id", "state_id", "country_id", "city_name", "latitude", "longitude"])
+        + " LIMIT 10"
+    ),
     "validate_cities": checks_sql("cities", cities_sql(True), "city_id"),
     "population_duplicates": checks_sql("population", POPULATION_DUP, "Alpha_3"),
     "country_codes": "SELECT 'A' || s_nationkey AS Alpha_2 FROM supplier GROUP BY s_nationkey",

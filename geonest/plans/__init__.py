@@ -5,4 +5,4 @@ from geonest.plans.location import (  # noqa: F401
     run_location_pipeline,
 )
 from geonest.plans.news import load_news, news_articles  # noqa: F401
-from geonest.plans.validate import spot_check, validation_checks  # noqa: F401
+from geonest.plans.validate import spot_check, spot_check_sql, validation_checks  # noqa: F401

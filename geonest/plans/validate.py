@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geonest.operators.preview import filter_equals, top_n
@@ -47,3 +47,34 @@ def spot_check(df: DataFrame, column: str | None = None, value=None, n: int = 10
     if column is not None:
         return filter_equals(df, column, value)
     return top_n(df, n, order_by)
+
+
+def _quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def spot_check_sql(
+    spark: SparkSession,
+    table: str,
+    column: str | None = None,
+    value=None,
+    n: int = 10,
+    order_by: list[str] | None = None,
+) -> DataFrame:
+    """The original's post-write sample queries as SQL against the written
+    table by its (up to three-part) catalog name (SC3): rows where
+    ``column`` equals ``value``, else ``n`` rows (ordered by ``order_by``,
+    nulls last, when given).
+
+    The table name and the value are bound as parameters, never spliced
+    into the text; the filter reaches the scan (and prunes partitions when
+    ``column`` is a partition column)."""
+    args = {"table": table}
+    if column is not None:
+        args.update(column=column, value=value)
+        return spark.sql("SELECT * FROM IDENTIFIER(:table) WHERE IDENTIFIER(:column) = :value", args=args)
+    args["n"] = n
+    order = ""
+    if order_by:
+        order = " ORDER BY " + ", ".join(f"{_quote(c)} ASC NULLS LAST" for c in order_by)
+    return spark.sql(f"SELECT * FROM IDENTIFIER(:table){order} LIMIT :n", args=args)

@@ -14,14 +14,14 @@ from pyspark.sql import types as T
 from geonest import constants as K
 from geonest import fixtures as FX
 from geonest import schemas as S
-from geonest.operators.enrich import transform_countries
+from geonest.operators.enrich import transform_countries, transform_countries_sql
 from geonest.operators.flatten import flatten_cities, flatten_states
 from geonest.operators.news import classify_responses, parse_responses
 from geonest.operators.preview import filter_equals, top_n
 from geonest.operators.requests import build_requests, coverage_gaps, request_grid, sample_requests
 from geonest.plans.location import convert_json_to_parquet, run_elt, run_location_pipeline
 from geonest.plans.news import load_news, news_articles
-from geonest.plans.validate import validation_checks
+from geonest.plans.validate import spot_check_sql, validation_checks
 from geonest.session import new_scratch_dir
 from geonest.sinks.catalog import read_contract, write_table
 from geonest.sources.news import read_news_table, read_response_log
@@ -77,6 +77,12 @@ def q_countries(spark, sf):
     return comparable(transform_countries(docs, FX.population_frame(spark, sf), run_ts=RUN_TS))
 
 
+def q_countries_sql(spark, sf):
+    """TR1 in its SQL form (SC4): same rows as ``countries``."""
+    docs = FX.location_docs(spark, sf)
+    return comparable(transform_countries_sql(spark, docs, FX.population_frame(spark, sf), run_ts=RUN_TS))
+
+
 def _scratch_table(spark, frame: DataFrame, table: str, parts: list[str]) -> DataFrame:
     """Write ``frame`` as a table located in a fresh shared scratch folder
     and read it back in contract order."""
@@ -136,6 +142,35 @@ def q_elt_cities(spark, sf):
     return _elt_single(spark, sf, "cities", "cities")
 
 
+def _elt_combined(spark, sf) -> str:
+    """The combined (states_cities, outer explode) ELT run once per
+    process; returns the database holding its ``states`` and ``cities``."""
+    key = ("elt_combined", sf)
+    if key not in FX._materialised:
+        docs_path = new_scratch_dir(spark, "preprocessed")
+        FX.location_docs(spark, sf).write.mode("overwrite").parquet(docs_path)
+        db = f"{SCRATCH_DB}_{docs_path.rsplit('-', 1)[-1]}"
+        run_elt(spark, "states_cities", docs_path, location=new_scratch_dir(spark, "tables"), database=db, run_ts=RUN_TS)
+        FX._materialised[key] = db
+    return FX._materialised[key]
+
+
+def q_sql_states_filter(spark, sf):
+    """TR7 as SQL on the catalog table by three-part name (SC3, FI1)."""
+    db = _elt_combined(spark, sf)
+    return comparable(spot_check_sql(spark, f"spark_catalog.{db}.states", "state_name", "1-URGENT"))
+
+
+CITY_ORDER = ["city_id", "state_id", "country_id", "city_name", "latitude", "longitude"]
+
+
+def q_sql_cities_top10(spark, sf):
+    """TR7 as SQL: ten cities of the written table, in a total order so
+    the ten are the same every run (the original's bare LIMIT is not)."""
+    db = _elt_combined(spark, sf)
+    return comparable(spot_check_sql(spark, f"spark_catalog.{db}.cities", n=10, order_by=CITY_ORDER))
+
+
 def q_validate_cities(spark, sf):
     cities = flatten_cities(FX.location_docs(spark, sf), outer=True, run_ts=RUN_TS)
     written, _ = _scratch_table(spark, cities, "cities", S.PARTITIONING["cities_combined"])
@@ -256,12 +291,15 @@ QUERIES = {
     "states_inner": q_states_inner,
     "stamped_states": q_stamped_states,
     "countries": q_countries,
+    "countries_sql": q_countries_sql,
     "filter_eq": q_filter_eq,
     "top10": q_top10,
     "json_to_parquet": q_json_to_parquet,
     "table_replace_roundtrip": q_table_replace_roundtrip,
     "elt_states": q_elt_states,
     "elt_cities": q_elt_cities,
+    "sql_states_filter": q_sql_states_filter,
+    "sql_cities_top10": q_sql_cities_top10,
     "validate_cities": q_validate_cities,
     "population_duplicates": q_population_duplicates,
     "country_codes": q_country_codes,
