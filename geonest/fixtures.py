@@ -25,7 +25,7 @@ from pyspark.sql.window import Window
 
 from geonest import constants as K
 from geonest import schemas as S
-from geonest.operators.joins import join_small
+from geonest.operators.joins import join_small, left_join_hot_right
 from geonest.session import new_scratch_dir
 
 FIXED_RUN_TS = "2024-01-01 00:00:00"
@@ -96,7 +96,7 @@ def states_by_customer(spark: SparkSession, sf_dir: str, max_children: int = MAX
     one state entry per part (same state fields, disjoint cities)."""
     orders = table(spark, sf_dir, "orders")
     cities = cities_by_order(spark, sf_dir, max_children)
-    o = orders.join(cities, orders["o_orderkey"] == cities["l_orderkey"], "left")
+    o = left_join_hot_right(orders, cities, "o_orderkey", "l_orderkey")
     state = F.struct(
         F.col("o_orderkey").alias("id"),
         F.col("o_orderpriority").alias("name"),
@@ -121,9 +121,12 @@ def location_docs_frame(spark: SparkSession, sf_dir: str, max_children: int = MA
         "n_nationkey", "n_name", "r_name"
     )
     states = states_by_customer(spark, sf_dir, max_children)
-    c = cust.join(
-        states, (cust["c_custkey"] == states["o_custkey"]) & (cust["c_mktsegment"] != "HOUSEHOLD"), "left"
+    # HOUSEHOLD customers take no states: their key is nulled for the join
+    # so they pass through unmatched, as one document.
+    cust = cust.withColumn(
+        "_join_key", F.when(F.col("c_mktsegment") != "HOUSEHOLD", F.col("c_custkey"))
     )
+    c = left_join_hot_right(cust, states, "_join_key", "o_custkey")
     c = join_small(c, dims, c["c_nationkey"] == dims["n_nationkey"], "left")
     code = F.concat(F.lit("N"), F.col("c_nationkey"))
     return c.select(
@@ -232,18 +235,20 @@ def land_responses(df: DataFrame, path: str) -> str:
     return path
 
 
-def write_multiline_json(df: DataFrame, path: str, key: str = "id", n_files: int | None = None) -> str:
+def write_multiline_json(
+    df: DataFrame, path: str, key: str = "id", n_files: int | None = None, rows_per_file: int = 50_000
+) -> str:
     """Write ``df`` as whole-file JSON arrays (the shape of the original
     raw location files), one array per output file.
 
     Rows are spread over ``n_files`` files by a hash of ``key`` (default:
-    one file per input partition), so no file -- and no task -- holds more
-    than its share. Each row stays its own line: the first line of a file
+    enough files for about ``rows_per_file`` rows each), so no file -- and
+    no task -- holds more than its share. Each row stays its own line: the first line of a file
     opens the array and the last closes it, found from a row number within
     the file and the file's row count (one small row per file). Nothing is
     concatenated into one value, so a file may be larger than any row can.
     """
-    n_files = n_files or max(1, df.rdd.getNumPartitions())
+    n_files = n_files or max(1, -(-df.count() // rows_per_file))
     rows = df.select(
         F.pmod(F.xxhash64(F.col(key)), F.lit(n_files)).alias("_file"),
         F.col(key).alias("_key"),

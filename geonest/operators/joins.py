@@ -82,3 +82,21 @@ def join_small(
     if fits_broadcast(small, max_rows, max_bytes):
         small = F.broadcast(small)
     return big.join(small, on, how)
+
+
+def left_join_hot_right(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """``left LEFT OUTER JOIN right ON left_key = right_key`` for a right
+    side that may hold very many rows for one key.
+
+    A left outer sort-merge join buffers every right row of a key in one
+    task, and adaptive execution cannot split the right side of a left
+    outer join. Written instead as an inner join (whose skewed partitions
+    AQE splits on either side) plus the left rows without a match (a left
+    anti join against the distinct right keys, which partial aggregation
+    keeps to one row per key per task), padded with nulls. Null left keys
+    never match and are kept, as in a left join.
+    """
+    matched = left.join(right, left[left_key] == right[right_key], "inner")
+    keys = right.select(F.col(right_key).alias("_right_key")).distinct()
+    unmatched = left.join(keys, left[left_key] == keys["_right_key"], "left_anti")
+    return matched.unionByName(unmatched, allowMissingColumns=True)

@@ -47,3 +47,15 @@ def test_multiline_json_files_are_arrays(spark, tmp_dir):
     for f in glob.glob(f"{path}/_file=*/part-*"):
         rows += json.load(open(f))  # each file is one JSON array
     assert sorted((r["id"], r.get("v")) for r in rows) == [(1, "a"), (1, "a"), (2, "b"), (3, None)]
+
+
+def test_left_join_hot_right_equals_left_join(spark):
+    from geonest.operators.joins import left_join_hot_right
+
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n"), (4, "d"), (1, "a2")], "k long, lv string")
+    right = spark.createDataFrame([(1, "x"), (1, "y"), (1, "z"), (3, "w"), (None, "rn")], "rk long, rv string")
+    want = left.join(right, left["k"] == right["rk"], "left")
+    got = left_join_hot_right(left, right, "k", "rk")
+    assert sorted(want.columns) == sorted(got.columns)
+    cols = sorted(want.columns)
+    assert sorted(want.select(cols).collect(), key=repr) == sorted(got.select(cols).collect(), key=repr)
