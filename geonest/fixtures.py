@@ -242,34 +242,37 @@ def write_multiline_json(
     raw location files), one array per output file.
 
     Rows are spread over ``n_files`` files by a hash of ``key`` (default:
-    enough files for about ``rows_per_file`` rows each), so no file -- and
-    no task -- holds more than its share. Each row stays its own line: the first line of a file
-    opens the array and the last closes it, found from a row number within
-    the file and the file's row count (one small row per file). Nothing is
-    concatenated into one value, so a file may be larger than any row can.
+    one file per core, more when needed for at most about ``rows_per_file``
+    rows each), so no file -- and
+    no task -- holds more than its share. Each row stays its own line: the
+    first line of a file opens the array and the last closes it, both found
+    by one window over the file's rows. Nothing is concatenated into one
+    value, so a file may be larger than any row can be.
     """
-    n_files = n_files or max(1, -(-df.count() // rows_per_file))
+    if not n_files:
+        # A multi-line file is read by one task: at least one file per core.
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        n_files = max(1, cores, -(-df.count() // rows_per_file))
     rows = df.select(
         F.pmod(F.xxhash64(F.col(key)), F.lit(n_files)).alias("_file"),
         F.col(key).alias("_key"),
         F.to_json(F.struct(*df.columns)).alias("_json"),
     )
-    # Row number in (key, text) order: a total order, so a retried task
-    # numbers its rows exactly as the first attempt did.
-    ranked = rows.withColumn(
-        "_rn", F.row_number().over(Window.partitionBy("_file").orderBy("_key", "_json"))
-    )
-    sizes = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))  # n_files rows
-    lines = ranked.join(F.broadcast(sizes), "_file").select(
+    # Position within the file in (key, text) order -- a total order, so a
+    # retried task numbers its rows exactly as the first attempt did. The
+    # first row opens the array; the row with no successor closes it. Both
+    # come from one window pass (no count or join).
+    w = Window.partitionBy("_file").orderBy("_key", "_json")
+    lines = rows.select(
         "_file",
         F.concat(
-            F.when(F.col("_rn") == 1, F.lit("[\n")).otherwise(F.lit("")),
+            F.when(F.row_number().over(w) == 1, F.lit("[\n")).otherwise(F.lit("")),
             F.col("_json"),
-            F.when(F.col("_rn") == F.col("_n"), F.lit("\n]")).otherwise(F.lit(",")),
+            F.when(F.lead(F.lit(1)).over(w).isNull(), F.lit("\n]")).otherwise(F.lit(",")),
         ).alias("value"),
     )
-    # The broadcast join keeps the window's (_file, _key, _json) order, so
-    # each file's lines are written in row-number order.
+    # Rows leave the window sorted by (_file, _key, _json), so each file's
+    # lines are written in that order.
     lines.write.mode("overwrite").partitionBy("_file").text(path)
     return path
 
