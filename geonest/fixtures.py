@@ -235,6 +235,22 @@ def land_responses(df: DataFrame, path: str) -> str:
     return path
 
 
+def land_response_files(df: DataFrame, path: str) -> str:
+    """Write each response body as its own file under
+    ``country=<c>/topic=<t>/``, the shape a per-request loader lands. Rows
+    are clustered by the folder keys first, so each folder is written by
+    few tasks."""
+    (
+        df.select("country", "topic", "body")
+        .hint("rebalance", "country", "topic")
+        .write.mode("overwrite")
+        .option("maxRecordsPerFile", 1)
+        .partitionBy("country", "topic")
+        .text(path)
+    )
+    return path
+
+
 def write_multiline_json(
     df: DataFrame, path: str, key: str = "id", n_files: int | None = None, rows_per_file: int = 50_000
 ) -> str:

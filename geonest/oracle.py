@@ -144,6 +144,12 @@ ISO_TIMESTAMPS = "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS call
 
 NEWS_TABLE_ROWS = f"SELECT *, '{FIXED_RUN_TS[:10]}' AS date FROM ({NEWS_ARTICLES}) a"
 
+NEWS_FILES_ROWS = f"""
+SELECT upper(lang) AS country, {TOPIC} AS topic, CAST(NULL AS BIGINT) AS page, doc_id AS id, text, n_chars,
+       {CALL_TS} AS call_timestamp, '{FIXED_RUN_TS[:10]}' AS date
+FROM documents WHERE {OK_SOURCE}
+"""
+
 LOCATION_PIPELINE = " UNION ALL ".join(
     [
         checks_sql("countries", COUNTRIES, "country_id"),
@@ -187,4 +193,5 @@ ORACLE_SQL = {
     "iso_timestamps": ISO_TIMESTAMPS,
     "news_append_roundtrip": f"{NEWS_TABLE_ROWS} UNION ALL {NEWS_TABLE_ROWS}",
     "news_stream_append": NEWS_TABLE_ROWS,
+    "news_files_load": NEWS_FILES_ROWS,
 }

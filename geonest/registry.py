@@ -214,6 +214,18 @@ def q_news_articles(spark, sf):
     return articles.drop("date")
 
 
+def q_news_files_load(spark, sf):
+    """SC6 one body per file (whole-file text) -> TR12 load -> SC7 read:
+    the articles appended from a per-request landing, stamped with the
+    run's load time (a file carries no request time or page)."""
+    key = ("landing-files", sf)
+    if key not in FX._materialised:
+        FX._materialised[key] = FX.land_response_files(_responses(spark, sf), new_scratch_dir(spark, "landing-files"))
+    table = new_scratch_dir(spark, "news-files-table")
+    load_news(spark, FX._materialised[key], table, landing="files", run_ts=RUN_TS)
+    return read_news_table(spark, table, NEWS_TABLE)
+
+
 def q_news_class(spark, sf):
     parsed = classify_responses(parse_responses(read_response_log(spark, _landed(spark, sf))))
     return parsed.select("country", "topic", "page", "status", "response_class")
@@ -306,6 +318,7 @@ QUERIES = {
     "location_pipeline": q_location_pipeline,
     "news_articles": q_news_articles,
     "news_class": q_news_class,
+    "news_files_load": q_news_files_load,
     "coverage_missing": q_coverage_missing,
     "request_urls": q_request_urls,
     "random_requests": q_random_requests,

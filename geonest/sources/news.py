@@ -15,15 +15,24 @@ def read_response_log(spark: SparkSession, path: str, schema: T.StructType = S.R
     return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
 
 
+# The two folders above a landed file: ``<country>/<topic>/`` or the Hive
+# form ``country=<c>/topic=<t>/`` (the ``name=`` prefix is not part of the
+# value).
+_FILE_KEYS = r"(?:[^/=]+=)?([^/]+)/(?:[^/=]+=)?([^/]+)/[^/]+$"
+
+
 def read_response_files(spark: SparkSession, path: str) -> DataFrame:
     """SC6 for one-body-per-file landings laid out as
-    ``.../<country>/<topic>/<file>``: the body is the whole file and the
-    request keys come from the file path."""
+    ``.../<country>/<topic>/<file>`` (or ``country=/topic=`` folders): the
+    body is the whole file and the request keys come from the file path.
+
+    Small files are packed several to a task by the file source, so many
+    landed responses do not mean as many tasks."""
     df = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
     fp = F.col("_metadata.file_path")
     return df.select(
-        F.regexp_extract(fp, r"([^/]+)/([^/]+)/[^/]+$", 1).alias("country"),
-        F.regexp_extract(fp, r"([^/]+)/([^/]+)/[^/]+$", 2).alias("topic"),
+        F.regexp_extract(fp, _FILE_KEYS, 1).alias("country"),
+        F.regexp_extract(fp, _FILE_KEYS, 2).alias("topic"),
         F.col("value").alias("body"),
     )
 

@@ -97,3 +97,22 @@ def test_form_encoding_matches_python_urlencode(spark):
     raw = 'a b*~"+/&=é'
     got = spark.range(1).select(form_encode(F.lit(raw)).alias("e")).collect()[0].e
     assert got == urllib.parse.urlencode({"x": raw})[2:]
+
+
+def test_file_landing_round_trip_and_rejects(spark, tmp_dir):
+    from geonest import fixtures as FX
+    from geonest.plans.news import load_news
+    from geonest.sources.news import read_news_table, read_response_files
+
+    ok = '{"status":"ok","articles":[{"id":1,"text":"a b","n_chars":3},{"id":2,"text":"c","n_chars":1}]}'
+    rows = [("NG", "tech", ok), ("NG", "sport", ""), ("US", "tech", "{bad"), ("US", "news", '{"status":"No matches for your search."}')]
+    df = spark.createDataFrame(rows, "country string, topic string, body string")
+    landing = FX.land_response_files(df, f"{tmp_dir}/landing")
+    got = {(r.country, r.topic) for r in read_response_files(spark, landing).collect()}
+    assert got == {(c, t) for c, t, _ in rows}  # keys come from country=/topic= folders
+    rejects = load_news(spark, landing, f"{tmp_dir}/table", landing="files", run_ts="2024-05-06 07:08:09")
+    classes = {(r.country, r.topic): r.response_class for r in rejects.collect()}
+    assert classes == {("NG", "sport"): "empty", ("US", "tech"): "malformed", ("US", "news"): "no_articles"}
+    table = read_news_table(spark, f"{tmp_dir}/table").collect()
+    assert sorted(r.id for r in table) == [1, 2]
+    assert {r.call_timestamp for r in table} == {"2024-05-06T07:08:09.000000Z"}
