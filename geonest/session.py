@@ -20,6 +20,37 @@ PROFILE = {
 }
 
 
+# Extra settings for a large shared cluster, applied by build_session when
+# it creates a session on a non-local master (or pass them at submit time).
+# Post-shuffle partitions are sized by bytes rather than spread over as
+# many cores as possible, and scans read larger splits: at ~100 TB this
+# keeps task counts in the hundreds of thousands, not millions.
+CLUSTER_PROFILE = {
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
+PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def shuffle_partitions_for(input_bytes: int, cores: int = 1, partition_bytes: int = PARTITION_BYTES) -> int:
+    """Initial shuffle partition count for ``input_bytes`` of input: about
+    ``partition_bytes`` per partition, at least one per core. Adaptive
+    execution coalesces small partitions at run time, so erring high costs
+    little, while too few partitions spill."""
+    return max(1, cores, -(-int(input_bytes) // partition_bytes))
+
+
+def size_for_input(spark: SparkSession, input_bytes: int) -> int:
+    """Set the session's shuffle partition count (and AQE's initial count)
+    for a job reading ``input_bytes``; returns the count."""
+    n = shuffle_partitions_for(input_bytes, spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    return n
+
+
 def build_session(
     app_name: str = "geonest",
     master: str | None = None,
@@ -35,7 +66,8 @@ def build_session(
         builder = SparkSession.builder.appName(app_name)
         if master:
             builder = builder.master(master)
-        for k, v in {**PROFILE, "spark.ui.enabled": "false", **(conf or {})}.items():
+        cluster = CLUSTER_PROFILE if master and not master.startswith("local") else {}
+        for k, v in {**PROFILE, **cluster, "spark.ui.enabled": "false", **(conf or {})}.items():
             builder = builder.config(k, v)
         spark = builder.getOrCreate()
     for k, v in {**PROFILE, **(conf or {})}.items():
