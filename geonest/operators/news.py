@@ -31,9 +31,13 @@ def parse_responses(
 
 
 def response_class(body: Column, payload: Column) -> Column:
-    """FI2 + FN12: empty / malformed / no_articles / ok."""
+    """FI2 + FN12: empty / malformed / no_articles / ok.
+
+    Empty means no content at all (null or zero length); a body of only
+    whitespace is content that does not decode as JSON, so it is
+    malformed, as in the original guard."""
     return (
-        F.when(body.isNull() | (F.trim(body) == ""), F.lit(EMPTY))
+        F.when(body.isNull() | (F.length(body) == 0), F.lit(EMPTY))
         .when(payload.isNull() | payload[_CORRUPT].isNotNull(), F.lit(MALFORMED))
         .when(payload["articles"].isNull(), F.lit(NO_ARTICLES))
         .otherwise(F.lit(OK))

@@ -194,4 +194,5 @@ ORACLE_SQL = {
     "news_append_roundtrip": f"{NEWS_TABLE_ROWS} UNION ALL {NEWS_TABLE_ROWS}",
     "news_stream_append": NEWS_TABLE_ROWS,
     "news_files_load": NEWS_FILES_ROWS,
+    "news_files_stream": NEWS_FILES_ROWS,
 }

@@ -25,6 +25,16 @@ def news_articles(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
     return articles, rejects
 
 
+def file_envelopes(files: DataFrame, run_ts=None) -> DataFrame:
+    """Envelope of one-body-per-file responses: a file carries no request
+    time or page, so ``requested_at`` is the load time (``run_ts``, else
+    the query's -- in a stream, the micro-batch's -- current time)."""
+    return files.select(
+        "country", "topic", F.lit(None).cast("long").alias("page"),
+        run_stamp(run_ts).alias("requested_at"), "body",
+    )
+
+
 def load_news(
     spark: SparkSession, landing_path: str, table_path: str, landing: str = "log", run_ts=None
 ) -> DataFrame:
@@ -37,10 +47,7 @@ def load_news(
     if landing == "log":
         responses = read_response_log(spark, landing_path)
     elif landing == "files":
-        responses = read_response_files(spark, landing_path).select(
-            "country", "topic", F.lit(None).cast("long").alias("page"),
-            run_stamp(run_ts or new_run_ts()).alias("requested_at"), "body",
-        )
+        responses = file_envelopes(read_response_files(spark, landing_path), run_ts or new_run_ts())
     else:
         raise ValueError(f"landing must be 'log' or 'files', not {landing!r}")
     articles, rejects = news_articles(responses)

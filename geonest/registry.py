@@ -218,11 +218,26 @@ def q_news_files_load(spark, sf):
     """SC6 one body per file (whole-file text) -> TR12 load -> SC7 read:
     the articles appended from a per-request landing, stamped with the
     run's load time (a file carries no request time or page)."""
+    table = new_scratch_dir(spark, "news-files-table")
+    load_news(spark, _landed_files(spark, sf), table, landing="files", run_ts=RUN_TS)
+    return read_news_table(spark, table, NEWS_TABLE)
+
+
+def _landed_files(spark, sf) -> str:
     key = ("landing-files", sf)
     if key not in FX._materialised:
         FX._materialised[key] = FX.land_response_files(_responses(spark, sf), new_scratch_dir(spark, "landing-files"))
-    table = new_scratch_dir(spark, "news-files-table")
-    load_news(spark, FX._materialised[key], table, landing="files", run_ts=RUN_TS)
+    return FX._materialised[key]
+
+
+def q_news_files_stream(spark, sf):
+    """ST1 over the one-body-per-file landing: a second run on the same
+    checkpoint finds no new file and adds no row."""
+    landing = _landed_files(spark, sf)
+    table = new_scratch_dir(spark, "news-files-stream")
+    ckpt = new_scratch_dir(spark, "news-files-stream-ckpt")
+    run_news_stream_once(spark, landing, table, ckpt, landing="files", run_ts=RUN_TS)
+    run_news_stream_once(spark, landing, table, ckpt, landing="files", run_ts=RUN_TS)
     return read_news_table(spark, table, NEWS_TABLE)
 
 
@@ -326,4 +341,5 @@ QUERIES = {
     "iso_timestamps": q_iso_timestamps,
     "news_append_roundtrip": q_news_append_roundtrip,
     "news_stream_append": q_news_stream_append,
+    "news_files_stream": q_news_files_stream,
 }

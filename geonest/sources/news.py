@@ -27,8 +27,24 @@ def read_response_files(spark: SparkSession, path: str) -> DataFrame:
     body is the whole file and the request keys come from the file path.
 
     Small files are packed several to a task by the file source, so many
-    landed responses do not mean as many tasks."""
-    df = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    landed responses do not mean as many tasks. ``wholetext`` is passed to
+    ``text()`` itself: its default would override an ``option()`` and
+    split bodies at newlines. A 0-byte file is invisible to Spark's file
+    sources (it has no split), so a loader must not land an empty body as
+    an empty file."""
+    return _response_file_keys(spark.read.text(path, wholetext=True, recursiveFileLookup=True))
+
+
+def stream_response_files(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """SC6 one-body-per-file landing as a streaming source: each file is
+    picked up once (tracked by the query's checkpoint)."""
+    reader = spark.readStream
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return _response_file_keys(reader.text(path, wholetext=True, recursiveFileLookup=True))
+
+
+def _response_file_keys(df: DataFrame) -> DataFrame:
     fp = F.col("_metadata.file_path")
     return df.select(
         F.regexp_extract(fp, _FILE_KEYS, 1).alias("country"),

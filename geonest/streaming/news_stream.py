@@ -11,7 +11,8 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from geonest import schemas as S
-from geonest.plans.news import NEWS_PARTITIONS, news_articles
+from geonest.plans.news import NEWS_PARTITIONS, file_envelopes, news_articles
+from geonest.sources.news import stream_response_files
 
 
 def start_news_stream(
@@ -22,11 +23,24 @@ def start_news_stream(
     available_now: bool = True,
     processing_time: str | None = None,
     max_files_per_trigger: int | None = None,
+    landing: str = "log",
+    run_ts=None,
 ) -> StreamingQuery:
-    reader = spark.readStream.schema(S.RESPONSE_ENVELOPE).option("mode", "PERMISSIVE")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    articles, _ = news_articles(reader.json(landing_dir))
+    """Start the incremental load.
+
+    ``landing="log"``: JSON-lines envelopes; ``landing="files"``: one body
+    per ``<country>/<topic>/`` file, stamped with ``run_ts`` or, without
+    it, the time of the micro-batch that loads the file."""
+    if landing == "log":
+        reader = spark.readStream.schema(S.RESPONSE_ENVELOPE).option("mode", "PERMISSIVE")
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        responses = reader.json(landing_dir)
+    elif landing == "files":
+        responses = file_envelopes(stream_response_files(spark, landing_dir, max_files_per_trigger), run_ts)
+    else:
+        raise ValueError(f"landing must be 'log' or 'files', not {landing!r}")
+    articles, _ = news_articles(responses)
     w = (
         articles.writeStream.format("parquet")
         .option("path", table_path)
@@ -38,9 +52,13 @@ def start_news_stream(
     return w.start()
 
 
-def run_news_stream_once(spark: SparkSession, landing_dir: str, table_path: str, checkpoint_path: str) -> None:
+def run_news_stream_once(
+    spark: SparkSession, landing_dir: str, table_path: str, checkpoint_path: str, landing: str = "log", run_ts=None
+) -> None:
     """Process every file landed so far, then stop."""
-    q = start_news_stream(spark, landing_dir, table_path, checkpoint_path, available_now=True)
+    q = start_news_stream(
+        spark, landing_dir, table_path, checkpoint_path, available_now=True, landing=landing, run_ts=run_ts
+    )
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

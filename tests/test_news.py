@@ -112,7 +112,15 @@ def test_file_landing_round_trip_and_rejects(spark, tmp_dir):
     assert got == {(c, t) for c, t, _ in rows}  # keys come from country=/topic= folders
     rejects = load_news(spark, landing, f"{tmp_dir}/table", landing="files", run_ts="2024-05-06 07:08:09")
     classes = {(r.country, r.topic): r.response_class for r in rejects.collect()}
-    assert classes == {("NG", "sport"): "empty", ("US", "tech"): "malformed", ("US", "news"): "no_articles"}
+    # the text writer lands the empty body as a newline-only file (a 0-byte
+    # file would be invisible to file sources): content that is not JSON
+    assert classes == {("NG", "sport"): "malformed", ("US", "tech"): "malformed", ("US", "news"): "no_articles"}
     table = read_news_table(spark, f"{tmp_dir}/table").collect()
     assert sorted(r.id for r in table) == [1, 2]
     assert {r.call_timestamp for r in table} == {"2024-05-06T07:08:09.000000Z"}
+
+
+def test_whitespace_body_is_malformed_not_empty(spark):
+    df = spark.createDataFrame([("ES", "tech", 0, " \n"), ("ES", "news", 0, "")], "country string, topic string, page long, body string")
+    got = {r.topic: r.response_class for r in classify_responses(parse_responses(df)).collect()}
+    assert got == {"tech": "malformed", "news": "empty"}  # only no content at all is empty

@@ -28,3 +28,38 @@ def test_stream_loads_each_file_once(spark, tmp_dir):
     back = spark.read.parquet(table)
     assert back.count() == 5
     assert {r.topic for r in back.select("topic").distinct().collect()} == {"tech", "news"}
+
+
+def _land_file(path, country, topic, name, body):
+    import os
+
+    d = os.path.join(path.replace("file:", ""), country, topic)
+    os.makedirs(d, exist_ok=True)
+    with open(os.path.join(d, name), "w") as f:
+        f.write(body)
+
+
+def test_file_landing_bodies_stay_whole(spark, tmp_dir):
+    from geonest.sources.news import read_response_files
+
+    body = json.dumps({"status": "ok", "articles": [{"id": 1, "text": "x", "n_chars": 1}]}, indent=2)
+    assert "\n" in body
+    _land_file(f"{tmp_dir}/files", "NG", "tech", "r1.json", body)
+    rows = read_response_files(spark, f"{tmp_dir}/files").collect()
+    assert [(r.country, r.topic, r.body) for r in rows] == [("NG", "tech", body)]
+
+
+def test_stream_over_file_landing(spark, tmp_dir):
+    landing, table, ckpt = f"{tmp_dir}/files", f"{tmp_dir}/table", f"{tmp_dir}/ckpt"
+    ok = lambda n: json.dumps({"status": "ok", "articles": [{"id": i, "text": "x", "n_chars": 1} for i in range(n)]}, indent=1)
+    _land_file(landing, "NG", "tech", "a.json", ok(3))
+    _land_file(landing, "NG", "news", "b.json", "{bad")
+    run_news_stream_once(spark, landing, table, ckpt, landing="files", run_ts="2024-03-04 00:00:00")
+    assert spark.read.parquet(table).count() == 3
+    run_news_stream_once(spark, landing, table, ckpt, landing="files", run_ts="2024-03-04 00:00:00")
+    assert spark.read.parquet(table).count() == 3  # nothing new landed
+    _land_file(landing, "US", "news", "c.json", ok(2))
+    run_news_stream_once(spark, landing, table, ckpt, landing="files", run_ts="2024-03-05 00:00:00")
+    back = spark.read.parquet(table)
+    assert back.count() == 5
+    assert {(r.country, r.topic) for r in back.select("country", "topic").distinct().collect()} == {("NG", "tech"), ("US", "news")}
