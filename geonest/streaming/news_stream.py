@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from geonest import schemas as S
 from geonest.plans.news import NEWS_PARTITIONS, file_envelopes, news_articles
+from geonest.sinks.files import cluster_by
 from geonest.sources.news import stream_response_files
 
 
@@ -41,6 +42,12 @@ def start_news_stream(
     else:
         raise ValueError(f"landing must be 'log' or 'files', not {landing!r}")
     articles, _ = news_articles(responses)
+    # Cluster by the folder keys, as the batch append does: each task
+    # writes few folders, instead of every task a file in every folder.
+    # (Micro-batches run without adaptive execution, so a hot key is
+    # bounded by the batch size: set max_files_per_trigger for large
+    # backlogs.)
+    articles = cluster_by(articles, NEWS_PARTITIONS)
     w = (
         articles.writeStream.format("parquet")
         .option("path", table_path)
