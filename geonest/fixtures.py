@@ -26,7 +26,7 @@ from pyspark.sql.window import Window
 from geonest import constants as K
 from geonest import schemas as S
 from geonest.operators.joins import join_small, left_join_hot_right
-from geonest.session import new_scratch_dir
+from geonest.session import checkpoint_root, new_scratch_dir
 
 FIXED_RUN_TS = "2024-01-01 00:00:00"
 
@@ -59,11 +59,16 @@ def nest_children(
     spread over ``ceil(n / max_children)`` parts by a hash of ``salt``.
     Every other parent is one part, 0.
     """
+    checkpoint_root(rows.sparkSession)
+    # Checkpointed (to the shared checkpoint folder): the size proof and the
+    # broadcast then read this small result instead of each re-running the
+    # count over every child row.
     hot = (
         rows.groupBy(parent)
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > max_children)
         .select(F.col(parent).alias("_hot"), F.ceil(F.col("_n") / max_children).alias("_parts"))
+        .checkpoint()
     )
     tagged = join_small(rows, hot, rows[parent] == hot["_hot"], "left")
     part = F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(
