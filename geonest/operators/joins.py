@@ -32,16 +32,26 @@ def _width(field: T.StructField) -> Column:
     return F.coalesce(F.octet_length(F.to_json(c)), F.lit(0))
 
 
-def measure(df: DataFrame, max_rows: int) -> tuple[int, int]:
-    """``(rows, bytes)`` of at most the first ``max_rows + 1`` rows of
-    ``df``: one bounded pass, cheap even when ``df`` is large."""
+def _rows_up_to(df: DataFrame, max_rows: int) -> int:
+    """``min(rows of df, max_rows + 1)``. An incremental probe: Spark scans
+    partitions in growing batches and stops once ``max_rows + 1`` rows are
+    seen, so a large ``df`` costs about one partition, not a pass. Only a
+    constant column is read back (at most ``max_rows + 1`` small ints)."""
+    return len(df.select(F.lit(1).alias("_one")).take(max_rows + 1))
+
+
+def measure(df: DataFrame, max_rows: int) -> tuple[int, int | None]:
+    """``(rows, bytes)`` of ``df`` when it has at most ``max_rows`` rows;
+    ``(max_rows + 1, None)`` when it has more. Bytes are only computed
+    (one aggregate pass) for a side already proven small."""
+    rows = _rows_up_to(df, max_rows)
+    if rows > max_rows:
+        return rows, None
     width = F.lit(0)
     for f in df.schema.fields:
         width = width + _width(f)
-    r = df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
-    ).first()
-    return int(r["rows"]), int(r["bytes"])
+    size = df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()["bytes"]
+    return rows, int(size)
 
 
 def fits_broadcast(
@@ -52,16 +62,13 @@ def fits_broadcast(
     """True when ``df`` is proven to have at most ``max_rows`` rows and at
     most ``max_bytes`` bytes of column data."""
     rows, size = measure(df, max_rows)
-    return rows <= max_rows and size <= max_bytes
+    return rows <= max_rows and size is not None and size <= max_bytes
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows, so it stays cheap even
-    when the answer is no.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows (incremental probe,
+    cheap even when the answer is no)."""
+    return _rows_up_to(df, max_rows) <= max_rows
 
 
 def join_small(

@@ -70,3 +70,11 @@ def test_broadcast_bound_counts_bytes(spark):
     assert not fits_broadcast(wide, max_rows=100, max_bytes=10_000)  # few rows, too many bytes
     assert not fits_broadcast(wide, max_rows=10, max_bytes=10**6)
     assert measure(wide.limit(0), 10) == (0, 0)
+
+
+def test_bound_probe_on_large_side_reads_few_partitions(spark):
+    big = spark.range(0, 2_000_000, numPartitions=200)
+    rows, size = measure(big, 1000)
+    assert rows == 1001 and size is None  # no byte pass over a side that is too large
+    assert not fits_broadcast(big, max_rows=1000)
+    assert has_at_most(big.limit(7), 7) and not has_at_most(big.limit(8), 7)
