@@ -57,9 +57,12 @@ def nest_children(
     ``max_children`` -- at most ``rows / max_children`` of them -- are
     joined back (broadcast only when proven small); their children are
     spread over ``ceil(n / max_children)`` parts by a hash of ``salt``.
-    Every other parent is one part, 0.
+    Every other parent is one part, 0. Children with a null parent key
+    can attach to no parent (an equi-join never matches null), so they are
+    dropped here rather than gathered into one null-key row.
     """
     checkpoint_root(rows.sparkSession)
+    rows = rows.filter(F.col(parent).isNotNull())
     # Checkpointed (to the shared checkpoint folder): the size proof and the
     # broadcast then read this small result instead of each re-running the
     # count over every child row.

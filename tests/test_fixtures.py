@@ -59,3 +59,9 @@ def test_left_join_hot_right_equals_left_join(spark):
     assert sorted(want.columns) == sorted(got.columns)
     cols = sorted(want.columns)
     assert sorted(want.select(cols).collect(), key=repr) == sorted(got.select(cols).collect(), key=repr)
+
+
+def test_nest_children_drops_orphans(spark):
+    rows = spark.createDataFrame([(None, 1), (None, 2), (5, 3)], "p long, c long")
+    got = [(r.p, sorted(r.kids)) for r in FX.nest_children(rows, "p", ["c"], F.col("c"), "kids", 10).collect()]
+    assert got == [(5, [3])]
