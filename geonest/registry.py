@@ -146,7 +146,10 @@ def _elt_combined(spark, sf) -> str:
     """The combined (states_cities, outer explode) ELT run once per
     process; returns the database holding its ``states`` and ``cities``."""
     key = ("elt_combined", sf)
-    if key not in FX._materialised:
+    # The cached name is only good while this session's catalog still has
+    # the tables (a new session starts with an empty session catalog).
+    cached = FX._materialised.get(key)
+    if cached is None or not all(spark.catalog.tableExists(f"{cached}.{t}") for t in ("states", "cities")):
         docs_path = new_scratch_dir(spark, "preprocessed")
         FX.location_docs(spark, sf).write.mode("overwrite").parquet(docs_path)
         db = f"{SCRATCH_DB}_{docs_path.rsplit('-', 1)[-1]}"
