@@ -65,6 +65,55 @@ def summarise(plan: str) -> dict:
     }
 
 
+def final_nodes(plan: str) -> list[str]:
+    """Operator names of the final plan tree, top-down (adaptive wrappers
+    and stage markers left out); an exchange shows its kind."""
+    tree = plan.split("\n\n\n")[0]
+    m = re.search(r"== Final Plan ==\n(.*?)\n\+- == Initial Plan ==", tree, re.S)
+    details = {
+        b.group(1): b.group(0) for b in re.finditer(r"^\((\d+)\) \w+.*?(?=^\(\d+\) |\Z)", plan, re.S | re.M)
+    }
+    skip = {"AdaptiveSparkPlan", "ResultQueryStage", "ShuffleQueryStage", "AQEShuffleRead", "ColumnarToRow"}
+    out = []
+    for line in (m.group(1) if m else tree).splitlines():
+        n = re.search(r"(?:\+- |^\s*)(?:\* )?(\w+)[^(]*\((\d+)\)", line)
+        if not n or n.group(1) in skip:
+            continue
+        name, block = n.group(1), details.get(n.group(2), "")
+        if name == "Exchange":
+            kind = "rebalance" if "REBALANCE_PARTITIONS_BY_COL" in block else (
+                "single" if "SinglePartition" in block else "hash")
+            name = f"Exchange[{kind}]"
+        out.append(name)
+    return out
+
+
+def write_frames(spark, sf: str):
+    """(label, frame) for the frames the location and news sinks write."""
+    from geonest import fixtures as FX
+    from geonest import schemas as S
+    from geonest.operators.enrich import transform_countries
+    from geonest.operators.flatten import flatten_cities, flatten_states
+    from geonest.plans.news import NEWS_PARTITIONS, news_articles
+    from geonest.registry import RUN_TS, _landed
+    from geonest.sinks.files import cluster_by, guard_partition_values
+    from geonest.sources.news import read_response_log
+
+    def sink(df, parts):
+        return cluster_by(guard_partition_values(df, parts), parts)
+
+    docs = FX.location_docs(spark, sf)
+    yield "countries by `country_code`", sink(
+        transform_countries(docs, FX.population_frame(spark, sf), RUN_TS), S.PARTITIONING["countries"]
+    )
+    yield "states by `country_code, state_code`", sink(flatten_states(docs, True, RUN_TS), S.PARTITIONING["states"])
+    yield "cities by `country_code, state_code`", sink(
+        flatten_cities(docs, True, RUN_TS), S.PARTITIONING["cities_combined"]
+    )
+    articles, _ = news_articles(read_response_log(spark, _landed(spark, sf)))
+    yield "news articles by `date, country, topic`", sink(articles, NEWS_PARTITIONS)
+
+
 def short(s: str, n: int = 400) -> str:
     s = re.sub(r"#\d+", "", s)
     return s if len(s) <= n else s[: n - 1] + "…"
@@ -104,6 +153,14 @@ def main() -> None:
             if sc["partition"]:
                 details.append(f"  - PartitionFilters `{short(sc['partition'])}`")
         details.append("")
+    lines += ["", "## Write plans", "",
+              "The frames the sinks write, run once through the `noop` sink. `rebalance` on the partition columns "
+              "clusters rows so each task writes few folders; AQE splits a hot partition value.", "",
+              "| Written frame | Plan (final, top-down) |", "| --- | --- |"]
+    for label, frame in write_frames(spark, sf):
+        frame.write.format("noop").mode("overwrite").save()
+        nodes = final_nodes(plan_text(frame, "formatted"))
+        lines.append(f"| {label} | {' → '.join(nodes)} |")
     lines += ["", "## Scans per query", ""] + details
     with open(out, "w") as f:
         f.write("\n".join(lines) + "\n")
