@@ -104,8 +104,22 @@ def q_top10(spark, sf):
     return comparable(top_n(written, 10, ["country_id"]))
 
 
+def _raw_json(spark, sf) -> tuple[str, str]:
+    """The raw multi-line JSON landings (location documents, population),
+    written once per process: input data, like the nested fixture."""
+    key = ("raw-json", sf)
+    if key not in FX._materialised:
+        FX._materialised[key] = (
+            FX.write_multiline_json(FX.location_docs(spark, sf), new_scratch_dir(spark, "raw-locations")),
+            FX.write_multiline_json(
+                FX.population_frame(spark, sf), new_scratch_dir(spark, "raw-population"), key="Alpha_3"
+            ),
+        )
+    return FX._materialised[key]
+
+
 def q_json_to_parquet(spark, sf):
-    raw = FX.write_multiline_json(FX.location_docs(spark, sf), new_scratch_dir(spark, "raw-locations"))
+    raw = _raw_json(spark, sf)[0]
     out = new_scratch_dir(spark, "preprocessed-locations")
     convert_json_to_parquet(spark, raw, out, S.COUNTRY)
     docs = spark.read.schema(S.COUNTRY).parquet(out)
@@ -189,10 +203,7 @@ def q_country_codes(spark, sf):
 
 
 def q_location_pipeline(spark, sf):
-    raw_loc = FX.write_multiline_json(FX.location_docs(spark, sf), new_scratch_dir(spark, "raw-locations"))
-    raw_pop = FX.write_multiline_json(
-        FX.population_frame(spark, sf), new_scratch_dir(spark, "raw-population"), key="Alpha_3"
-    )
+    raw_loc, raw_pop = _raw_json(spark, sf)
     work = new_scratch_dir(spark, "pipeline")
     db = f"{SCRATCH_DB}_{work.rsplit('-', 1)[-1]}"
     return run_location_pipeline(spark, raw_loc, raw_pop, work, database=db, run_ts=RUN_TS)
