@@ -89,14 +89,25 @@ def write_table(
             w = w.partitionedBy(*[col(c) for c in partition_by])
         w.createOrReplace()
         return name
-    w = df.write.mode("overwrite").format(fmt)
-    if path:
-        w = w.option("path", path)
-    for k, v in (table_properties or {}).items():
-        w = w.option(k, v)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.saveAsTable(name)
+    def writer(frame):
+        w = frame.write.mode("overwrite").format(fmt)
+        if path:
+            w = w.option("path", path)
+        for k, v in (table_properties or {}).items():
+            w = w.option(k, v)
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        return w
+
+    if not partition_by:
+        writer(df).saveAsTable(name)
+        return name
+    # Partitioned: replace the table with an empty one, then insert. The
+    # insert registers exactly the partitions its write job produced; a
+    # create-as-select would instead rediscover them by listing the whole
+    # table folder afterwards (costly at many thousands of partitions).
+    writer(df.limit(0)).saveAsTable(name)
+    df.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
     return name
 
 

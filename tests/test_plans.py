@@ -74,3 +74,14 @@ def test_shuffle_partitions_sized_by_volume(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+
+
+def test_full_replace_registers_only_new_partitions(spark, tmp_dir):
+    df = spark.createDataFrame([(1, "X"), (2, "Y")], "id long, p string")
+    write_table(df, "t_full", "geonest_test", path=f"{tmp_dir}/full", partition_by=["p"])
+    upd = spark.createDataFrame([(3, "Z"), (4, "Z")], "id long, p string")
+    write_table(upd, "t_full", "geonest_test", path=f"{tmp_dir}/full", partition_by=["p"])
+    parts = [r[0] for r in spark.sql("SHOW PARTITIONS geonest_test.t_full").collect()]
+    assert parts == ["p=Z"]
+    assert sorted((r.id, r.p) for r in spark.table("geonest_test.t_full").collect()) == [(3, "Z"), (4, "Z")]
+    assert spark.table("geonest_test.t_full").columns == ["id", "p"]
