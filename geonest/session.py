@@ -76,10 +76,11 @@ def build_session(
     # Listing many paths (partition folders, files a stream picks up) runs
     # as a Spark job with one task per path, up to 10,000. A few tasks per
     # core, each listing a batch of paths, finish sooner than thousands of
-    # one-stat tasks. Kept when the user set it.
+    # one-stat tasks; never more than Spark's own cap. Kept when the user
+    # set it.
     key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
     if not spark.sparkContext.getConf().contains(key) and key not in (conf or {}):
-        spark.conf.set(key, str(max(32, 4 * spark.sparkContext.defaultParallelism)))
+        spark.conf.set(key, str(min(10_000, max(32, 4 * spark.sparkContext.defaultParallelism))))
     return spark
 
 
