@@ -173,6 +173,7 @@ ORACLE_SQL = {
     "top10": f"SELECT * FROM ({COUNTRIES}) c ORDER BY country_id LIMIT 10",
     "json_to_parquet": cities_sql(True),
     "table_replace_roundtrip": cities_sql(True),
+    "elt_countries": COUNTRIES,
     "elt_states": states_sql(False),
     "elt_cities": cities_sql(False),
     "sql_states_filter": f"SELECT * FROM ({states_sql(True)}) s WHERE state_name = '1-URGENT'",

@@ -139,14 +139,24 @@ def q_table_replace_roundtrip(spark, sf):
 
 def _elt_single(spark, sf, dataset: str, table: str) -> DataFrame:
     """The single-dataset ELT path: convert nothing, read the preprocessed
-    documents, transform with inner explode, replace the table, read back."""
+    documents (and population), transform (inner explode for states and
+    cities), replace the table, read back."""
     docs_path = new_scratch_dir(spark, "preprocessed")
     FX.location_docs(spark, sf).write.mode("overwrite").parquet(docs_path)
+    pop_path = None
+    if dataset == "countries":
+        pop_path = new_scratch_dir(spark, "preprocessed-population")
+        FX.population_frame(spark, sf).write.mode("overwrite").parquet(pop_path)
     db = f"{SCRATCH_DB}_{docs_path.rsplit('-', 1)[-1]}"
-    run_elt(spark, dataset, docs_path, location=new_scratch_dir(spark, "tables"), database=db, run_ts=RUN_TS)
+    run_elt(spark, dataset, docs_path, pop_path, location=new_scratch_dir(spark, "tables"), database=db, run_ts=RUN_TS)
     return comparable(read_contract(spark.table(f"{db}.{table}"), S.CONTRACTS[table]))
 
 
+def q_elt_countries(spark, sf):
+    # partitioned by country_code; population joined from its Parquet
+    return _elt_single(spark, sf, "countries", "countries")
+
+
 def q_elt_states(spark, sf):
     return _elt_single(spark, sf, "states", "states")
 
@@ -337,6 +347,7 @@ QUERIES = {
     "top10": q_top10,
     "json_to_parquet": q_json_to_parquet,
     "table_replace_roundtrip": q_table_replace_roundtrip,
+    "elt_countries": q_elt_countries,
     "elt_states": q_elt_states,
     "elt_cities": q_elt_cities,
     "sql_states_filter": q_sql_states_filter,
