@@ -46,3 +46,17 @@ def test_news_load_and_stream_once(spark, tmp_dir):
             "--landing_kind", "files", "--once"]
     assert main(args, spark=spark) == 0 and main(args, spark=spark) == 0
     assert spark.read.parquet(f"{tmp_dir}/t2").count() == 1
+
+
+def test_pipeline_command(spark, tmp_dir, capsys):
+    raw_loc, raw_pop = f"{tmp_dir}/raw_loc", f"{tmp_dir}/raw_pop"
+    write_doc_file(raw_loc, [DOC, {**DOC, "id": 2, "iso3": "GHA", "states": []}])
+    os.makedirs(raw_pop.replace("file:", ""), exist_ok=True)
+    with open(os.path.join(raw_pop.replace("file:", ""), "pop.json"), "w") as f:
+        json.dump([{"Alpha_2": "NG", "Alpha_3": "NGA", "Population": 5}], f)
+    args = ["pipeline", "--raw_locations", raw_loc, "--raw_population", raw_pop,
+            "--work_dir", f"{tmp_dir}/work", "--database", "geonest_cli_pipe"]
+    assert main(args, spark=spark) == 0
+    got = {(r.country_code, r.population) for r in spark.table("geonest_cli_pipe.countries").collect()}
+    assert got == {("NGA", 5), ("GHA", None)}
+    assert spark.table("geonest_cli_pipe.cities").count() == 2

@@ -63,3 +63,18 @@ def test_stream_over_file_landing(spark, tmp_dir):
     back = spark.read.parquet(table)
     assert back.count() == 5
     assert {(r.country, r.topic) for r in back.select("country", "topic").distinct().collect()} == {("NG", "tech"), ("US", "news")}
+
+
+def test_backlog_in_several_micro_batches(spark, tmp_dir):
+    from geonest.streaming.news_stream import start_news_stream
+
+    landing, table, ckpt = f"{tmp_dir}/files", f"{tmp_dir}/table", f"{tmp_dir}/ckpt"
+    for i in range(5):
+        body = json.dumps({"status": "ok", "articles": [{"id": 10 * i + j, "text": "x", "n_chars": 1} for j in range(2)]})
+        _land_file(landing, "NG", f"t{i}", "r.json", body)
+    q = start_news_stream(spark, landing, table, ckpt, available_now=True, max_files_per_trigger=2,
+                          landing="files", run_ts="2024-03-04 00:00:00")
+    q.awaitTermination()
+    batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
+    assert len(batches) == 3  # 2 + 2 + 1 files
+    assert sorted(r.id for r in spark.read.parquet(table).collect()) == sorted(10 * i + j for i in range(5) for j in range(2))
