@@ -47,16 +47,24 @@ MAX_CHILDREN = 20_000
 
 
 def nest_children(
-    rows: DataFrame, parent: str, salt: list[str], child: Column, name: str, max_children: int = MAX_CHILDREN
+    rows: DataFrame,
+    parent: str,
+    salt: list[str],
+    child: Column,
+    name: str,
+    max_children: int = MAX_CHILDREN,
+    weight: Column | None = None,
 ) -> DataFrame:
     """``(parent, _part, name)``: the ``child`` structs of each parent value
     collected into an array, one row per part.
 
     Parents are counted first (partial counts per task, so a hot parent
-    costs one row per task in the shuffle). Only parents above
-    ``max_children`` -- at most ``rows / max_children`` of them -- are
-    joined back (broadcast only when proven small); their children are
-    spread over ``ceil(n / max_children)`` parts by a hash of ``salt``.
+    costs one row per task in the shuffle). With ``weight`` a child counts
+    that much (e.g. the leaves nested inside it), so the bound is on
+    leaves, not entries. Only parents above ``max_children`` -- at most
+    ``total / max_children`` of them -- are joined back (broadcast only
+    when proven small); their children are spread over
+    ``ceil(total / max_children)`` parts by a hash of ``salt``.
     Every other parent is one part, 0. Children with a null parent key
     can attach to no parent (an equi-join never matches null), so they are
     dropped here rather than gathered into one null-key row.
@@ -68,7 +76,7 @@ def nest_children(
     # count over every child row.
     hot = (
         rows.groupBy(parent)
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.sum(F.lit(1) if weight is None else weight).alias("_n"))
         .filter(F.col("_n") > max_children)
         .select(F.col(parent).alias("_hot"), F.ceil(F.col("_n") / max_children).alias("_parts"))
         .checkpoint()
@@ -115,7 +123,10 @@ def states_by_customer(spark: SparkSession, sf_dir: str, max_children: int = MAX
         .alias("longitude"),
         F.col("cities"),
     )
-    return nest_children(o, "o_custkey", ["o_orderkey", "_city_part"], state, "states", max_children)
+    # Weighted by cities, so a document is bounded in cities, not only in
+    # state entries (an entry without cities weighs 1).
+    cities_n = F.greatest(F.coalesce(F.size("cities"), F.lit(0)), F.lit(1))
+    return nest_children(o, "o_custkey", ["o_orderkey", "_city_part"], state, "states", max_children, cities_n)
 
 
 def location_docs_frame(spark: SparkSession, sf_dir: str, max_children: int = MAX_CHILDREN) -> DataFrame:

@@ -65,3 +65,12 @@ def test_nest_children_drops_orphans(spark):
     rows = spark.createDataFrame([(None, 1), (None, 2), (5, 3)], "p long, c long")
     got = [(r.p, sorted(r.kids)) for r in FX.nest_children(rows, "p", ["c"], F.col("c"), "kids", 10).collect()]
     assert got == [(5, [3])]
+
+
+def test_nest_children_bounds_by_weight(spark):
+    # parent 1: three children of weight 5 each -> 15 > 6, split into <= 3 parts
+    rows = spark.createDataFrame([(1, i, 5) for i in range(3)] + [(2, 0, 5)], "p long, c long, w long")
+    nested = FX.nest_children(rows, "p", ["c"], F.col("c"), "kids", max_children=6, weight=F.col("w")).collect()
+    parts1 = [r for r in nested if r.p == 1]
+    assert 1 < len(parts1) <= 3 and sorted(c for r in parts1 for c in r.kids) == [0, 1, 2]
+    assert [(r._part, r.kids) for r in nested if r.p == 2] == [(0, [0])]  # 5 <= 6: one part
