@@ -55,8 +55,11 @@ def nest_children(
     max_children: int = MAX_CHILDREN,
     weight: Column | None = None,
 ) -> DataFrame:
-    """``(parent, _part, name)``: the ``child`` structs of each parent value
-    collected into an array, one row per part.
+    """``(parent, _part, name, _size)``: the ``child`` structs of each
+    parent value collected into an array, one row per part, with the
+    number of children (a plain count: a consumer that only needs sizes
+    reads it without the arrays being built, as Catalyst prunes the unused
+    collect from the aggregate).
 
     Parents are counted first (partial counts per task, so a hot parent
     costs one row per task in the shuffle). With ``weight`` a child counts
@@ -85,7 +88,9 @@ def nest_children(
     part = F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(
         F.pmod(F.xxhash64(*[F.col(c) for c in salt]), F.col("_parts"))
     )
-    return tagged.groupBy(F.col(parent), part.alias("_part")).agg(F.collect_list(child).alias(name))
+    return tagged.groupBy(F.col(parent), part.alias("_part")).agg(
+        F.collect_list(child).alias(name), F.count(F.lit(1)).alias("_size")
+    )
 
 
 def cities_by_order(spark: SparkSession, sf_dir: str, max_children: int = MAX_CHILDREN) -> DataFrame:
@@ -102,9 +107,8 @@ def cities_by_order(spark: SparkSession, sf_dir: str, max_children: int = MAX_CH
         latitude.alias("latitude"),
         _money_text(-F.col("l_extendedprice")).alias("longitude"),
     )
-    return nest_children(li, "l_orderkey", ["l_linenumber"], city, "cities", max_children).withColumnRenamed(
-        "_part", "_city_part"
-    )
+    nested = nest_children(li, "l_orderkey", ["l_linenumber"], city, "cities", max_children)
+    return nested.withColumnRenamed("_part", "_city_part").withColumnRenamed("_size", "_city_n")
 
 
 def states_by_customer(spark: SparkSession, sf_dir: str, max_children: int = MAX_CHILDREN) -> DataFrame:
@@ -124,8 +128,9 @@ def states_by_customer(spark: SparkSession, sf_dir: str, max_children: int = MAX
         F.col("cities"),
     )
     # Weighted by cities, so a document is bounded in cities, not only in
-    # state entries (an entry without cities weighs 1).
-    cities_n = F.greatest(F.coalesce(F.size("cities"), F.lit(0)), F.lit(1))
+    # state entries (an entry without cities weighs 1). The weight is the
+    # count kept next to each city array, so weighing builds no arrays.
+    cities_n = F.greatest(F.coalesce(F.col("_city_n"), F.lit(0)), F.lit(1))
     return nest_children(o, "o_custkey", ["o_orderkey", "_city_part"], state, "states", max_children, cities_n)
 
 
