@@ -138,3 +138,25 @@ def test_load_news_from_files(spark, tmp_dir):
     back = spark.read.parquet(f"{tmp_dir}/news2").collect()
     assert [(r.id, r.call_timestamp, str(r.date)) for r in back] == [(7, "2024-02-03T04:05:06.000000Z", "2024-02-03")]
     assert [r.response_class for r in rejects.collect()] == ["malformed"]
+
+
+def test_hot_partition_value_is_split_over_tasks(spark, tmp_dir):
+    # 90% of the rows share one folder key; AQE splits that rebalance
+    # partition into several tasks (several files), cold keys stay one file.
+    df = spark.range(200_000).select(
+        "id", F.when(F.col("id") % 10 == 0, F.col("id") % 3).otherwise(F.lit(99)).cast("string").alias("k"),
+        F.repeat(F.lit("x"), 20).alias("pad"),
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "256k")
+    try:
+        append_partitioned(df, f"{tmp_dir}/skew", ["k"])
+    finally:
+        spark.conf.set(key, before)
+    base = _local(f"{tmp_dir}/skew")
+    files = {d: len([f for f in os.listdir(os.path.join(base, d)) if f.endswith(".parquet")])
+             for d in os.listdir(base) if d.startswith("k=")}
+    assert files["k=99"] > 1
+    assert all(n == 1 for d, n in files.items() if d != "k=99")
+    assert spark.read.parquet(base).count() == 200_000
