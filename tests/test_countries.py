@@ -78,3 +78,43 @@ def test_bound_probe_on_large_side_reads_few_partitions(spark):
     assert rows == 1001 and size is None  # no byte pass over a side that is too large
     assert not fits_broadcast(big, max_rows=1000)
     assert has_at_most(big.limit(7), 7) and not has_at_most(big.limit(8), 7)
+
+
+def test_unbroadcast_join_splits_a_hot_country(spark):
+    from pyspark.sql import functions as F
+
+    # a third of the documents share one code; population too big to broadcast (max_rows=10)
+    docs_df = spark.range(60_000).select(
+        F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("name"),  # incompressible payload
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("C"), (F.col("id") % 500).cast("string"))).alias("iso3"),
+        *[F.lit(None).cast("string").alias(c) for c in
+          ["capital", "currency", "currency_name", "currency_symbol", "region", "subregion", "phone_code", "emoji"]],
+        F.lit("1.5").alias("latitude"), F.lit("2.5").alias("longitude"),
+    ).repartition(8)
+    pop_df = spark.range(500).select(
+        F.lit("x").alias("Alpha_2"), F.concat(F.lit("C"), F.col("id").cast("string")).alias("Alpha_3"),
+        F.col("id").alias("Population"),
+    ).union(spark.createDataFrame([("h", "HOT", 7)], "Alpha_2 string, Alpha_3 string, Population long"))
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = transform_countries(docs_df, pop_df, run_ts="2024-01-01 00:00:00", broadcast_max_rows=10)
+        out = out.select("country_id", "country_name", "country_code", "population")
+        rows = out.collect()
+        plan = plan_text(out)  # the final adaptive plan of the run above
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(rows) == 60_000
+    assert sum(1 for r in rows if r.country_code == "HOT" and r.population == 7) == 20_000
+    # AQE split the hot key's partition of the document side over several tasks
+    assert "SortMergeJoin(skew=true)" in plan and "Arguments: skewed" in plan
