@@ -74,3 +74,35 @@ def test_nest_children_bounds_by_weight(spark):
     parts1 = [r for r in nested if r.p == 1]
     assert 1 < len(parts1) <= 3 and sorted(c for r in parts1 for c in r.kids) == [0, 1, 2]
     assert [(r._part, r.kids) for r in nested if r.p == 2] == [(0, [0])]  # 5 <= 6: one part
+
+
+def test_left_join_hot_right_splits_a_hot_parent(spark):
+    from geonest.operators.joins import left_join_hot_right
+    from geonest.plans.explain import plan_text
+
+    parents = spark.range(1000).select(F.col("id").alias("k"), F.lit("p").alias("pv"))
+    children = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000).alias("ck"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"),  # incompressible
+    ).repartition(8)
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = left_join_hot_right(parents, children, "k", "ck").select("k", "payload")
+        rows = out.collect()
+        plan = plan_text(out)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(rows) == 60_000  # every child matches a parent
+    assert sum(1 for r in rows if r.k == 7) == sum(1 for i in range(60_000) if (7 if i % 3 == 0 else i % 1000) == 7)
+    assert "SortMergeJoin(skew=true)" in plan  # the hot parent's children are split over tasks
