@@ -78,3 +78,25 @@ def test_backlog_in_several_micro_batches(spark, tmp_dir):
     batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
     assert len(batches) == 3  # 2 + 2 + 1 files
     assert sorted(r.id for r in spark.read.parquet(table).collect()) == sorted(10 * i + j for i in range(5) for j in range(2))
+
+
+def test_salted_stream_spreads_a_hot_folder(spark, tmp_dir):
+    import glob
+
+    from geonest.streaming.news_stream import start_news_stream
+
+    landing = f"{tmp_dir}/files"
+    for i in range(12):  # one hot folder (NG/tech), twelve landed files
+        body = json.dumps({"status": "ok", "articles": [{"id": 100 * i + j, "text": "x", "n_chars": 1} for j in range(3)]})
+        _land_file(landing, "NG", "tech", f"r{i}.json", body)
+    out = {}
+    for salt in (1, 4):
+        table, ckpt = f"{tmp_dir}/t{salt}", f"{tmp_dir}/c{salt}"
+        q = start_news_stream(spark, landing, table, ckpt, landing="files", run_ts="2024-03-04 00:00:00", salt=salt)
+        q.awaitTermination()
+        out[salt] = (
+            sorted(r.id for r in spark.read.parquet(table).collect()),
+            len(glob.glob(f"{table.replace('file:', '')}/date=*/country=NG/topic=tech/*.parquet")),
+        )
+    assert out[1][0] == out[4][0] == sorted(100 * i + j for i in range(12) for j in range(3))
+    assert out[1][1] == 1 and 1 < out[4][1] <= 4
