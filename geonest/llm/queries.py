@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geonest.llm.common import table
+from geonest.llm.ctw import score_documents
 from geonest.llm.hd_language import identify_languages
 from geonest.llm.line_dedup import dedup_lines
 from geonest.llm.packing import pack_documents
@@ -24,6 +25,10 @@ URL_RULES = [
 ]
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -52,6 +57,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op2_lm_scoring": op2_lm_scoring,
     "op4_toxicity": op4_toxicity,
     "op5_url_filter": op5_url_filter,
     "op7_line_dedup": op7_line_dedup,
