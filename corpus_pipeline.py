@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geonest.llm.common import table, write_table
+from geonest.llm.decontaminate import drop_contaminated
 from geonest.llm.hd_language import UNKNOWN, identify_languages
+from geonest.llm.jaccard_join import jaccard_components
 from geonest.llm.line_dedup import dedup_lines
 from geonest.llm.packing import pack_documents
 
@@ -22,18 +24,35 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a recognised language (null text, no letter);
-    ``lang`` becomes the predicted language."""
-    found = identify_languages(docs).where(F.col("lang_pred") != UNKNOWN).select("doc_id", F.col("lang_pred").alias("lang"))
-    return docs.drop("lang").join(found, "doc_id").select(*COLUMNS)
+    """Drops documents without a language (null text, or no letter); ``lang``
+    becomes the predicted one."""
+    found = identify_languages(docs, keep=("text", "source", "n_chars"))
+    return found.where(F.col("lang_pred") != UNKNOWN).withColumnRenamed("lang_pred", "lang").select(*COLUMNS)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops lines that many documents share; ``n_chars`` is counted anew. A
-    document that had nothing else goes."""
-    kept = dedup_lines(docs).select("doc_id", "text")
-    rest = docs.select("doc_id", "lang", "source")
-    return kept.where(F.trim("text") != "").join(rest, "doc_id").withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
+    """Drops lines that many documents share, and documents that lose all
+    their lines; ``n_chars`` is counted anew."""
+    kept = dedup_lines(docs, keep=("lang", "source"))
+    return kept.where("n_dropped < n_lines").withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of near
+    duplicates. Rows that repeat an id are one document, of which the row
+    with the smallest text stays; rows without an id all stay."""
+    first = jaccard_components(docs).where("doc_id = component_id").select("doc_id").distinct()
+    rest = [c for c in COLUMNS if c != "doc_id"]
+    one = (
+        docs.select(*COLUMNS).join(first, "doc_id", "left_semi")
+        .groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("row")).select("doc_id", *(f"row.{c}" for c in rest))
+    )
+    return one.union(docs.select(*COLUMNS).where("doc_id is null"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that give a benchmark item away."""
+    return drop_contaminated(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,6 +63,8 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language ID", language),
     ("line dedup", lines),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontamination),
     ("best-fit packing", packing),
 ]
 

@@ -166,23 +166,19 @@ def _predict(prototypes: dict[str, np.ndarray], dim: int, n: int):
                 else:
                     best, top = np.zeros(len(texts), int), np.zeros(len(texts))
                 known = (norm > 0) & bool(names)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        pa.array([names[k] if ok else UNKNOWN for k, ok in zip(best, known, strict=True)], pa.string()),
-                        pa.array(np.where(known, top, 0.0).astype(float)),
-                    ],
-                    ["doc_id", "lang_pred", "score"],
-                )
+                found = pa.array([names[k] if ok else UNKNOWN for k, ok in zip(best, known, strict=True)], pa.string())
+                score = pa.array(np.where(known, top, 0.0).astype(float))
+                rest = part.columns[2:]
+                yield pa.RecordBatch.from_arrays([part.column(0), *rest, found, score], names=["doc_id", *part.schema.names[2:], "lang_pred", "score"])
 
     return run
 
 
-def predict_language(docs: DataFrame, prototypes: dict[str, np.ndarray], n: int = N) -> DataFrame:
+def predict_language(docs: DataFrame, prototypes: dict[str, np.ndarray], n: int = N, keep: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id``, ``lang_pred`` and ``score`` (the cosine with that
     language's prototype, 0 to 1) for every row of ``docs`` (``doc_id``,
-    ``text``). Whole texts are read; only letters (any script, lower-cased)
-    and word breaks count.
+    ``text``), and its columns named in ``keep`` as they are. Whole texts are
+    read; only letters (any script, lower-cased) and word breaks count.
 
     Defined cases: ``und`` with score 0 for a null text, one without a
     letter, or when no language was learned; ties go to the language that
@@ -190,16 +186,17 @@ def predict_language(docs: DataFrame, prototypes: dict[str, np.ndarray], n: int
     empty table gives no rows; other columns are ignored.
     """
     dim = len(next(iter(prototypes.values()))) if prototypes else DIM
-    d = pick(docs, doc_id="doc_id:bigint", text="text:string")
-    return d.mapInArrow(_predict(prototypes, dim, n), "doc_id bigint, lang_pred string, score double")
+    d = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].cast("string").alias("_read_text"), *(docs[c] for c in keep))
+    kept = "".join(f"{c} {docs.schema[c].dataType.simpleString()}, " for c in keep)
+    return d.mapInArrow(_predict(prototypes, dim, n), f"doc_id bigint, {kept}lang_pred string, score double")
 
 
-def identify_languages(docs: DataFrame, modulus: int = 4, held_out: int = 2, dim: int = DIM, n: int = N) -> DataFrame:
+def identify_languages(docs: DataFrame, modulus: int = 4, held_out: int = 2, dim: int = DIM, n: int = N, keep: tuple[str, ...] = ()) -> DataFrame:
     """Learn from the documents whose crc32(doc_id) modulo ``modulus`` is not
     ``held_out`` (a row without an id teaches nothing), then predict all:
     adds ``held_out`` (false without an id)."""
     d = pick(docs, doc_id="doc_id:bigint", text="text:string", lang="lang:string")
     prototypes = learn_prototypes(d.where(id_remainder("doc_id", modulus) != held_out), dim, n)
-    out = predict_language(d, prototypes, n)
+    out = predict_language(docs, prototypes, n, keep)
     is_held = F.coalesce(id_remainder("doc_id", modulus) == held_out, F.lit(False))
-    return out.select("doc_id", is_held.alias("held_out"), "lang_pred", "score")
+    return out.select("doc_id", is_held.alias("held_out"), "lang_pred", "score", *keep)

@@ -64,16 +64,17 @@ def _rebuild(min_chars: int):
                 n_dropped.append(len(lines) - len(kept))
                 texts.append(b"\n".join(kept).decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(texts, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())],
-                ["doc_id", "text", "n_lines", "n_dropped"],
+                [b.column(0), pa.array(texts, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), *b.columns[3:]],
+                names=["doc_id", "text", "n_lines", "n_dropped", *b.schema.names[3:]],
             )
 
     return run
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, keep: tuple[str, ...] = ()) -> DataFrame:
     r"""``doc_id``, the kept ``text``, ``n_lines`` (before) and ``n_dropped``
-    for every row of ``docs`` (``doc_id``, ``text``).
+    for every row of ``docs`` (``doc_id``, ``text``), and its columns named in
+    ``keep`` as they are.
 
     A line's key is the line without outer ``[\x20\x09-\x0D]``, A-Z lowered.
     Keys of at least ``min_chars`` code points held by at least ``min_docs``
@@ -106,8 +107,10 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
         .groupBy("doc_id")
         .agg(F.collect_set("line_hash").alias("drop"))
     )
+    whole = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), text_bytes(docs["text"].cast("string")).alias("text"), *(docs[c] for c in keep))
+    kept = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in keep)
     return (
-        d.join(drops, "doc_id", "left")
-        .select("doc_id", "text", "drop")
-        .mapInArrow(_rebuild(min_chars), "doc_id bigint, text string, n_lines bigint, n_dropped bigint")
+        whole.join(drops, "doc_id", "left")
+        .select("doc_id", "text", "drop", *keep)
+        .mapInArrow(_rebuild(min_chars), "doc_id bigint, text string, n_lines bigint, n_dropped bigint" + kept)
     )

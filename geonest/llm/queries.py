@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 
 from geonest.llm.common import table
 from geonest.llm.ctw import score_documents
+from geonest.llm.decontaminate import contaminated
 from geonest.llm.hd_language import identify_languages
+from geonest.llm.jaccard_join import jaccard_components
 from geonest.llm.line_dedup import dedup_lines
 from geonest.llm.packing import pack_documents
+from geonest.llm.topk import search_embeddings
 from geonest.llm.toxicity import classify_toxicity
 from geonest.llm.url_filter import judge_urls
 from geonest.llm.warc import archive_pages
@@ -25,10 +28,18 @@ URL_RULES = [
 ]
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -38,6 +49,10 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -57,9 +72,12 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op2_lm_scoring": op2_lm_scoring,
+    "op3_exact_top_k": op3_exact_top_k,
     "op4_toxicity": op4_toxicity,
     "op5_url_filter": op5_url_filter,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_line_dedup": op7_line_dedup,
     "op8_language_id": op8_language_id,
     "op9_warc": op9_warc,
@@ -70,6 +88,20 @@ _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 LLM_ORACLE_SQL = {
+    "op3_exact_top_k": """
+WITH v AS (
+  SELECT vec_id, min([CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding]) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+  GROUP BY vec_id
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum([q.v[i] * c.v[i] for i in range(1, least(len(q.v), len(c.v)) + 1)]) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
+)
+SELECT * FROM ranked WHERE rank <= 5
+""",
     "op5_url_filter": f"""
 WITH rest AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substring(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages
@@ -85,6 +117,26 @@ WITH rest AS (
   GROUP BY page_id
 )
 SELECT s.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM split s LEFT JOIN fits f ON s.page_id = f.page_id
+""",
+    "op6_jaccard_join": f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, [w for w in string_split_regex(translate(coalesce(text, ''), {_LOWER}), '[\\x20\\x09-\\x0D]+') if w <> ''] AS ws FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [ws] ELSE [ws[i:i + 4] for i in range(1, len(ws) - 3)] END) AS s FROM docs
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n
+  HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))
+), reach(a, b) AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT d.doc_id, coalesce(any_value(z.n), 0) AS n_shingles, least(d.doc_id, coalesce(min(r.b), d.doc_id)) AS component_id
+FROM docs d LEFT JOIN sizes z ON z.doc_id = d.doc_id LEFT JOIN reach r ON r.a = d.doc_id
+GROUP BY d.doc_id
 """,
     "op7_line_dedup": f"""
 WITH docs AS (
