@@ -35,6 +35,9 @@ WORD_CACHE = 700_000
 #: Rows that one salted rank group holds on average.
 RANK_ROWS = 500_000
 
+WORD_END = "</w>"
+#: Letters below this (Latin, Greek, Cyrillic) are letters to the vocabulary too.
+LAST_PLAIN = "\u0530"
 TAIL = b"!#$%&()*+,-./:;<=>?@[]^_{|}~\\\""
 _STATE: dict = {}
 
@@ -55,11 +58,31 @@ class WordEncoder:
 
         self.tok = Tokenizer.from_file(path)
         self.cache: dict[bytes, bytes] = {}
+        vocabulary = self.tok.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
 
     def _encode(self, words: list[bytes]) -> None:
-        got = self.tok.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        for w, e in zip(words, got, strict=True):
-            self.cache[w] = np.array(e.ids, "<u4").tobytes()
+        """Words of letters only are encoded as one text: each is one unit of
+        the vocabulary, whose last id, alone, ends a word. Others go one by one."""
+        plain, other = [], []
+        for w in words:
+            text = w.decode("utf-8", "replace")
+            (plain if text.isalpha() and max(text) < LAST_PLAIN else other).append((w, text))
+        if plain:
+            ids = np.array(self.tok.encode_batch_fast([" ".join(t for _, t in plain)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(cuts) == len(plain):
+                lo, data = 0, ids.tobytes()
+                for (w, _), hi in zip(plain, cuts, strict=True):
+                    self.cache[w] = data[4 * lo:4 * hi]
+                    lo = hi
+            else:
+                other += plain
+        if other:
+            got = self.tok.encode_batch_fast([t for _, t in other], add_special_tokens=False)
+            for (w, _), e in zip(other, got, strict=True):
+                self.cache[w] = np.array(e.ids, "<u4").tobytes()
 
     def learn(self, words: set[bytes]) -> None:
         cache = self.cache
