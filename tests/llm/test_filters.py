@@ -1,0 +1,223 @@
+"""Line dedup (7), URL filter (5), language ID (8), toxicity (4)."""
+
+import hashlib
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from geonest.llm.hd_language import Profiles, identify_languages, learn_prototypes, predict_language
+from geonest.llm.line_dedup import dedup_lines
+from geonest.llm.queries import URL_RULES
+from geonest.llm.toxicity import FEATURES, classify_toxicity, gram_buckets, log_count_ratios
+from geonest.llm.url_filter import bloom_blocks, judge_urls
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+SPACE = " \t\n\x0b\x0c\r"
+
+
+def documents(spark, rows):
+    return spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS)
+
+
+def lower(s):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in s)
+
+
+# --- line dedup ---------------------------------------------------------------
+
+
+def plain_dedup(rows, min_chars=20, min_docs=3):
+    held = defaultdict(set)
+    key = lambda line: lower(line.strip(SPACE))
+    for i, t in rows:
+        if i is not None:
+            for line in (t or "").split("\n"):
+                held[key(line)].add(i)
+    out = []
+    for i, t in rows:
+        ls = (t or "").split("\n")
+        kept = [x for x in ls if i is None or len(key(x)) < min_chars or len(held[key(x)]) < min_docs or i == max(held[key(x)])]
+        out.append((i, len(ls), len(ls) - len(kept), hashlib.sha256("\n".join(kept).encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def test_line_dedup_equals_brute_force(spark):
+    shared, other = "A line that many documents share", "ñandú ñandú ñandú ñandú"  # 23 code points
+    rows = [
+        (1, f"{shared}\nown one\n{shared}"), (2, f"  {shared.upper()}\t\nown two\n"), (3, f"own\n{shared}\r\nend"), (4, shared),
+        (5, f"{other}\nx"), (6, other), (7, f"short\n{other} "), (8, "short"), (9, "short"), (10, ""), (11, None), (12, "\n\n"),
+        (13, "x" * 300_000 + "\n" + "exactly twenty chars\n" * 3), (14, "exactly twenty chars"), (15, "exactly twenty chars"),
+        (16, "nineteen characters"), (17, "nineteen characters"), (18, "nineteen characters"),
+        (None, shared), (4, "repeated id\n" + other), (2, f"  {shared.upper()}\t\nown two\n"),
+    ]
+    got = dedup_lines(documents(spark, rows)).select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256)).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == plain_dedup(rows)
+    assert any(r["n_dropped"] for r in got)
+
+
+def test_line_dedup_empty_table_and_kept_columns(spark):
+    assert dedup_lines(documents(spark, [])).count() == 0
+    df = spark.createDataFrame([(1, "a", 7, "k"), (2, "b", 8, "l")], "doc_id long, text string, line_hash int, drop string")
+    got = dedup_lines(df.withColumnRenamed("drop", "kept"), keep=("line_hash", "kept")).orderBy("doc_id").collect()
+    assert [(r.doc_id, r.text, r.line_hash, r.kept) for r in got] == [(1, "a", 7, "k"), (2, "b", 8, "l")]
+
+
+# --- URL filter -----------------------------------------------------------------
+
+
+def plain_verdict(url, rules, default="allow"):
+    rest = url.split("://", 1)[1] if url and "://" in url else ""
+    host = rest
+    for c in "/?#":
+        host = host.split(c, 1)[0]
+    path = rest[len(host):].split("?", 1)[0].split("#", 1)[0]
+    host = lower(host)
+    fits = [(h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    best = max(fits, key=lambda f: len(f[0]), default=(None, default))
+    return host, path, *best
+
+
+URLS = [
+    "http://example.com/en/1", "https://www.example.com/en/2?x=/fr/", "http://WWW.Example.COM/en", "http://a.b.example.com/en/#x", "ftp://x.net/es/",
+    "http://x.net/fr", "http://x.net/fr/a", "net/fr/a", None, "", "://", "http://", "http://com", "http://com/", "http://xcom/", "http://example.com?/en/",
+    "http://example.org/en/", "http://net./fr/", "http://é.net/es/ñ", "a://b://c.com/d", "http://example.com:80/en/", "http://x.com/\n/y", "http://x.net/es/" + "z" * 100_000,
+    "http://" + "a." * 2000 + "com/q",
+]
+
+
+def test_url_filter_equals_brute_force(spark):
+    df = spark.createDataFrame([(i, u, "x") for i, u in enumerate(URLS)] + [(0, URLS[0], "y"), (None, URLS[4], "z")], "page_id long, url string, block string")
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    got = sorted((tuple(r) for r in judge_urls(df, rules).collect()), key=repr)
+    want = sorted(((r.page_id, *plain_verdict(r.url, URL_RULES)) for r in df.collect()), key=repr)
+    assert got == want
+    assert judge_urls(df.limit(0), rules).count() == 0
+
+
+def test_url_filter_rule_cases(spark):
+    df = spark.createDataFrame([(1, "http://a.b/x/y"), (2, "http://c/")], "page_id long, url string")
+    rules = [("a.b", "/x", "allow"), ("A.B", "/x", "block"), ("b", "/x/y", "allow"), (None, "/", "block"), ("", "/", "block"), ("c", None, "block")]
+    got = {r.page_id: (r.rule, r.verdict) for r in judge_urls(df, spark.createDataFrame(rules, "host string, path string, verdict string")).collect()}
+    # equal lengths: the longer host; twice the same rule: block; null path: any
+    assert got == {1: ("a.b/x", "block"), 2: ("c", "block")}
+    none = judge_urls(df, spark.createDataFrame([], "host string, path string, verdict string"), default="block").collect()
+    assert [(r.rule, r.verdict) for r in none] == [(None, "block")] * 2
+
+
+def test_bloom_filter_has_no_false_negative_and_few_false_positives(spark):
+    from geonest.llm.url_filter import _bits, _block, _mask
+
+    keys = spark.range(2000).select(F.concat(F.lit("h"), "id").alias("rule_host"), F.lit("/").alias("rule_path"))
+    blocks, n = bloom_blocks(keys, 2000)
+    hit = F.lit(True)
+    for i, b in enumerate(_bits("rule_host", "rule_path")):
+        hit = hit & (F.col(f"w{i}").bitwiseAND(_mask(b)) != 0)
+    probe = lambda k: k.withColumn("block", _block("rule_host", "rule_path", n)).join(blocks, "block").where(hit).count()
+    assert probe(keys) == 2000
+    assert probe(keys.withColumn("rule_path", F.lit("/other"))) < 40
+    plan = judge_urls(spark.createDataFrame([(1, "http://a/")], "page_id long, url string"), keys.selectExpr("rule_host host", "rule_path path", "'block' verdict"))
+    assert not any(x in plan._jdf.queryExecution().toString() for x in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoop"))
+
+
+# --- language ID ------------------------------------------------------------------
+
+SAMPLES = {"en": "the quick brown fox and the lazy dog went there with them", "de": "der schnelle braune fuchs und der faule hund gingen dorthin", "ru": "быстрая коричневая лиса и ленивая собака"}
+
+
+def test_profiles_bind_and_bundle():
+    p = Profiles(256, 3)
+    text = "Ab, c!"
+    want = np.zeros(256)
+    for g in (" ab", "ab ", "b c", " c "):
+        v = np.ones(256)
+        for place, c in enumerate(g):
+            v = v * np.roll(p.letter(ord(c)), place)
+        want += v
+    assert np.allclose(p.bundle([text, ""])[0], want) and not p.bundle([text, "12 ."])[1].any()
+
+
+def test_language_id_cases(spark):
+    rng = np.random.default_rng(0)
+    rows = []
+    for i in range(60):
+        lang = list(SAMPLES)[i % 3]
+        rows.append((i, " ".join(rng.permutation(SAMPLES[lang].split())), lang, "s", 1))
+    rows += [(100, None, "en", "s", 1), (101, "12 + 3 = ...", "en", "s", 1), (102, "", None, "s", 1), (103, "the dog " * 50_000, None, None, None), (None, "der hund", "de", "s", 1), (103, "собака", None, None, None)]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = identify_languages(docs, keep=("source",)).collect()
+    assert len(got) == len(rows)
+    by = defaultdict(list)
+    for r in got:
+        by[r.doc_id].append(r)
+        assert 0 <= r.score <= 1
+        assert r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+    assert all(by[i][0].lang_pred == lang for i, _, lang, *_ in rows[:60])
+    assert [(by[i][0].lang_pred, by[i][0].score) for i in (100, 101, 102)] == [("und", 0.0)] * 3
+    assert sorted(r.lang_pred for r in by[103]) == ["en", "ru"] and by[None][0].lang_pred == "de"
+    assert identify_languages(docs.limit(0)).count() == 0
+    assert predict_language(docs, {}).where("lang_pred <> 'und'").count() == 0
+
+
+def test_prototypes_ignore_other_columns_and_split(spark):
+    docs = spark.createDataFrame([(0, SAMPLES["en"], "en", "s", 1), (1, SAMPLES["de"], None, "s", 1), (2, None, "xx", "s", 1)], DOCS)
+    found = learn_prototypes(docs)
+    assert set(found) == {"en"} and np.isclose(np.linalg.norm(found["en"]), 1)
+
+
+@pytest.mark.parametrize("sf", ["sf0.01"])
+def test_language_id_held_out_accuracy(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    got = identify_languages(docs).where("held_out").join(docs.select("doc_id", "lang"), "doc_id")
+    assert got.select(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] > 0.98
+
+
+# --- toxicity -----------------------------------------------------------------------
+
+
+def test_gram_buckets_are_the_same_in_chunks(monkeypatch):
+    import geonest.llm.toxicity as T
+
+    whole = np.concatenate(list(gram_buckets("abc déf " * 40)))
+    monkeypatch.setattr(T, "CHUNK", 64)
+    assert sorted(np.concatenate(list(gram_buckets("abc déf " * 40)))) == sorted(whole)
+    assert len(whole) == sum(322 - n + 1 for n in T.SIZES)
+
+
+def test_log_count_ratios():
+    r = log_count_ratios(np.array([3.0, 0.0]), np.array([0.0, 3.0]))
+    assert np.allclose(r, [np.log((1 / 5) / (4 / 5)), np.log((4 / 5) / (1 / 5))])
+
+
+def test_toxicity_learns_from_training_labels_only(spark):
+    rng = np.random.default_rng(1)
+    words = [f"w{i}ord" for i in range(60)]
+    rows = []
+    for i in range(300):
+        ws = list(rng.choice(words, 30))
+        if i % 3 == 0:
+            ws[int(rng.integers(30))] = "nastything"
+        rows.append((i, " ".join(ws), None, None, None))
+    rows += [(1000, None, None, None, None), (1001, "", None, None, None), (None, "w1ord w2ord nastything w3ord", None, None, None), (5, "w4ord nastything w5ord", None, None, None)]
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(300)] + [(7, 0, None), (None, 0, 1), (3, 1, 1)], "doc_id long, quality int, toxic int")
+    docs = spark.createDataFrame(rows, DOCS)
+    got = classify_toxicity(docs, labels).collect()
+    assert len(got) == len(rows)
+    held = [r for r in got if r.held_out and r.doc_id < 300]
+    assert np.mean([r.predicted == int(r.doc_id % 3 == 0) for r in held]) > 0.95
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
+    assert [r.predicted for r in got if r.doc_id in (1000, 1001)] == [0, 0] and [r.predicted for r in got if r.doc_id is None] == [1]
+    # labels of held-out rows do not matter
+    flipped = labels.withColumn("toxic", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    again = classify_toxicity(docs, flipped).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == sorted((tuple(r) for r in again), key=repr)
+    assert FEATURES <= 1 << 16
+
+
+def test_toxicity_without_labels_or_rows(spark):
+    docs = documents(spark, [(1, "a text"), (2, "another")])
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert [r.predicted for r in classify_toxicity(docs, labels).collect()] == [0, 0]
+    assert classify_toxicity(docs.limit(0), labels).count() == 0
