@@ -47,7 +47,7 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     for i in range(8):
         shift += np.log(x + i)
     r = 1 / (y * y)
-    return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + (1 / 12 - r * (1 / 360 - r / 1260)) / y - shift
+    return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + (1 / 12 - r * (1 / 360 - r * (1 / 1260 - r * (1 / 1680 - r / 1188)))) / y - shift
 
 
 def log_kt(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:

@@ -255,8 +255,8 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHIN
     union; ``component_id`` is the smallest doc_id that links reach.
 
     Defined cases: a null or empty text has no shingles and links with
-    nothing; rows that repeat an id are one node of the graph, whatever
-    their texts; a row without an id takes no part, its component is null;
+    nothing; rows that repeat an id are judged each by its own text; a row
+    without an id takes no part, its component is null;
     an empty table gives no rows; other columns are ignored. Shingles are
     told apart by 64-bit hashes.
 
