@@ -3,9 +3,9 @@
 Mapping (every document stays bounded in size, and the number of documents
 grows with the data, so the fixture scales like real input):
 
-* country document = customer   (id c_custkey, iso3 'N' || c_nationkey)
-* state            = order      (id o_orderkey, state_code o_orderstatus)
-* city             = lineitem   (id l_orderkey * 8 + l_linenumber)
+* country document = customer and range of order keys (id c_custkey, iso3 'N' || c_nationkey)
+* state            = order and range of line numbers  (id o_orderkey, state_code o_orderstatus)
+* city             = lineitem                         (id l_orderkey * 8 + l_linenumber)
 
 Edge cases come from categorical attributes, not from id arithmetic:
 customers of segment HOUSEHOLD have an empty ``states`` array, orders
@@ -25,8 +25,7 @@ from pyspark.sql.window import Window
 
 from geonest import constants as K
 from geonest import schemas as S
-from geonest.operators.joins import join_small, left_join_hot_right
-from geonest.session import checkpoint_root, new_scratch_dir
+from geonest.session import new_scratch_dir
 
 FIXED_RUN_TS = "2024-01-01 00:00:00"
 
@@ -40,83 +39,57 @@ def _money_text(c: Column) -> Column:
     return c.cast("decimal(14,2)").cast("string")
 
 
-# A parent with more children than this is split into several entries of
-# about this many children each (salted by child key), so no group that
-# is collected into one row grows with the data.
-MAX_CHILDREN = 20_000
+# Every parent is nested in parts by ranges of its child key, whatever its
+# size, so no collected group grows with a parent. The oracle states the
+# same rule.
+STATES_PER_PART = 8_192
+CITIES_PER_PART = 4
 
 
-def nest_children(
-    rows: DataFrame,
-    parent: str,
-    salt: list[str],
-    child: Column,
-    name: str,
-    max_children: int = MAX_CHILDREN,
-    weight: Column | None = None,
-) -> DataFrame:
-    """``(parent, _part, name, _size)``: the ``child`` structs of each
-    parent value collected into an array, one row per part, with the
-    number of children (a plain count: a consumer that only needs sizes
-    reads it without the arrays being built, as Catalyst prunes the unused
-    collect from the aggregate).
-
-    Parents are counted first (partial counts per task, so a hot parent
-    costs one row per task in the shuffle). With ``weight`` a child counts
-    that much (e.g. the leaves nested inside it), so the bound is on
-    leaves, not entries. Only parents above ``max_children`` -- at most
-    ``total / max_children`` of them -- are joined back (broadcast only
-    when proven small); their children are spread over
-    ``ceil(total / max_children)`` parts by a hash of ``salt``.
-    Every other parent is one part, 0. Children with a null parent key
-    can attach to no parent (an equi-join never matches null), so they are
-    dropped here rather than gathered into one null-key row.
-    """
-    checkpoint_root(rows.sparkSession)
-    rows = rows.filter(F.col(parent).isNotNull())
-    # Checkpointed (to the shared checkpoint folder): the size proof and the
-    # broadcast then read this small result instead of each re-running the
-    # count over every child row.
-    hot = (
-        rows.groupBy(parent)
-        .agg(F.sum(F.lit(1) if weight is None else weight).alias("_n"))
-        .filter(F.col("_n") > max_children)
-        .select(F.col(parent).alias("_hot"), F.ceil(F.col("_n") / max_children).alias("_parts"))
-        .checkpoint()
-    )
-    tagged = join_small(rows, hot, rows[parent] == hot["_hot"], "left")
-    part = F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(*[F.col(c) for c in salt]), F.col("_parts"))
-    )
-    return tagged.groupBy(F.col(parent), part.alias("_part")).agg(
-        F.collect_list(child).alias(name), F.count(F.lit(1)).alias("_size")
+def nest_children(rows: DataFrame, keep: list[str], part: Column, child: Column, name: str) -> DataFrame:
+    """``rows`` grouped by ``keep`` and ``part``: the ``child`` structs of each
+    group collected into the array ``name``."""
+    return rows.groupBy(*keep, part.alias("_part")).agg(F.collect_list(child).alias(name))
+
+
+def with_children(parents: DataFrame, children: DataFrame, key: str, child_key: str) -> tuple[DataFrame, DataFrame]:
+    """Parents joined to their children, and parents that have none. Two
+    joins on raw rows, before anything is nested: the inner one may be
+    skewed on either side (adaptive execution splits it), the anti one
+    reads only the children's distinct keys. Null keys never match."""
+    keys = children.select(F.col(child_key).alias("_child_key")).distinct()
+    return (
+        parents.join(children, parents[key] == children[child_key]),
+        parents.join(keys, parents[key] == keys["_child_key"], "left_anti"),
     )
 
 
-def cities_by_order(spark: SparkSession, sf_dir: str, max_children: int = MAX_CHILDREN) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+def _city() -> Column:
     latitude = (
         F.when(F.col("l_returnflag") == "R", F.lit(""))
         .when(F.col("l_returnflag") == "A", F.lit(None).cast("string"))
         .when(F.col("l_linestatus") == "O", F.lit("n/a"))
         .otherwise(_money_text(F.col("l_extendedprice")))
     )
-    city = F.struct(
+    return F.struct(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
         F.concat(F.lit("Port "), F.col("l_returnflag"), F.col("l_linestatus")).alias("name"),
         latitude.alias("latitude"),
         _money_text(-F.col("l_extendedprice")).alias("longitude"),
     )
-    nested = nest_children(li, "l_orderkey", ["l_linenumber"], city, "cities", max_children)
-    return nested.withColumnRenamed("_part", "_city_part").withColumnRenamed("_size", "_city_n")
 
 
-def states_by_customer(spark: SparkSession, sf_dir: str, max_children: int = MAX_CHILDREN) -> DataFrame:
-    """State entries per customer. An order split into city parts gives
-    one state entry per part (same state fields, disjoint cities)."""
-    orders = table(spark, sf_dir, "orders")
-    cities = cities_by_order(spark, sf_dir, max_children)
-    o = left_join_hot_right(orders, cities, "o_orderkey", "l_orderkey")
+_ORDER = ["o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus", "o_totalprice"]
+_LINE = ["l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_extendedprice"]
+
+
+def states_frame(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """``o_custkey``, ``o_orderkey`` and the ``state`` struct: one entry per order
+    and range of ``CITIES_PER_PART`` line numbers, or one without cities."""
+    matched, childless = with_children(orders.select(*_ORDER), lines.select(*_LINE), "o_orderkey", "l_orderkey")
+    part = F.expr(f"l_linenumber div {CITIES_PER_PART}")
+    nested = nest_children(matched, _ORDER, part, _city(), "cities").drop("_part")
+    o = nested.unionByName(childless.withColumn("cities", F.lit(None).cast(nested.schema["cities"].dataType)))
     state = F.struct(
         F.col("o_orderkey").alias("id"),
         F.col("o_orderpriority").alias("name"),
@@ -127,31 +100,28 @@ def states_by_customer(spark: SparkSession, sf_dir: str, max_children: int = MAX
         .alias("longitude"),
         F.col("cities"),
     )
-    # Weighted by cities, so a document is bounded in cities, not only in
-    # state entries (an entry without cities weighs 1). The weight is the
-    # count kept next to each city array, so weighing builds no arrays.
-    cities_n = F.greatest(F.coalesce(F.col("_city_n"), F.lit(0)), F.lit(1))
-    return nest_children(o, "o_custkey", ["o_orderkey", "_city_part"], state, "states", max_children, cities_n)
-
-
-def location_docs_frame(spark: SparkSession, sf_dir: str, max_children: int = MAX_CHILDREN) -> DataFrame:
-    """Nested country documents (unmaterialised plan): one per customer,
-    or one per part of a customer with more than ``max_children`` state
-    entries. HOUSEHOLD customers get one document with no states."""
-    cust = table(spark, sf_dir, "customer")
-    nation = table(spark, sf_dir, "nation")
-    region = table(spark, sf_dir, "region")
-    dims = nation.join(region, nation["n_regionkey"] == region["r_regionkey"], "left").select(
-        "n_nationkey", "n_name", "r_name"
-    )
-    states = states_by_customer(spark, sf_dir, max_children)
-    # HOUSEHOLD customers take no states: their key is nulled for the join
-    # so they pass through unmatched, as one document.
-    cust = cust.withColumn(
-        "_join_key", F.when(F.col("c_mktsegment") != "HOUSEHOLD", F.col("c_custkey"))
-    )
-    c = left_join_hot_right(cust, states, "_join_key", "o_custkey")
-    c = join_small(c, dims, c["c_nationkey"] == dims["n_nationkey"], "left")
+    return o.select("o_custkey", "o_orderkey", state.alias("state"))
+
+
+def location_docs_of(customers: DataFrame, orders: DataFrame, lines: DataFrame, nations: DataFrame, regions: DataFrame) -> DataFrame:
+    """Nested country documents: one per customer and range of
+    ``STATES_PER_PART`` order keys, or one without states. HOUSEHOLD
+    customers get one document with an empty array; they take no part in
+    the joins."""
+    dims = nations.join(regions, nations["n_regionkey"] == regions["r_regionkey"], "left").select("n_nationkey", "n_name", "r_name")
+    fields = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment", "c_acctbal"]
+    cust = customers.select(*fields)
+    household = F.col("c_mktsegment") == "HOUSEHOLD"
+    parents = cust.where(~household | F.col("c_mktsegment").isNull())
+    states = states_frame(orders, lines)
+    kind = S.COUNTRY["states"].dataType
+    keys = orders.select(F.col("o_custkey").alias("_child_key")).distinct()
+    parts = nest_children(states, ["o_custkey"], F.expr(f"o_orderkey div {STATES_PER_PART}"), F.col("state"), "states")
+    matched = parents.join(parts, parents["c_custkey"] == parts["o_custkey"]).select(*fields, F.col("states").cast(kind))
+    childless = parents.join(keys, parents["c_custkey"] == keys["_child_key"], "left_anti").select(*fields, F.lit(None).cast(kind).alias("states"))
+    empty = cust.where(household).select(*fields, F.array().cast(kind).alias("states"))
+    c = matched.union(childless).union(empty)
+    c = c.join(dims, c["c_nationkey"] == dims["n_nationkey"], "left")
     code = F.concat(F.lit("N"), F.col("c_nationkey"))
     return c.select(
         F.col("c_custkey").alias("id"),
@@ -169,25 +139,32 @@ def location_docs_frame(spark: SparkSession, sf_dir: str, max_children: int = MA
         .otherwise(_money_text(F.col("c_acctbal")))
         .alias("latitude"),
         _money_text(-F.col("c_acctbal")).alias("longitude"),
-        F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.array().cast(S.COUNTRY["states"].dataType))
-        .otherwise(F.col("states"))
-        .alias("states"),
+        F.col("states"),
     )
 
 
+def location_docs_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents over the driver tables (unmaterialised plan)."""
+    return location_docs_of(*(table(spark, sf_dir, t) for t in ("customer", "orders", "lineitem", "nation", "region")))
+
+
 _materialised: dict[tuple, str] = {}
 
 
-def location_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested documents written once per process as Parquet in the shared
-    scratch folder and read back with the explicit schema (the shape the
-    ELT job reads after JSON conversion)."""
+def location_docs_path(spark: SparkSession, sf_dir: str) -> str:
+    """The nested documents, written once per process as Parquet in the
+    shared scratch folder (the shape the ELT job reads after JSON
+    conversion)."""
     key = ("locations", sf_dir)
     if key not in _materialised:
         path = new_scratch_dir(spark, "fixture-locations")
         location_docs_frame(spark, sf_dir).write.mode("overwrite").parquet(path)
         _materialised[key] = path
-    return spark.read.schema(S.COUNTRY).parquet(_materialised[key])
+    return _materialised[key]
+
+
+def location_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(S.COUNTRY).parquet(location_docs_path(spark, sf_dir))
 
 
 def population_frame(spark: SparkSession, sf_dir: str, unique: bool = True) -> DataFrame:
@@ -275,33 +252,34 @@ def land_response_files(df: DataFrame, path: str) -> str:
     return path
 
 
-def write_multiline_json(
-    df: DataFrame, path: str, key: str = "id", n_files: int | None = None, rows_per_file: int = 50_000
-) -> str:
+RAW_FILE_BYTES = 64 * 1024 * 1024
+
+
+def write_multiline_json(df: DataFrame, path: str, n_files: int | None = None, file_bytes: int = RAW_FILE_BYTES) -> str:
     """Write ``df`` as whole-file JSON arrays (the shape of the original
     raw location files), one array per output file.
 
-    Rows are spread over ``n_files`` files by a hash of ``key`` (default:
-    one file per core, more when needed for at most about ``rows_per_file``
-    rows each), so no file -- and
-    no task -- holds more than its share. Each row stays its own line: the
-    first line of a file opens the array and the last closes it, both found
-    by one window over the file's rows. Nothing is concatenated into one
-    value, so a file may be larger than any row can be.
+    Rows are spread over ``n_files`` files by a hash of their whole JSON
+    text, so rows that share an id do not meet in one file (default: one
+    file per core, more when needed for about ``file_bytes`` of JSON text
+    each), so no file -- and no task -- holds more than its share. Each row
+    stays its own line: the first line of a file opens the array and the
+    last closes it, both found by one window over the file's rows. Nothing
+    is concatenated into one value, so a file may be larger than any row
+    can be.
     """
+    rows = df.select(F.to_json(F.struct(*df.columns)).alias("_json"))
     if not n_files:
         # A multi-line file is read by one task: at least one file per core.
         cores = df.sparkSession.sparkContext.defaultParallelism
-        n_files = max(1, cores, -(-df.count() // rows_per_file))
-    rows = df.select(
-        F.pmod(F.xxhash64(F.col(key)), F.lit(n_files)).alias("_file"),
-        F.col(key).alias("_key"),
-        F.to_json(F.struct(*df.columns)).alias("_json"),
-    )
-    # Position within the file in (key, text) order -- a total order, so a
-    # retried task numbers its rows exactly as the first attempt did. The
-    # first row opens the array; the row with no successor closes it. Both
-    # come from one window pass (no count or join).
+        size = rows.agg(F.sum(F.octet_length("_json"))).first()[0] or 0
+        n_files = max(1, cores, -(-int(size) // file_bytes))
+    # Position within the file in (hash, text) order: a retried task numbers
+    # its rows exactly as the first attempt did, up to equal rows. The first
+    # row opens the array; the row with no successor closes it. Both come
+    # from one window pass (no count or join).
+    h = F.xxhash64("_json")
+    rows = rows.select(F.pmod(h, F.lit(n_files)).alias("_file"), h.alias("_key"), "_json")
     w = Window.partitionBy("_file").orderBy("_key", "_json")
     lines = rows.select(
         "_file",

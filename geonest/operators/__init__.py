@@ -6,7 +6,6 @@ from geonest.operators.flatten import (  # noqa: F401
     flatten_states,
     flatten_states_and_cities,
 )
-from geonest.operators.joins import has_at_most, join_small  # noqa: F401
 from geonest.operators.news import (  # noqa: F401
     articles_from_responses,
     classify_responses,

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from geonest import constants as K
 from geonest.functions.scalars import run_stamp, source_timestamp, to_float
-from geonest.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, fits_broadcast, join_small
 
 
 def transform_countries(
@@ -15,7 +14,6 @@ def transform_countries(
     population: DataFrame,
     run_ts=None,
     population_updated_at: str = K.POPULATION_SOURCE_TIMESTAMP,
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """TR1: one row per country document, left-joined to population.
 
@@ -23,6 +21,10 @@ def transform_countries(
     without a match keep a null population, null codes never match, and a
     duplicated ``Alpha_3`` repeats the country once per match (use
     ``geonest.plans.validate`` to flag such duplicates).
+
+    A plain join: adaptive execution broadcasts the population side when
+    its finished shuffle turns out small, and splits skewed countries when
+    not.
     """
     stamp = run_stamp(run_ts)
     pop = population.select(
@@ -43,9 +45,7 @@ def transform_countries(
         to_float("latitude").alias("latitude"),
         to_float("longitude").alias("longitude"),
     )
-    joined = join_small(
-        countries, pop, countries["country_code"] == pop["_pop_code"], "left", broadcast_max_rows
-    )
+    joined = countries.join(pop, countries["country_code"] == pop["_pop_code"], "left")
     return joined.select(
         *countries.columns,
         "population",
@@ -56,7 +56,7 @@ def transform_countries(
 
 
 _COUNTRIES_SQL = """
-SELECT {hint}d.id AS country_id, d.name AS country_name, d.iso3 AS country_code, d.capital,
+SELECT d.id AS country_id, d.name AS country_name, d.iso3 AS country_code, d.capital,
        d.currency, d.currency_name, d.currency_symbol, d.region, d.subregion, d.phone_code, d.emoji,
        try_cast(d.latitude AS FLOAT) AS latitude, try_cast(d.longitude AS FLOAT) AS longitude,
        p.Population AS population,
@@ -72,20 +72,17 @@ def transform_countries_sql(
     population: DataFrame,
     run_ts=None,
     population_updated_at: str = K.POPULATION_SOURCE_TIMESTAMP,
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """TR1 written as SQL over the two inputs, the form the original job
     uses (SC4). Same result and plan as ``transform_countries``.
 
     The frames are passed as SQL parameters rather than session-wide temp
     views, so concurrent callers cannot see or replace each other's
-    inputs; literals are bound as named parameters. The population side
-    gets a broadcast hint only after its size is proven small.
+    inputs; literals are bound as named parameters.
     """
-    hint = "/*+ BROADCAST(p) */ " if fits_broadcast(population, broadcast_max_rows) else ""
     stamp = "current_timestamp()" if run_ts is None else "CAST(:run_ts AS TIMESTAMP)"
     args = {"source_ts": population_updated_at}
     if run_ts is not None:
         args["run_ts"] = str(run_ts)
-    query = _COUNTRIES_SQL.format(hint=hint, stamp=stamp)
+    query = _COUNTRIES_SQL.format(stamp=stamp)
     return spark.sql(query, args=args, docs=docs, pop=population)

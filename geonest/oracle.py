@@ -7,7 +7,7 @@ an independent statement of what flattening must return.
 from __future__ import annotations
 
 from geonest import constants as K
-from geonest.fixtures import FIXED_RUN_TS
+from geonest.fixtures import CITIES_PER_PART, FIXED_RUN_TS, STATES_PER_PART
 
 TS = f"TIMESTAMP '{FIXED_RUN_TS}'"
 
@@ -20,8 +20,10 @@ def _float(expr: str) -> str:
     return f"CAST(TRY_CAST({expr} AS FLOAT) AS DOUBLE)"
 
 
+# One document per customer and range of order keys; one for a customer
+# without orders, or of segment HOUSEHOLD (part is null).
 COUNTRY_DOCS = f"""
-SELECT c.c_custkey AS id, c.c_name AS name, 'N' || c.c_nationkey AS iso3,
+SELECT p.part, c.c_custkey AS id, c.c_name AS name, 'N' || c.c_nationkey AS iso3,
        c.c_mktsegment AS capital, 'CUR' || c.c_nationkey AS currency,
        n.n_name || ' currency' AS currency_name, '$' AS currency_symbol,
        r.r_name AS region, n.n_name AS subregion,
@@ -30,11 +32,15 @@ SELECT c.c_custkey AS id, c.c_name AS name, 'N' || c.c_nationkey AS iso3,
        {_money('-c.c_acctbal')} AS longitude,
        c.c_mktsegment AS segment
 FROM customer c
+LEFT JOIN (SELECT DISTINCT o_custkey, o_orderkey // {STATES_PER_PART} AS part FROM orders) p
+  ON p.o_custkey = c.c_custkey AND c.c_mktsegment IS DISTINCT FROM 'HOUSEHOLD'
 LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
 LEFT JOIN region r ON r.r_regionkey = n.n_regionkey
 """
 
-_STATE_JOIN = "orders o ON o.o_custkey = d.id AND d.segment IS DISTINCT FROM 'HOUSEHOLD'"
+_STATE_JOIN = f"orders o ON o.o_custkey = d.id AND o.o_orderkey // {STATES_PER_PART} = d.part"
+# One state entry per order and range of line numbers; one for an order without lines.
+_ENTRIES = f"SELECT DISTINCT l_orderkey, l_linenumber // {CITIES_PER_PART} AS part FROM lineitem"
 
 
 def states_sql(outer: bool) -> str:
@@ -45,7 +51,7 @@ SELECT d.id AS country_id, d.iso3 AS country_code, o.o_orderkey AS state_id,
        o.o_orderpriority AS state_name, o.o_orderstatus AS state_code,
        {_float(_money('o.o_totalprice'))} AS latitude, {_float(lon)} AS longitude,
        {TS} AS created_at, {TS} AS last_updated_at
-FROM ({COUNTRY_DOCS}) d {j} {_STATE_JOIN}
+FROM ({COUNTRY_DOCS}) d {j} {_STATE_JOIN} LEFT JOIN ({_ENTRIES}) e ON e.l_orderkey = o.o_orderkey
 """
 
 

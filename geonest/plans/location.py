@@ -57,7 +57,7 @@ def dataset_frames(
     if dataset == "states_cities":
         return [
             ("states", flatten_states(docs, outer=True, run_ts=run_ts), S.PARTITIONING["states"]),
-            ("cities", flatten_cities(docs, outer=True, run_ts=run_ts), S.PARTITIONING["cities_combined"]),
+            ("cities", flatten_cities(docs, outer=True, run_ts=run_ts), S.PARTITIONING["cities"]),
         ]
     raise ValueError(f"unknown dataset {dataset!r}; expected one of {K.DATASETS}")
 

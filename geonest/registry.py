@@ -111,9 +111,7 @@ def _raw_json(spark, sf) -> tuple[str, str]:
     if key not in FX._materialised:
         FX._materialised[key] = (
             FX.write_multiline_json(FX.location_docs(spark, sf), new_scratch_dir(spark, "raw-locations")),
-            FX.write_multiline_json(
-                FX.population_frame(spark, sf), new_scratch_dir(spark, "raw-population"), key="Alpha_3"
-            ),
+            FX.write_multiline_json(FX.population_frame(spark, sf), new_scratch_dir(spark, "raw-population")),
         )
     return FX._materialised[key]
 
@@ -130,7 +128,7 @@ def q_table_replace_roundtrip(spark, sf):
     docs = FX.location_docs(spark, sf)
     loc = new_scratch_dir(spark, "table-cities")
     name = f"cities_{loc.rsplit('-', 1)[-1]}"
-    parts = S.PARTITIONING["cities_combined"]
+    parts = S.PARTITIONING["cities"]
     # First load: inner rows only; the replacement must fully supersede it.
     write_table(flatten_cities(docs, outer=False, run_ts=RUN_TS), name, SCRATCH_DB, path=loc, partition_by=parts)
     write_table(flatten_cities(docs, outer=True, run_ts=RUN_TS), name, SCRATCH_DB, path=loc, partition_by=parts)
@@ -141,14 +139,14 @@ def _elt_single(spark, sf, dataset: str, table: str) -> DataFrame:
     """The single-dataset ELT path: convert nothing, read the preprocessed
     documents (and population), transform (inner explode for states and
     cities), replace the table, read back."""
-    docs_path = new_scratch_dir(spark, "preprocessed")
-    FX.location_docs(spark, sf).write.mode("overwrite").parquet(docs_path)
+    docs_path = FX.location_docs_path(spark, sf)
     pop_path = None
     if dataset == "countries":
         pop_path = new_scratch_dir(spark, "preprocessed-population")
         FX.population_frame(spark, sf).write.mode("overwrite").parquet(pop_path)
-    db = f"{SCRATCH_DB}_{docs_path.rsplit('-', 1)[-1]}"
-    run_elt(spark, dataset, docs_path, pop_path, location=new_scratch_dir(spark, "tables"), database=db, run_ts=RUN_TS)
+    location = new_scratch_dir(spark, "tables")
+    db = f"{SCRATCH_DB}_{location.rsplit('-', 1)[-1]}"
+    run_elt(spark, dataset, docs_path, pop_path, location=location, database=db, run_ts=RUN_TS)
     return comparable(read_contract(spark.table(f"{db}.{table}"), S.CONTRACTS[table]))
 
 
@@ -162,7 +160,6 @@ def q_elt_states(spark, sf):
 
 
 def q_elt_cities(spark, sf):
-    # partitioned by country_code, state_code and city_name
     return _elt_single(spark, sf, "cities", "cities")
 
 
@@ -174,10 +171,9 @@ def _elt_combined(spark, sf) -> str:
     # the tables (a new session starts with an empty session catalog).
     cached = FX._materialised.get(key)
     if cached is None or not all(spark.catalog.tableExists(f"{cached}.{t}") for t in ("states", "cities")):
-        docs_path = new_scratch_dir(spark, "preprocessed")
-        FX.location_docs(spark, sf).write.mode("overwrite").parquet(docs_path)
-        db = f"{SCRATCH_DB}_{docs_path.rsplit('-', 1)[-1]}"
-        run_elt(spark, "states_cities", docs_path, location=new_scratch_dir(spark, "tables"), database=db, run_ts=RUN_TS)
+        location = new_scratch_dir(spark, "tables")
+        db = f"{SCRATCH_DB}_{location.rsplit('-', 1)[-1]}"
+        run_elt(spark, "states_cities", FX.location_docs_path(spark, sf), location=location, database=db, run_ts=RUN_TS)
         FX._materialised[key] = db
     return FX._materialised[key]
 
@@ -200,7 +196,7 @@ def q_sql_cities_top10(spark, sf):
 
 def q_validate_cities(spark, sf):
     cities = flatten_cities(FX.location_docs(spark, sf), outer=True, run_ts=RUN_TS)
-    written, _ = _scratch_table(spark, cities, "cities", S.PARTITIONING["cities_combined"])
+    written, _ = _scratch_table(spark, cities, "cities", S.PARTITIONING["cities"])
     return validation_checks(written, "cities", ["city_id"])
 
 

@@ -138,12 +138,13 @@ CONTRACTS = {
     "cities": CITIES_COLUMNS,
 }
 
-# Default identity partitioning per table.
+# Default identity partitioning per table. The original single-dataset job
+# also partitions cities by name, about one folder per city: pass
+# ``partition_by={"cities": [..., "city_name"]}`` for that.
 PARTITIONING = {
     "countries": ["country_code"],
     "states": ["country_code", "state_code"],
-    "cities": ["country_code", "state_code", "city_name"],
-    "cities_combined": ["country_code", "state_code"],
+    "cities": ["country_code", "state_code"],
 }
 
 

@@ -1,8 +1,7 @@
-"""Population join semantics (JN1, TR1) and the checked broadcast."""
+"""Population join semantics (JN1, TR1) and its plan."""
 
 from geonest import schemas as S
 from geonest.operators.enrich import transform_countries
-from geonest.operators.joins import fits_broadcast, has_at_most, join_small, measure
 from geonest.plans.explain import plan_text
 
 
@@ -46,44 +45,18 @@ def test_float_cast_and_constant_timestamp(spark):
     assert str(r.population_source_last_updated_at) == "2020-08-23 16:26:00"
 
 
-def test_small_side_is_broadcast(spark):
-    d = docs(spark, ["AAA"])
-    plan = plan_text(transform_countries(d, pop(spark, [("AA", "AAA", 1)])))
-    assert "BroadcastHashJoin" in plan
-
-
-def test_large_side_is_not_forced_into_broadcast(spark):
-    big = spark.range(50).withColumnRenamed("id", "k")
-    other = spark.range(50).withColumnRenamed("id", "k")
-    assert not has_at_most(other, 10)
-    joined = join_small(big, other, "k", "left", max_rows=10)
-    assert joined.count() == 50
-    assert has_at_most(other, 50)
-
-
-def test_broadcast_bound_counts_bytes(spark):
-    wide = spark.range(20).selectExpr("id", "repeat('x', 1000) AS pad", "array(id, id) AS arr")
-    rows, size = measure(wide, 100)
-    # 8 bytes of id + 1000 of text + the JSON text of the array, per row
-    assert rows == 20 and size == sum(8 + 1000 + len(f"[{i},{i}]") for i in range(20))
-    assert fits_broadcast(wide, max_rows=100, max_bytes=10**6)
-    assert not fits_broadcast(wide, max_rows=100, max_bytes=10_000)  # few rows, too many bytes
-    assert not fits_broadcast(wide, max_rows=10, max_bytes=10**6)
-    assert measure(wide.limit(0), 10) == (0, 0)
-
+def test_population_is_read_once(spark):
+    from geonest import fixtures as FX
 
-def test_bound_probe_on_large_side_reads_few_partitions(spark):
-    big = spark.range(0, 2_000_000, numPartitions=200)
-    rows, size = measure(big, 1000)
-    assert rows == 1001 and size is None  # no byte pass over a side that is too large
-    assert not fits_broadcast(big, max_rows=1000)
-    assert has_at_most(big.limit(7), 7) and not has_at_most(big.limit(8), 7)
+    sf = "/root/testdata/sf0.001"
+    plan = plan_text(transform_countries(FX.location_docs(spark, sf), FX.population_frame(spark, sf)), "simple")
+    assert plan.count("supplier.parquet") == 1 and "Cartesian" not in plan and "NestedLoop" not in plan
 
 
 def test_unbroadcast_join_splits_a_hot_country(spark):
     from pyspark.sql import functions as F
 
-    # a third of the documents share one code; population too big to broadcast (max_rows=10)
+    # a third of the documents share one code; nothing is broadcast
     docs_df = spark.range(60_000).select(
         F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("name"),  # incompressible payload
         F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("C"), (F.col("id") % 500).cast("string"))).alias("iso3"),
@@ -107,7 +80,7 @@ def test_unbroadcast_join_splits_a_hot_country(spark):
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        out = transform_countries(docs_df, pop_df, run_ts="2024-01-01 00:00:00", broadcast_max_rows=10)
+        out = transform_countries(docs_df, pop_df, run_ts="2024-01-01 00:00:00")
         out = out.select("country_id", "country_name", "country_code", "population")
         rows = out.collect()
         plan = plan_text(out)  # the final adaptive plan of the run above

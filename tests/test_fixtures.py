@@ -1,83 +1,90 @@
-"""Fixture builder: bounded nesting and multi-line JSON files."""
+"""Fixture builder: nesting in parts by key ranges, and multi-line JSON files."""
 
 import glob
 import json
 
+import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from geonest import fixtures as FX
+from geonest.operators.enrich import transform_countries
 from geonest.operators.flatten import flatten_cities, flatten_states
+from geonest.oracle import COUNTRIES, cities_sql, states_sql
+from geonest.registry import comparable
 
 SF = "/root/testdata/sf0.001"
-TS = "2024-01-01 00:00:00"
-
-
-def test_hot_parents_are_split_without_losing_rows(spark):
-    full = FX.location_docs_frame(spark, SF)
-    split = FX.location_docs_frame(spark, SF, max_children=3)
-    # the data has parents above the bound, so the split path runs
-    assert full.select(F.max(F.size("states"))).first()[0] > 3
-    assert split.count() > full.count()
-    assert split.select("id").distinct().count() == full.count()
-    # parts hold about max_children children (hash salting, small groups vary)
-    assert split.select(F.max(F.size("states"))).first()[0] <= 3 * 3
-    for outer in (True, False):
-        a = flatten_cities(full, outer=outer, run_ts=TS)
-        b = flatten_cities(split, outer=outer, run_ts=TS)
-        assert a.count() == b.count() and a.exceptAll(b).count() == 0
-    a, b = flatten_states(full, outer=True, run_ts=TS), flatten_states(split, outer=True, run_ts=TS)
-    assert a.distinct().exceptAll(b.distinct()).count() == 0 and b.distinct().exceptAll(a.distinct()).count() == 0
-
-
-def test_nest_children_parts(spark):
-    rows = spark.createDataFrame([(1, i) for i in range(10)] + [(2, 0), (3, 0), (3, 1)], "p long, c long")
-    nested = FX.nest_children(rows, "p", ["c"], F.col("c"), "kids", max_children=3)
-    got = {}
-    for r in nested.collect():
-        got.setdefault(r.p, []).append((r._part, sorted(r.kids)))
-    assert got[2] == [(0, [0])] and got[3] == [(0, [0, 1])]  # at or under the bound: one part
-    parts = got[1]
-    assert 1 < len(parts) <= 4 and sorted(c for _, kids in parts for c in kids) == list(range(10))
-
-
-def test_multiline_json_files_are_arrays(spark, tmp_dir):
-    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (3, None)], "id long, v string")
-    path = FX.write_multiline_json(df, f"{tmp_dir}/ml", n_files=2)
-    rows = []
-    for f in glob.glob(f"{path}/_file=*/part-*"):
-        rows += json.load(open(f))  # each file is one JSON array
-    assert sorted((r["id"], r.get("v")) for r in rows) == [(1, "a"), (1, "a"), (2, "b"), (3, None)]
-
-
-def test_left_join_hot_right_equals_left_join(spark):
-    from geonest.operators.joins import left_join_hot_right
-
-    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n"), (4, "d"), (1, "a2")], "k long, lv string")
-    right = spark.createDataFrame([(1, "x"), (1, "y"), (1, "z"), (3, "w"), (None, "rn")], "rk long, rv string")
-    want = left.join(right, left["k"] == right["rk"], "left")
-    got = left_join_hot_right(left, right, "k", "rk")
-    assert sorted(want.columns) == sorted(got.columns)
-    cols = sorted(want.columns)
-    assert sorted(want.select(cols).collect(), key=repr) == sorted(got.select(cols).collect(), key=repr)
-
-
-def test_nest_children_drops_orphans(spark):
-    rows = spark.createDataFrame([(None, 1), (None, 2), (5, 3)], "p long, c long")
-    got = [(r.p, sorted(r.kids)) for r in FX.nest_children(rows, "p", ["c"], F.col("c"), "kids", 10).collect()]
-    assert got == [(5, [3])]
-
-
-def test_nest_children_bounds_by_weight(spark):
-    # parent 1: three children of weight 5 each -> 15 > 6, split into <= 3 parts
-    rows = spark.createDataFrame([(1, i, 5) for i in range(3)] + [(2, 0, 5)], "p long, c long, w long")
-    nested = FX.nest_children(rows, "p", ["c"], F.col("c"), "kids", max_children=6, weight=F.col("w")).collect()
-    parts1 = [r for r in nested if r.p == 1]
-    assert 1 < len(parts1) <= 3 and sorted(c for r in parts1 for c in r.kids) == [0, 1, 2]
-    assert [(r._part, r.kids) for r in nested if r.p == 2] == [(0, [0])]  # 5 <= 6: one part
-
-
-def test_left_join_hot_right_splits_a_hot_parent(spark):
-    from geonest.operators.joins import left_join_hot_right
+TS = FX.FIXED_RUN_TS
+
+
+@pytest.fixture(scope="module")
+def hot(spark):
+    """One customer with most orders, one order with most lines, and the
+    rare cases: no orders, no lines, HOUSEHOLD, null segment and keys."""
+    t = {}
+    t["region"] = spark.createDataFrame([(0, "R0")], "r_regionkey int, r_name string")
+    t["nation"] = spark.createDataFrame([(0, "N0", 0), (1, "N1", None)], "n_nationkey int, n_name string, n_regionkey int")
+    t["supplier"] = spark.createDataFrame([(1, 0), (2, 0), (3, 1)], "s_suppkey long, s_nationkey int")
+    cust = [(1, "hot", 0, "BUILDING", 1.5), (2, "none", 1, "AUTOMOBILE", -2.25), (3, "home", 0, "HOUSEHOLD", 0.0), (4, "few", 1, None, 9.0)]
+    t["customer"] = spark.createDataFrame(cust, "c_custkey long, c_name string, c_nationkey int, c_mktsegment string, c_acctbal double")
+    order = "o_orderkey long, o_custkey long, o_orderpriority string, o_orderstatus string, o_totalprice double"
+    t["orders"] = (
+        spark.range(30_000).selectExpr("id as o_orderkey", "1L as o_custkey", "'1-URGENT' as o_orderpriority", "if(id % 3 = 0, 'P', 'O') as o_orderstatus", "cast(id as double) as o_totalprice")
+        .union(spark.createDataFrame([(40_000, 4, "5-LOW", "F", 7.5), (40_001, 3, "5-LOW", "F", 1.0), (40_002, None, "5-LOW", "F", 1.0)], order))
+    )
+    line = "l_orderkey long, l_linenumber int, l_returnflag string, l_linestatus string, l_extendedprice double"
+    t["lineitem"] = (
+        spark.range(20_000).selectExpr("7L as l_orderkey", "cast(id as int) as l_linenumber", "if(id % 5 = 0, 'R', 'N') as l_returnflag", "if(id % 2 = 0, 'O', 'F') as l_linestatus", "id / 4 as l_extendedprice")
+        .union(spark.createDataFrame([(40_000, 1, "A", "F", 3.0), (40_000, 2, "N", "F", 3.0), (40_001, 1, "N", "F", 1.0), (None, 1, "N", "F", 1.0), (8, 3, "N", "F", 2.0)], line))
+    )
+    con = duckdb.connect()
+    for name, df in t.items():
+        con.register(name, df.toArrow())
+    docs = FX.location_docs_of(t["customer"], t["orders"], t["lineitem"], t["nation"], t["region"])
+    return t, docs.cache(), con
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def same_as(df, con, sql):
+    want = con.sql(sql)
+    cols = want.columns
+    assert sorted(df.columns) == sorted(cols)
+    assert rows_of(comparable(df).select(*cols)) == sorted(want.fetchall(), key=repr)
+
+
+@pytest.mark.parametrize("outer", [True, False])
+def test_a_hot_customer_and_order_equal_the_oracle_row_for_row(hot, outer):
+    _, docs, con = hot
+    same_as(flatten_cities(docs, outer=outer, run_ts=TS), con, cities_sql(outer))
+    same_as(flatten_states(docs, outer=outer, run_ts=TS), con, states_sql(outer))
+
+
+def test_countries_of_a_hot_customer_equal_the_oracle(hot):
+    t, docs, con = hot
+    population = t["supplier"].groupBy("s_nationkey").count().selectExpr("concat('A', s_nationkey) as Alpha_2", "concat('N', s_nationkey) as Alpha_3", "`count` as Population")
+    same_as(transform_countries(docs, population, run_ts=TS), con, COUNTRIES)
+
+
+def test_parts_bound_every_array(hot):
+    _, docs, _ = hot
+    size = docs.select(F.max(F.size("states")), F.max(F.expr("aggregate(states, 0, (m, s) -> greatest(m, size(s.cities)))"))).first()
+    # the hot order's entries all lie in one range of order keys: its entries, not its cities, add up
+    assert size[1] <= FX.CITIES_PER_PART
+    assert docs.where("id = 1").count() == -(-30_000 // FX.STATES_PER_PART)
+
+
+def test_with_children_pairs_and_childless(spark):
+    parents = spark.createDataFrame([(1,), (2,), (None,)], "k long")
+    children = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (3, "d")], "ck long, v string")
+    matched, childless = FX.with_children(parents, children, "k", "ck")
+    assert sorted(r.v for r in matched.collect()) == ["a", "b"]
+    assert sorted((r.k for r in childless.collect()), key=repr) == [2, None]
+
+
+def test_a_hot_parents_children_are_split_over_tasks(spark):
     from geonest.plans.explain import plan_text
 
     parents = spark.range(1000).select(F.col("id").alias("k"), F.lit("p").alias("pv"))
@@ -97,12 +104,26 @@ def test_left_join_hot_right_splits_a_hot_parent(spark):
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        out = left_join_hot_right(parents, children, "k", "ck").select("k", "payload")
-        rows = out.collect()
+        out = FX.with_children(parents, children, "k", "ck")[0].select("k", "payload")
+        assert out.count() == len(out.collect()) == 60_000
         plan = plan_text(out)
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    assert len(rows) == 60_000  # every child matches a parent
-    assert sum(1 for r in rows if r.k == 7) == sum(1 for i in range(60_000) if (7 if i % 3 == 0 else i % 1000) == 7)
-    assert "SortMergeJoin(skew=true)" in plan  # the hot parent's children are split over tasks
+    assert "SortMergeJoin(skew=true)" in plan
+
+
+def test_multiline_json_files_are_arrays(spark, tmp_dir):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (3, None)], "id long, v string")
+    path = FX.write_multiline_json(df, f"{tmp_dir}/ml", n_files=2)
+    rows = []
+    for f in glob.glob(f"{path}/_file=*/part-*"):
+        rows += json.load(open(f))  # each file is one JSON array
+    assert sorted((r["id"], r.get("v")) for r in rows) == [(1, "a"), (1, "a"), (2, "b"), (3, None)]
+
+
+def test_raw_files_are_sized_by_bytes_and_spread_a_hot_id(spark, tmp_dir):
+    df = spark.range(400).selectExpr("1L as id", "concat(id, repeat('x', 100)) as v")
+    path = FX.write_multiline_json(df, f"{tmp_dir}/ml", file_bytes=5_000)
+    sizes = [len(json.load(open(f))) for f in glob.glob(f"{path}/_file=*/part-*")]
+    assert sum(sizes) == 400 and len(sizes) >= 8 and max(sizes) < 100

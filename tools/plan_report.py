@@ -108,7 +108,7 @@ def write_frames(spark, sf: str):
     )
     yield "states by `country_code, state_code`", sink(flatten_states(docs, True, RUN_TS), S.PARTITIONING["states"])
     yield "cities by `country_code, state_code`", sink(
-        flatten_cities(docs, True, RUN_TS), S.PARTITIONING["cities_combined"]
+        flatten_cities(docs, True, RUN_TS), S.PARTITIONING["cities"]
     )
     articles, _ = news_articles(read_response_log(spark, _landed(spark, sf)))
     yield "news articles by `date, country, topic`", sink(articles, NEWS_PARTITIONS)
