@@ -72,9 +72,11 @@ def run_elt(
     catalog: str | None = None,
     run_ts=None,
     partition_by: dict[str, list[str]] | None = None,
+    replace: str = "full",
 ) -> DataFrame:
     """TR6: read preprocessed documents, transform ``dataset``, replace its
-    table(s), and return the validation checks of what was written."""
+    table(s), and return the validation checks of what was written.
+    ``partition_by`` (by table) and ``replace`` are passed to the sink."""
     run_ts = run_ts or new_run_ts()
     docs = read_parquet(spark, preprocess_data_path, S.COUNTRY)
     population = (
@@ -85,7 +87,8 @@ def run_elt(
         parts = (partition_by or {}).get(table, parts)
         S.assert_contract(frame, table)
         path = f"{location.rstrip('/')}/{table}" if location else None
-        name = write_table(frame, table, database, catalog, path, parts)
+        inputs = [p for p in (preprocess_data_path, population_data_path) if p]
+        name = write_table(frame, table, database, catalog, path, parts, replace=replace, input_paths=inputs)
         written = spark.table(name)
         c = validation_checks(written, table, KEYS[table])
         checks = c if checks is None else checks.unionByName(c)

@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def _norm(p: str) -> str:
-    return p.replace("file:", "").rstrip("/")
+    return re.sub(r"^file:/+", "/", p).rstrip("/")
+
+
+def overlap(a: str, b: str) -> bool:
+    """Whether one folder equals, holds or lies in the other."""
+    a, b = _norm(a) + "/", _norm(b) + "/"
+    return a.startswith(b) or b.startswith(a)
 
 
 def guard_partition_values(df: DataFrame, cols: list[str] | None) -> DataFrame:
@@ -46,9 +54,10 @@ def cluster_by(df: DataFrame, cols: list[str] | None) -> DataFrame:
 
 def write_parquet_overwrite(df: DataFrame, path: str, input_paths=()) -> str:
     """SK1: replace a Parquet folder. Refuses to overwrite one of its own
-    inputs (the job would delete what it is still reading)."""
-    if any(_norm(path) == _norm(p) for p in input_paths):
-        raise ValueError(f"output path {path} is also an input")
+    inputs, or a folder that holds or lies in one (the job would delete
+    what it is still reading)."""
+    if any(overlap(path, p) for p in input_paths):
+        raise ValueError(f"output path {path} overlaps an input")
     df.write.mode("overwrite").parquet(path)
     return path
 
