@@ -198,15 +198,21 @@ def response_log_frame(
     spark: SparkSession, sf_dir: str, requested_at: str = FIXED_RUN_TS
 ) -> DataFrame:
     """One landed response per page of <= 100 documents of a
-    (language, source) pair, as the RESPONSE_ENVELOPE schema.
-
-    Sources src3, src4 and src5 stand for a malformed body, a "no matches"
-    answer and an empty body; every other page is an ``ok`` response with
-    the documents as articles (whole texts).
+    (language, source) pair, as the RESPONSE_ENVELOPE schema. Pages are
+    requested on three successive days.
+
+    Sources src3, src4, src5, src7 and src8 stand for a malformed body, a "no
+    matches" answer, an empty body, a list and a cut body; every other page
+    is an ``ok`` response with the documents as articles (whole texts).
+    Articles have a ``title`` that no schema declares, and those of src6 an
+    id that is no number.
     """
     docs = table(spark, sf_dir, "documents")
+    number = F.col("doc_id").cast("string")
+    quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
     article = F.struct(
-        F.col("doc_id").alias("id"), F.col("text").alias("text"), F.col("n_chars").alias("n_chars")
+        F.parse_json(F.when(F.col("source") == "src6", quoted(F.concat(F.lit("d"), number))).otherwise(number)).alias("id"),
+        F.col("text").alias("text"), F.col("n_chars").alias("n_chars"), F.concat(F.lit("T"), number).alias("title"),
     )
     pages = docs.groupBy(
         "lang", "source", F.expr(f"doc_id div {K.NEWS_PAGE_SIZE}").alias("page")
@@ -219,20 +225,54 @@ def response_log_frame(
             F.to_json(F.struct(F.lit(K.NEWS_NO_MATCHES_STATUS).alias("status"))),
         )
         .when(F.col("source") == "src5", F.lit(""))
+        .when(F.col("source") == "src7", F.lit('[{"articles":[]}]'))
+        .when(F.col("source") == "src8", F.substring(ok_body, F.lit(1), F.length(ok_body) - 2))
         .otherwise(ok_body)
     )
     return pages.select(
         F.upper("lang").alias("country"),
         topic_of_source(F.col("source")).alias("topic"),
         F.col("page"),
-        F.lit(requested_at).cast("timestamp").alias("requested_at"),
+        (F.lit(requested_at).cast("timestamp") + F.make_dt_interval(days=(F.col("page") % 3).cast("int"))).alias("requested_at"),
         body.alias("body"),
+        (F.coalesce(F.col("source"), F.lit("")) == "src9").alias("cut_line"),
     )
 
 
 def land_responses(df: DataFrame, path: str) -> str:
-    """Write envelopes as JSON lines (splittable, one response per line)."""
-    df.write.mode("overwrite").json(path)
+    """Write envelopes as JSON lines (splittable, one response per line); a
+    ``cut_line`` loses its end."""
+    line = F.to_json(F.struct(*[c for c in df.columns if c != "cut_line"]))
+    cut = F.substring(line, F.lit(1), F.length(line) - 1)
+    df.select(F.when(F.col("cut_line"), cut).otherwise(line).alias("value")).write.mode("overwrite").text(path)
+    return path
+
+
+def land_plain_layout(articles: DataFrame, path: str) -> str:
+    """Articles in the original's plain folders
+    ``<api>/<yyyy>/<MM>/<dd>/<country>/<topic>/``: one partitioned write, whose
+    ``key=value`` folders then lose their keys (a rename per folder)."""
+    spark = articles.sparkSession
+    keys = ["_y", "_m", "_d", "_country", "_topic"]
+    day = F.split("date", "-")
+    placed = articles.select(
+        "*", *(day.getItem(i).alias(k) for i, k in enumerate(keys[:3])), F.col("country").alias("_country"), F.col("topic").alias("_topic")
+    ).drop("date", "country", "topic")
+    root = f"{path}/{K.NEWS_API_NAME}"
+    placed.hint("rebalance", *keys).write.mode("overwrite").partitionBy(*keys).parquet(root)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    level = [hadoop(root)]
+    for key in keys:
+        below = []
+        for folder in level:
+            for status in fs.listStatus(folder):
+                name = status.getPath().getName()
+                if name.startswith(f"{key}="):
+                    plain = hadoop(folder, name.split("=", 1)[1])
+                    fs.rename(status.getPath(), plain)
+                    below.append(plain)
+        level = below
     return path
 
 

@@ -6,6 +6,6 @@ from geonest.functions.scalars import (  # noqa: F401
     request_query_string,
     run_stamp,
     source_timestamp,
-    stamp_elements,
+    utc_date,
     to_float,
 )

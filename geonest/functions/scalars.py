@@ -37,16 +37,39 @@ def run_stamp(run_ts: str | _dt.datetime | None = None) -> Column:
     return F.lit(run_ts).cast("timestamp")
 
 
-def date_path(ts: Column | str) -> Column:
-    """FN5: a timestamp as a ``yyyy/MM/dd`` path segment."""
+_DAY = 86_400_000_000
+
+
+def _utc_micros(ts: Column | str) -> Column:
+    """Microseconds since 1970 in UTC, whatever the session's time zone; a
+    timestamp without a zone counts as UTC."""
     ts = F.col(ts) if isinstance(ts, str) else ts
-    return F.date_format(ts, "yyyy/MM/dd")
+    wall = F.concat(ts.cast("timestamp_ntz").cast("string"), F.lit("Z")).cast("timestamp")
+    return F.unix_micros(F.when(F.typeof(ts) == "timestamp_ntz", wall).otherwise(ts.cast("timestamp")))
+
+
+def utc_date(ts: Column | str) -> Column:
+    """The UTC date of a timestamp as ``yyyy-MM-dd``."""
+    day = F.floor(_utc_micros(ts) / F.lit(_DAY)).cast("int")
+    return F.date_from_unix_date(day).cast("string")
+
+
+def date_path(ts: Column | str) -> Column:
+    """FN5: the UTC date of a timestamp as a ``yyyy/MM/dd`` path segment."""
+    return F.replace(utc_date(ts), F.lit("-"), F.lit("/"))
 
 
 def iso_utc(ts: Column | str) -> Column:
-    """FN6: a UTC timestamp as an ISO-8601 string with a ``Z`` suffix."""
-    ts = F.col(ts) if isinstance(ts, str) else ts
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    """FN6: a timestamp in UTC as an ISO-8601 string with a ``Z`` suffix."""
+    of_day = F.pmod(_utc_micros(ts), F.lit(_DAY))
+
+    def part(unit: int, most: int, width: int) -> Column:
+        return F.lpad((F.floor(of_day / F.lit(unit)) % most).cast("string"), width, "0")
+
+    return F.concat(
+        utc_date(ts), F.lit("T"), part(3_600_000_000, 24, 2), F.lit(":"), part(60_000_000, 60, 2), F.lit(":"),
+        part(1_000_000, 60, 2), F.lit("."), part(1, 1_000_000, 6), F.lit("Z"),
+    )
 
 
 def quoted(c: Column | str) -> Column:
@@ -104,9 +127,3 @@ def news_storage_path(
     country = F.col(country) if isinstance(country, str) else country
     topic = F.col(topic) if isinstance(topic, str) else topic
     return F.concat_ws("/", F.lit(api_name), date_path(ts), country, topic, F.lit(file_name))
-
-
-def stamp_elements(arr: Column | str, field: str, value: Column) -> Column:
-    """FN11: add (or replace) ``field`` on every struct element of an array."""
-    arr = F.col(arr) if isinstance(arr, str) else arr
-    return F.transform(arr, lambda a: a.withField(field, value))

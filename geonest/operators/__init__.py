@@ -11,7 +11,6 @@ from geonest.operators.news import (  # noqa: F401
     classify_responses,
     explode_articles,
     parse_responses,
-    stamp_call_timestamp,
 )
 from geonest.operators.preview import filter_equals, top_n  # noqa: F401
 from geonest.operators.requests import (  # noqa: F401

@@ -31,9 +31,11 @@ def coverage_gaps(grid: DataFrame, seen: DataFrame) -> DataFrame:
 
 
 def sample_requests(grid: DataFrame, n: int = 1, seed: int = 0) -> DataFrame:
-    """SA1: a seeded uniform sample of ``n`` pairs (the reference draws one
-    unseeded). Top-n by a random key keeps at most ``n`` rows per task."""
-    return grid.withColumn("_r", F.rand(seed)).orderBy("_r").limit(n).drop("_r")
+    """SA1: a seeded sample of ``n`` pairs: those with the smallest md5 of seed
+    and pair, so it is the same however the grid is partitioned. Top-n keeps
+    at most ``n`` rows per task."""
+    pick = F.md5(F.concat(F.lit(str(seed)), F.lit("|"), F.coalesce("country", F.lit("")), F.lit("|"), F.coalesce("topic", F.lit(""))))
+    return grid.orderBy(pick, "country", "topic").limit(n)
 
 
 def build_requests(

@@ -104,42 +104,74 @@ SELECT '{table}', 'duplicate_keys', COUNT(*) FROM
 
 _TOPICS = "[" + ", ".join(f"'{t}'" for t in K.NEWS_TOPICS) + "]"
 TOPIC = f"({_TOPICS})[(TRY_CAST(regexp_extract(source, '(\\d+)$', 1) AS INTEGER) % {len(K.NEWS_TOPICS)}) + 1]"
-PAGE = f"CAST(doc_id // {K.NEWS_PAGE_SIZE} AS BIGINT)"
-OK_SOURCE = "source IS NULL OR source NOT IN ('src3', 'src4', 'src5')"
 CALL_TS = "'2024-01-01T00:00:00.000000Z'"
+PAGE = f"CAST(doc_id // {K.NEWS_PAGE_SIZE} AS BIGINT)"
+# The responses of these sources hold no articles (see the fixture); the
+# landed lines of src9 are cut, its files are not.
+OK_FILE = "source IS NULL OR source NOT IN ('src3', 'src4', 'src5', 'src7', 'src8')"
+OK_SOURCE = "source IS NULL OR source NOT IN ('src3', 'src4', 'src5', 'src7', 'src8', 'src9')"
+REQUESTED = f"TIMESTAMP '{FIXED_RUN_TS}' + to_days(CAST({PAGE} % 3 AS INTEGER))"
+ARTICLE = """CASE WHEN source IS DISTINCT FROM 'src6' THEN doc_id END AS id, text, n_chars,
+       CASE WHEN source = 'src6' THEN '"d' || doc_id || '"' END AS extra_id, '"T' || doc_id || '"' AS extra_title"""
 
 NEWS_ARTICLES = f"""
-SELECT upper(lang) AS country, {TOPIC} AS topic, {PAGE} AS page, doc_id AS id, text, n_chars,
-       {CALL_TS} AS call_timestamp
+SELECT upper(lang) AS country, {TOPIC} AS topic, {PAGE} AS page, {ARTICLE},
+       strftime({REQUESTED}, '%Y-%m-%dT%H:%M:%S.%fZ') AS call_timestamp
 FROM documents WHERE {OK_SOURCE}
 """
 
+_CLASS = """CASE WHEN source = 'src9' THEN 'corrupt_line' WHEN source = 'src5' THEN 'empty'
+            WHEN source IN ('src3', 'src8') THEN 'malformed'
+            WHEN source IN ('src4', 'src7') THEN 'no_articles' ELSE 'ok' END"""
+
 NEWS_CLASS = f"""
-SELECT upper(lang) AS country, {TOPIC} AS topic, {PAGE} AS page,
+SELECT CASE WHEN source IS DISTINCT FROM 'src9' THEN upper(lang) END AS country,
+       CASE WHEN source IS DISTINCT FROM 'src9' THEN {TOPIC} END AS topic,
+       CASE WHEN source IS DISTINCT FROM 'src9' THEN {PAGE} END AS page,
        CASE WHEN source = 'src4' THEN '{K.NEWS_NO_MATCHES_STATUS}'
-            WHEN source IN ('src3', 'src5') THEN NULL ELSE 'ok' END AS status,
-       CASE WHEN source = 'src5' THEN 'empty' WHEN source = 'src3' THEN 'malformed'
-            WHEN source = 'src4' THEN 'no_articles' ELSE 'ok' END AS response_class
+            WHEN source IN ('src3', 'src5', 'src7', 'src8', 'src9') THEN NULL ELSE 'ok' END AS status,
+       {_CLASS} AS response_class
 FROM documents GROUP BY lang, source, {PAGE}
 """
 
+NEWS_REJECTS = f"""
+SELECT country, topic, page, response_class, count(*) AS n FROM ({NEWS_CLASS}) c
+WHERE response_class <> 'ok' GROUP BY ALL
+"""
+
+NEWS_TABLE_ROWS = f"""
+SELECT a.*, substring(call_timestamp, 1, 10) AS date FROM ({NEWS_ARTICLES}) a
+"""
+
+# Countries of the reference list, and those of landed lines that can be read.
+GRID = f"""
+SELECT DISTINCT country, topic FROM (
+  SELECT 'A' || s_nationkey AS country FROM supplier
+  UNION SELECT upper(lang) FROM documents WHERE lang IS NOT NULL AND source IS DISTINCT FROM 'src9'
+) c, (SELECT unnest({_TOPICS}) AS topic) t
+"""
+
 COVERAGE_MISSING = f"""
-WITH c AS (SELECT DISTINCT upper(lang) AS country FROM documents),
-     t AS (SELECT unnest({_TOPICS}) AS topic),
-     seen AS (SELECT DISTINCT upper(lang) AS country, {TOPIC} AS topic FROM documents WHERE {OK_SOURCE})
-SELECT c.country, t.topic FROM c CROSS JOIN t
-WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.country = c.country AND s.topic = t.topic)
+SELECT g.country, g.topic FROM ({GRID}) g
+WHERE NOT EXISTS (
+  SELECT 1 FROM documents WHERE ({OK_SOURCE}) AND upper(lang) = g.country AND {TOPIC} = g.topic)
 """
 
-REQUEST_URLS = f"""
+
+def request_urls_sql(pairs: str) -> str:
+    return f"""
 SELECT country, topic, '"{K.NEWS_DEFAULT_QUERY}"' AS q, '{K.NEWS_DEFAULT_LANG}' AS lang,
        '{K.NEWS_SORT_BY}' AS sort_by, {K.NEWS_PAGE_SIZE} AS page_size, {K.NEWS_FIRST_PAGE} AS page,
        'search?q=%22{K.NEWS_DEFAULT_QUERY}%22&lang={K.NEWS_DEFAULT_LANG}&countries=' || country
        || '&topic=' || topic || '&sort_by={K.NEWS_SORT_BY}&page_size={K.NEWS_PAGE_SIZE}&page={K.NEWS_FIRST_PAGE}'
        AS full_url
-FROM ({COVERAGE_MISSING}) g
+FROM ({pairs}) g
 """
 
+
+REQUEST_URLS = request_urls_sql(COVERAGE_MISSING)
+RANDOM_REQUESTS = request_urls_sql(f"SELECT * FROM ({GRID}) g ORDER BY md5('7|' || country || '|' || topic), country, topic LIMIT 3")
+
 NEWS_PATHS = f"""
 SELECT event_id, concat_ws('/', '{K.NEWS_API_NAME}', strftime(ts, '%Y/%m/%d'), event_type,
                            CAST(user_id AS VARCHAR), '{K.NEWS_FILE_NAME}') AS path
@@ -148,12 +180,10 @@ FROM events
 
 ISO_TIMESTAMPS = "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS call_timestamp FROM events"
 
-NEWS_TABLE_ROWS = f"SELECT *, '{FIXED_RUN_TS[:10]}' AS date FROM ({NEWS_ARTICLES}) a"
-
 NEWS_FILES_ROWS = f"""
-SELECT upper(lang) AS country, {TOPIC} AS topic, CAST(NULL AS BIGINT) AS page, doc_id AS id, text, n_chars,
+SELECT upper(lang) AS country, {TOPIC} AS topic, CAST(NULL AS BIGINT) AS page, {ARTICLE},
        {CALL_TS} AS call_timestamp, '{FIXED_RUN_TS[:10]}' AS date
-FROM documents WHERE {OK_SOURCE}
+FROM documents WHERE {OK_FILE}
 """
 
 LOCATION_PIPELINE = " UNION ALL ".join(
@@ -190,10 +220,14 @@ ORACLE_SQL = {
     ),
     "validate_cities": checks_sql("cities", cities_sql(True), "city_id"),
     "population_duplicates": checks_sql("population", POPULATION_DUP, "Alpha_3"),
-    "country_codes": "SELECT 'A' || s_nationkey AS Alpha_2 FROM supplier GROUP BY s_nationkey",
+    "country_codes": "SELECT 'A' || s_nationkey AS Alpha_2 FROM supplier",
     "location_pipeline": LOCATION_PIPELINE,
     "news_articles": NEWS_ARTICLES,
     "news_class": NEWS_CLASS,
+    "news_rejects": NEWS_REJECTS,
+    "news_layout_read": NEWS_TABLE_ROWS,
+    "news_stream_then_load": f"{NEWS_TABLE_ROWS} UNION ALL {NEWS_TABLE_ROWS}",
+    "random_requests": RANDOM_REQUESTS,
     "coverage_missing": COVERAGE_MISSING,
     "request_urls": REQUEST_URLS,
     "news_paths": NEWS_PATHS,

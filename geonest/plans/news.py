@@ -2,26 +2,30 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from geonest import schemas as S
 from geonest.operators.news import articles_from_responses
 from geonest.sinks.files import append_partitioned
-from geonest.functions.scalars import run_stamp
+from geonest.functions.scalars import run_stamp, utc_date
 from geonest.plans.location import new_run_ts
 from geonest.sources.news import read_response_files, read_response_log
 
 NEWS_PARTITIONS = ["date", "country", "topic"]
 
 
-def news_articles(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
+def news_articles(responses: DataFrame, article: T.StructType = S.ARTICLE) -> tuple[DataFrame, DataFrame]:
     """Articles of ok responses, stamped with the request time, with a
     ``yyyy-MM-dd`` ``date`` key (a ``yyyy/MM/dd`` value would be escaped in
     a partition folder name); and the rejected responses."""
     articles, rejects = articles_from_responses(
-        responses, F.col("requested_at"), keep=("country", "topic", "page", "requested_at")
+        responses, F.col("requested_at"), keep=("country", "topic", "page", "requested_at"), article=article
     )
-    articles = articles.withColumn("date", F.date_format("requested_at", "yyyy-MM-dd")).drop("requested_at")
+    articles = articles.withColumn("date", utc_date("requested_at")).drop("requested_at")
     return articles, rejects
 
 
@@ -36,10 +40,12 @@ def file_envelopes(files: DataFrame, run_ts=None) -> DataFrame:
 
 
 def load_news(
-    spark: SparkSession, landing_path: str, table_path: str, landing: str = "log", run_ts=None
+    spark: SparkSession, landing_path: str, table_path: str, landing: str = "log", run_ts=None, article: T.StructType = S.ARTICLE
 ) -> DataFrame:
     """TR12: append the articles of every landed response under
-    ``date=/country=/topic=``; returns the rejected responses.
+    ``load=<id>/date=/country=/topic=``, a new load folder each time;
+    returns the rejected responses. ``article`` types the article fields;
+    others are kept in ``extra``.
 
     ``landing="log"``: JSON lines with request keys and time;
     ``landing="files"``: one body per ``<country>/<topic>/<file>``, stamped
@@ -50,6 +56,13 @@ def load_news(
         responses = file_envelopes(read_response_files(spark, landing_path), run_ts or new_run_ts())
     else:
         raise ValueError(f"landing must be 'log' or 'files', not {landing!r}")
-    articles, rejects = news_articles(responses)
-    append_partitioned(articles, table_path, NEWS_PARTITIONS)
+    articles, rejects = news_articles(responses, article)
+    append_partitioned(articles, load_folder(table_path, f"batch-{uuid.uuid4().hex}"), NEWS_PARTITIONS)
     return rejects
+
+
+def load_folder(table_path: str, load: str) -> str:
+    """The folder of one load of a news table. A load's files are its own, so
+    batch loads and streams can share a table, and a micro-batch that runs
+    again replaces just what it wrote."""
+    return f"{table_path.rstrip('/')}/load={load}"

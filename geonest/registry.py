@@ -24,7 +24,7 @@ from geonest.plans.news import load_news, news_articles
 from geonest.plans.validate import spot_check_sql, validation_checks
 from geonest.session import new_scratch_dir
 from geonest.sinks.catalog import read_contract, write_table
-from geonest.sources.news import read_news_table, read_response_log
+from geonest.sources.news import read_news_layout, read_news_table, read_response_log
 from geonest.sources.reference import country_codes
 from geonest.streaming.news_stream import run_news_stream_once
 
@@ -205,7 +205,8 @@ def q_population_duplicates(spark, sf):
 
 
 def q_country_codes(spark, sf):
-    return country_codes(FX.population_frame(spark, sf))
+    # one row per supplier, so codes repeat: duplicates are kept
+    return country_codes(FX.population_frame(spark, sf, unique=False))
 
 
 def q_location_pipeline(spark, sf):
@@ -218,6 +219,14 @@ def q_location_pipeline(spark, sf):
 # --- news queries --------------------------------------------------------------
 
 
+EXTRA_FIELDS = ("id", "title")
+
+
+def extra_columns(df: DataFrame) -> DataFrame:
+    """The article fields that no schema declares, or that did not fit, as columns of JSON text."""
+    return df.select("*", *(F.col("extra")[k].alias(f"extra_{k}") for k in EXTRA_FIELDS)).drop("extra")
+
+
 def _responses(spark, sf) -> DataFrame:
     return FX.response_log_frame(spark, sf)
 
@@ -231,7 +240,22 @@ def _landed(spark, sf) -> str:
 
 def q_news_articles(spark, sf):
     articles, _ = news_articles(read_response_log(spark, _landed(spark, sf)))
-    return articles.drop("date")
+    return extra_columns(articles.drop("date"))
+
+
+def q_news_rejects(spark, sf):
+    """FI2: rejected responses by request and class; a corrupt line has no request."""
+    _, rejects = news_articles(read_response_log(spark, _landed(spark, sf)))
+    return rejects.groupBy("country", "topic", "page", "response_class").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_news_layout_read(spark, sf):
+    """SC7 for the plain layout: keys parsed from the file paths."""
+    key = ("plain-layout", sf)
+    if key not in FX._materialised:
+        articles, _ = news_articles(read_response_log(spark, _landed(spark, sf)))
+        FX._materialised[key] = FX.land_plain_layout(articles, new_scratch_dir(spark, "plain-layout"))
+    return extra_columns(read_news_layout(spark, FX._materialised[key]))
 
 
 def q_news_files_load(spark, sf):
@@ -240,7 +264,7 @@ def q_news_files_load(spark, sf):
     run's load time (a file carries no request time or page)."""
     table = new_scratch_dir(spark, "news-files-table")
     load_news(spark, _landed_files(spark, sf), table, landing="files", run_ts=RUN_TS)
-    return read_news_table(spark, table, NEWS_TABLE)
+    return extra_columns(read_news_table(spark, table, NEWS_TABLE))
 
 
 def _landed_files(spark, sf) -> str:
@@ -258,7 +282,7 @@ def q_news_files_stream(spark, sf):
     ckpt = new_scratch_dir(spark, "news-files-stream-ckpt")
     run_news_stream_once(spark, landing, table, ckpt, landing="files", run_ts=RUN_TS)
     run_news_stream_once(spark, landing, table, ckpt, landing="files", run_ts=RUN_TS)
-    return read_news_table(spark, table, NEWS_TABLE)
+    return extra_columns(read_news_table(spark, table, NEWS_TABLE))
 
 
 def q_news_class(spark, sf):
@@ -269,7 +293,9 @@ def q_news_class(spark, sf):
 def _seen_and_gaps(spark, sf):
     responses = read_response_log(spark, _landed(spark, sf))
     articles, _ = news_articles(responses)
-    grid = request_grid(responses.select("country"))
+    # every country of the reference list (TR8), requested before or not
+    codes = country_codes(FX.population_frame(spark, sf)).union(responses.select("country").where("country is not null"))
+    grid = request_grid(codes.toDF("country"))
     return grid, coverage_gaps(grid, articles)
 
 
@@ -306,6 +332,7 @@ NEWS_TABLE = T.StructType(
         T.StructField("id", T.LongType()),
         T.StructField("text", T.StringType()),
         T.StructField("n_chars", T.LongType()),
+        T.StructField("extra", T.MapType(T.StringType(), T.StringType())),
         T.StructField("call_timestamp", T.StringType()),
         T.StructField("date", T.StringType()),
         T.StructField("country", T.StringType()),
@@ -319,7 +346,7 @@ def q_news_append_roundtrip(spark, sf):
     table = new_scratch_dir(spark, "news-table")
     load_news(spark, landing, table)
     load_news(spark, landing, table)  # append semantics: a second load adds rows
-    return read_news_table(spark, table, NEWS_TABLE)
+    return extra_columns(read_news_table(spark, table, NEWS_TABLE))
 
 
 def q_news_stream_append(spark, sf):
@@ -328,7 +355,16 @@ def q_news_stream_append(spark, sf):
     ckpt = new_scratch_dir(spark, "news-stream-ckpt")
     run_news_stream_once(spark, landing, table, ckpt)
     run_news_stream_once(spark, landing, table, ckpt)  # no new files: no new rows
-    return read_news_table(spark, table, NEWS_TABLE)
+    return extra_columns(read_news_table(spark, table, NEWS_TABLE))
+
+
+def q_news_stream_then_load(spark, sf):
+    """ST1 and TR12 on one table: streamed rows, then a batch load of the same landing."""
+    landing = _landed(spark, sf)
+    table = new_scratch_dir(spark, "news-mixed")
+    run_news_stream_once(spark, landing, table, new_scratch_dir(spark, "news-mixed-ckpt"))
+    load_news(spark, landing, table)
+    return extra_columns(read_news_table(spark, table, NEWS_TABLE))
 
 
 QUERIES = {
@@ -354,6 +390,8 @@ QUERIES = {
     "location_pipeline": q_location_pipeline,
     "news_articles": q_news_articles,
     "news_class": q_news_class,
+    "news_rejects": q_news_rejects,
+    "news_layout_read": q_news_layout_read,
     "news_files_load": q_news_files_load,
     "coverage_missing": q_coverage_missing,
     "request_urls": q_request_urls,
@@ -363,4 +401,5 @@ QUERIES = {
     "news_append_roundtrip": q_news_append_roundtrip,
     "news_stream_append": q_news_stream_append,
     "news_files_stream": q_news_files_stream,
+    "news_stream_then_load": q_news_stream_then_load,
 }

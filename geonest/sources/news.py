@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,14 +11,44 @@ from geonest import schemas as S
 
 def read_response_log(spark: SparkSession, path: str, schema: T.StructType = S.RESPONSE_ENVELOPE) -> DataFrame:
     """SC6: landed responses as JSON lines, one request per line
-    (``country, topic, page, requested_at, body``). Splittable."""
-    return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
+    (``country, topic, page, requested_at, body``). Splittable. A line that
+    is no such envelope keeps its text in ``corrupt_line``."""
+    return _log_options(spark.read, schema).json(path)
+
+
+def stream_response_log(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The same landing as a streaming source: each file is picked up once."""
+    reader = _log_options(spark.readStream, S.RESPONSE_ENVELOPE)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.json(path)
+
+
+def _log_options(reader, schema: T.StructType):
+    schema = T.StructType([*schema.fields, T.StructField("corrupt_line", T.StringType())])
+    return reader.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "corrupt_line")
 
 
 # The two folders above a landed file: ``<country>/<topic>/`` or the Hive
-# form ``country=<c>/topic=<t>/`` (the ``name=`` prefix is not part of the
-# value).
-_FILE_KEYS = r"(?:[^/=]+=)?([^/]+)/(?:[^/=]+=)?([^/]+)/[^/]+$"
+# form ``country=<c>/topic=<t>/``.
+_FILE_KEYS = r"([^/]+)/([^/]+)/[^/]+$"
+_HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
+
+
+def folder_value(name: Column) -> Column:
+    """The value that a folder of a file URI stands for: the URI's escapes are
+    taken off, and in the Hive form ``key=value`` also the key and the
+    value's own escapes; the name for null is null."""
+    plain = _unescape(name)
+    key = F.regexp_extract(plain, r"^[^=]+=(.*)$", 1)
+    hive = F.when(key == _HIVE_NULL, F.lit(None).cast("string")).otherwise(_unescape(key))
+    return F.when(plain.rlike(r"^[^=]+="), hive).otherwise(plain)
+
+
+def _unescape(c: Column) -> Column:
+    # url_decode would read + as a space; a % that begins no escape stays
+    safe = F.regexp_replace(F.replace(c, F.lit("+"), F.lit("%2B")), r"%(?![0-9A-Fa-f]{2})", "%25")
+    return F.url_decode(safe)
 
 
 def read_response_files(spark: SparkSession, path: str) -> DataFrame:
@@ -47,21 +77,23 @@ def stream_response_files(spark: SparkSession, path: str, max_files_per_trigger:
 def _response_file_keys(df: DataFrame) -> DataFrame:
     fp = F.col("_metadata.file_path")
     return df.select(
-        F.regexp_extract(fp, _FILE_KEYS, 1).alias("country"),
-        F.regexp_extract(fp, _FILE_KEYS, 2).alias("topic"),
+        folder_value(F.regexp_extract(fp, _FILE_KEYS, 1)).alias("country"),
+        folder_value(F.regexp_extract(fp, _FILE_KEYS, 2)).alias("topic"),
         F.col("value").alias("body"),
     )
 
 
 def read_news_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """SC7: the partitioned news table (``date=/country=/topic=``).
+    """SC7: the partitioned news table (``load=/date=/country=/topic=``, as
+    written by the batch load and the stream; the load folder is no column
+    of the result).
 
     With a schema the partition values keep their text type (otherwise
     ``2024-01-01`` would be read as a date and ``01`` as an integer)."""
     reader = spark.read
     if schema is not None:
-        reader = reader.schema(schema)
-    return reader.parquet(path)
+        reader = reader.schema(T.StructType([*schema.fields, T.StructField("load", T.StringType())]))
+    return reader.parquet(path).drop("load")
 
 
 def read_news_layout(spark: SparkSession, path: str) -> DataFrame:
@@ -75,6 +107,6 @@ def read_news_layout(spark: SparkSession, path: str) -> DataFrame:
         F.concat_ws(
             "-", F.regexp_extract(fp, pat, 1), F.regexp_extract(fp, pat, 2), F.regexp_extract(fp, pat, 3)
         ).alias("date"),
-        F.regexp_extract(fp, pat, 4).alias("country"),
-        F.regexp_extract(fp, pat, 5).alias("topic"),
+        folder_value(F.regexp_extract(fp, pat, 4)).alias("country"),
+        folder_value(F.regexp_extract(fp, pat, 5)).alias("topic"),
     )

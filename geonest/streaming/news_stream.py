@@ -1,19 +1,25 @@
 """Incremental news append with Structured Streaming (ST1).
 
 Landed response files are picked up once each (the checkpoint records
-which files were processed), parsed, exploded and appended as Parquet under
-``date=/country=/topic=``. Stateless: no watermark or state store.
+which files were processed), parsed, exploded and written as Parquet under
+``load=stream-<query>-<batch>/date=/country=/topic=``. Stateless: no
+watermark or state store. A micro-batch has a folder of its own, which a
+repeated run of it replaces; so every file is loaded once, and batch loads
+(``plans.news.load_news``) can write to the same table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+import json
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from geonest import schemas as S
-from geonest.plans.news import NEWS_PARTITIONS, file_envelopes, news_articles
-from geonest.sources.news import stream_response_files
+from geonest.plans.news import NEWS_PARTITIONS, file_envelopes, load_folder, news_articles
+from geonest.sinks.files import cluster_by, guard_partition_values
+from geonest.sources.news import stream_response_files, stream_response_log
 
 
 def start_news_stream(
@@ -26,7 +32,7 @@ def start_news_stream(
     max_files_per_trigger: int | None = None,
     landing: str = "log",
     run_ts=None,
-    salt: int = 1,
+    article: T.StructType = S.ARTICLE,
 ) -> StreamingQuery:
     """Start the incremental load.
 
@@ -34,52 +40,35 @@ def start_news_stream(
     per ``<country>/<topic>/`` file, stamped with ``run_ts`` or, without
     it, the time of the micro-batch that loads the file.
 
-    ``salt``: how many tasks may write one folder per micro-batch (see
-    below); 1 keeps one writer per folder."""
+    A micro-batch is written like a batch load: clustered by the folder
+    keys through a rebalance, so each task writes few folders, and a folder
+    with a large share of the rows is split over several tasks."""
     if landing == "log":
-        reader = spark.readStream.schema(S.RESPONSE_ENVELOPE).option("mode", "PERMISSIVE")
-        if max_files_per_trigger:
-            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-        responses = reader.json(landing_dir)
+        responses = stream_response_log(spark, landing_dir, max_files_per_trigger)
     elif landing == "files":
         responses = file_envelopes(stream_response_files(spark, landing_dir, max_files_per_trigger), run_ts)
     else:
         raise ValueError(f"landing must be 'log' or 'files', not {landing!r}")
-    articles, _ = news_articles(responses)
-    # Cluster by the folder keys, as the batch append does: each task
-    # writes few folders, instead of every task a file in every folder.
-    # The partition count is explicit (the session's shuffle partitions):
-    # in a micro-batch a rebalance or repartition without one was observed
-    # to shuffle into a single partition, i.e. one writer for the batch.
-    # Nothing splits a hot folder key at run time here (no adaptive skew
-    # handling in micro-batches): with salt > 1 the key also carries the
-    # input partition modulo salt (deterministic on retry), so a hot
-    # folder is spread over up to ``salt`` writers per batch.
-    # max_files_per_trigger bounds the batch itself.
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col(c) for c in NEWS_PARTITIONS]
-    if salt > 1:
-        articles = articles.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salt)))
-        articles = articles.repartition(n, *keys, F.col("_salt")).drop("_salt")
-    else:
-        articles = articles.repartition(n, *keys)
-    w = (
-        articles.writeStream.format("parquet")
-        .option("path", table_path)
-        .option("checkpointLocation", checkpoint_path)
-        .partitionBy(*NEWS_PARTITIONS)
-        .outputMode("append")
-    )
+    articles, _ = news_articles(responses, article)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        # the query's id is kept in its checkpoint, so it outlives restarts
+        query = json.loads(batch.sparkSession.read.text(f"{checkpoint_path}/metadata").first()[0])["id"]
+        rows = cluster_by(guard_partition_values(batch, NEWS_PARTITIONS), NEWS_PARTITIONS)
+        rows.write.mode("overwrite").partitionBy(*NEWS_PARTITIONS).parquet(load_folder(table_path, f"stream-{query}-{batch_id}"))
+
+    w = articles.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_path).outputMode("append")
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 minute")
     return w.start()
 
 
 def run_news_stream_once(
-    spark: SparkSession, landing_dir: str, table_path: str, checkpoint_path: str, landing: str = "log", run_ts=None
+    spark: SparkSession, landing_dir: str, table_path: str, checkpoint_path: str, landing: str = "log", run_ts=None,
+    article: T.StructType = S.ARTICLE,
 ) -> None:
     """Process every file landed so far, then stop."""
     q = start_news_stream(
-        spark, landing_dir, table_path, checkpoint_path, available_now=True, landing=landing, run_ts=run_ts
+        spark, landing_dir, table_path, checkpoint_path, available_now=True, landing=landing, run_ts=run_ts, article=article
     )
     q.awaitTermination()
     if q.exception() is not None:
