@@ -8,8 +8,8 @@ above the threshold is found. A passage goes on only
 
 1. if the maxima of its terms over all items add up to the threshold (the
    pivot of WAND),
-2. for the blocks of items whose maxima for its selective terms, with the
-   overall maxima of the others, do, and then
+2. for the blocks of items that hold one of its rarer terms and whose maxima
+   for these, with the overall maxima of its common terms, do, and then
 3. whose maxima for all of its terms do (block-max WAND).
 
 Only the items of such blocks are scored. A hit counts if both the question
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -56,86 +57,89 @@ def plain_words(text: bytes) -> list[bytes]:
     return text.lower().translate(_TABLE).split()
 
 
+def _spans(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers start .. start + count - 1 of each, one after another."""
+    return np.repeat(start - (np.cumsum(count) - count), count) + np.arange(count.sum())
+
+
 class Index:
-    """A block-max index of units: (unit words, item number) with the
-    collection's document frequencies, size and mean length."""
+    """A block-max index of units (lists of words) with the collection's
+    document frequencies, size and mean length.
+
+    Terms are numbered by falling number of blocks that hold them, so a
+    passage's sorted terms come the most common first."""
 
     def __init__(self, units: list[list[bytes]], df: dict[bytes, int], n_units: int, mean: float):
-        self.terms: dict[bytes, int] = {}
-        self.unit_terms, self.unit_weights = [], []
-        for words in units:
-            count: dict[int, int] = {}
+        self.n_blocks = -(-len(units) // BLOCK)
+        held: dict[bytes, set[int]] = {}
+        for u, words in enumerate(units):
             for w in words:
-                t = self.terms.setdefault(w, len(self.terms))
-                count[t] = count.get(t, 0) + 1
-            self.unit_terms.append(count)
-        names = list(self.terms)
+                held.setdefault(w, set()).add(u // BLOCK)
+        names = sorted(held, key=lambda w: (-len(held[w]), w))
+        self.terms = {w: t for t, w in enumerate(names)}
         idf = np.array([np.log(1 + (n_units - df[w] + 0.5) / (df[w] + 0.5)) for w in names])
         rows = []
-        for u, count in enumerate(self.unit_terms):
-            t = np.fromiter(count, np.int64, len(count))
-            tf = np.fromiter(count.values(), np.float64, len(count))
+        for u, words in enumerate(units):
+            t, tf = np.unique([self.terms[w] for w in words], return_counts=True)
             weight = idf[t] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * tf.sum() / mean))
-            order = np.argsort(t)
-            self.unit_terms[u], weight = t[order], weight[order] / max(weight.sum(), 1e-12)
-            self.unit_weights.append(weight)
-            rows.append((t[order], np.full(len(t), u), weight))
-        n = len(names)
-        t, u, w = (np.concatenate(c) for c in zip(*rows, strict=True))
-        self.maximum = np.zeros(n)
-        np.maximum.at(self.maximum, t, w)
-        self.n_blocks = -(-len(units) // BLOCK)
-        # postings by term: the blocks that hold it, with its largest weight there
-        key, at = np.unique(t * self.n_blocks + u // BLOCK, return_inverse=True)
-        largest = np.zeros(len(key))
-        np.maximum.at(largest, at, w)
-        self.post_block, self.post_max = key % self.n_blocks, largest
-        self.post_count = np.bincount(key // self.n_blocks, minlength=n)
+            rows.append((t, np.full(len(t), u), weight / max(weight.sum(), 1e-12)))
+        # forward index: each unit's terms and weights
+        self.unit_term, unit, self.unit_weight = (np.concatenate(c) for c in zip(*rows, strict=True))
+        self.unit_count = np.bincount(unit, minlength=len(units))
+        self.unit_start = np.cumsum(self.unit_count) - self.unit_count
+        self.maximum = np.zeros(len(names))
+        np.maximum.at(self.maximum, self.unit_term, self.unit_weight)
+        # postings: each term's blocks and its largest weight in them
+        self.post_key, at = np.unique(self.unit_term * self.n_blocks + unit // BLOCK, return_inverse=True)
+        self.post_max = np.zeros(len(self.post_key))
+        np.maximum.at(self.post_max, at, self.unit_weight)
+        self.post_count = np.bincount(self.post_key // self.n_blocks, minlength=len(names))
         self.post_start = np.cumsum(self.post_count) - self.post_count
-        self.selective = self.post_count <= max(2, self.n_blocks // 16)
-
-    def block_max(self, terms: np.ndarray, block: int) -> float:
-        total = 0.0
-        for t in terms:
-            lo = self.post_start[t]
-            at = lo + np.searchsorted(self.post_block[lo:lo + self.post_count[t]], block)
-            if at < lo + self.post_count[t] and self.post_block[at] == block:
-                total += self.post_max[at]
-        return total
 
     def search(self, window: np.ndarray, term: np.ndarray, n_windows: int, threshold: float) -> list[tuple[int, int, float]]:
         """All (window, unit, score) at or above ``threshold``; (window, term)
         are distinct and sorted."""
-        least = threshold - 1e-9
-        reach = np.bincount(window, self.maximum[term], n_windows)
-        keep = reach[window] >= least  # the pivot test
-        window, term = window[keep], term[keep]
+        least, n_blocks = threshold - 1e-9, self.n_blocks
+        top = self.maximum[term]
+        keep = np.bincount(window, top, n_windows)[window] >= least  # the pivot test
+        window, term, top = window[keep], term[keep], top[keep]
         if not len(window):
             return []
-        chosen = self.selective[term]
-        common = np.bincount(window[~chosen], self.maximum[term[~chosen]], n_windows)
-        w, t = window[chosen], term[chosen]
-        n = self.post_count[t]
-        at = np.repeat(self.post_start[t] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        pair, where = np.unique(np.repeat(w, n) * self.n_blocks + self.post_block[at], return_inverse=True)
+        count = np.bincount(window, minlength=n_windows)
+        start = np.cumsum(count) - count
+        # the most common terms, as far as their maxima stay below half the threshold, open no block
+        run = np.cumsum(top)
+        run -= (run - top)[start[window]]
+        common = run <= threshold / 2
+        shared = np.bincount(window[common], top[common], n_windows)
+        n_common = np.bincount(window[common], minlength=n_windows)
+        rare = ~common
+        n = self.post_count[term[rare]]
+        at = _spans(self.post_start[term[rare]], n)
+        pair, where = np.unique(np.repeat(window[rare], n) * n_blocks + self.post_key[at] % n_blocks, return_inverse=True)
         bound = np.bincount(where, self.post_max[at], len(pair))
-        pair = pair[bound + common[pair // self.n_blocks] >= least]
-        # a window whose other terms alone reach the threshold is checked against all blocks
-        free = np.flatnonzero(common >= least)
-        if len(free):
-            pair = np.unique(np.concatenate([pair, (free[:, None] * self.n_blocks + np.arange(self.n_blocks)).ravel()]))
-        start = np.searchsorted(window, np.arange(n_windows + 1))
-        out = []
-        for p in pair.tolist():
-            win, block = divmod(p, self.n_blocks)
-            own = term[start[win]:start[win + 1]]
-            if self.block_max(own, block) < least:
-                continue
-            for u in range(block * BLOCK, min(len(self.unit_terms), (block + 1) * BLOCK)):
-                score = float(self.unit_weights[u][np.isin(self.unit_terms[u], own, assume_unique=True)].sum())
-                if score >= least:
-                    out.append((win, u, score))
-        return out
+        good = bound + shared[pair // n_blocks] >= least
+        pair, bound = pair[good], bound[good]
+        # the common terms' own maxima in the blocks that are left
+        win, block = pair // n_blocks, pair % n_blocks
+        owner = np.repeat(np.arange(len(pair)), n_common[win])
+        key = term[_spans(start[win], n_common[win])] * n_blocks + block[owner]
+        at = np.minimum(np.searchsorted(self.post_key, key), len(self.post_key) - 1)
+        bound += np.bincount(owner, np.where(self.post_key[at] == key, self.post_max[at], 0.0), len(pair))
+        good = bound >= least
+        win, block = win[good], block[good]
+        # full scores of the units of these blocks
+        last = np.minimum((block + 1) * BLOCK, len(self.unit_count))
+        unit = _spans(block * BLOCK, last - block * BLOCK)
+        win = np.repeat(win, last - block * BLOCK)
+        owner = np.repeat(np.arange(len(unit)), self.unit_count[unit])
+        at = _spans(self.unit_start[unit], self.unit_count[unit])
+        held = window << 32 | term
+        key = win[owner] << 32 | self.unit_term[at]
+        found = held[np.minimum(np.searchsorted(held, key), len(held) - 1)] == key
+        score = np.bincount(owner, np.where(found, self.unit_weight[at], 0.0), len(unit))
+        good = score >= least
+        return list(zip(win[good].tolist(), unit[good].tolist(), score[good].tolist(), strict=True))
 
 
 def passages(ids: list[np.ndarray], stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -186,7 +190,7 @@ def _search(items: Items, threshold: float, question: float, answer: float):
     known = items.index.terms
 
     def search(docs: list[list[bytes]]) -> list[tuple[int, int, float, float, float, int]]:
-        ids = [np.fromiter((known.get(w, -1) for w in ws), np.int64, len(ws)) for ws in docs]
+        ids = [np.fromiter(map(known.get, ws, repeat(-1)), np.int64, len(ws)) for ws in docs]
         window, term, doc, first = passages(ids)
         best: dict[tuple[int, int], tuple[float, list[int]]] = {}
         for win, unit, score in items.index.search(window, term, len(doc), threshold):
