@@ -14,7 +14,7 @@ from geonest.operators.flatten import flatten_cities, flatten_states
 from geonest.plans.validate import validation_checks
 from geonest.sinks.catalog import write_table
 from geonest.sinks.files import write_parquet_overwrite
-from geonest.sources.json import read_multiline_json
+from geonest.sources.json import read_json_lines, read_multiline_json, undeclared_schema
 from geonest.sources.parquet import read_parquet
 
 log = logging.getLogger(__name__)
@@ -29,11 +29,19 @@ def new_run_ts() -> str:
 
 
 def convert_json_to_parquet(
-    spark: SparkSession, raw_data_path: str, preprocess_data_path: str, schema=None, mode: str = "FAILFAST"
+    spark: SparkSession, raw_data_path: str, preprocess_data_path: str, schema=None, mode: str = "FAILFAST",
+    lines: bool = False, declared_only: bool = False,
 ) -> str:
-    """TR5: multi-line JSON documents to Parquet (full replace). Errors
-    propagate, so later steps never run on stale output."""
-    df = read_multiline_json(spark, raw_data_path, schema, mode)
+    """TR5: JSON documents to Parquet (full replace). Errors propagate, so
+    later steps never run on stale output.
+
+    ``schema`` gives declared fields their types; fields it does not declare
+    are kept with inferred types (one more pass over the input), unless
+    ``declared_only``. ``lines``: one document per line, which Spark can
+    split, instead of whole-file JSON."""
+    if schema is not None and not declared_only:
+        schema = undeclared_schema(spark, raw_data_path, schema, multiline=not lines)
+    df = (read_json_lines if lines else read_multiline_json)(spark, raw_data_path, schema, mode)
     write_parquet_overwrite(df, preprocess_data_path, input_paths=[raw_data_path])
     log.info("converted %s to %s", raw_data_path, preprocess_data_path)
     return preprocess_data_path

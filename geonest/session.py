@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -20,8 +19,8 @@ PROFILE = {
 }
 
 
-# Extra settings for a large shared cluster, applied by build_session when
-# it creates a session on a non-local master (or pass them at submit time).
+# Runtime settings for a large shared cluster, applied by build_session on
+# a session whose master is not local, unless the submitter set them.
 # Post-shuffle partitions are sized by bytes rather than spread over as
 # many cores as possible, and scans read larger splits: at ~100 TB this
 # keeps task counts in the hundreds of thousands, not millions.
@@ -31,24 +30,10 @@ CLUSTER_PROFILE = {
     "spark.sql.files.maxPartitionBytes": "256m",
 }
 
-PARTITION_BYTES = 256 * 1024 * 1024
 
-
-def shuffle_partitions_for(input_bytes: int, cores: int = 1, partition_bytes: int = PARTITION_BYTES) -> int:
-    """Initial shuffle partition count for ``input_bytes`` of input: about
-    ``partition_bytes`` per partition, at least one per core. Adaptive
-    execution coalesces small partitions at run time, so erring high costs
-    little, while too few partitions spill."""
-    return max(1, cores, -(-int(input_bytes) // partition_bytes))
-
-
-def size_for_input(spark: SparkSession, input_bytes: int) -> int:
-    """Set the session's shuffle partition count (and AQE's initial count)
-    for a job reading ``input_bytes``; returns the count."""
-    n = shuffle_partitions_for(input_bytes, spark.sparkContext.defaultParallelism)
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
-    return n
+def _is_local(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def build_session(
@@ -59,19 +44,22 @@ def build_session(
 ) -> SparkSession:
     """Return a session with the profile applied.
 
-    An existing session is reused (its static settings are kept); only the
-    runtime SQL settings of the profile are applied to it.
+    A session that exists already is reused; its static settings stay as
+    they are, and only the runtime settings of the profile and of ``conf``
+    are applied. On a cluster -- whatever named its master -- it also gets
+    ``CLUSTER_PROFILE``, except where the submitter chose a value.
     """
     if spark is None:
         builder = SparkSession.builder.appName(app_name)
         if master:
             builder = builder.master(master)
-        cluster = CLUSTER_PROFILE if master and not master.startswith("local") else {}
-        for k, v in {**PROFILE, **cluster, "spark.ui.enabled": "false", **(conf or {})}.items():
+        for k, v in {**PROFILE, "spark.ui.enabled": "false", **(conf or {})}.items():
             builder = builder.config(k, v)
         spark = builder.getOrCreate()
-    for k, v in {**PROFILE, **(conf or {})}.items():
-        if k.startswith("spark.sql."):
+    chosen = {k for k, _ in spark.sparkContext.getConf().getAll()}
+    cluster = {} if _is_local(spark) else {k: v for k, v in CLUSTER_PROFILE.items() if k not in chosen}
+    for k, v in {**PROFILE, **cluster, **(conf or {})}.items():
+        if spark.conf.isModifiable(k):
             spark.conf.set(k, v)
     # Listing many paths (partition folders, files a stream picks up) runs
     # as a Spark job with one task per path, up to 10,000. A few tasks per
@@ -79,36 +67,35 @@ def build_session(
     # one-stat tasks; never more than Spark's own cap. Kept when the user
     # set it.
     key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
-    if not spark.sparkContext.getConf().contains(key) and key not in (conf or {}):
+    if key not in chosen and key not in (conf or {}):
         spark.conf.set(key, str(min(10_000, max(32, 4 * spark.sparkContext.defaultParallelism))))
     return spark
 
 
+_local_roots: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set (a machine-local folder is not visible to
     other executors). Only a local-mode session without the setting gets a
-    fresh temp folder, as in tests.
+    fresh temp folder of its own, as in tests; its settings stay untouched.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if not _is_local(spark):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        root = tempfile.mkdtemp(prefix="geonest-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        root = _local_roots.setdefault(app, "") or tempfile.mkdtemp(prefix="geonest-ckpt-")
+        _local_roots[app] = root
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
 def new_scratch_dir(spark: SparkSession, prefix: str) -> str:
-    """A fresh, never reused folder under the shared checkpoint root."""
-    root = checkpoint_root(spark)
-    path = f"{root}/geonest/{prefix}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path and not path.startswith("file:"):
-        os.makedirs(path, exist_ok=True)
-    return path
+    """The name of a fresh, never reused folder under the shared checkpoint
+    root. The folder is made by whoever writes to it, in the file system
+    that the path belongs to."""
+    return f"{checkpoint_root(spark)}/geonest/{prefix}-{uuid.uuid4().hex[:12]}"

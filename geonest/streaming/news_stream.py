@@ -55,7 +55,16 @@ def start_news_stream(
         # the query's id is kept in its checkpoint, so it outlives restarts
         query = json.loads(batch.sparkSession.read.text(f"{checkpoint_path}/metadata").first()[0])["id"]
         rows = cluster_by(guard_partition_values(batch, NEWS_PARTITIONS), NEWS_PARTITIONS)
-        rows.write.mode("overwrite").partitionBy(*NEWS_PARTITIONS).parquet(load_folder(table_path, f"stream-{query}-{batch_id}"))
+        writer = rows.write.mode("overwrite").partitionBy(*NEWS_PARTITIONS)
+        # a stream's session has adaptive execution off; this write is a batch
+        # job of its own and needs it to split a hot folder
+        conf, key = batch.sparkSession.conf, "spark.sql.adaptive.enabled"
+        before = conf.get(key)
+        conf.set(key, "true")
+        try:
+            writer.parquet(load_folder(table_path, f"stream-{query}-{batch_id}"))
+        finally:
+            conf.set(key, before)
 
     w = articles.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_path).outputMode("append")
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 minute")

@@ -27,4 +27,6 @@ def spark():
 def tmp_dir(spark):
     from geonest.session import new_scratch_dir
 
-    return new_scratch_dir(spark, "test")
+    path = new_scratch_dir(spark, "test")
+    os.makedirs(path.replace("file:", ""))
+    return path

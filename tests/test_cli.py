@@ -60,3 +60,28 @@ def test_pipeline_command(spark, tmp_dir, capsys):
     got = {(r.country_code, r.population) for r in spark.table("geonest_cli_pipe.countries").collect()}
     assert got == {("NGA", 5), ("GHA", None)}
     assert spark.table("geonest_cli_pipe.cities").count() == 2
+
+
+def test_convert_keeps_undeclared_fields(spark, tmp_dir):
+    raw = f"{tmp_dir}/raw"
+    state = {**DOC["states"][0], "motto": "m"}
+    write_doc_file(raw, [{**DOC, "wiki": {"id": 5}, "states": [state]}, {**DOC, "id": 2}])
+    for flags, kept in ((["--output_path", f"{tmp_dir}/all"], True), (["--output_path", f"{tmp_dir}/few", "--declared_only"], False)):
+        assert main(["convert", "--input_path", raw, *flags], spark=spark) == 0
+        df = spark.read.parquet(flags[1])
+        assert ("wiki" in df.columns) == kept and ("motto" in df.schema["states"].dataType.elementType.names) == kept
+        assert dict(df.dtypes)["latitude"] == "string" and df.count() == 2
+    row = spark.read.parquet(f"{tmp_dir}/all").where("id = 1").first()
+    assert row.wiki.id == 5 and row.states[0].motto == "m"
+
+
+def test_convert_lines_and_elt_options(spark, tmp_dir):
+    raw, pre = f"{tmp_dir}/lines", f"{tmp_dir}/pre"
+    spark.createDataFrame([(json.dumps(DOC),), (json.dumps({**DOC, "id": 2}),)], "value string").write.text(raw)
+    assert main(["convert", "--input_path", raw, "--output_path", pre, "--lines"], spark=spark) == 0
+    args = ["elt", "--dataset", "cities", "--preprocess_data_path", pre, "--location", f"{tmp_dir}/t", "--database", "geonest_cli_opt",
+            "--partition_by", "cities=country_code,city_name", "--replace", "swap"]
+    assert main(args, spark=spark) == 0
+    assert spark.table("geonest_cli_opt.cities").count() == 2
+    physical = [t.name for t in spark.catalog.listTables("geonest_cli_opt") if t.name.startswith("cities__")]
+    assert spark.sql(f"SHOW PARTITIONS geonest_cli_opt.{physical[0]}").first()[0] == "country_code=NGA/city_name=Ikeja"

@@ -74,19 +74,103 @@ def test_grid_gaps_and_urls(spark):
     assert u == "search?q=%22hello+world%22&lang=en&countries=US&topic=news&sort_by=rank&page_size=100&page=1"
 
 
-def test_sample_is_seeded_and_bounded(spark):
-    countries = spark.createDataFrame([(f"C{i}",) for i in range(30)], "country string")
+def test_sample_does_not_depend_on_partitioning(spark):
+    countries = spark.createDataFrame([(f"C{i}",) for i in range(30)] + [(None,)], "country string")
     grid = request_grid(countries)
-    a = [tuple(r) for r in sample_requests(grid, 5, seed=3).collect()]
-    b = [tuple(r) for r in sample_requests(grid, 5, seed=3).collect()]
-    assert a == b and len(a) == 5
+    picked = {tuple(tuple(r) for r in sample_requests(grid.repartition(n), 5, seed=3).collect()) for n in (1, 3, 16)}
+    assert len(picked) == 1 and len(next(iter(picked))) == 5
+    assert [tuple(r) for r in sample_requests(grid, 5, seed=4).collect()] not in [list(p) for p in picked]
 
 
 def test_body_parsed_once(spark):
     from geonest.plans.explain import plan_text
 
     arts, _ = articles_from_responses(responses(spark))
-    assert plan_text(arts, "simple").count("from_json(") == 1
+    assert plan_text(arts, "simple").lower().count("parsejson(") == 1
+
+
+BODIES = {
+    "mistyped": '{"status":"ok","articles":[{"id":"abc","text":"t","n_chars":1},{"id":2,"text":["x"],"n_chars":"3"}]}',
+    "unknown": '{"status":"ok","articles":[{"id":1,"title":"T","tags":["a",1],"text":null}],"more":1}',
+    "list": '[{"articles":[]}]', "value": "7", "text": '"articles"', "no_list": '{"articles":{"id":1}}', "null": '{"articles":null}',
+    "cut": '{"status":"ok","articles":[{"id":1', "spaces": "  ", "none": '{"articles":[]}', "odd": '{"articles":[null,3,{"id":4}]}',
+}
+
+
+def test_a_response_is_in_one_class_and_only_ok_ones_have_articles(spark):
+    df = spark.createDataFrame([("C", k, 0, v) for k, v in BODIES.items()], "country string, topic string, page long, body string")
+    df = df.withColumn("requested_at", F.lit("2024-01-01").cast("timestamp"))
+    classes = {r.topic: r.response_class for r in classify_responses(parse_responses(df)).collect()}
+    ok = {"mistyped", "unknown", "none", "odd"}
+    assert {k for k, c in classes.items() if c == "ok"} == ok
+    assert {k for k, c in classes.items() if c == "malformed"} == {"cut", "spaces"}
+    assert {k for k, c in classes.items() if c == "no_articles"} == {"list", "value", "text", "no_list", "null"}
+    arts, rejects = articles_from_responses(df)
+    assert {r.topic for r in rejects.collect()} == set(BODIES) - ok
+    rows = sorted(((r.topic, r.id, r.text, r.n_chars, r.extra) for r in arts.collect()), key=repr)
+    assert rows == sorted([
+        ("mistyped", None, "t", 1, {"id": '"abc"'}), ("mistyped", 2, '["x"]', 3, {}),
+        ("unknown", 1, None, None, {"title": '"T"', "tags": '["a",1]'}),
+        ("odd", None, None, None, None), ("odd", None, None, None, None), ("odd", 4, None, None, {}),
+    ], key=repr)
+
+
+def test_callers_article_schema_reaches_the_table(spark, tmp_dir):
+    from pyspark.sql import types as T
+
+    from geonest.plans.news import load_news
+    from geonest.sources.news import read_news_table
+
+    df = spark.createDataFrame([("DE", "tech", BODIES["unknown"])], "country string, topic string, body string")
+    df.selectExpr("country", "topic", "0L as page", "timestamp'2024-05-06 00:00:00' as requested_at", "body").write.json(f"{tmp_dir}/landing")
+    load_news(spark, f"{tmp_dir}/landing", f"{tmp_dir}/table", article=T.StructType.fromDDL("id bigint, title string"))
+    r = read_news_table(spark, f"{tmp_dir}/table").collect()[0]
+    assert (r.id, r.title, r.extra["tags"], "text" in r.extra) == (1, "T", '["a",1]', True)
+
+
+def test_corrupt_landing_lines_are_rejected_with_their_text(spark, tmp_dir):
+    from geonest.plans.news import news_articles
+    from geonest.sources.news import read_response_log
+
+    good = json.dumps({"country": "DE", "topic": "tech", "page": 0, "requested_at": "2024-01-01T00:00:00Z", "body": OK_BODY})
+    with open(f"{tmp_dir}/l.json".replace("file:", ""), "w") as f:
+        f.write(good + "\n" + good[:-5] + "\n")
+    arts, rejects = news_articles(read_response_log(spark, tmp_dir))
+    assert arts.count() == 2
+    assert [(r.response_class, r.corrupt_line) for r in rejects.collect()] == [("corrupt_line", good[:-5])]
+
+
+def test_folder_values_are_decoded(spark, tmp_dir):
+    from geonest.sources.news import read_news_layout, read_response_files
+
+    values = ["real estate", "a:b", "50%", "x+y", "é/".strip("/"), "k=v", None]
+    df = spark.createDataFrame([(v, "news", "{}") for v in values], "country string, topic string, body string")
+    df.write.partitionBy("country", "topic").text(f"{tmp_dir}/hive")
+    assert sorted((r.country for r in read_response_files(spark, f"{tmp_dir}/hive").collect()), key=repr) == sorted(values, key=repr)
+    for v in ("real estate", "50%", "x+y"):  # plain folders are not escaped
+        spark.range(1).write.parquet(f"{tmp_dir}/plain/api/2024/03/04/{v}/tech")
+    got = {r.country for r in read_news_layout(spark, f"{tmp_dir}/plain").collect()}
+    assert got == {"real estate", "50%", "x+y"}
+
+
+def test_utc_functions_under_two_session_zones(spark):
+    from geonest.functions.scalars import utc_date
+
+    got = set()
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.range(1).selectExpr(
+                "timestamp_micros(1704067200000001) t", "timestamp_ntz'2024-03-10 02:30:00.5' n", "timestamp_micros(-1) old", "cast(null as timestamp) none"
+            )
+            got.add(tuple(df.select(*(iso_utc(c) for c in df.columns), *(date_path(c) for c in df.columns), utc_date("t")).collect()[0]))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == {(
+        "2024-01-01T00:00:00.000001Z", "2024-03-10T02:30:00.500000Z", "1969-12-31T23:59:59.999999Z", None,
+        "2024/01/01", "2024/03/10", "1969/12/31", None, "2024-01-01",
+    )}
 
 
 def test_form_encoding_matches_python_urlencode(spark):

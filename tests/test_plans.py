@@ -60,22 +60,6 @@ def test_swap_publishes_view_and_prunes(spark, tmp_dir):
     assert "PartitionFilters: [isnotnull(p" in plan_text(view.filter(F.col("p") == "X"))
 
 
-def test_shuffle_partitions_sized_by_volume(spark):
-    from geonest.session import PARTITION_BYTES, shuffle_partitions_for, size_for_input
-
-    assert shuffle_partitions_for(0, cores=8) == 8
-    assert shuffle_partitions_for(100 * 2**40, cores=8000) == 100 * 2**40 // PARTITION_BYTES  # 409,600 at 100 TiB
-    assert shuffle_partitions_for(PARTITION_BYTES + 1, cores=1) == 2
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        n = size_for_input(spark, 10 * PARTITION_BYTES)
-        assert n == max(10, spark.sparkContext.defaultParallelism)
-        assert spark.conf.get("spark.sql.shuffle.partitions") == str(n)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
-
-
 def test_full_replace_registers_only_new_partitions(spark, tmp_dir):
     df = spark.createDataFrame([(1, "X"), (2, "Y")], "id long, p string")
     write_table(df, "t_full", "geonest_test", path=f"{tmp_dir}/full", partition_by=["p"])

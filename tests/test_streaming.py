@@ -80,23 +80,53 @@ def test_backlog_in_several_micro_batches(spark, tmp_dir):
     assert sorted(r.id for r in spark.read.parquet(table).collect()) == sorted(10 * i + j for i in range(5) for j in range(2))
 
 
-def test_salted_stream_spreads_a_hot_folder(spark, tmp_dir):
+def test_a_hot_folder_is_written_by_several_tasks(spark, tmp_dir):
     import glob
+    import random
+
+    landing, table = f"{tmp_dir}/files", f"{tmp_dir}/table"
+    for i in range(12):  # nearly all articles in one folder, NG/tech
+        text = random.Random(i).randbytes(10_000).hex()
+        body = json.dumps({"status": "ok", "articles": [{"id": 100 * i + j, "text": text[j * 50:], "n_chars": 1} for j in range(30)]})
+        _land_file(landing, "NG", "tech" if i else "news", f"r{i}.json", body)
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "64k")
+    try:
+        run_news_stream_once(spark, landing, table, f"{tmp_dir}/ckpt", landing="files", run_ts="2024-03-04 00:00:00")
+    finally:
+        spark.conf.set(key, before)
+    base = table.replace("file:", "")
+    assert len(glob.glob(f"{base}/load=*/date=*/country=NG/topic=tech/*.parquet")) > 1
+    assert spark.read.parquet(table).count() == 360
+
+
+def test_stream_and_batch_share_a_table(spark, tmp_dir):
+    from geonest.plans.news import load_news
+    from geonest.sources.news import read_news_table
+
+    landing, other, table = f"{tmp_dir}/landing", f"{tmp_dir}/other", f"{tmp_dir}/table"
+    land(spark, landing, 3, "tech")
+    run_news_stream_once(spark, landing, table, f"{tmp_dir}/ckpt")
+    land(spark, other, 2, "news")
+    load_news(spark, other, table)
+    land(spark, landing, 4, "food")
+    run_news_stream_once(spark, landing, table, f"{tmp_dir}/ckpt")
+    back = read_news_table(spark, table)
+    assert back.count() == 9 and "load" not in back.columns
+    # another checkpoint is another stream: nothing of the first is replaced
+    run_news_stream_once(spark, landing, table, f"{tmp_dir}/ckpt2")
+    assert read_news_table(spark, table).count() == 16
+
+
+def test_a_repeated_micro_batch_replaces_its_own_rows(spark, tmp_dir):
+    import glob
+    import os
 
-    from geonest.streaming.news_stream import start_news_stream
-
-    landing = f"{tmp_dir}/files"
-    for i in range(12):  # one hot folder (NG/tech), twelve landed files
-        body = json.dumps({"status": "ok", "articles": [{"id": 100 * i + j, "text": "x", "n_chars": 1} for j in range(3)]})
-        _land_file(landing, "NG", "tech", f"r{i}.json", body)
-    out = {}
-    for salt in (1, 4):
-        table, ckpt = f"{tmp_dir}/t{salt}", f"{tmp_dir}/c{salt}"
-        q = start_news_stream(spark, landing, table, ckpt, landing="files", run_ts="2024-03-04 00:00:00", salt=salt)
-        q.awaitTermination()
-        out[salt] = (
-            sorted(r.id for r in spark.read.parquet(table).collect()),
-            len(glob.glob(f"{table.replace('file:', '')}/date=*/country=NG/topic=tech/*.parquet")),
-        )
-    assert out[1][0] == out[4][0] == sorted(100 * i + j for i in range(12) for j in range(3))
-    assert out[1][1] == 1 and 1 < out[4][1] <= 4
+    landing, table, ckpt = f"{tmp_dir}/landing", f"{tmp_dir}/table", f"{tmp_dir}/ckpt"
+    land(spark, landing, 3, "tech")
+    run_news_stream_once(spark, landing, table, ckpt)
+    for f in glob.glob(f"{ckpt.replace('file:', '')}/commits/*") + glob.glob(f"{ckpt.replace('file:', '')}/commits/.*.crc"):
+        os.remove(f)  # as if the batch had been written but not committed
+    run_news_stream_once(spark, landing, table, ckpt)
+    assert spark.read.parquet(table).count() == 3
