@@ -19,14 +19,16 @@ from geonest.llm.common import id_remainder, pick, write_table
 
 SIZES = (4, 5, 6)
 BUCKETS = 1 << 18
-#: Features with the most evidence, which the classifier uses.
-FEATURES = 1 << 14
+#: The classifier uses the buckets whose toxic count is at least so many
+#: standard deviations from what the clean share predicts, and of these at
+#: most FEATURES, those farthest off.
+EVIDENCE, FEATURES = 4.0, 1 << 12
 #: Labelled rows that the regression is fitted on, about; the log-count
 #: ratios are counted over all labelled rows.
-FIT_ROWS = 20_000
+FIT_ROWS = 10_000
 #: Code points hashed at once.
 CHUNK = 1 << 19
-ROUNDS, RATE, RIDGE = 300, 0.5, 1e-4
+ROUNDS, RATE, RIDGE = 300, 0.5, 0.1
 
 
 def gram_buckets(text: str, sizes: tuple[int, ...] = SIZES, buckets: int = BUCKETS) -> Iterator[np.ndarray]:
@@ -92,9 +94,9 @@ def fit_logistic(rows: list[np.ndarray], labels: np.ndarray, weight: np.ndarray,
     """Weights over columns (rows hold column numbers; a column's value is its
     ratio) and bias, by full-batch gradient steps with per-column rates."""
     n = len(ratios)
-    col = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    value = ratios[col]
+    col = np.concatenate(rows).astype(np.int32) if rows else np.zeros(0, np.int32)
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
+    value = ratios.astype(np.float32)[col]
     w, b, grad2, bias2 = np.ones(n) * 0.1, float(np.log(max(weight[labels == 1].sum(), 1e-9) / max(weight[labels == 0].sum(), 1e-9))), np.full(n, 1e-8), 1e-8
     share = weight / max(weight.sum(), 1e-9)
     for _ in range(ROUNDS):
@@ -135,12 +137,11 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS)
     if not len(n_docs) or n_docs.min() == 0:
         return ToxicityModel(np.zeros(BUCKETS, np.float32), 20.0 if len(n_docs) and n_docs[1] else -20.0)
     ratios = log_count_ratios(clean, toxic)
-    # evidence: how far the toxic count is from what the clean share predicts
     expected = (clean + toxic) * n_docs[1] / n_docs.sum()
     evidence = np.abs(toxic - expected) / np.sqrt(expected + 1)
     used = np.zeros(BUCKETS, bool)
     used[np.argsort(-evidence, kind="stable")[:FEATURES]] = True
-    used &= clean + toxic > 0
+    used &= evidence >= EVIDENCE
     part = [min(1.0, fit_rows / 2 / n) for n in n_docs]
     pick_row = F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     sample = known.where(pick_row < F.when(F.col("label") == 1, part[1]).otherwise(part[0]))
