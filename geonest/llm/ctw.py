@@ -24,6 +24,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,9 +33,10 @@ from geonest.llm.common import id_remainder, pick, size_of, text_bytes, words, w
 
 DEPTH = 5
 #: Text bytes of one chunk, the unit that gets its probabilities back.
-CHUNK_BYTES = 16 << 20
-#: Bytes, and documents at most, whose grams are sorted at once.
-SLICE, SLICE_DOCS = 1 << 20, 1 << 15
+CHUNK_BYTES = 48 << 20
+#: Documents read at once, and bytes whose grams are sorted at once.
+DOC_BITS = 8
+DOCS, SLICE = 1 << DOC_BITS, 1 << 20
 #: Grams whose trees are worked out at once, at least.
 BATCH = 1 << 18
 PAD = 0xFF
@@ -233,8 +236,7 @@ def gram_scores(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
 
 
 def _slices(texts: list[bytes], depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(keys, document numbers) of whole or cut texts, about SLICE bytes of at
-    most SLICE_DOCS documents each."""
+    """(keys, document numbers) of about SLICE bytes of whole or cut texts."""
     pad, held, docs, size = bytes([PAD]) * depth, [], [], 0
     for i, t in enumerate(texts):
         t = pad + t + bytes([PAD])
@@ -243,7 +245,7 @@ def _slices(texts: list[bytes], depth: int) -> Iterator[tuple[np.ndarray, np.nda
             held.append(_keys(np.frombuffer(part, np.uint8), depth))
             docs.append(np.full(len(held[-1]), i, np.int64))
             size += len(part)
-            if size >= SLICE or len(held) == SLICE_DOCS:
+            if size >= SLICE:
                 yield np.concatenate(held), np.concatenate(docs)
                 held, docs, size = [], [], 0
     if held:
@@ -254,90 +256,186 @@ def _runs(sorted_keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1]]))
 
 
-def _chunk_grams(texts: list[bytes], trains: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct grams of a chunk, sorted, with their counts in training texts."""
-    keys, counts = [], []
+_DOC = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("text", pa.binary())])
+
+
+def _bundle(chunk_bytes: int):
+    """Puts a task's documents into chunks: one row, an id and the documents
+    as a compressed stream of small batches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 24
+        sink = stream = None
+        size = 0
+        for b in batches:
+            for at in range(0, b.num_rows, DOCS):
+                part = b.slice(at, DOCS)
+                if stream is None:
+                    sink = pa.BufferOutputStream()
+                    stream = pa.ipc.new_stream(sink, _DOC, options=pa.ipc.IpcWriteOptions(compression="zstd"))
+                stream.write_batch(pa.RecordBatch.from_arrays(part.columns, schema=_DOC))
+                size += pc.sum(pc.binary_length(part.column(2))).as_py() or 0
+                if size >= chunk_bytes:
+                    stream.close()
+                    yield _chunk_row(number, sink)
+                    number, sink, stream, size = number + 1, None, None, 0
+        if stream is not None:
+            stream.close()
+            yield _chunk_row(number, sink)
+
+    return run
+
+
+def _chunk_row(number: int, sink: pa.BufferOutputStream) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["chunk", "docs"])
+
+
+def _read(docs: bytes) -> Iterator[pa.RecordBatch]:
+    yield from pa.ipc.open_stream(docs)
+
+
+def _ask(depth: int):
+    """A chunk's distinct grams and words, each list sorted, with their counts
+    in training texts. Words that only other texts have count 0; the empty
+    word stands for the end of a text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for chunk, docs in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                keys, n, seen = _lists(docs.as_buffer(), depth)
+                yield from _asked(chunk, n, keys=keys)
+                names = sorted(seen)
+                yield from _asked(chunk, np.array([seen[w] for w in names], np.int64), names=names)
+
+    return run
+
+
+def _lists(docs: pa.Buffer, depth: int) -> tuple[np.ndarray, np.ndarray, Counter]:
+    seen: Counter = Counter()
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    for part in _read(docs):
+        texts, trains = part.column(2).to_pylist(), ~part.column(1).to_numpy(zero_copy_only=False)
+        seen[b""] += int(trains.sum())
+        for t, train in zip(texts, trains, strict=True):
+            if train:
+                seen.update(words(t))
+            else:
+                seen.update(dict.fromkeys(words(t), 0))
+        held.append(_distinct_grams(texts, trains.astype(np.int64), depth))
+        if sum(len(k) for k, _ in held[1:]) > 2 * len(held[0][0]) + SLICE:
+            held = [_merge(held)]
+    keys, n = _merge(held)
+    return keys, n, seen
+
+
+def _merge(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, at = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+    return keys, np.bincount(at, np.concatenate([n for _, n in held]), len(keys)).astype(np.int64)
+
+
+def _distinct_grams(texts: list[bytes], trains: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct grams of some texts with their counts in the training ones."""
+    out = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
     for k, doc in _slices(texts, depth):
         packed = np.sort(k << 1 | trains[doc])
         head = _runs(packed >> 1)
-        keys.append(packed[head] >> 1)
-        counts.append(np.add.reduceat(packed & 1, head))
-    if not keys:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
-    return distinct, np.bincount(at, np.concatenate(counts), len(distinct)).astype(np.int64)
-
-
-def _chunk_words(texts: list[bytes], trains: np.ndarray) -> Counter:
-    """Training counts of a chunk's words, also of those that only other texts
-    have; the empty key counts the ends of training texts."""
-    n = Counter({b"": int(trains.sum())})
-    for t, train in zip(texts, trains, strict=True):
-        if train:
-            n.update(words(t))
-        else:
-            n.update(dict.fromkeys(words(t), 0))
-    return n
-
-
-def _parts(depth: int):
-    def run(t: pa.Table) -> pa.Table:
-        chunk, texts = t.column("chunk")[0].as_py(), t.column("text").to_pylist()
-        trains = t.column("train").to_numpy().astype(np.int64)
-        keys, n = _chunk_grams(texts, trains, depth)
-        seen = _chunk_words(texts, trains)
-        names = sorted(seen)
-        rows = len(keys) + len(names)
-        return pa.table(
-            {
-                "chunk": pa.array(np.full(rows, chunk), pa.int64()),
-                "ord": pa.array(np.concatenate([np.arange(len(keys)), np.arange(len(names))]), pa.int32()),
-                "gram": pa.array(np.concatenate([keys, np.zeros(len(names), np.int64)]), pa.int64(), mask=np.arange(rows) >= len(keys)),
-                "word": pa.concat_arrays([pa.nulls(len(keys), pa.binary()), pa.array(names, pa.binary())]),
-                "n": pa.array(np.concatenate([n, [seen[w] for w in names]]).astype(np.int64)),
-            }
+        out.append((packed[head] >> 1, np.add.reduceat(packed & 1, head)))
+    return _merge(out)
+
+
+def _asked(chunk: int, n: np.ndarray, keys: np.ndarray | None = None, names: list[bytes] | None = None) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(n), BATCH):
+        m = len(n[at:at + BATCH])
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.full(m, chunk)),
+                pa.array(np.arange(at, at + m, dtype=np.int32)),
+                pa.nulls(m, pa.int64()) if keys is None else pa.array(keys[at:at + m]),
+                pa.nulls(m, pa.binary()) if names is None else pa.array(names[at:at + m], pa.binary()),
+                pa.array(n[at:at + m]),
+            ],
+            ["chunk", "ord", "gram", "word", "n"],
         )
 
-    return run
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(chunk, is_word, ord, value) rows as one row per chunk and kind with the
+    places and values as bytes; what is held at once is bounded."""
+    held, rows = [], 0
+    for b in batches:
+        held.append([c.to_numpy(zero_copy_only=False) for c in b.columns])
+        rows += b.num_rows
+        if rows >= 4 * BATCH:
+            yield _packed(held)
+            held, rows = [], 0
+    if held:
+        yield _packed(held)
+
+
+def _packed(held: list[list[np.ndarray]]) -> pa.RecordBatch:
+    chunk, is_word, place, value = (np.concatenate(c) for c in zip(*held, strict=True))
+    order = np.lexsort((place, is_word, chunk))
+    chunk, is_word, place, value = chunk[order], is_word[order], place[order].astype("<i4"), value[order].astype("<f8")
+    head = np.flatnonzero(np.concatenate([[True], (chunk[1:] != chunk[:-1]) | (is_word[1:] != is_word[:-1])]))
+    cuts = list(zip(head, np.append(head[1:], len(chunk)), strict=True))
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(chunk[head]), pa.array(is_word[head]),
+            pa.array([place[a:b].tobytes() for a, b in cuts], pa.binary()), pa.array([value[a:b].tobytes() for a, b in cuts], pa.binary()),
+        ],
+        ["chunk", "is_word", "ords", "values"],
+    )
+
+
+def _by_place(t: pa.Table) -> np.ndarray:
+    if not t.num_rows:
+        return np.zeros(0)
+    ords, values = (np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in t.column(c)]) for c, kind in (("ords", "<i4"), ("values", "<f8")))
+    out = np.zeros(len(ords))
+    out[ords] = values
+    return out
 
 
 def _apply(depth: int, n_tokens: int, n_words: int):
-    def run(docs: pa.Table, values: pa.Table) -> pa.Table:
-        texts, m = docs.column("text").to_pylist(), docs.num_rows
-        is_word, ord_, value = (values.column(c).to_numpy() for c in ("is_word", "ord", "value"))
-        is_word = is_word.astype(bool)
-        log_p, count = np.zeros(int((~is_word).sum())), np.zeros(int(is_word.sum()))
-        log_p[ord_[~is_word]], count[ord_[is_word]] = value[~is_word], value[is_word]
-        keys, _ = _chunk_grams(texts, np.zeros(m, np.int64), depth)
-        score = np.zeros(m)
-        for k, doc in _slices(texts, depth):
-            first = doc[0]
-            packed = np.sort(k << 15 | (doc - first))
-            head = _runs(packed >> 15)
-            each = np.repeat(log_p[np.searchsorted(keys, packed[head] >> 15)], np.diff(np.append(head, len(packed))))
-            part = np.bincount(packed & (SLICE_DOCS - 1), each)
-            score[first:first + len(part)] += part
-        names = sorted(_chunk_words(texts, np.zeros(m, np.int64)))
-        place = {w: i for i, w in enumerate(names)}
+    def run(chunk: pa.Table, values: pa.Table) -> pa.Table:
+        log_p, count = (_by_place(values.filter(pc.equal(values.column("is_word"), kind))) for kind in (False, True))
+        docs = chunk.column("docs")[0].as_buffer()
+        keys, _, seen = _lists(docs, depth)
+        place = {w: i for i, w in enumerate(sorted(seen))}
+        del seen
         base = np.log10((count + 0.1) / (n_tokens + 0.1 * (n_words + 1)))
-        base_score, tokens, known = np.zeros(m), np.zeros(m, np.int64), np.zeros(m, np.int64)
-        for i, t in enumerate(texts):
-            at = np.fromiter(map(place.__getitem__, [*words(t), b""]), np.int64)
-            base_score[i], tokens[i], known[i] = base[at].sum(), len(at), (count[at] > 0).sum()
-        n_bytes = np.array([len(t) for t in texts], np.int64)
-        return pa.table(
-            {
-                "doc_id": docs.column("doc_id"),
-                "held_out": docs.column("held_out"),
-                "n_tokens": tokens,
-                "n_known": known,
-                "train_tokens": np.full(m, n_tokens, np.int64),
-                "base_score": base_score,
-                "score": score,
-                "n_bytes": n_bytes,
-                "bits_per_byte": -score * np.log2(10) / (n_bytes + 1),
-            }
-        )
+        known = count > 0
+        out = []
+        for part in _read(docs):
+            texts = part.column(2).to_pylist()
+            m = len(texts)
+            score = np.zeros(m)
+            for k, doc in _slices(texts, depth):
+                packed = np.sort(k << DOC_BITS | doc)
+                head = _runs(packed >> DOC_BITS)
+                each = np.repeat(log_p[np.searchsorted(keys, packed[head] >> DOC_BITS)], np.diff(np.append(head, len(packed))))
+                score += np.bincount(packed & (DOCS - 1), each, m)
+            base_score, tokens, n_known = np.zeros(m), np.zeros(m, np.int64), np.zeros(m, np.int64)
+            for i, t in enumerate(texts):
+                at = np.fromiter(map(place.__getitem__, [*words(t), b""]), np.int64)
+                base_score[i], tokens[i], n_known[i] = base[at].sum(), len(at), known[at].sum()
+            n_bytes = np.array([len(t) for t in texts], np.int64)
+            out.append(
+                pa.table(
+                    {
+                        "doc_id": part.column(0),
+                        "held_out": part.column(1),
+                        "n_tokens": tokens,
+                        "n_known": n_known,
+                        "train_tokens": np.full(m, n_tokens, np.int64),
+                        "base_score": base_score,
+                        "score": score,
+                        "n_bytes": n_bytes,
+                        "bits_per_byte": -score * np.log2(10) / (n_bytes + 1),
+                    }
+                )
+            )
+        return pa.concat_tables(out)
 
     return run
 
@@ -359,24 +457,20 @@ def score_documents(docs: DataFrame, modulus: int = 10, held_out: int = 0, depth
     id is not held out and teaches; repeated ids are counted and scored row
     by row; an empty table gives no rows; other columns are ignored.
 
-    Documents are dealt by a hash to chunks of about ``chunk_bytes``. A chunk
-    asks for each distinct gram and word once and gets back their values by
-    place in its sorted list; so a frequent gram or word is a row per chunk,
-    and no table of all grams has to fit anywhere.
+    Each task puts its documents into chunks of about ``chunk_bytes``, which
+    are written. A chunk asks for each distinct gram and word once and gets
+    back their values by place in its sorted list; so a frequent gram or
+    word is a row per chunk, and no table of all grams has to fit anywhere.
     """
     if not 2 <= depth <= 5:
-        raise ValueError("depth must be from 2 to 5: a gram and a document number share 63 bits")
+        raise ValueError("depth must be from 2 to 5: a gram and a document's number share 63 bits")
     d = pick(docs, doc_id="doc_id:bigint", text="text:string")
     _, size = size_of(d)
     is_held = F.coalesce(id_remainder("doc_id", modulus) == held_out, F.lit(False))
-    n_chunks = max(1, -(-size // chunk_bytes))
-    d = d.select(
-        "doc_id", text_bytes("text").alias("text"), is_held.alias("held_out"), (~is_held).alias("train"),
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_chunks)).alias("chunk"),
-    )
-    asked = write_table(
-        d.groupBy("chunk").applyInArrow(_parts(depth), "chunk bigint, ord int, gram bigint, word binary, n bigint"), "lm-asked"
-    )
+    n_tasks = max(1, -(-size // chunk_bytes))
+    whole = d.select("doc_id", is_held.alias("held_out"), text_bytes("text").alias("text")).coalesce(n_tasks)
+    chunks = write_table(whole.mapInArrow(_bundle(chunk_bytes), "chunk bigint, docs binary"), "lm-chunks")
+    asked = write_table(chunks.mapInArrow(_ask(depth), "chunk bigint, ord int, gram bigint, word binary, n bigint"), "lm-asked")
     asked_grams = asked.where("gram is not null").select("chunk", "ord", "gram", "n")
     counts = write_table(asked_grams.groupBy("gram").agg(F.sum("n").alias("n")), "lm-grams")
     by_word = Window.partitionBy("word")
@@ -393,9 +487,10 @@ def score_documents(docs: DataFrame, modulus: int = 10, held_out: int = 0, depth
         asked_grams.join(gram_scores(counts, depth), "gram")
         .select("chunk", F.lit(False).alias("is_word"), "ord", "value")
         .union(word_counts.select("chunk", F.lit(True).alias("is_word"), "ord", "value"))
+        .mapInArrow(_pack, "chunk bigint, is_word boolean, ords binary, values binary")
     )
     return (
-        d.groupBy("chunk")
+        chunks.groupBy("chunk")
         .cogroup(values.groupBy("chunk"))
         .applyInArrow(_apply(depth, int(total["n"] or 0), int(total["v"] or 0)), SCORES)
     )
