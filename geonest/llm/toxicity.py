@@ -127,7 +127,8 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS)
         pick(labels, doc_id="doc_id:bigint", toxic="toxic:int").where("doc_id is not null and toxic in (0, 1)")
         .groupBy("doc_id").agg(F.max("toxic").alias("label"))
     )
-    known = write_table(d.join(marks, "doc_id").select("text", "label", "doc_id"), "labelled")
+    # the plan of the large sizes at every size
+    known = write_table(d.join(marks.hint("merge"), "doc_id").select("text", "label", "doc_id"), "labelled")
     sums = known.mapInArrow(_count, "bucket bigint, clean bigint, toxic bigint").groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     counts = sums.toPandas().to_numpy()
     n_docs = counts[counts[:, 0] == -1][:, 1:].sum(0)
