@@ -12,6 +12,7 @@ compared exactly.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -222,21 +223,36 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
 
 def _across(percent: int):
     """Pairs of two blocks of a signature's members that are in different
-    components and near by sketch."""
+    components and near by sketch. Rows come sorted by (sig, i, j); what is
+    held of one such tile is at most two blocks."""
 
-    def run(t: pa.Table) -> pa.Table:
+    def pairs(t: pa.Table) -> list[np.ndarray]:
         rep, comp, n = (t.column(c).to_numpy() for c in ("rep", "component", "n"))
-        left = np.flatnonzero(t.column("left").to_numpy(zero_copy_only=False))
-        right = np.flatnonzero(t.column("right").to_numpy(zero_copy_only=False))
+        left, right = (np.flatnonzero(t.column(c).to_numpy()) for c in ("left", "right"))
         sk = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH).astype(np.int16)
-        a, b = [], []
+        out = []
         for i in left:
             j = right[(comp[right] != comp[i]) & (rep[right] != rep[i])]
-            j = j[np.abs(sk[j] - sk[i]).sum(1, dtype=np.int64) <= (n[j] + n[i]) * (100 - percent) // (100 + percent)]
-            a.append(np.minimum(rep[i], rep[j]))
-            b.append(np.maximum(rep[i], rep[j]))
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+            if len(j):
+                j = j[np.abs(sk[j] - sk[i]).sum(1, dtype=np.int64) <= (n[j] + n[i]) * (100 - percent) // (100 + percent)]
+                out.append(np.stack([np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])]))
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for b in itertools.chain(batches, [None]):
+            t = held if b is None else pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
+            if t is None or not t.num_rows:
+                continue
+            keys = [t.column(c).to_numpy() for c in ("sig", "i", "j")]
+            head = np.flatnonzero(np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0)]))
+            ends = np.append(head[1:], t.num_rows)
+            if b is not None:  # the last tile may go on
+                held, head, ends = t.slice(head[-1]), head[:-1], ends[:-1]
+            found = [p for at, end in zip(head.tolist(), ends.tolist(), strict=True) for p in pairs(t.slice(at, end - at))]
+            if found:
+                found = np.unique(np.concatenate(found, axis=1), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["a", "b"])
 
     return run
 
@@ -290,7 +306,8 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHIN
         "shingle-open",
     )
     sets = write_table(
-        d.join(open_reps.withColumnRenamed("rep", "doc_id"), "doc_id")
+        # the plan of the large sizes at every size
+        d.join(open_reps.withColumnRenamed("rep", "doc_id").hint("merge"), "doc_id")
         .select(F.col("doc_id").alias("rep"), "text", "f1", "f2")
         .mapInArrow(_sets(size), "rep bigint, features binary, sketch binary"),
         "shingle-sets",
@@ -310,10 +327,12 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHIN
     links = write_table(verified(star, sets, percent), "links")
     labelled = write_table(_label(sets, links).select("rep", "component", (F.length("features") / 8).cast("bigint").alias("n"), "sketch"), "labels")
     sorted_out = members.join(labelled.select("rep", "component"), "rep")
-    mixed = (
+    mixed = write_table(
         sorted_out.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("m"))
-        .where("lo < hi")
-        .select("sig", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+        # of two members, the only pair has been compared already
+        .where("lo < hi and m > 2")
+        .select("sig", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")),
+        "mixed-signatures",
     )
     block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     tiled = (
@@ -322,7 +341,9 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHIN
         .select("sig", "rep", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), (F.col("own") <= F.col("with")).alias("left"), (F.col("own") >= F.col("with")).alias("right"))
         .join(labelled, "rep")
     )
-    across = tiled.groupBy("sig", "i", "j").applyInArrow(_across(percent), "a bigint, b bigint").distinct()
+    tiles = tiled.select("sig", "i", "j", "rep", "component", "n", "left", "right", "sketch")
+    tiles = tiles.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
+    across = tiles.mapInArrow(_across(percent), "a bigint, b bigint").distinct()
     all_links = write_table(links.union(verified(across, sets, percent)), "links")
     component = reps.select("f1", "f2", "n_shingles", "rep").join(
         connected_components(all_links).withColumnRenamed("node", "rep"), "rep", "left"
