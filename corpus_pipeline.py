@@ -44,7 +44,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     first = jaccard_components(docs).where("doc_id = component_id").select("doc_id").distinct()
     rest = [c for c in COLUMNS if c != "doc_id"]
     one = (
-        docs.select(*COLUMNS).join(first, "doc_id", "left_semi")
+        docs.select(*COLUMNS).join(first.hint("merge"), "doc_id", "left_semi")
         .groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("row")).select("doc_id", *(f"row.{c}" for c in rest))
     )
     return one.union(docs.select(*COLUMNS).where("doc_id is null"))

@@ -22,7 +22,7 @@ from geonest.llm.common import id_remainder, pick
 DIM = 1024
 N = 3
 UNKNOWN = "und"
-#: Distinct n-grams whose bound vectors a worker keeps (4 * DIM bytes each).
+#: Distinct n-grams whose bound vectors a worker keeps (DIM bytes each).
 NGRAM_CACHE = 16_000
 #: Texts bundled together in one product.
 DOCS = 64
@@ -38,7 +38,7 @@ class Profiles:
         self.dim, self.n = dim, n
         self.letters: dict[int, np.ndarray] = {}
         self.rows: dict[int, int] = {}
-        self.ngrams = np.zeros((1024, dim), np.float32)
+        self.ngrams = np.zeros((1024, dim), np.int8)
 
     def letter(self, code: int) -> np.ndarray:
         v = self.letters.get(code)
@@ -94,7 +94,7 @@ class Profiles:
 
     def ngrams_of(self, keys: np.ndarray) -> np.ndarray:
         at = self.columns(keys)
-        return self.ngrams[at]
+        return self.ngrams[at].astype(np.float32)
 
 
 def _profiles(dim: int, n: int) -> Profiles:

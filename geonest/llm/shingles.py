@@ -10,7 +10,7 @@ import xxhash
 from geonest.llm.common import words
 
 #: Distinct words whose hashes a worker keeps.
-WORD_CACHE = 400_000
+WORD_CACHE = 200_000
 _MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 
 
