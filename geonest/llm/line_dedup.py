@@ -95,14 +95,17 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     keys = write_table(
         d.where("doc_id is not null").mapInArrow(_keys(min_chars), "doc_id bigint, line_hash binary"), "line-keys"
     )
-    shared = (
+    # written, so that the join below is one between two plain shuffles, whose
+    # skewed keys Spark splits
+    shared = write_table(
         keys.groupBy("line_hash")
         .agg(F.countDistinct("doc_id").alias("n_docs"), F.max("doc_id").alias("keeper"))
         .where(F.col("n_docs") >= min_docs)
-        .select("line_hash", "keeper")
+        .select("line_hash", "keeper"),
+        "shared-lines",
     )
     drops = (
-        keys.join(shared, "line_hash")
+        keys.join(shared.hint("merge"), "line_hash")
         .where("doc_id < keeper")
         .groupBy("doc_id")
         .agg(F.collect_set("line_hash").alias("drop"))
@@ -110,7 +113,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     whole = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), text_bytes(docs["text"].cast("string")).alias("text"), *(docs[c] for c in keep))
     kept = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in keep)
     return (
-        whole.join(drops, "doc_id", "left")
+        whole.join(drops.hint("merge"), "doc_id", "left")
         .select("doc_id", "text", "drop", *keep)
         .mapInArrow(_rebuild(min_chars), "doc_id bigint, text string, n_lines bigint, n_dropped bigint" + kept)
     )
