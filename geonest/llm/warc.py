@@ -152,13 +152,14 @@ def write_archives(pages: DataFrame, folder: str, min_revisit_bytes: int = 0, le
     """
     p = pick(pages, page_id="page_id:bigint", url="url:string", html="html:string").withColumn("html", text_bytes("html"))
     p = p.select("*", F.sha1("html").alias("digest"), F.length("html").alias("size"))
-    first = (
+    first = write_table(
         p.select("page_id", "digest", "size")
         .where(F.col("size") >= min_revisit_bytes)
         .groupBy("digest", "size")
-        .agg(F.min("page_id").alias("first_id"))
+        .agg(F.min("page_id").alias("first_id")),
+        "payloads",
     )
-    todo = p.join(first, ["digest", "size"], "left").select("page_id", "url", "html", "digest", "first_id")
+    todo = p.join(first.hint("merge"), ["digest", "size"], "left").select("page_id", "url", "html", "digest", "first_id")
     return write_table(todo.mapInArrow(_write(folder, level, sample_bytes, archive_bytes), MANIFEST), "warc-manifest")
 
 
