@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -53,8 +54,13 @@ _TABLE = bytes.maketrans(_BREAKS, b" " * len(_BREAKS))
 
 
 def plain_words(text: bytes) -> list[bytes]:
-    """Words of ASCII letters and digits (A-Z lowered) and any other characters; the rest of ASCII parts words."""
-    return text.lower().translate(_TABLE).split()
+    """Words of ASCII letters and digits and any other characters; the rest of
+    ASCII parts words. Case is folded and composed as Unicode has it (NFC);
+    bytes that are not UTF-8 stay as they are."""
+    if text.isascii():
+        return text.lower().translate(_TABLE).split()
+    folded = normalize("NFC", normalize("NFC", text.decode("utf-8", "surrogateescape")).casefold())
+    return folded.encode("utf-8", "surrogateescape").translate(_TABLE).split()
 
 
 def _spans(start: np.ndarray, count: np.ndarray) -> np.ndarray:

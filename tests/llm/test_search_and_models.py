@@ -3,6 +3,7 @@
 import zlib
 from collections import Counter
 from math import exp, lgamma, log, log10, pi
+from unicodedata import normalize
 
 import numpy as np
 import pytest
@@ -85,6 +86,17 @@ def test_items_planted_in_the_documents_are_found(spark):
     assert verbatim and verbatim <= found
 
 
+def test_upper_cased_and_decomposed_copies_of_accented_items_are_found(spark):
+    text = "El añejo camión cruzó la región más fría y la nación pidió atención según la opinión del señor Núñez und die Straße"
+    items = spark.createDataFrame([(1, text)], "item_id long, text string")
+    copies = [text.upper(), normalize("NFD", text), normalize("NFD", text.upper()), text.lower(), "nothing of the kind " * 8]
+    docs = spark.createDataFrame(list(enumerate(copies)), "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r.answer_overlap for r in D.contaminated(docs, items).collect()}
+    assert got == {(i, 1): 1.0 for i in range(4)}
+    assert [r.doc_id for r in D.drop_contaminated(docs, items).collect()] == [4]
+    assert D.plain_words(b"A\xff\xc9 b") == [b"a\xff\xc9", b"b"]
+
+
 # --- context-tree weighting ---------------------------------------------------------------
 
 
