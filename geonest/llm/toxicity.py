@@ -2,7 +2,8 @@
 
 A text's features are its distinct character n-grams, hashed into a fixed
 number of buckets and scaled by the naive Bayes log-count ratio of the
-bucket. A logistic regression over them gives the score.
+bucket. A logistic regression over all of them gives the score; its ridge is
+the weaker, the more evidence the labelled rows hold on a bucket.
 """
 
 from __future__ import annotations
@@ -19,16 +20,17 @@ from geonest.llm.common import id_remainder, pick, write_table
 
 SIZES = (4, 5, 6)
 BUCKETS = 1 << 18
-#: The classifier uses the buckets whose toxic count is at least so many
-#: standard deviations from what the clean share predicts, and of these at
-#: most FEATURES, those farthest off.
-EVIDENCE, FEATURES = 4.0, 1 << 12
+#: A fitted row with fewer distinct buckets is held as a list of 16-bit numbers, else as a bitmap (``BUCKETS`` / 8 bytes at most).
+FEATURES = BUCKETS // 16 - 8
 #: Labelled rows that the regression is fitted on, about; the log-count
 #: ratios are counted over all labelled rows.
 FIT_ROWS = 10_000
 #: Code points hashed at once.
 CHUNK = 1 << 19
-ROUNDS, RATE, RIDGE = 300, 0.5, 0.1
+#: Buckets of the fitted rows that are unpacked at once.
+UNPACKED = 1 << 21
+#: Steps of the regression, steps it remembers, share of the first gradient at which it ends, and its ridge.
+ROUNDS, MEMORY, ENOUGH, RIDGE = 40, 8, 1e-4, 100.0
 
 
 def gram_buckets(text: str, sizes: tuple[int, ...] = SIZES, buckets: int = BUCKETS) -> Iterator[np.ndarray]:
@@ -50,8 +52,8 @@ def gram_buckets(text: str, sizes: tuple[int, ...] = SIZES, buckets: int = BUCKE
                 yield ((x >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
 
 
-def _distinct(text: str, keep: np.ndarray | None = None) -> np.ndarray:
-    found = [g if keep is None else g[keep[g]] for g in gram_buckets(text)]
+def _distinct(text: str) -> np.ndarray:
+    found = list(gram_buckets(text))
     return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
 
 
@@ -67,18 +69,32 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.where(at == BUCKETS, -1, at)), pa.array(n[0, at]), pa.array(n[1, at])], ["bucket", "clean", "toxic"])
 
 
-def _features(keep: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [_distinct(t.as_py(), keep).astype("<i4").tobytes() for t in b.column(0)]
-            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(found, pa.binary())], ["label", "buckets"])
+def pack_row(found: np.ndarray) -> bytes:
+    """Distinct sorted buckets: how many there are in each 65,536, and their low 16 bits; or a bitmap."""
+    if len(found) >= FEATURES:
+        held = np.zeros(BUCKETS, bool)
+        held[found] = True
+        return np.packbits(held).tobytes()
+    return np.bincount(found >> 16, minlength=BUCKETS >> 16).astype("<i4").tobytes() + (found & 0xFFFF).astype("<u2").tobytes()
 
-    return run
+
+def unpack_row(packed: bytes) -> np.ndarray:
+    if len(packed) == BUCKETS // 8:
+        return np.flatnonzero(np.unpackbits(np.frombuffer(packed, np.uint8))).astype(np.int32)
+    parts = BUCKETS >> 16
+    high = np.repeat(np.arange(parts, dtype=np.int32) << 16, np.frombuffer(packed, "<i4", parts))
+    return high | np.frombuffer(packed, "<u2", offset=4 * parts)
+
+
+def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        found = [pack_row(_distinct(t.as_py())) for t in b.column(2)]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.binary())], ["doc_id", "label", "buckets"])
 
 
 @dataclass
 class ToxicityModel:
-    """The weight of each bucket (0: not used) and the bias."""
+    """The weight of each bucket and the bias."""
 
     weights: np.ndarray
     bias: float
@@ -90,25 +106,57 @@ def log_count_ratios(clean: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     return np.log((p / p.sum()) / (q / q.sum()))
 
 
-def fit_logistic(rows: list[np.ndarray], labels: np.ndarray, weight: np.ndarray, ratios: np.ndarray) -> tuple[np.ndarray, float]:
-    """Weights over columns (rows hold column numbers; a column's value is its
-    ratio) and bias, by full-batch gradient steps with per-column rates."""
-    n = len(ratios)
-    col = np.concatenate(rows).astype(np.int32) if rows else np.zeros(0, np.int32)
-    row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
-    value = ratios.astype(np.float32)[col]
-    w, b, grad2, bias2 = np.ones(n) * 0.1, float(np.log(max(weight[labels == 1].sum(), 1e-9) / max(weight[labels == 0].sum(), 1e-9))), np.full(n, 1e-8), 1e-8
+def fit_logistic(rows: list[bytes], labels: np.ndarray, weight: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights of all buckets, whose values in a row that has them are
+    ``value``, and bias: the ridge regression's minimum over packed rows, by
+    L-BFGS. Only ``UNPACKED`` buckets or so are unpacked at once."""
     share = weight / max(weight.sum(), 1e-9)
+    ridge = RIDGE / max(len(rows), 1)
+
+    def loss(x: np.ndarray) -> tuple[float, np.ndarray]:
+        own, bias = x[:-1] * value, x[-1]
+        total, grad, of_bias = 0.0, np.zeros(BUCKETS), 0.0
+        at = 0
+        while at < len(rows):
+            cols, size, first = [], 0, at
+            while at < len(rows) and size < UNPACKED:
+                cols.append(unpack_row(rows[at]))
+                size += len(cols[-1])
+                at += 1
+            count = [len(c) for c in cols]
+            col = np.concatenate(cols)
+            z = np.bincount(np.repeat(np.arange(len(cols)), count), own[col], len(cols)) + bias
+            y, part = labels[first:at], share[first:at]
+            total += float((part * (np.logaddexp(0, z) - y * z)).sum())
+            e = part * (1 / (1 + np.exp(-np.clip(z, -500, 500))) - y)
+            grad += np.bincount(col, np.repeat(e, count), BUCKETS)
+            of_bias += e.sum()
+        return total + ridge / 2 * float(x[:-1] @ x[:-1]), np.append(grad * value + ridge * x[:-1], of_bias)
+
+    x = np.zeros(BUCKETS + 1)
+    x[-1] = np.log(max(weight[labels == 1].sum(), 1e-9) / max(weight[labels == 0].sum(), 1e-9))
+    now, grad = loss(x)
+    end, steps = ENOUGH * np.linalg.norm(grad), []
     for _ in range(ROUNDS):
-        z = np.bincount(row, value * w[col], len(rows)) + b
-        e = share * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels)
-        g = np.bincount(col, e[row] * value, n) + RIDGE * w / n
-        gb = e.sum()
-        grad2 += g * g
-        bias2 += gb * gb
-        w -= RATE * g / np.sqrt(grad2)
-        b -= RATE * gb / np.sqrt(bias2)
-    return w, float(b)
+        if np.linalg.norm(grad) <= end:
+            break
+        d, back = -grad, []
+        for s, g in reversed(steps):
+            back.append((s @ d) / (s @ g))
+            d -= back[-1] * g
+        d *= (steps[-1][0] @ steps[-1][1]) / (steps[-1][1] @ steps[-1][1]) if steps else 1 / np.linalg.norm(grad)
+        for (s, g), a in zip(steps, reversed(back), strict=True):
+            d += s * (a - (g @ d) / (s @ g))
+        length, slope = 1.0, float(grad @ d)
+        while (then := loss(x + length * d))[0] > now + 1e-4 * length * slope and length > 1e-6:
+            length /= 2
+        if then[0] > now:
+            break
+        step, turn = length * d, then[1] - grad
+        if step @ turn > 1e-12:
+            steps = [*steps, (step, turn)][-MEMORY:]
+        x, (now, grad) = x + step, then
+    return x[:-1], float(x[-1])
 
 
 def learn_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> ToxicityModel:
@@ -119,7 +167,11 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS)
     Counts per bucket cover every labelled row (at most ``BUCKETS`` sums reach
     the driver). The regression is fitted on at most about ``fit_rows`` rows,
     taken by a hash of the id, half of them toxic where there are as many;
-    each row weighs what it stands for. One class alone gives a model that
+    each row weighs what it stands for. They are held packed by the driver,
+    at most ``BUCKETS`` / 8 bytes each. Every bucket that the labelled rows
+    hold is a feature; its ridge is divided by the square of its evidence, the
+    standard deviations by which its toxic count is off what the clean share
+    predicts. One class alone gives a model that
     always says so.
     """
     d = pick(docs, doc_id="doc_id:bigint", text="text:string").where("doc_id is not null and text is not null")
@@ -140,28 +192,25 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS)
     ratios = log_count_ratios(clean, toxic)
     expected = (clean + toxic) * n_docs[1] / n_docs.sum()
     evidence = np.abs(toxic - expected) / np.sqrt(expected + 1)
-    used = np.zeros(BUCKETS, bool)
-    used[np.argsort(-evidence, kind="stable")[:FEATURES]] = True
-    used &= evidence >= EVIDENCE
     part = [min(1.0, fit_rows / 2 / n) for n in n_docs]
     pick_row = F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     sample = known.where(pick_row < F.when(F.col("label") == 1, part[1]).otherwise(part[0]))
-    got = sample.select("text", "label").mapInArrow(_features(used), "label int, buckets binary").collect()
-    column = np.cumsum(used) - 1
-    at = np.flatnonzero(used)
-    y = np.array([r["label"] for r in got], float)
-    w, b = fit_logistic([column[np.frombuffer(r["buckets"], "<i4")] for r in got], y, np.where(y == 1, 1 / part[1], 1 / part[0]), ratios[at])
-    weights = np.zeros(BUCKETS, np.float32)
-    weights[at] = w * ratios[at]
-    return ToxicityModel(weights, b)
+    got = sample.select("doc_id", "label", "text").mapInArrow(_features, "doc_id bigint, label int, buckets binary").toArrow()
+    rows = sorted(zip(got["doc_id"].to_pylist(), got["label"].to_pylist(), got["buckets"].to_pylist(), strict=True))
+    del got
+    y = np.array([r[1] for r in rows], float)
+    # a ridge divided by a square is a value times its root
+    value = ratios * evidence
+    w, b = fit_logistic([r[2] for r in rows], y, np.where(y == 1, 1 / part[1], 1 / part[0]), value)
+    return ToxicityModel((w * value).astype(np.float32), b)
 
 
 def _score(model: ToxicityModel):
-    weights, bias, used = model.weights, model.bias, model.weights != 0
+    weights, bias = model.weights, model.bias
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            z = np.array([weights[_distinct(t.as_py() or "", used)].sum(dtype=np.float64) for t in b.column(1)]) + bias
+            z = np.array([weights[_distinct(t.as_py() or "")].sum(dtype=np.float64) for t in b.column(1)]) + bias
             score = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"])
 

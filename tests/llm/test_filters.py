@@ -216,6 +216,35 @@ def test_toxicity_learns_from_training_labels_only(spark):
     assert FEATURES <= 1 << 16
 
 
+def test_packed_rows():
+    import geonest.llm.toxicity as T
+
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 500, T.FEATURES - 1, T.FEATURES, 100_000):
+        found = np.sort(rng.choice(T.BUCKETS, n, replace=False))
+        packed = T.pack_row(found)
+        assert np.array_equal(T.unpack_row(packed), found) and len(packed) <= T.BUCKETS // 8
+
+
+def test_toxicity_of_a_small_labelled_table_separates(spark):
+    import geonest.llm.toxicity as T
+
+    rng = np.random.default_rng(4)
+    words = [f"w{i}ord" for i in range(60)]
+
+    def text(toxic):
+        ws = list(rng.choice(words, 30))
+        return " ".join([*ws[:15], "nastything", *ws[15:]] if toxic else ws)
+
+    docs = documents(spark, [(i, text(i % 9 == 0)) for i in range(45)])
+    labels = spark.createDataFrame([(i, int(i % 9 == 0)) for i in range(45)], "doc_id long, toxic int")
+    model = T.learn_toxicity(docs, labels)
+    seen = np.unique(np.concatenate([np.concatenate(list(gram_buckets(r.text))) for r in docs.collect()]))
+    assert np.count_nonzero(model.weights[seen]) > 0.9 * len(seen)
+    new = {r.doc_id: r for r in T.score_toxicity(documents(spark, [(i, text(i < 10)) for i in range(40)]), model).collect()}
+    assert [new[i].predicted for i in range(40)] == [1] * 10 + [0] * 30
+
+
 def test_toxicity_without_labels_or_rows(spark):
     docs = documents(spark, [(1, "a text"), (2, "another")])
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
