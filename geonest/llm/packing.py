@@ -1,14 +1,13 @@
 """Best-fit packing (10): token pieces into sequences of a fixed length.
 
 Documents are tokenised and cut into pieces of at most ``capacity`` tokens.
-Packing then goes on in rounds, largest pieces first. Documents and gaps are
-kept sorted by size; as a size is an integer up to ``capacity``, equal sizes
-are kept as one run (size, count), so a round sweeps at most ``capacity``
-runs however many documents there are. The sweep matches each document to
-the next larger gap (its successor); documents that want the same gap are
-told apart by their rank within their size, which also names the very
-sequence each one gets. Gaps are updated and the next round begins, until
-nothing is left.
+The sizes are then packed by one sequential best-fit-decreasing pass on the
+driver, instead of bulk-synchronous sweeps on Spark: as a size is an integer
+up to ``capacity``, documents and gaps of one size are one run (size, count),
+so the pass needs one count per size however many documents there are. Each
+document gets the next larger gap (its successor); documents that want the
+same gap are told apart by their rank within their size, which also names the
+very sequence each one gets.
 
 Ranks and places are computed by Spark for all pieces: salted ranks by size,
 then a lookup of each (size, rank) in the match intervals.
