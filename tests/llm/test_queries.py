@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(LLM_ORACLE_SQL))
 def test_query_matches_oracle(spark, name):
     con = duckdb.connect()
-    for t in "documents embeddings pages".split():
+    for t in "documents embeddings pages labels conversations".split():
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got = LLM_QUERIES[name](spark, SF)
     want = con.sql(LLM_ORACLE_SQL[name])
