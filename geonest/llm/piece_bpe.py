@@ -27,6 +27,7 @@ from array import array
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,10 +35,10 @@ from pyspark.sql import functions as F
 from geonest.llm.common import pick
 
 SPACE = "▁"
-#: Units, and pairs of pieces, whose answers a worker keeps (about 200 bytes each).
+#: Units, and pairs of pieces, whose answers a worker keeps (about 150 bytes each).
 CACHE = 200_000
 #: Longest unit that is kept.
-KEPT_LENGTH = 64
+KEPT_LENGTH = 32
 #: Text characters and ids that are handed over at once.
 BATCH_CHARS = 4 << 20
 _STATE: dict = {}
@@ -79,6 +80,24 @@ def _fields(data: bytes) -> dict[int, int | bytes]:
     return out
 
 
+class _Kept(dict):
+    """Ids of the units met last; one that is met again outlives the others."""
+
+    def __init__(self, model: "PieceModel"):
+        self.model, self.before = model, {}
+
+    def __missing__(self, unit: str) -> bytes:
+        ids = self.before.get(unit)
+        if ids is None:
+            ids = self.model.encode_unit(unit)
+        if len(unit) <= KEPT_LENGTH:
+            if len(self) >= CACHE:
+                self.before = dict(self)
+                self.clear()
+            self[unit] = ids
+        return ids
+
+
 class PieceModel:
     """Encoder and decoder of one model file."""
 
@@ -113,18 +132,19 @@ class PieceModel:
         self.first_space = {i for i in range(n) if self.texts[i].startswith(SPACE)}
         automaton = ahocorasick.Automaton()
         for p, i in self.id.items():
-            automaton.add_word(p, i)
+            automaton.add_word(p, (i, len(p) - 1))
         automaton.make_automaton()
         self.automaton = automaton
         self.units = next(u for u in _UNITS if all(u.findall(p) == [p] for p in self.id))
         self.shorter: dict[int, int] = {}
-        self.whole: dict[int, bool] = {}
+        self.made: dict[int, list | None] = {}
         self.pairs: dict[int, bool] = {}
-        self.kept: dict[str, array] = {}
+        self.kept = _Kept(self)
 
-    def merge(self, text: str) -> list[str]:
-        """The pieces of ``text`` by joining its characters in order of score."""
-        parts, score = list(text), self.score.get
+    def merge(self, text: str) -> tuple[list[str], list[tuple[float, str, str]]]:
+        """The pieces of ``text`` by joining its characters in order of score;
+        and the score of each joining with the first and last part after it."""
+        parts, score, steps = list(text), self.score.get, []
         costs = [score(a + b) for a, b in zip(parts, parts[1:])]
         while True:
             best, at = None, 0
@@ -132,95 +152,124 @@ class PieceModel:
                 if c is not None and (best is None or c < best):
                     best, at = c, i
             if best is None:
-                return parts
+                return parts, steps
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            steps.append((best, parts[0], parts[-1]))
             del costs[at]
             if at:
                 costs[at - 1] = score(parts[at - 1] + parts[at])
             if at < len(costs):
                 costs[at] = score(parts[at] + parts[at + 1])
 
+    def _steps(self, piece: int) -> list[tuple[float, str, str]] | None:
+        """The joinings that make a piece, or None if its text is encoded otherwise."""
+        if piece not in self.made:
+            text = self.texts[piece]
+            parts, steps = self.merge(text)
+            self.made[piece] = steps if parts == [text] else None
+        return self.made[piece]
+
     def may_follow(self, before: int, piece: int) -> bool:
-        """Whether ``piece`` (at the start of a text, for ``before`` -1) stays apart from the piece before it."""
-        key = before * len(self.texts) + piece
-        answer = self.pairs.get(key)
-        if answer is None:
-            if len(self.pairs) >= CACHE:
-                self.pairs.clear()
-            own = self.texts[piece]
-            answer = self.merge(own) == [own] if before < 0 else self.merge(self.texts[before] + own) == [self.texts[before], own]
-            self.pairs[key] = answer
-        return answer
+        """Whether ``piece`` (at the start of a text, for ``before`` -1) stays
+        apart from the piece before it. Both are joined again side by side,
+        the better score first, of equal ones the leftmost; they stay apart
+        unless the parts at their common edge are joined on the way."""
+        right = self._steps(piece)
+        if right is None:
+            return False
+        if before < 0:
+            return True
+        left, score = self.made[before], self.score.get
+        a, b = self.texts[before][-1], self.texts[piece][0]
+        i, j, m, n = 0, 0, len(left), len(right)
+        edge = score(a + b)
+        while True:
+            one = left[i][0] if i < m else None
+            two = right[j][0] if j < n else None
+            if edge is not None and (one is None or edge < one) and (two is None or edge <= two):
+                return False
+            if one is None and two is None:
+                return True
+            if two is None or (one is not None and one <= two):
+                last = left[i][2]
+                i += 1
+                if last != a:
+                    a = last
+                    edge = score(a + b)
+            else:
+                first = right[j][1]
+                j += 1
+                if first != b:
+                    b = first
+                    edge = score(a + b)
 
     def next_shorter(self, piece: int) -> int:
         """The longest piece that begins ``piece``, but itself; -1 if none does."""
-        answer = self.shorter.get(piece)
-        if answer is None:
-            p = self.texts[piece]
-            answer = self.shorter[piece] = next((self.id[p[:k]] for k in range(len(p) - 1, 0, -1) if p[:k] in self.id), -1)
+        p = self.texts[piece]
+        answer = self.shorter[piece] = next((self.id[p[:k]] for k in range(len(p) - 1, 0, -1) if p[:k] in self.id), -1)
         return answer
 
-    def encode_run(self, text: str) -> array:
+    def encode_run(self, text: str) -> list[int]:
         """Ids of a text of known characters."""
-        n = len(text)
-        longest, size = array("i", bytes(4 * n)), self.size
-        for end, piece in self.automaton.iter(text):  # ends rise, so the last match of a start is its longest
-            longest[end + 1 - size[piece]] = piece
+        n, size, shorter, pairs, total = len(text), self.size, self.shorter, self.pairs, len(self.texts)
+        longest = [-1] * n
+        for end, (piece, back) in self.automaton.iter(text):  # ends rise, so the last match of a start is its longest
+            longest[end - back] = piece
         failed = bytearray((n >> 3) + 1)
-        out, at, piece = array("i"), 0, longest[0]
+        out, at, piece, before = [], 0, longest[0], -1
         while at < n:
-            before = out[-1] if out else -1
             while piece >= 0:
                 end = at + size[piece]
-                if not failed[end >> 3] >> (end & 7) & 1 and self.may_follow(before, piece):
-                    break
-                piece = self.next_shorter(piece)
+                if not failed[end >> 3] >> (end & 7) & 1:
+                    key = before * total + piece
+                    fits = pairs.get(key)
+                    if fits is None:
+                        if len(pairs) >= CACHE:
+                            pairs.clear()
+                        fits = pairs[key] = self.may_follow(before, piece)
+                    if fits:
+                        break
+                follower = shorter.get(piece)
+                piece = self.next_shorter(piece) if follower is None else follower
             if piece >= 0:
                 out.append(piece)
-                at = end
+                before, at = piece, end
                 piece = longest[at] if at < n else -1
             else:
                 failed[at >> 3] |= 1 << (at & 7)
                 piece = out.pop()
                 at -= size[piece]
+                before = out[-1] if out else -1
         return out
 
-    def encode_unit(self, unit: str) -> array:
+    def encode_unit(self, unit: str) -> bytes:
+        """Little-endian ids of a unit."""
         if self.chars.issuperset(unit):
-            return self.encode_run(unit)
+            return array("i", self.encode_run(unit)).tobytes()
         out, known, run = array("i"), self.chars, []
         for c in unit:  # a character without a piece stands as its bytes
             if c in known:
                 run.append(c)
                 continue
             if run:
-                out += self.encode_run("".join(run))
+                out.extend(self.encode_run("".join(run)))
                 run = []
             out.extend(self.byte_id[b] for b in c.encode("utf-8", "replace"))
         if run:
-            out += self.encode_run("".join(run))
-        return out
+            out.extend(self.encode_run("".join(run)))
+        return out.tobytes()
 
-    def encode(self, text: str) -> array:
-        out = array("i")
+    def encode(self, text: str) -> bytes:
+        """Ids of a text as 32-bit numbers, one after another."""
         if not text:
-            return out
-        kept = self.kept
-        for unit in self.units.findall(SPACE + text.replace(" ", SPACE)):
-            ids = kept.get(unit)
-            if ids is None:
-                ids = self.encode_unit(unit)
-                if len(unit) <= KEPT_LENGTH:
-                    if len(kept) >= CACHE:
-                        kept.clear()
-                    kept[unit] = ids
-            out += ids
-        return out
+            return b""
+        return b"".join(map(self.kept.__getitem__, self.units.findall(SPACE + text.replace(" ", SPACE))))
 
     def decode(self, ids: list[int]) -> str:
         """The text of ``ids``: the space in front that encoding adds goes;
         bytes that are no UTF-8 become U+FFFD each."""
-        ids = [i for i in ids if i not in self.control]
+        if not self.control.isdisjoint(ids):
+            return self._mend(ids)
         data = b"".join(map(self.data.__getitem__, ids))
         if ids and ids[0] in self.first_space:
             data = data[1:]
@@ -230,15 +279,18 @@ class PieceModel:
             return self._mend(ids)
 
     def _mend(self, ids: list[int]) -> str:
-        """``decode`` where a run of bytes is no UTF-8."""
-        out, run = [], b""
-        for k, i in enumerate(ids):
+        """``decode`` where a run of bytes is no UTF-8 or control ids, which end such a run, are present."""
+        out, run, begun = [], b"", False
+        for i in ids:
             if self.is_byte[i]:
                 run += self.data[i]
+                begun = True
                 continue
             out.append(_whole_characters(run))
             run = b""
-            out.append(self.data[i][1 if k == 0 and i in self.first_space else 0:].decode())
+            if i not in self.control:
+                out.append(self.data[i][0 if begun or i not in self.first_space else 1:].decode())
+                begun = True
         return "".join([*out, _whole_characters(run)])
 
 
@@ -285,11 +337,8 @@ def _encode(path: str):
         for b in batches:
             for lo, hi in _slices(b.column(1), lambda t: len(t.as_buffer())):
                 found = [model.encode(t.as_buffer().to_pybytes().decode("utf-8", "replace")) for t in b.column(1)[lo:hi]]
-                flat, ends = array("i"), array("i", [0])
-                for ids in found:
-                    flat += ids
-                    ends.append(len(flat))
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(memoryview(flat), pa.int32()))
+                ends = np.cumsum([0, *(len(ids) // 4 for ids in found)])
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), np.int32)))
                 yield pa.RecordBatch.from_arrays([b.column(0)[lo:hi], lists], ["doc_id", "ids"])
 
     return run
