@@ -41,6 +41,7 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--output_path", required=True)
     c.add_argument("--kind", choices=sorted(SCHEMAS), default="locations", help="input schema")
     c.add_argument("--lines", action="store_true", help="one JSON document per line (splittable)")
+    c.add_argument("--split_files", action="store_true", help="whole-file JSON read by splits (large files); declared fields only")
     c.add_argument("--declared_only", action="store_true", help="drop fields that the schema does not declare")
 
     e = sub.add_parser("elt", help="transform one dataset and replace its table(s)")
@@ -87,7 +88,7 @@ def run(args: argparse.Namespace, spark: SparkSession):
 
     if args.command == "convert":
         convert_json_to_parquet(
-            spark, args.input_path, args.output_path, SCHEMAS[args.kind], lines=args.lines, declared_only=args.declared_only
+            spark, args.input_path, args.output_path, SCHEMAS[args.kind], lines=args.lines, declared_only=args.declared_only, split_files=args.split_files
         )
         return None
     if args.command == "elt":

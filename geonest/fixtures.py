@@ -344,3 +344,43 @@ def replicate_docs(docs: DataFrame, factor: int) -> DataFrame:
     cols = [c for c in docs.columns if c != "id"]
     copies = docs.select("*", F.explode(F.sequence(F.lit(0), F.lit(factor - 1))).alias("_copy"))
     return copies.select((F.col("id") * factor + F.col("_copy")).alias("id"), *cols)
+
+
+def land_nation_documents(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """One multi-line JSON file per nation that holds a single country document:
+    its states are the nation's customers, their cities the customers' orders.
+    The text is written line by line in order, so no document is ever a row;
+    fields follow the arrays as well as lead them."""
+    customers, orders = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
+    nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("n"), "n_name")
+
+    def opened(fields: Column, array: str) -> Column:
+        text = F.to_json(fields)
+        return F.concat(F.substring(text, F.lit(1), F.length(text) - 1), F.lit(f', "{array}": ['))
+
+    def closed(fields: Column) -> Column:
+        return F.concat(F.lit("], "), F.substring(F.to_json(fields), 2, 1 << 30))
+
+    most = F.lit((1 << 63) - 1)
+    c = customers.select(F.col("c_nationkey").alias("n"), F.col("c_custkey").alias("c"), "c_name", "c_mktsegment", "c_acctbal").where("n is not null")
+    state = F.struct(F.col("c").alias("id"), F.col("c_name").alias("name"))
+    place = F.struct(F.col("c_mktsegment").alias("state_code"), _money_text(F.col("c_acctbal")).alias("latitude"))
+    city = F.struct(
+        F.col("o_orderkey").alias("id"), F.concat(F.col("o_orderstatus"), F.lit(" {}[]\"")).alias("name"), _money_text(F.col("o_totalprice")).alias("latitude")
+    )
+    lines = [
+        nations.select("n", F.lit(-1).cast("bigint").alias("c"), F.lit(-1).cast("bigint").alias("o"), F.lit(0).alias("kind"),
+                       F.concat(F.lit("["), opened(F.struct(F.col("n").alias("id"), F.col("n_name").alias("name")), "states")).alias("line")),
+        nations.select("n", most, most, F.lit(4), F.concat(closed(F.struct(F.concat(F.lit("N"), F.col("n")).alias("iso3"))), F.lit("]"))),
+        c.select("n", "c", F.lit(-1).cast("bigint"), F.lit(1), opened(state, "cities")),
+        c.select("n", "c", most, F.lit(3), closed(place)),
+        orders.join(c, orders["o_custkey"] == c["c"]).select("n", "c", "o_orderkey", F.lit(2), F.to_json(city)),
+    ]
+    whole = lines[0]
+    for part in lines[1:]:
+        whole = whole.union(part)
+    known = whole.join(nations.select("n"), "n", "left_semi")
+    before = F.lag("kind").over(Window.partitionBy("n").orderBy("c", "o", "kind"))
+    comma = F.when(F.col("kind").isin(1, 2) & before.isin(2, 3), F.lit(",")).otherwise(F.lit(""))
+    known.select("n", F.concat(comma, "line").alias("value")).write.mode("overwrite").partitionBy("n").text(path)
+    return path

@@ -186,6 +186,20 @@ SELECT upper(lang) AS country, {TOPIC} AS topic, CAST(NULL AS BIGINT) AS page, {
 FROM documents WHERE {OK_FILE}
 """
 
+# One document per nation: its customers are states, their orders cities.
+_GIANT_PLACE = "c.c_custkey AS state_id, c.c_name AS state_name, c.c_mktsegment AS state_code"
+GIANT_STATES = f"""
+SELECT n_nationkey AS country_id, 'N' || n_nationkey AS country_code, {_GIANT_PLACE},
+       {_float(_money('c.c_acctbal'))} AS latitude, CAST(NULL AS DOUBLE) AS longitude, {TS} AS created_at, {TS} AS last_updated_at
+FROM nation JOIN customer c ON c.c_nationkey = n_nationkey
+"""
+GIANT_CITIES = f"""
+SELECT n_nationkey AS country_id, 'N' || n_nationkey AS country_code, {_GIANT_PLACE},
+       o.o_orderkey AS city_id, o.o_orderstatus || ' {{}}[]"' AS city_name,
+       {_float(_money('o.o_totalprice'))} AS latitude, CAST(NULL AS DOUBLE) AS longitude, {TS} AS created_at, {TS} AS last_updated_at
+FROM nation LEFT JOIN customer c ON c.c_nationkey = n_nationkey LEFT JOIN orders o ON o.o_custkey = c.c_custkey
+"""
+
 LOCATION_PIPELINE = " UNION ALL ".join(
     [
         checks_sql("countries", COUNTRIES, "country_id"),
@@ -208,6 +222,9 @@ ORACLE_SQL = {
     "filter_eq": f"SELECT * FROM ({states_sql(True)}) s WHERE state_name = '1-URGENT'",
     "top10": f"SELECT * FROM ({COUNTRIES}) c ORDER BY country_id LIMIT 10",
     "json_to_parquet": cities_sql(True),
+    "json_ranges_convert": cities_sql(True),
+    "giant_cities_outer": GIANT_CITIES,
+    "giant_states_inner": GIANT_STATES,
     "table_replace_roundtrip": cities_sql(True),
     "elt_countries": COUNTRIES,
     "elt_states": states_sql(False),
@@ -234,6 +251,9 @@ ORACLE_SQL = {
     "iso_timestamps": ISO_TIMESTAMPS,
     "news_append_roundtrip": f"{NEWS_TABLE_ROWS} UNION ALL {NEWS_TABLE_ROWS}",
     "news_stream_append": NEWS_TABLE_ROWS,
+    "news_stream_rejects": NEWS_REJECTS,
+    "news_compacted": f"{NEWS_TABLE_ROWS} UNION ALL {NEWS_TABLE_ROWS}",
+    "news_new_only": NEWS_TABLE_ROWS,
     "news_files_load": NEWS_FILES_ROWS,
     "news_files_stream": NEWS_FILES_ROWS,
 }

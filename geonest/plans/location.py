@@ -15,6 +15,7 @@ from geonest.plans.validate import validation_checks
 from geonest.sinks.catalog import write_table
 from geonest.sinks.files import write_parquet_overwrite
 from geonest.sources.json import read_json_lines, read_multiline_json, undeclared_schema
+from geonest.sources.json_ranges import read_json_ranges
 from geonest.sources.parquet import read_parquet
 
 log = logging.getLogger(__name__)
@@ -30,7 +31,7 @@ def new_run_ts() -> str:
 
 def convert_json_to_parquet(
     spark: SparkSession, raw_data_path: str, preprocess_data_path: str, schema=None, mode: str = "FAILFAST",
-    lines: bool = False, declared_only: bool = False,
+    lines: bool = False, declared_only: bool = False, split_files: bool = False,
 ) -> str:
     """TR5: JSON documents to Parquet (full replace). Errors propagate, so
     later steps never run on stale output.
@@ -38,7 +39,14 @@ def convert_json_to_parquet(
     ``schema`` gives declared fields their types; fields it does not declare
     are kept with inferred types (one more pass over the input), unless
     ``declared_only``. ``lines``: one document per line, which Spark can
-    split, instead of whole-file JSON."""
+    split, instead of whole-file JSON. ``split_files``: whole-file JSON whose
+    files are large, read by splits; needs a schema and keeps declared fields
+    only."""
+    if split_files:
+        if schema is None or lines:
+            raise ValueError("split_files needs a schema and whole-file JSON")
+        write_parquet_overwrite(read_json_ranges(spark, raw_data_path, schema, mode), preprocess_data_path, input_paths=[raw_data_path])
+        return preprocess_data_path
     if schema is not None and not declared_only:
         schema = undeclared_schema(spark, raw_data_path, schema, multiline=not lines)
     df = (read_json_lines if lines else read_multiline_json)(spark, raw_data_path, schema, mode)

@@ -20,11 +20,12 @@ from geonest.operators.news import classify_responses, parse_responses
 from geonest.operators.preview import filter_equals, top_n
 from geonest.operators.requests import build_requests, coverage_gaps, request_grid, sample_requests
 from geonest.plans.location import convert_json_to_parquet, run_elt, run_location_pipeline
-from geonest.plans.news import load_news, news_articles
+from geonest.plans.news import compact_news, load_news, news_articles
 from geonest.plans.validate import spot_check_sql, validation_checks
 from geonest.session import new_scratch_dir
 from geonest.sinks.catalog import read_contract, write_table
-from geonest.sources.news import read_news_layout, read_news_table, read_response_log
+from geonest.sources.json_ranges import read_location_pieces
+from geonest.sources.news import read_news_layout, read_news_rejects, read_news_table, read_response_log
 from geonest.sources.reference import country_codes
 from geonest.streaming.news_stream import run_news_stream_once
 
@@ -124,6 +125,30 @@ def q_json_to_parquet(spark, sf):
     return comparable(flatten_cities(docs, outer=True, run_ts=RUN_TS))
 
 
+def q_json_ranges_convert(spark, sf):
+    """SC1, TR5 with files read by splits."""
+    raw = _raw_json(spark, sf)[0]
+    out = new_scratch_dir(spark, "preprocessed-ranges")
+    convert_json_to_parquet(spark, raw, out, S.COUNTRY, split_files=True)
+    return comparable(flatten_cities(spark.read.schema(S.COUNTRY).parquet(out), outer=True, run_ts=RUN_TS))
+
+
+def _giant(spark, sf, table):
+    key = ("nation-documents", sf)
+    if key not in FX._materialised:
+        FX._materialised[key] = FX.land_nation_documents(spark, sf, new_scratch_dir(spark, "nation-documents"))
+    return read_location_pieces(spark, FX._materialised[key])[table]
+
+
+def q_giant_cities_outer(spark, sf):
+    """GE2, GE4 on one document per nation, which no row ever holds."""
+    return comparable(flatten_cities(_giant(spark, sf, "cities"), outer=True, run_ts=RUN_TS))
+
+
+def q_giant_states_inner(spark, sf):
+    return comparable(flatten_states(_giant(spark, sf, "states"), outer=False, run_ts=RUN_TS))
+
+
 def q_table_replace_roundtrip(spark, sf):
     docs = FX.location_docs(spark, sf)
     loc = new_scratch_dir(spark, "table-cities")
@@ -358,6 +383,32 @@ def q_news_stream_append(spark, sf):
     return extra_columns(read_news_table(spark, table, NEWS_TABLE))
 
 
+def q_news_stream_rejects(spark, sf):
+    """FI2 in ST1: the rejects that the stream wrote with its articles."""
+    table, ckpt = new_scratch_dir(spark, "news-rejects"), new_scratch_dir(spark, "news-rejects-ckpt")
+    for _ in range(2):  # no new files: no new rows
+        run_news_stream_once(spark, _landed(spark, sf), table, ckpt)
+    return read_news_rejects(spark, table).groupBy("country", "topic", "page", "response_class").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_news_compacted(spark, sf):
+    """SK6: two loads compacted into one."""
+    table = new_scratch_dir(spark, "news-compacted")
+    load_news(spark, _landed(spark, sf), table)
+    load_news(spark, _landed(spark, sf), table)
+    compact_news(spark, table)
+    return extra_columns(read_news_table(spark, table, NEWS_TABLE))
+
+
+def q_news_new_only(spark, sf):
+    """TR12, ST1: a landing loaded by the stream and again by a batch, where
+    only articles that the table does not have are asked for."""
+    table = new_scratch_dir(spark, "news-new-only")
+    run_news_stream_once(spark, _landed(spark, sf), table, new_scratch_dir(spark, "news-new-only-ckpt"), new_only=True)
+    load_news(spark, _landed(spark, sf), table, new_only=True)
+    return extra_columns(read_news_table(spark, table, NEWS_TABLE))
+
+
 def q_news_stream_then_load(spark, sf):
     """ST1 and TR12 on one table: streamed rows, then a batch load of the same landing."""
     landing = _landed(spark, sf)
@@ -378,6 +429,9 @@ QUERIES = {
     "filter_eq": q_filter_eq,
     "top10": q_top10,
     "json_to_parquet": q_json_to_parquet,
+    "json_ranges_convert": q_json_ranges_convert,
+    "giant_cities_outer": q_giant_cities_outer,
+    "giant_states_inner": q_giant_states_inner,
     "table_replace_roundtrip": q_table_replace_roundtrip,
     "elt_countries": q_elt_countries,
     "elt_states": q_elt_states,
@@ -402,4 +456,7 @@ QUERIES = {
     "news_stream_append": q_news_stream_append,
     "news_files_stream": q_news_files_stream,
     "news_stream_then_load": q_news_stream_then_load,
+    "news_stream_rejects": q_news_stream_rejects,
+    "news_compacted": q_news_compacted,
+    "news_new_only": q_news_new_only,
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -72,6 +73,19 @@ def build_session(
     return spark
 
 
+@contextmanager
+def session_conf(spark: SparkSession, settings: dict[str, str]):
+    """Settings that hold for the jobs started inside."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 _local_roots: dict[str, str] = {}
 
 

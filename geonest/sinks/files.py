@@ -67,3 +67,11 @@ def append_partitioned(df: DataFrame, path: str, partition_by: list[str], fmt: s
     df = guard_partition_values(df, partition_by)
     cluster_by(df, partition_by).write.mode("append").format(fmt).partitionBy(*partition_by).save(path)
     return path
+
+
+def write_partitioned(df: DataFrame, path: str, partition_by: list[str]) -> str:
+    """The rows as ``col=value`` folders of ``path``, in place of what an
+    earlier attempt left there."""
+    df = guard_partition_values(df, partition_by)
+    cluster_by(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
+    return path

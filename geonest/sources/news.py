@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from geonest import schemas as S
+from geonest.sinks.commit_log import CommitLog
 
 
 def read_response_log(spark: SparkSession, path: str, schema: T.StructType = S.RESPONSE_ENVELOPE) -> DataFrame:
@@ -83,17 +84,55 @@ def _response_file_keys(df: DataFrame) -> DataFrame:
     )
 
 
+def load_folder(table_path: str, load: str) -> str:
+    """The folder of one load of a news table. A load's files are its own, so
+    batch loads and streams can share a table."""
+    return f"{table_path.rstrip('/')}/load={load}"
+
+
+def rejects_path(table_path: str) -> str:
+    """Folder of the rejected responses of a news table."""
+    return f"{table_path.rstrip('/')}-rejects"
+
+
+def read_loads(spark: SparkSession, table_path: str) -> list[str] | None:
+    """The loads of a news table that count; None for a table without a log."""
+    log = CommitLog(spark, table_path)
+    return log.loads() if log.exists() else None
+
+
 def read_news_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """SC7: the partitioned news table (``load=/date=/country=/topic=``, as
     written by the batch load and the stream; the load folder is no column
-    of the result).
+    of the result). Only loads that are committed when this is called are
+    read; of a table without a log, all of them.
 
     With a schema the partition values keep their text type (otherwise
     ``2024-01-01`` would be read as a date and ``01`` as an integer)."""
+    loads = read_loads(spark, path)
+    return _read_loads(spark, path, loads, schema)
+
+
+def _read_loads(spark: SparkSession, path: str, loads: list[str] | None, schema: T.StructType | None) -> DataFrame:
     reader = spark.read
     if schema is not None:
         reader = reader.schema(T.StructType([*schema.fields, T.StructField("load", T.StringType())]))
-    return reader.parquet(path).drop("load")
+    if loads is None:
+        return reader.parquet(path).drop("load")
+    if not loads:
+        if schema is None:
+            raise ValueError(f"{path} has no committed load yet; pass a schema to read it as empty")
+        return spark.createDataFrame([], schema)
+    return reader.option("basePath", path).parquet(*(load_folder(path, x) for x in loads)).drop("load")
+
+
+def read_news_rejects(spark: SparkSession, table_path: str, loads: list[str] | None = None) -> DataFrame:
+    """The rejected responses (FI2) of the committed loads of a news table, or of those named."""
+    loads = loads if loads is not None else read_loads(spark, table_path)
+    root = rejects_path(table_path)
+    if not loads:
+        raise ValueError(f"{table_path} has no committed load yet")
+    return spark.read.option("basePath", root).option("mergeSchema", True).parquet(*(load_folder(root, x) for x in loads)).drop("load")
 
 
 def read_news_layout(spark: SparkSession, path: str) -> DataFrame:

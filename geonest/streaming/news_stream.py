@@ -2,10 +2,12 @@
 
 Landed response files are picked up once each (the checkpoint records
 which files were processed), parsed, exploded and written as Parquet under
-``load=stream-<query>-<batch>/date=/country=/topic=``. Stateless: no
-watermark or state store. A micro-batch has a folder of its own, which a
-repeated run of it replaces; so every file is loaded once, and batch loads
-(``plans.news.load_news``) can write to the same table.
+``load=stream-<query>-<batch>/date=/country=/topic=``; the rejected
+responses of the same files go beside the table. Stateless: no watermark or
+state store. A micro-batch is one load: both outputs count by one entry of
+the table's commit log, and a micro-batch that runs again after that changes
+nothing. So every file is loaded once, readers see whole loads only, and
+batch loads (``plans.news.load_news``) can write to the same table.
 """
 
 from __future__ import annotations
@@ -17,8 +19,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from geonest import schemas as S
-from geonest.plans.news import NEWS_PARTITIONS, file_envelopes, load_folder, news_articles
-from geonest.sinks.files import cluster_by, guard_partition_values
+from geonest.plans.news import file_envelopes, write_load
+from geonest.session import session_conf
 from geonest.sources.news import stream_response_files, stream_response_log
 
 
@@ -33,6 +35,7 @@ def start_news_stream(
     landing: str = "log",
     run_ts=None,
     article: T.StructType = S.ARTICLE,
+    new_only: bool = False,
 ) -> StreamingQuery:
     """Start the incremental load.
 
@@ -49,35 +52,28 @@ def start_news_stream(
         responses = file_envelopes(stream_response_files(spark, landing_dir, max_files_per_trigger), run_ts)
     else:
         raise ValueError(f"landing must be 'log' or 'files', not {landing!r}")
-    articles, _ = news_articles(responses, article)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         # the query's id is kept in its checkpoint, so it outlives restarts
-        query = json.loads(batch.sparkSession.read.text(f"{checkpoint_path}/metadata").first()[0])["id"]
-        rows = cluster_by(guard_partition_values(batch, NEWS_PARTITIONS), NEWS_PARTITIONS)
-        writer = rows.write.mode("overwrite").partitionBy(*NEWS_PARTITIONS)
-        # a stream's session has adaptive execution off; this write is a batch
-        # job of its own and needs it to split a hot folder
-        conf, key = batch.sparkSession.conf, "spark.sql.adaptive.enabled"
-        before = conf.get(key)
-        conf.set(key, "true")
-        try:
-            writer.parquet(load_folder(table_path, f"stream-{query}-{batch_id}"))
-        finally:
-            conf.set(key, before)
+        query = json.loads(spark.read.text(f"{checkpoint_path}/metadata").first()[0])["id"]
+        # a stream's session has adaptive execution off; these writes are batch
+        # jobs of their own and need it to split a hot folder
+        with session_conf(spark, {"spark.sql.adaptive.enabled": "true"}):
+            write_load(batch, table_path, f"stream-{query}-{batch_id}", article, new_only)
 
-    w = articles.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_path).outputMode("append")
+    w = responses.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_path).outputMode("append")
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 minute")
     return w.start()
 
 
 def run_news_stream_once(
     spark: SparkSession, landing_dir: str, table_path: str, checkpoint_path: str, landing: str = "log", run_ts=None,
-    article: T.StructType = S.ARTICLE,
+    article: T.StructType = S.ARTICLE, new_only: bool = False,
 ) -> None:
     """Process every file landed so far, then stop."""
     q = start_news_stream(
-        spark, landing_dir, table_path, checkpoint_path, available_now=True, landing=landing, run_ts=run_ts, article=article
+        spark, landing_dir, table_path, checkpoint_path, available_now=True, landing=landing, run_ts=run_ts, article=article, new_only=new_only
     )
     q.awaitTermination()
     if q.exception() is not None:
