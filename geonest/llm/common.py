@@ -44,6 +44,13 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let the shuffle files of finished jobs go now. Spark removes them once
+    the driver's JVM has collected the jobs' objects, which on a large heap
+    may be long after a written table has made them useless."""
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 def size_of(df: DataFrame, text: str = "text") -> tuple[int, int]:
     """Rows and text bytes of a table (one aggregated row)."""
     r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(text)).alias("b")).first()

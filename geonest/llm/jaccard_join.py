@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geonest.llm.common import pick, text_bytes, write_table
+from geonest.llm.common import pick, release_shuffles, text_bytes, write_table
 from geonest.llm.components import connected_components
 from geonest.llm.shingles import fingerprint, mix, shingle_set
 
@@ -31,8 +31,10 @@ PERCENT = 75
 COUNTED = 86
 #: Buckets of the size sketch that bounds the distance of two sets.
 SKETCH = 256
-#: Members of a signature that are compared with each other at once.
-BLOCK = 512
+#: Members of a signature, and features of them, that are compared with each other at once.
+BLOCK, BLOCK_SIZE = 512, 1 << 20
+#: Most bits of a feature by which a tile compares its members.
+KEY_BITS = 24
 #: Shingles whose signatures are handed over at once.
 ROWS = 1 << 18
 
@@ -101,6 +103,31 @@ def sketch(features: np.ndarray) -> bytes:
     return np.minimum(np.bincount((features >> np.uint64(24)).astype(np.int64) % SKETCH, minlength=SKETCH), 255).astype(np.uint8).tobytes()
 
 
+def key_bits(size: int, most: int) -> int:
+    """Bits of a feature's short key: five more than the set's size has, so few meet by chance."""
+    return min(most, size.bit_length() + 5)
+
+
+def short_keys(features: np.ndarray, most: int) -> bytes:
+    """The last bits of every feature (above 24), sorted, each as the step from
+    the one before: a byte below 255, after a byte 255 for each 255 of it."""
+    mask = (1 << key_bits(len(features), most)) - 1
+    steps = np.diff(np.sort(((features >> np.uint64(24)) & np.uint64(mask)).astype(np.int64)), prepend=0)
+    ends = np.cumsum(steps // 255 + 1)
+    out = np.full(ends[-1] if len(ends) else 0, 255, np.uint8)
+    out[ends - 1] = steps % 255
+    return out.tobytes()
+
+
+def read_keys(keys: list[bytes]) -> np.ndarray:
+    """The keys of several sets, one set after another."""
+    steps = np.frombuffer(b"".join(keys), np.uint8)
+    total = np.concatenate([[0], np.cumsum(steps, dtype=np.int64)])
+    sizes = np.array([len(k) for k in keys])
+    begin = np.repeat(total[np.cumsum(sizes) - sizes], sizes)
+    return (total[1:] - begin)[steps < 255]
+
+
 def _info(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -109,7 +136,7 @@ def _info(size: int):
                 s = shingle_set(text.as_py(), size)
                 rows.append((len(s), *fingerprint(s)))
             n, one, two = (pa.array(c, pa.int64()) for c in zip(*rows, strict=True)) if rows else (pa.array([], pa.int64()),) * 3
-            yield pa.RecordBatch.from_arrays([b.column(0), n, one, two], ["doc_id", "n_shingles", "f1", "f2"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), n, one, two], ["doc_id", "digest", "n_shingles", "f1", "f2"])
 
     return run
 
@@ -140,17 +167,20 @@ def _feature_rows(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(feature.view(np.int64)), pa.array(owner)], ["feature", "owner"])
 
 
-def _sets(size: int):
+def _sets(size: int, most_bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rep, found, sketches = [], [], []
+            rep, found, sketches, keys = [], [], [], []
             for r, text, one, two in zip(*(b.column(i) for i in range(4)), strict=True):
                 s = shingle_set(text.as_py(), size)
                 if fingerprint(s) == (one.as_py(), two.as_py()):
                     rep.append(r.as_py())
                     found.append(s.astype("<u8").tobytes())
                     sketches.append(sketch(s))
-            yield pa.RecordBatch.from_arrays([pa.array(rep, pa.int64()), pa.array(found, pa.binary()), pa.array(sketches, pa.binary())], ["rep", "features", "sketch"])
+                    keys.append(short_keys(s, most_bits))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rep, pa.int64()), *(pa.array(c, pa.binary()) for c in (found, sketches, keys))], ["rep", "features", "sketch", "keys"]
+            )
 
     return run
 
@@ -221,21 +251,39 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
     return both.mapInArrow(_verify(percent), "a bigint, b bigint")
 
 
-def _across(percent: int):
+def _across(percent: int, most: int, every: bool = False):
     """Pairs of two blocks of a signature's members that are in different
-    components and near by sketch. Rows come sorted by (sig, i, j); what is
-    held of one such tile is at most two blocks."""
-
-    def pairs(t: pa.Table) -> list[np.ndarray]:
-        rep, comp, n = (t.column(c).to_numpy() for c in ("rep", "component", "n"))
-        left, right = (np.flatnonzero(t.column(c).to_numpy()) for c in ("left", "right"))
-        sk = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH).astype(np.int16)
+    components and may be similar by their short keys. Rows come sorted by
+    (sig, i, j); what is held of one such tile is at most two blocks.
+
+    A pair joins its components at once, so a tile gives fewer pairs than it
+    has members. With ``every``, components stay as they came and all such
+    pairs are given: for the tiles of a pair that the whole features refute."""
+
+    def pairs(t: pa.Table) -> list[tuple[int, int, int]]:
+        sig, rep, comp, n = (t.column(c).to_numpy() for c in ("sig", "rep", "component", "n"))
+        left, right = (t.column(c).to_numpy() for c in ("left", "right"))
+        comp, bits = comp.copy(), min(key_bits(int(x), most) for x in n)
+        keys = read_keys(t.column("keys").to_pylist()) & ((1 << bits) - 1)
+        begin = np.cumsum(n) - n
+        held = np.zeros(1 << bits, np.uint8)
+        # a pair across components has a member outside of the largest one
+        names, of, counts = np.unique(comp, return_inverse=True, return_counts=True)
         out = []
-        for i in left:
-            j = right[(comp[right] != comp[i]) & (rep[right] != rep[i])]
-            if len(j):
-                j = j[np.abs(sk[j] - sk[i]).sum(1, dtype=np.int64) <= (n[j] + n[i]) * (100 - percent) // (100 + percent)]
-                out.append(np.stack([np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])]))
+        for i in np.flatnonzero(of != counts.argmax()).tolist():
+            other = (comp != comp[i]) & (rep != rep[i]) & ((left[i] & right) | (left & right[i]))
+            if not other.any():
+                continue
+            own = keys[begin[i]:begin[i] + n[i]]
+            held[own] = 1
+            # keys that i has too: no fewer than the features that both have
+            both = np.minimum(np.add.reduceat(held[keys], begin, dtype=np.int64), n[i])
+            held[own] = 0
+            for k in np.flatnonzero(other & (100 * both >= percent * (n + n[i] - both))).tolist():
+                if comp[k] != comp[i]:
+                    out.append((int(sig[i]), int(min(rep[i], rep[k])), int(max(rep[i], rep[k]))))
+                    if not every:
+                        comp[comp == comp[k]] = comp[i]
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,8 +299,7 @@ def _across(percent: int):
                 held, head, ends = t.slice(head[-1]), head[:-1], ends[:-1]
             found = [p for at, end in zip(head.tolist(), ends.tolist(), strict=True) for p in pairs(t.slice(at, end - at))]
             if found:
-                found = np.unique(np.concatenate(found, axis=1), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["sig", "a", "b"])
 
     return run
 
@@ -261,38 +308,69 @@ def _label(sets: DataFrame, links: DataFrame) -> DataFrame:
     return sets.join(connected_components(links).withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
 
 
-def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
-    r"""``doc_id``, ``n_shingles`` and ``component_id`` for every row of
-    ``docs`` (``doc_id``, ``text``).
-
-    A document's set holds its distinct ``size``-word shingles (words
-    ``[^\x20\x09-\x0D]+``, A-Z lowered; with fewer words, the whole
-    sequence). Two documents link when 100 * intersection >= ``percent`` *
-    union; ``component_id`` is the smallest doc_id that links reach.
-
-    Defined cases: a null or empty text has no shingles and links with
-    nothing; rows that repeat an id are judged each by its own text; a row
-    without an id takes no part, its component is null;
-    an empty table gives no rows; other columns are ignored. Shingles are
-    told apart by 64-bit hashes.
-
-    Equal sets are found by name first and stand as one. A set that has more
-    than the allowed share of features that no other set has is alone; this
-    is counted over a part of the domain, which can only keep too many. The
-    others get signatures. Members of a signature are compared with its
-    smallest member, which settles groups of near copies in one row a
-    member; only where that leaves several components are the rest compared
-    across these, in blocks.
+def _tiles(members: DataFrame, labelled: DataFrame, only: DataFrame | None = None) -> DataFrame:
+    """Rows (sig, i, j, rep, component, n, left, right, keys) of the signatures
+    whose members are in several components, in tiles of two blocks, sorted."""
+    sorted_out = members.select("sig", "rep").join(labelled.select("rep", "component", "n"), "rep")
+    if only is not None:
+        sorted_out = sorted_out.join(only, "sig", "left_semi")
+    mixed = (
+        sorted_out.groupBy("sig")
+        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("m"), F.sum("n").alias("size"))
+        # of two members, the only pair has been compared already
+        .where("lo < hi and m > 2")
+        .select("sig", F.ceil(F.greatest(F.col("m") / BLOCK, F.col("size") / BLOCK_SIZE)).cast("int").alias("blocks"))
+    )
+    mixed = write_table(mixed, "mixed-signatures")
+    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    tiled = (
+        members.join(mixed, "sig")
+        .select("sig", "rep", block.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
+        .select("sig", "rep", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), (F.col("own") <= F.col("with")).alias("left"), (F.col("own") >= F.col("with")).alias("right"))
+        .join(labelled, "rep")
+    )
+    tiles = tiled.select("sig", "i", "j", "rep", "component", "n", "left", "right", "keys")
+    return tiles.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
+
+
+def jaccard_groups(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, most_bits: int = KEY_BITS) -> DataFrame:
+    """``doc_id``, ``digest`` (SHA-256 of the text), ``n_shingles`` and ``group``
+    (a name of the component of the row's set; null without shingles or id)
+    for every row of ``docs``; see ``jaccard_components``.
+
+    Equal sets are found by name (two sums of their features and their size)
+    and stand as one. A set that has more than the allowed share of features
+    that no other set has is alone; this is counted over a part of the
+    domain, which can only keep too many. The others get signatures. Members
+    of a signature are compared with its smallest member, which settles
+    groups of near copies in one row a member; only where that leaves several
+    components are the rest compared across these, in tiles of two blocks. A
+    tile compares a few bits of every feature (``most_bits`` at most), which never misses a similar
+    pair, and gives pairs that join its components, fewer than its members;
+    these are compared in full. Where one is refuted (the short keys met by
+    chance), the tiles of its signature are gone through again, all pairs
+    across the components then reached.
     """
     d = pick(docs, doc_id="doc_id:bigint", text="text:string").withColumn("text", text_bytes("text"))
-    info = write_table(d.mapInArrow(_info(size), "doc_id bigint, n_shingles bigint, f1 bigint, f2 bigint"), "shingle-info")
+    info = write_table(
+        d.withColumn("digest", F.unhex(F.sha2("text", 256))).mapInArrow(_info(size), "doc_id bigint, digest binary, n_shingles bigint, f1 bigint, f2 bigint"),
+        "shingle-info",
+    )
     reps = (
         info.where("doc_id is not null and n_shingles > 0")
         .groupBy("f1", "f2", "n_shingles")
-        .agg(F.min("doc_id").alias("rep"))
-        .withColumn("owner", F.col("f1").bitwiseXOR(F.col("f2")))
+        .agg(F.min("doc_id").alias("doc_id"))
+        .withColumn("set", F.struct("f1", "f2", "n_shingles"))
+    )
+    # a set is named by its smallest id, or, where several texts under one id
+    # would share the name, all but one by a hash
+    named = reps.groupBy("doc_id").agg(F.min("set").alias("named"))
+    reps = write_table(
+        reps.join(named, "doc_id")
+        .withColumn("rep", F.when(F.col("set") == F.col("named"), F.col("doc_id")).otherwise(F.xxhash64("f1", "f2", "n_shingles")))
+        .select("f1", "f2", "n_shingles", "doc_id", "rep", F.col("f1").bitwiseXOR(F.col("f2")).alias("owner")),
+        "shingle-reps",
     )
-    reps = write_table(reps, "shingle-reps")
     alone = (
         d.where("doc_id is not null").mapInArrow(_counted(size), "feature bigint, owner bigint")
         .groupBy("feature")
@@ -302,16 +380,18 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHIN
         .agg(F.count(F.lit(1)).alias("alone"))
     )
     open_reps = write_table(
-        reps.join(alone, "owner", "left").where(F.coalesce(F.col("alone"), F.lit(0)) * 100 <= F.col("n_shingles") * (100 - percent)).select("rep", "f1", "f2"),
+        reps.join(alone, "owner", "left").where(F.coalesce(F.col("alone"), F.lit(0)) * 100 <= F.col("n_shingles") * (100 - percent)).select("rep", "doc_id", "f1", "f2"),
         "shingle-open",
     )
+    release_shuffles(d.sparkSession)
     sets = write_table(
         # the plan of the large sizes at every size
-        d.join(open_reps.withColumnRenamed("rep", "doc_id").hint("merge"), "doc_id")
-        .select(F.col("doc_id").alias("rep"), "text", "f1", "f2")
-        .mapInArrow(_sets(size), "rep bigint, features binary, sketch binary"),
+        d.join(open_reps.hint("merge"), "doc_id")
+        .select("rep", "text", "f1", "f2")
+        .mapInArrow(_sets(size, most_bits), "rep bigint, features binary, sketch binary, keys binary"),
         "shingle-sets",
     )
+    release_shuffles(d.sparkSession)
     sigs = write_table(sets.mapInArrow(_signature_rows(percent), "sig bigint, rep bigint"), "signatures")
     # groups with the same members are one: they have the same smallest, number and sum of hashes
     groups = (
@@ -323,32 +403,45 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHIN
         .select("sig", "first")
     )
     members = write_table(sigs.join(groups, "sig").select("sig", "first", "rep"), "signature-members")
+    release_shuffles(d.sparkSession)
     star = members.where("first < rep").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()
     links = write_table(verified(star, sets, percent), "links")
-    labelled = write_table(_label(sets, links).select("rep", "component", (F.length("features") / 8).cast("bigint").alias("n"), "sketch"), "labels")
-    sorted_out = members.join(labelled.select("rep", "component"), "rep")
-    mixed = write_table(
-        sorted_out.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("m"))
-        # of two members, the only pair has been compared already
-        .where("lo < hi and m > 2")
-        .select("sig", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")),
-        "mixed-signatures",
-    )
-    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    tiled = (
-        members.join(mixed, "sig")
-        .select("sig", "rep", block.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
-        .select("sig", "rep", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), (F.col("own") <= F.col("with")).alias("left"), (F.col("own") >= F.col("with")).alias("right"))
-        .join(labelled, "rep")
-    )
-    tiles = tiled.select("sig", "i", "j", "rep", "component", "n", "left", "right", "sketch")
-    tiles = tiles.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
-    across = tiles.mapInArrow(_across(percent), "a bigint, b bigint").distinct()
-    all_links = write_table(links.union(verified(across, sets, percent)), "links")
-    component = reps.select("f1", "f2", "n_shingles", "rep").join(
-        connected_components(all_links).withColumnRenamed("node", "rep"), "rep", "left"
-    ).select("f1", "f2", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
-    return info.join(component, ["f1", "f2", "n_shingles"], "left").select(
-        "doc_id", "n_shingles",
-        F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))).alias("component_id"),
+
+    def labelled() -> DataFrame:
+        return write_table(_label(sets, links).select("rep", "component", (F.length("features") / 8).cast("bigint").alias("n"), "keys"), "labels")
+
+    given = write_table(_tiles(members, labelled()).mapInArrow(_across(percent, most_bits), "sig bigint, a bigint, b bigint"), "joining-pairs")
+    release_shuffles(d.sparkSession)
+    pairs = given.select("a", "b").distinct()
+    true = write_table(verified(pairs, sets, percent), "joining-links")
+    links = write_table(links.union(true), "links")
+    refuted = write_table(given.join(true, ["a", "b"], "left_anti").select("sig").distinct(), "refuted-signatures")
+    if refuted.limit(1).count():
+        again = _tiles(members, labelled(), refuted).mapInArrow(_across(percent, most_bits, every=True), "sig bigint, a bigint, b bigint")
+        links = write_table(links.union(verified(again.select("a", "b").distinct(), sets, percent)), "links")
+    group = reps.select("f1", "f2", "n_shingles", "rep").join(
+        connected_components(links).withColumnRenamed("node", "rep"), "rep", "left"
+    ).select("f1", "f2", "n_shingles", F.coalesce("component", "rep").alias("group"))
+    return info.join(group, ["f1", "f2", "n_shingles"], "left").select(
+        "doc_id", "digest", "n_shingles", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("group")).alias("group")
     )
+
+
+def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
+    r"""``doc_id``, ``n_shingles`` and ``component_id`` for every row of
+    ``docs`` (``doc_id``, ``text``).
+
+    A document's set holds its distinct ``size``-word shingles (words
+    ``[^\x20\x09-\x0D]+``, A-Z lowered; with fewer words, the whole
+    sequence). Two documents link when 100 * intersection >= ``percent`` *
+    union; ``component_id`` is the smallest doc_id that links reach.
+
+    Defined cases: a null or empty text has no shingles and links with
+    nothing; rows that repeat an id are judged each by its own text; a row
+    without an id takes no part, its component is null;
+    an empty table gives no rows; other columns are ignored. Shingles, and
+    sets, are told apart by 64-bit hashes.
+    """
+    rows = write_table(jaccard_groups(docs, percent, size), "groups")
+    lowest = rows.where("group is not null").groupBy("group").agg(F.min("doc_id").alias("lowest"))
+    return rows.join(lowest, "group", "left").select("doc_id", "n_shingles", F.coalesce("lowest", "doc_id").alias("component_id"))

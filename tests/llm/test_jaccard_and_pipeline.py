@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,6 +86,53 @@ def test_repeated_rows_and_empty_table(spark):
     assert J.jaccard_components(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("bits", [0, 3])
+def test_pairs_that_short_keys_suggest_wrongly(spark, bits):
+    """Too few bits refute nothing: the components still are those of the whole features."""
+    rows = corpus(2)[:120]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    groups = J.jaccard_groups(df, most_bits=bits).select("doc_id", "group").collect()
+    label = dict(map(tuple, groups))
+    want = {i: c for i, _, c in brute_components(rows)}
+    lowest = {g: min(i for i in label if label[i] == g) for g in set(label.values())}
+    assert {i: lowest[g] for i, g in label.items()} == want
+
+
+def _tile(sets, components):
+    """All members of one signature as one tile."""
+    n = len(sets)
+    columns = {
+        "sig": [7] * n, "i": [0] * n, "j": [0] * n, "rep": list(range(n)), "component": components, "n": [len(s) for s in sets],
+        "left": [True] * n, "right": [True] * n, "keys": [J.short_keys(s, 24) for s in sets],
+    }
+    return pa.RecordBatch.from_pydict(columns)
+
+
+def test_a_tile_gives_fewer_pairs_than_members():
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 1 << 63, 200, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base, rng.integers(0, 1 << 63, 10, dtype=np.uint64)])) for _ in range(60)]
+    pairs = [p for b in J._across(75, 24)(iter([_tile(sets, list(range(60)))])) for p in b.to_pylist()]
+    assert len(pairs) == 59
+    every = [p for b in J._across(75, 24, every=True)(iter([_tile(sets, list(range(60)))])) for p in b.to_pylist()]
+    assert len({(p["a"], p["b"]) for p in every}) == 60 * 59 // 2
+
+
+def test_short_keys_never_miss_a_shared_feature():
+    rng = np.random.default_rng(3)
+    for n in (1, 50, 3000, 40_000):
+        a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[: n // 2], rng.integers(0, 1 << 63, n, dtype=np.uint64)]))
+        for most in (0, 9, 24):
+            coded = [J.short_keys(x, most) for x in (a, b)]
+            keys = J.read_keys([coded[0], coded[1], coded[0]])
+            mask = [(1 << J.key_bits(len(x), most)) - 1 for x in (a, b)]
+            want = [np.sort((x >> np.uint64(24)) & np.uint64(m)).astype(np.int64) for x, m in zip((a, b), mask, strict=True)]
+            assert (keys == np.concatenate([want[0], want[1], want[0]])).all()
+            low = min(mask)
+            assert np.isin(want[0] & low, want[1] & low).sum() >= len(np.intersect1d(a, b))
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 4, 7, 13, 50, 134, 400, 3000])
 def test_similar_sets_share_a_signature(size):
     rng = np.random.default_rng(size)
@@ -159,6 +207,16 @@ def test_stages_keep_the_columns_and_take_effect(spark, tmp_dir):
     assert all(len(r.ids) == 4 * r.length for r in packed)
 
 
+def test_rows_that_repeat_an_id_are_judged_each_by_its_own_text(spark, tmp_dir):
+    text = lambda i: " ".join(f"k{i}v{j}" for j in range(30))
+    rows = [(1, text(1)), (5, text(1) + " end"), (5, text(2)), (6, text(2) + " end"), (7, text(3)), (7, text(4)), (7, text(4)), (8, None), (8, ""), (None, text(1))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS)
+    kept = corpus_pipeline.near_duplicates(spark, docs, tmp_dir)
+    assert kept.columns == corpus_pipeline.COLUMNS
+    want = [(1, text(1)), (5, text(2)), (7, text(3)), (7, text(4)), (8, None), (8, ""), (None, text(1))]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_pipeline_on_an_empty_table(spark, tmp_dir):
     for name, schema in (("documents", DOCS), ("benchmark", "item_id long, text string")):
         spark.createDataFrame([], schema).write.parquet(f"{tmp_dir}/{name}.parquet")
