@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from geonest.llm.common import table, write_table
 from geonest.llm.decontaminate import drop_contaminated
 from geonest.llm.hd_language import UNKNOWN, identify_languages
-from geonest.llm.jaccard_join import jaccard_components
+from geonest.llm.jaccard_join import jaccard_groups
 from geonest.llm.line_dedup import dedup_lines
 from geonest.llm.packing import pack_documents
 
@@ -38,16 +38,24 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near
-    duplicates. Rows that repeat an id are one document, of which the row
-    with the smallest text stays; rows without an id all stay."""
-    first = jaccard_components(docs).where("doc_id = component_id").select("doc_id").distinct()
+    """Keeps the document with the smallest id (of texts under one id, the one
+    whose SHA-256 is smallest) of each group of near duplicates. Rows that
+    repeat an id are judged each by its own text; rows of one id and text
+    are one document. Documents without words, and rows without an id, all
+    stay."""
+    keyed = docs.select(*COLUMNS, F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).alias("digest"))
+    groups = write_table(jaccard_groups(docs), "near-duplicate-groups").where("group is not null")
+    first = groups.groupBy("group").agg(F.min(F.struct("doc_id", "digest")).alias("first")).select("first.*")
+    alone = keyed.where("doc_id is null").unionByName(
+        # no words, so no group
+        keyed.where("doc_id is not null").where(~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
+    )
     rest = [c for c in COLUMNS if c != "doc_id"]
     one = (
-        docs.select(*COLUMNS).join(first.hint("merge"), "doc_id", "left_semi")
-        .groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("row")).select("doc_id", *(f"row.{c}" for c in rest))
+        keyed.join(first.hint("merge"), ["doc_id", "digest"], "left_semi")
+        .groupBy("doc_id", "digest").agg(F.min(F.struct(*rest)).alias("row")).select("doc_id", *(f"row.{c}" for c in rest))
     )
-    return one.union(docs.select(*COLUMNS).where("doc_id is null"))
+    return one.union(alone.select(*COLUMNS))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
