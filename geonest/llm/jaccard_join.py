@@ -270,7 +270,9 @@ def _across(percent: int, most: int, every: bool = False):
         # a pair across components has a member outside of the largest one
         names, of, counts = np.unique(comp, return_inverse=True, return_counts=True)
         out = []
-        for i in np.flatnonzero(of != counts.argmax()).tolist():
+        # pairs clear of the limit first: what they join needs no pair that chance may have lifted over it
+        spare = n // 64 + 3
+        for clear, i in itertools.product((False,) if every else (True, False), np.flatnonzero(of != counts.argmax()).tolist()):
             other = (comp != comp[i]) & (rep != rep[i]) & ((left[i] & right) | (left & right[i]))
             if not other.any():
                 continue
@@ -279,6 +281,8 @@ def _across(percent: int, most: int, every: bool = False):
             # keys that i has too: no fewer than the features that both have
             both = np.minimum(np.add.reduceat(held[keys], begin, dtype=np.int64), n[i])
             held[own] = 0
+            if clear:
+                both = both - spare
             for k in np.flatnonzero(other & (100 * both >= percent * (n + n[i] - both))).tolist():
                 if comp[k] != comp[i]:
                     out.append((int(sig[i]), int(min(rep[i], rep[k])), int(max(rep[i], rep[k]))))
@@ -308,12 +312,18 @@ def _label(sets: DataFrame, links: DataFrame) -> DataFrame:
     return sets.join(connected_components(links).withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
 
 
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after more links between members: the components that these join become one."""
+    name = labels.select("rep", "component")
+    ends = links.join(name.toDF("a", "ca"), "a").join(name.toDF("b", "cb"), "b")
+    low = connected_components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()).toDF("component", "lower")
+    return write_table(labels.join(low, "component", "left").withColumn("component", F.coalesce("lower", "component")).drop("lower"), "labels")
+
+
 def _tiles(members: DataFrame, labelled: DataFrame, only: DataFrame | None = None) -> DataFrame:
     """Rows (sig, i, j, rep, component, n, left, right, keys) of the signatures
     whose members are in several components, in tiles of two blocks, sorted."""
     sorted_out = members.select("sig", "rep").join(labelled.select("rep", "component", "n"), "rep")
-    if only is not None:
-        sorted_out = sorted_out.join(only, "sig", "left_semi")
     mixed = (
         sorted_out.groupBy("sig")
         .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("m"), F.sum("n").alias("size"))
@@ -321,7 +331,7 @@ def _tiles(members: DataFrame, labelled: DataFrame, only: DataFrame | None = Non
         .where("lo < hi and m > 2")
         .select("sig", F.ceil(F.greatest(F.col("m") / BLOCK, F.col("size") / BLOCK_SIZE)).cast("int").alias("blocks"))
     )
-    mixed = write_table(mixed, "mixed-signatures")
+    mixed = write_table(mixed if only is None else mixed.join(only, "sig", "left_semi"), "mixed-signatures")
     block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     tiled = (
         members.join(mixed, "sig")
@@ -407,21 +417,19 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE,
     star = members.where("first < rep").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()
     links = write_table(verified(star, sets, percent), "links")
 
-    def labelled() -> DataFrame:
-        return write_table(_label(sets, links).select("rep", "component", (F.length("features") / 8).cast("bigint").alias("n"), "keys"), "labels")
-
-    given = write_table(_tiles(members, labelled()).mapInArrow(_across(percent, most_bits), "sig bigint, a bigint, b bigint"), "joining-pairs")
+    labels = write_table(_label(sets, links).select("rep", "component", (F.length("features") / 8).cast("bigint").alias("n"), "keys"), "labels")
+    given = write_table(_tiles(members, labels).mapInArrow(_across(percent, most_bits), "sig bigint, a bigint, b bigint"), "joining-pairs")
     release_shuffles(d.sparkSession)
     pairs = given.select("a", "b").distinct()
     true = write_table(verified(pairs, sets, percent), "joining-links")
-    links = write_table(links.union(true), "links")
+    labels = _joined(labels, true)
     refuted = write_table(given.join(true, ["a", "b"], "left_anti").select("sig").distinct(), "refuted-signatures")
     if refuted.limit(1).count():
-        again = _tiles(members, labelled(), refuted).mapInArrow(_across(percent, most_bits, every=True), "sig bigint, a bigint, b bigint")
-        links = write_table(links.union(verified(again.select("a", "b").distinct(), sets, percent)), "links")
-    group = reps.select("f1", "f2", "n_shingles", "rep").join(
-        connected_components(links).withColumnRenamed("node", "rep"), "rep", "left"
-    ).select("f1", "f2", "n_shingles", F.coalesce("component", "rep").alias("group"))
+        again = _tiles(members, labels, refuted).mapInArrow(_across(percent, most_bits, every=True), "sig bigint, a bigint, b bigint")
+        labels = _joined(labels, write_table(verified(again.select("a", "b").distinct(), sets, percent), "joining-links"))
+    group = reps.select("f1", "f2", "n_shingles", "rep").join(labels.select("rep", "component"), "rep", "left").select(
+        "f1", "f2", "n_shingles", F.coalesce("component", "rep").alias("group")
+    )
     return info.join(group, ["f1", "f2", "n_shingles"], "left").select(
         "doc_id", "digest", "n_shingles", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("group")).alias("group")
     )
