@@ -48,9 +48,17 @@ def _utc_micros(ts: Column | str) -> Column:
     return F.unix_micros(F.when(F.typeof(ts) == "timestamp_ntz", wall).otherwise(ts.cast("timestamp")))
 
 
+def _utc_wall(ts: Column | str) -> Column:
+    """The UTC wall clock of a timestamp as text, ``yyyy-MM-dd HH:mm:ss`` and a
+    fraction where there is one; in whole microseconds throughout."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", _utc_micros(ts), epoch).cast("string")
+
+
 def utc_date(ts: Column | str) -> Column:
     """The UTC date of a timestamp as ``yyyy-MM-dd``."""
-    day = F.floor(_utc_micros(ts) / F.lit(_DAY)).cast("int")
+    micros = _utc_micros(ts)
+    day = F.call_function("div", micros - F.pmod(micros, F.lit(_DAY)), F.lit(_DAY)).cast("int")
     return F.date_from_unix_date(day).cast("string")
 
 
@@ -61,15 +69,11 @@ def date_path(ts: Column | str) -> Column:
 
 def iso_utc(ts: Column | str) -> Column:
     """FN6: a timestamp in UTC as an ISO-8601 string with a ``Z`` suffix."""
-    of_day = F.pmod(_utc_micros(ts), F.lit(_DAY))
-
-    def part(unit: int, most: int, width: int) -> Column:
-        return F.lpad((F.floor(of_day / F.lit(unit)) % most).cast("string"), width, "0")
-
-    return F.concat(
-        utc_date(ts), F.lit("T"), part(3_600_000_000, 24, 2), F.lit(":"), part(60_000_000, 60, 2), F.lit(":"),
-        part(1_000_000, 60, 2), F.lit("."), part(1, 1_000_000, 6), F.lit("Z"),
-    )
+    wall = F.replace(_utc_wall(ts), F.lit(" "), F.lit("T"))
+    # seconds end the text, or a fraction without its last zeros does
+    tail = F.substring_index(wall, ":", -1)
+    whole = F.when(F.instr(tail, ".") == 0, F.concat(wall, F.lit(".000000"))).otherwise(F.concat(wall, F.repeat(F.lit("0"), 9 - F.length(tail))))
+    return F.concat(whole, F.lit("Z"))
 
 
 def quoted(c: Column | str) -> Column:

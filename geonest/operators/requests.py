@@ -38,6 +38,22 @@ def sample_requests(grid: DataFrame, n: int = 1, seed: int = 0) -> DataFrame:
     return grid.orderBy(pick, "country", "topic").limit(n)
 
 
+def sample_by_need(grid: DataFrame, seen: DataFrame, target: int, n: int = 1, seed: int = 0) -> DataFrame:
+    """SA1 weighed by JN3: ``n`` pairs without replacement, the chance of each in
+    proportion to what it lacks of ``target`` articles; pairs that lack none
+    are never chosen. Adds ``lacking``.
+
+    Each pair draws a number from the md5 of seed and pair, so the choice is
+    the same under any partitioning, and those with the smallest
+    -ln(draw) / weight are taken (exponential keys). Articles are counted by
+    pair before the join; top-n keeps at most ``n`` rows per task."""
+    counts = seen.groupBy("country", "topic").agg(F.count(F.lit(1)).alias("_n"))
+    pairs = grid.join(counts, ["country", "topic"], "left").withColumn("lacking", F.lit(target) - F.coalesce("_n", F.lit(0))).where("lacking > 0")
+    digest = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce("country", F.lit("")), F.lit("|"), F.coalesce("topic", F.lit(""))))
+    draw = (F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") + 1) / F.lit(float(1 << 48))
+    return pairs.orderBy(-F.ln(draw) / F.col("lacking"), "country", "topic").limit(n).select("country", "topic", "lacking")
+
+
 def build_requests(
     pairs: DataFrame,
     query: str = K.NEWS_DEFAULT_QUERY,

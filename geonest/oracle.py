@@ -172,6 +172,31 @@ FROM ({pairs}) g
 REQUEST_URLS = request_urls_sql(COVERAGE_MISSING)
 RANDOM_REQUESTS = request_urls_sql(f"SELECT * FROM ({GRID}) g ORDER BY md5('7|' || country || '|' || topic), country, topic LIMIT 3")
 
+WEIGHTED_REQUESTS = f"""
+WITH counts AS (
+  SELECT upper(lang) AS country, {TOPIC} AS topic, count(*) AS n FROM documents WHERE {OK_SOURCE} GROUP BY ALL
+), need AS (
+  SELECT g.country, g.topic, 50 - coalesce(c.n, 0) AS lacking FROM ({GRID}) g LEFT JOIN counts c ON c.country = g.country AND c.topic = g.topic
+)
+SELECT country, topic, lacking FROM need WHERE lacking > 0
+ORDER BY -ln((('0x' || substring(md5('11|' || country || '|' || topic), 1, 12))::BIGINT::DOUBLE + 1) / 281474976710656) / lacking, country, topic LIMIT 20
+"""
+
+
+def _refs(name: str, child: str, parent: str, keys: str) -> str:
+    match = " AND ".join(f"c.{k} = p.{k}" for k in keys.split(", "))
+    known = " AND ".join(f"{{0}}.{k} IS NOT NULL" for k in keys.split(", "))
+    return f"""
+SELECT '{name}' AS table_name, 'orphans' AS check_name, count(*) AS value FROM ({child}) c
+WHERE {known.format('c')} AND NOT EXISTS (SELECT 1 FROM ({parent}) p WHERE {match})
+UNION ALL
+SELECT '{name}', 'unreferenced', count(*) FROM ({parent}) p WHERE {known.format('p')} AND NOT EXISTS (SELECT 1 FROM ({child}) c WHERE {match})
+"""
+
+
+_STATES_F = f"SELECT * FROM ({states_sql(True)}) s WHERE state_code = 'F'"
+VALIDATE_REFS = _refs("cities", cities_sql(False), _STATES_F, "country_id, state_id") + " UNION ALL " + _refs("states", _STATES_F, COUNTRIES, "country_id")
+
 NEWS_PATHS = f"""
 SELECT event_id, concat_ws('/', '{K.NEWS_API_NAME}', strftime(ts, '%Y/%m/%d'), event_type,
                            CAST(user_id AS VARCHAR), '{K.NEWS_FILE_NAME}') AS path
@@ -247,6 +272,8 @@ ORACLE_SQL = {
     "random_requests": RANDOM_REQUESTS,
     "coverage_missing": COVERAGE_MISSING,
     "request_urls": REQUEST_URLS,
+    "weighted_requests": WEIGHTED_REQUESTS,
+    "validate_refs": VALIDATE_REFS,
     "news_paths": NEWS_PATHS,
     "iso_timestamps": ISO_TIMESTAMPS,
     "news_append_roundtrip": f"{NEWS_TABLE_ROWS} UNION ALL {NEWS_TABLE_ROWS}",

@@ -41,6 +41,37 @@ def validation_checks(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
     )
 
 
+def reference_checks(child: DataFrame, parent: DataFrame, name: str, keys: list[str], parent_keys: list[str] | None = None) -> DataFrame:
+    """TR7 across tables, one row per check: ``orphans`` (rows of ``child`` whose
+    ``keys``, all present, no row of ``parent`` has) and ``unreferenced``
+    (rows of ``parent`` whose keys no row of ``child`` has).
+
+    Both sides are counted by key first, so a hot key is one row when the
+    keys meet in one full join."""
+    parent_keys = parent_keys or keys
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+
+    def counts(df: DataFrame, columns: list[str], count: str) -> DataFrame:
+        return df.select(*(F.col(c).alias(k) for c, k in zip(columns, keys, strict=True))).where(known).groupBy(*keys).agg(F.count(F.lit(1)).alias(count))
+
+    both = counts(child, keys, "_children").join(counts(parent, parent_keys, "_parents"), keys, "full")
+    found = both.agg(
+        F.coalesce(F.sum(F.when(F.col("_parents").isNull(), F.col("_children"))), F.lit(0)).alias("orphans"),
+        F.coalesce(F.sum(F.when(F.col("_children").isNull(), F.col("_parents"))), F.lit(0)).alias("unreferenced"),
+    )
+    checks = F.array(*(F.struct(F.lit(n).alias("check_name"), F.col(n).alias("value")) for n in ("orphans", "unreferenced")))
+    return found.select(F.explode(checks).alias("c")).select(F.lit(name).alias("table_name"), "c.check_name", "c.value")
+
+
+def location_reference_checks(countries: DataFrame, states: DataFrame, cities: DataFrame) -> DataFrame:
+    """Cities against their states and states against their countries."""
+    return reference_checks(cities, states, "cities", ["country_id", "state_id"]).unionByName(
+        reference_checks(states, countries, "states", ["country_id"])
+    )
+
+
 def spot_check(df: DataFrame, column: str | None = None, value=None, n: int = 10, order_by=None) -> DataFrame:
     """The reference's sample queries: rows equal to a value, else ``n``
     rows (ordered when ``order_by`` is given)."""

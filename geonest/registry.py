@@ -18,10 +18,10 @@ from geonest.operators.enrich import transform_countries, transform_countries_sq
 from geonest.operators.flatten import flatten_cities, flatten_states
 from geonest.operators.news import classify_responses, parse_responses
 from geonest.operators.preview import filter_equals, top_n
-from geonest.operators.requests import build_requests, coverage_gaps, request_grid, sample_requests
+from geonest.operators.requests import build_requests, coverage_gaps, request_grid, sample_by_need, sample_requests
 from geonest.plans.location import convert_json_to_parquet, run_elt, run_location_pipeline
 from geonest.plans.news import compact_news, load_news, news_articles
-from geonest.plans.validate import spot_check_sql, validation_checks
+from geonest.plans.validate import location_reference_checks, spot_check_sql, validation_checks
 from geonest.session import new_scratch_dir
 from geonest.sinks.catalog import read_contract, write_table
 from geonest.sources.json_ranges import read_location_pieces
@@ -337,6 +337,22 @@ def q_random_requests(spark, sf):
     return build_requests(sample_requests(grid, n=3, seed=7))
 
 
+def q_weighted_requests(spark, sf):
+    """SA1 by need: pairs that lack articles, the emptier the likelier."""
+    grid, _ = _seen_and_gaps(spark, sf)
+    articles, _ = news_articles(read_response_log(spark, _landed(spark, sf)))
+    return sample_by_need(grid, articles, target=50, n=20, seed=11)
+
+
+def q_validate_refs(spark, sf):
+    """TR7 across the flattened tables: inner cities against outer states, outer states against countries."""
+    docs = FX.location_docs(spark, sf)
+    countries = transform_countries(docs, FX.population_frame(spark, sf), RUN_TS)
+    states = flatten_states(docs, outer=True, run_ts=RUN_TS)
+    # of one status only: the cities of the others become orphans
+    return location_reference_checks(countries, states.where("state_code = 'F'"), flatten_cities(docs, outer=False, run_ts=RUN_TS))
+
+
 def q_news_paths(spark, sf):
     from geonest.functions.scalars import news_storage_path
 
@@ -450,6 +466,8 @@ QUERIES = {
     "coverage_missing": q_coverage_missing,
     "request_urls": q_request_urls,
     "random_requests": q_random_requests,
+    "weighted_requests": q_weighted_requests,
+    "validate_refs": q_validate_refs,
     "news_paths": q_news_paths,
     "iso_timestamps": q_iso_timestamps,
     "news_append_roundtrip": q_news_append_roundtrip,

@@ -1,0 +1,46 @@
+"""Weighted choice of requests, checks across tables, stamps far from now."""
+
+from pyspark.sql import functions as F
+
+from geonest.functions.scalars import iso_utc, utc_date
+from geonest.operators.requests import sample_by_need
+from geonest.plans.validate import reference_checks
+
+
+def test_choice_by_need(spark):
+    grid = spark.createDataFrame([(f"C{i}", "t") for i in range(200)], "country string, topic string")
+    seen = spark.createDataFrame([(f"C{i}", "t") for i in range(200) for _ in range(9 if i < 100 else 0)] + [("C0", "t")] * 5, grid.schema)
+    chosen = {r["country"]: r["lacking"] for r in sample_by_need(grid, seen, target=10, n=60, seed=3).collect()}
+    assert len(chosen) == 60 and "C0" not in chosen  # it lacks nothing
+    needy = [c for c, lacking in chosen.items() if lacking == 10]
+    assert all(int(c[1:]) >= 100 for c in needy) and len(needy) > 45  # ten times as likely
+    again = sample_by_need(grid.repartition(7), seen.repartition(3), target=10, n=60, seed=3)
+    assert {r["country"] for r in again.collect()} == set(chosen)
+    assert {r["country"] for r in sample_by_need(grid, seen, target=10, n=60, seed=4).collect()} != set(chosen)
+    assert sample_by_need(grid, seen.limit(0), target=10, n=500).count() == 200
+    assert sample_by_need(grid.limit(0), seen, target=10, n=5).count() == 0
+
+
+def test_reference_checks(spark):
+    parent = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "d"), (9, "e")], "id int, x string")
+    child = spark.createDataFrame([(1,), (1,), (3,), (3,), (None,)], "pid int")
+    got = {r["check_name"]: r["value"] for r in reference_checks(child, parent, "child", ["pid"], ["id"]).collect()}
+    assert got == {"orphans": 2, "unreferenced": 3}
+    none = {r["check_name"]: r["value"] for r in reference_checks(child.limit(0), parent.limit(0), "child", ["pid"], ["id"]).collect()}
+    assert none == {"orphans": 0, "unreferenced": 0}
+
+
+def test_stamps_to_the_microsecond_in_any_century_and_zone(spark):
+    wall = ["0987-01-02 03:04:05.000001", "1969-12-31 23:59:59.999999", "1970-01-01 00:00:00", "2024-03-10 02:30:00.5", "2271-03-04 23:59:59.999999", "2400-02-29 00:00:00.12"]
+    df = spark.createDataFrame([(w,) for w in wall], "w string").select("w", F.col("w").cast("timestamp_ntz").alias("t"))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for z in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            for w, d, s in df.select("w", utc_date("t"), iso_utc("t")).collect():
+                day, time = w.split(" ")
+                assert d == day
+                if z == "UTC":
+                    assert s == f"{day}T{(time if '.' in time else time + '.').ljust(15, '0')}Z"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
