@@ -304,6 +304,7 @@ def _ask(depth: int):
             for chunk, docs in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 keys, n, seen = _lists(docs.as_buffer(), depth)
                 yield from _asked(chunk, n, keys=keys)
+                del keys, n
                 names = sorted(seen)
                 yield from _asked(chunk, np.array([seen[w] for w in names], np.int64), names=names)
 
@@ -322,15 +323,22 @@ def _lists(docs: pa.Buffer, depth: int) -> tuple[np.ndarray, np.ndarray, Counter
             else:
                 seen.update(dict.fromkeys(words(t), 0))
         held.append(_distinct_grams(texts, trains.astype(np.int64), depth))
-        if sum(len(k) for k, _ in held[1:]) > 2 * len(held[0][0]) + SLICE:
+        if sum(len(k) for k, _ in held[1:]) > len(held[0][0]) // 2 + SLICE:
             held = [_merge(held)]
     keys, n = _merge(held)
     return keys, n, seen
 
 
 def _merge(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys, at = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
-    return keys, np.bincount(at, np.concatenate([n for _, n in held]), len(keys)).astype(np.int64)
+    keys, n = (np.concatenate(c) for c in zip(*held, strict=True))
+    held.clear()  # what is merged need not be held beside it
+    if not len(keys):
+        return keys, n
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    del order
+    head = _runs(keys)
+    return keys[head], np.add.reduceat(n, head)
 
 
 def _distinct_grams(texts: list[bytes], trains: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
