@@ -417,7 +417,8 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE,
     star = members.where("first < rep").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()
     links = write_table(verified(star, sets, percent), "links")
 
-    labels = write_table(_label(sets, links).select("rep", "component", (F.length("features") / 8).cast("bigint").alias("n"), "keys"), "labels")
+    labels = _label(sets, links).select("rep", "component", (F.length("features") / 8).cast("bigint").alias("n"), "keys")
+    labels = write_table(labels.dropDuplicates(["rep"]), "labels")  # rows that repeat an id and text give their set more than once
     given = write_table(_tiles(members, labels).mapInArrow(_across(percent, most_bits), "sig bigint, a bigint, b bigint"), "joining-pairs")
     release_shuffles(d.sparkSession)
     pairs = given.select("a", "b").distinct()
