@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from geonest.llm.common import pick, release_shuffles, text_bytes, write_table
 from geonest.llm.components import connected_components
-from geonest.llm.shingles import fingerprint, mix, shingle_set
+from geonest.llm.shingles import fingerprint, mix, shingle_sets
 
 SHINGLE = 5
 #: The similarity as a percentage.
@@ -131,10 +131,7 @@ def read_keys(keys: list[bytes]) -> np.ndarray:
 def _info(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for text in b.column(1):
-                s = shingle_set(text.as_py(), size)
-                rows.append((len(s), *fingerprint(s)))
+            rows = [(len(s), *fingerprint(s)) for s in shingle_sets((t.as_py() for t in b.column(1)), size)]
             n, one, two = (pa.array(c, pa.int64()) for c in zip(*rows, strict=True)) if rows else (pa.array([], pa.int64()),) * 3
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), n, one, two], ["doc_id", "digest", "n_shingles", "f1", "f2"])
 
@@ -147,8 +144,7 @@ def _counted(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             held, rows = [], 0
-            for text in b.column(1):
-                s = shingle_set(text.as_py(), size)
+            for s in shingle_sets((t.as_py() for t in b.column(1)), size):
                 one, two = fingerprint(s)
                 s = s[(s & np.uint64(0xFF)) < np.uint64(COUNTED)]
                 held.append((s, np.full(len(s), one ^ two, np.int64)))
@@ -171,8 +167,8 @@ def _sets(size: int, most_bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rep, found, sketches, keys = [], [], [], []
-            for r, text, one, two in zip(*(b.column(i) for i in range(4)), strict=True):
-                s = shingle_set(text.as_py(), size)
+            cut = shingle_sets((t.as_py() for t in b.column(1)), size)
+            for r, s, one, two in zip(b.column(0), cut, b.column(2), b.column(3), strict=True):
                 if fingerprint(s) == (one.as_py(), two.as_py()):
                     rep.append(r.as_py())
                     found.append(s.astype("<u8").tobytes())
