@@ -257,29 +257,34 @@ def _across(percent: int, most: int, every: bool = False):
     pairs are given: for the tiles of a pair that the whole features refute."""
 
     def pairs(t: pa.Table) -> list[tuple[int, int, int]]:
+        # a pair across components has a member outside of the largest one: those come first
+        _, of, counts = np.unique(t.column("component").to_numpy(), return_inverse=True, return_counts=True)
+        largest = of == counts.argmax()
+        t = t.take(pa.array(np.argsort(largest, kind="stable")))
         sig, rep, comp, n = (t.column(c).to_numpy() for c in ("sig", "rep", "component", "n"))
         left, right = (t.column(c).to_numpy() for c in ("left", "right"))
         comp, bits = comp.copy(), min(key_bits(int(x), most) for x in n)
         keys = read_keys(t.column("keys").to_pylist()) & ((1 << bits) - 1)
         begin = np.cumsum(n) - n
         held = np.zeros(1 << bits, np.uint8)
-        # a pair across components has a member outside of the largest one
-        names, of, counts = np.unique(comp, return_inverse=True, return_counts=True)
+        shared: dict[int, np.ndarray] = {}
         out = []
         # pairs clear of the limit first: what they join needs no pair that chance may have lifted over it
-        spare = n // 64 + 3
-        for clear, i in itertools.product((False,) if every else (True, False), np.flatnonzero(of != counts.argmax()).tolist()):
-            other = (comp != comp[i]) & (rep != rep[i]) & ((left[i] & right) | (left & right[i]))
+        for clear, i in itertools.product((False,) if every else (True, False), range(min(int((~largest).sum()), len(n) - 1))):
+            # a pair is compared once, from its first member
+            rest = slice(i + 1, None)
+            other = (comp[rest] != comp[i]) & (rep[rest] != rep[i]) & ((left[i] & right[rest]) | (left[rest] & right[i]))
             if not other.any():
                 continue
-            own = keys[begin[i]:begin[i] + n[i]]
-            held[own] = 1
-            # keys that i has too: no fewer than the features that both have
-            both = np.minimum(np.add.reduceat(held[keys], begin, dtype=np.int64), n[i])
-            held[own] = 0
-            if clear:
-                both = both - spare
-            for k in np.flatnonzero(other & (100 * both >= percent * (n + n[i] - both))).tolist():
+            if i not in shared:
+                own = keys[begin[i]:begin[i] + n[i]]
+                held[own] = 1
+                # keys that i has too: no fewer than the features that both have
+                at = begin[i + 1]
+                shared[i] = np.minimum(np.add.reduceat(held[keys[at:]], begin[rest] - at, dtype=np.int32), n[i]).astype(np.int32)
+                held[own] = 0
+            both = shared[i] - (n[rest] // 64 + 3) if clear else shared[i].astype(np.int64)
+            for k in (np.flatnonzero(other & (100 * both >= percent * (n[rest] + n[i] - both))) + i + 1).tolist():
                 if comp[k] != comp[i]:
                     out.append((int(sig[i]), int(min(rep[i], rep[k])), int(max(rep[i], rep[k]))))
                     if not every:
