@@ -250,7 +250,7 @@ def _drop(items: Items, *limits: float):
         for b in batches:
             keep = np.ones(b.num_rows, bool)
             keep[[row[0] for row in search(b.column(0))]] = False
-            yield b.filter(pa.array(keep)).drop_columns([b.schema.names[0]])
+            yield b.select(list(range(1, b.num_columns))).filter(pa.array(keep))
 
     return run
 
@@ -341,9 +341,11 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, question: float = QUESTION, answer: float = ANSWER) -> DataFrame:
-    """The rows of ``docs``, with all columns, that give no item away; each is
-    judged alone, so ids may be null or repeat."""
+    """The rows of ``docs``, with all columns whatever their names, that give no
+    item away; each is judged alone, so ids may be null or repeat."""
+    # a name that no other column has
+    searched = max(["searched", *docs.columns], key=len) + "_"
     for shard in _shards(items):
-        d = docs.select(text_bytes("text").alias("_searched_text"), *(docs[c] for c in docs.columns))
+        d = docs.select(text_bytes("text").alias(searched), *(docs[c] for c in docs.columns))
         docs = d.mapInArrow(_drop(shard, threshold, question, answer), docs.schema)
     return docs

@@ -84,7 +84,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     Defined cases: a null or empty text is one empty line; a document
     without an id is not counted and keeps its lines; rows that repeat an id
     count as one document and are all returned; an empty table gives none.
-    Other columns of ``docs`` are ignored.
+    Other columns of ``docs`` are ignored; a kept column may have any name
+    that the result does not.
 
     Only (hash, id) rows are shuffled for the counting: documents are
     counted per (hash, id) first, so a line in a third of all documents is
@@ -104,16 +105,18 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
         .select("line_hash", "keeper"),
         "shared-lines",
     )
+    # a name that no kept column has
+    gone = max(["drop", *keep], key=len) + "_"
     drops = (
         keys.join(shared.hint("merge"), "line_hash")
         .where("doc_id < keeper")
         .groupBy("doc_id")
-        .agg(F.collect_set("line_hash").alias("drop"))
+        .agg(F.collect_set("line_hash").alias(gone))
     )
     whole = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), text_bytes(docs["text"].cast("string")).alias("text"), *(docs[c] for c in keep))
     kept = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in keep)
     return (
         whole.join(drops.hint("merge"), "doc_id", "left")
-        .select("doc_id", "text", "drop", *keep)
+        .select("doc_id", "text", gone, *keep)
         .mapInArrow(_rebuild(min_chars), "doc_id bigint, text string, n_lines bigint, n_dropped bigint" + kept)
     )

@@ -250,3 +250,10 @@ def test_toxicity_without_labels_or_rows(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert [r.predicted for r in classify_toxicity(docs, labels).collect()] == [0, 0]
     assert classify_toxicity(docs.limit(0), labels).count() == 0
+
+
+def test_kept_columns_of_line_dedup_may_have_any_name(spark):
+    line = "a line that three documents share"
+    docs = spark.createDataFrame([(i, f"{line}\nown {i}", i * 10, i * 100) for i in (1, 2, 3)], "doc_id long, text string, drop int, line_hash int")
+    got = dedup_lines(docs, keep=("drop", "line_hash")).orderBy("doc_id").collect()
+    assert [(r.doc_id, r.text, r["drop"], r.line_hash) for r in got] == [(1, "own 1", 10, 100), (2, "own 2", 20, 200), (3, f"{line}\nown 3", 30, 300)]

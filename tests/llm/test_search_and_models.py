@@ -7,6 +7,7 @@ from unicodedata import normalize
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from geonest.llm import decontaminate as D
 from geonest.llm.ctw import log_gamma, score_documents
@@ -64,6 +65,9 @@ def test_contaminated_documents(spark):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [12, 13, 14, 15, 16, 18]
     assert D.contaminated(docs.limit(0), items).count() == 0 and D.contaminated(docs, items.limit(0)).count() == 0
     assert D.drop_contaminated(docs, items.limit(0)).count() == len(rows)
+    clash = docs.withColumn("_searched_text", F.col("doc_id"))
+    kept = D.drop_contaminated(clash, items)
+    assert kept.columns == clash.columns and sorted(r["_searched_text"] for r in kept.collect()) == [12, 13, 14, 15, 16, 18]
 
 
 def test_question_alone_is_no_leak_and_shards_agree(spark, monkeypatch):
