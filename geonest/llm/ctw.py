@@ -37,6 +37,8 @@ CHUNK_BYTES = 48 << 20
 #: Documents read at once, and bytes whose grams are sorted at once.
 DOC_BITS = 8
 DOCS, SLICE = 1 << DOC_BITS, 1 << 20
+#: Passes over a chunk, each for a range of the byte before the coded one; one pass's grams are held at a time.
+PASSES = 6
 #: Grams whose trees are worked out at once, at least.
 BATCH = 1 << 18
 PAD = 0xFF
@@ -235,21 +237,43 @@ def gram_scores(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
     return dealt.mapInArrow(_gram_scores(depth, ids, top), "gram bigint, value double")
 
 
-def _slices(texts: list[bytes], depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(keys, document numbers) of about SLICE bytes of whole or cut texts."""
-    pad, held, docs, size = bytes([PAD]) * depth, [], [], 0
+def _slices(texts: list[bytes], depth: int, span: tuple[int, int] = (0, 1 << 62)) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(keys within ``span``, document numbers) of about SLICE bytes of whole or cut texts."""
+    pad, parts, docs, size = bytes([PAD]) * depth, [], [], 0
     for i, t in enumerate(texts):
         t = pad + t + bytes([PAD])
         for at in range(0, len(t) - depth, SLICE):
-            part = t[at:at + SLICE + depth]
-            held.append(_keys(np.frombuffer(part, np.uint8), depth))
-            docs.append(np.full(len(held[-1]), i, np.int64))
-            size += len(part)
+            parts.append(t[at:at + SLICE + depth])
+            docs.append(i)
+            size += len(parts[-1])
             if size >= SLICE:
-                yield np.concatenate(held), np.concatenate(docs)
-                held, docs, size = [], [], 0
-    if held:
-        yield np.concatenate(held), np.concatenate(docs)
+                yield _joined_keys(parts, docs, depth, span)
+                parts, docs, size = [], [], 0
+    if parts:
+        yield _joined_keys(parts, docs, depth, span)
+
+
+def _joined_keys(parts: list[bytes], docs: list[int], depth: int, span: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of many parts by one run over them all, without those that reach across two parts."""
+    keys = _keys(np.frombuffer(b"".join(parts), np.uint8), depth)
+    sizes = np.full((len(parts), 2), depth)
+    sizes[:, 0] = [len(p) - depth for p in parts]
+    inside = np.repeat(np.tile([True, False], len(parts)), sizes.ravel())[:len(keys)]
+    use = np.flatnonzero(inside & (keys >= span[0]) & (keys < span[1]))
+    return keys[use], np.repeat(np.array(docs, np.int64), sizes.sum(1))[use]
+
+
+def _spans(docs: pa.Buffer, depth: int) -> list[tuple[int, int]]:
+    """Ranges of keys, in order, that share a chunk's grams out over the passes.
+    They are cut between two latest context bytes."""
+    n = np.zeros(256, np.int64)
+    for part in _read(docs):
+        texts = part.column(2).to_pylist()
+        n += np.bincount(np.frombuffer(b"".join(texts), np.uint8), minlength=256)
+        n[PAD] += len(texts)
+    before = np.cumsum(n) - n
+    cuts = sorted({0, *(int(np.searchsorted(before, n.sum() * i / PASSES)) for i in range(1, PASSES)), 256})
+    return [(lo << (8 * depth), hi << (8 * depth)) for lo, hi in zip(cuts, cuts[1:], strict=False)]
 
 
 def _runs(sorted_keys: np.ndarray) -> np.ndarray:
@@ -301,32 +325,41 @@ def _ask(depth: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for chunk, docs in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                keys, n, seen = _lists(docs.as_buffer(), depth)
-                yield from _asked(chunk, n, keys=keys)
-                del keys, n
+            for chunk, column in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                docs, first = column.as_buffer(), 0
+                for span in _spans(docs, depth):
+                    keys, n = _chunk_grams(docs, depth, span)
+                    yield from _asked(chunk, first, n, keys=keys)
+                    first += len(keys)
+                    del keys, n
+                seen = _chunk_words(docs)
                 names = sorted(seen)
-                yield from _asked(chunk, np.array([seen[w] for w in names], np.int64), names=names)
+                yield from _asked(chunk, 0, np.array([seen[w] for w in names], np.int64), names=names)
 
     return run
 
 
-def _lists(docs: pa.Buffer, depth: int) -> tuple[np.ndarray, np.ndarray, Counter]:
+def _chunk_words(docs: pa.Buffer) -> Counter:
     seen: Counter = Counter()
-    held: list[tuple[np.ndarray, np.ndarray]] = []
     for part in _read(docs):
-        texts, trains = part.column(2).to_pylist(), ~part.column(1).to_numpy(zero_copy_only=False)
-        seen[b""] += int(trains.sum())
-        for t, train in zip(texts, trains, strict=True):
-            if train:
-                seen.update(words(t))
+        for t, held in zip(part.column(2).to_pylist(), part.column(1).to_pylist(), strict=True):
+            if held:
+                seen.update(dict.fromkeys([*words(t), b""], 0))
             else:
-                seen.update(dict.fromkeys(words(t), 0))
-        held.append(_distinct_grams(texts, trains.astype(np.int64), depth))
-        if sum(len(k) for k, _ in held[1:]) > len(held[0][0]) // 2 + SLICE:
+                seen.update(words(t))
+                seen[b""] += 1
+    return seen
+
+
+def _chunk_grams(docs: pa.Buffer, depth: int, span: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct grams of a chunk within ``span`` and their counts in training texts."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    for part in _read(docs):
+        trains = ~part.column(1).to_numpy(zero_copy_only=False)
+        held.append(_distinct_grams(part.column(2).to_pylist(), trains.astype(np.int64), depth, span))
+        if sum(len(k) for k, _ in held[1:]) > len(held[0][0]) // 2 + SLICE // PASSES:
             held = [_merge(held)]
-    keys, n = _merge(held)
-    return keys, n, seen
+    return _merge(held)
 
 
 def _merge(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -341,23 +374,25 @@ def _merge(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.nd
     return keys[head], np.add.reduceat(n, head)
 
 
-def _distinct_grams(texts: list[bytes], trains: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+def _distinct_grams(texts: list[bytes], trains: np.ndarray, depth: int, span: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct grams of some texts with their counts in the training ones."""
     out = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-    for k, doc in _slices(texts, depth):
+    for k, doc in _slices(texts, depth, span):
+        if not len(k):
+            continue
         packed = np.sort(k << 1 | trains[doc])
         head = _runs(packed >> 1)
         out.append((packed[head] >> 1, np.add.reduceat(packed & 1, head)))
     return _merge(out)
 
 
-def _asked(chunk: int, n: np.ndarray, keys: np.ndarray | None = None, names: list[bytes] | None = None) -> Iterator[pa.RecordBatch]:
+def _asked(chunk: int, first: int, n: np.ndarray, keys: np.ndarray | None = None, names: list[bytes] | None = None) -> Iterator[pa.RecordBatch]:
     for at in range(0, len(n), BATCH):
         m = len(n[at:at + BATCH])
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(np.full(m, chunk)),
-                pa.array(np.arange(at, at + m, dtype=np.int32)),
+                pa.array(np.arange(first + at, first + at + m, dtype=np.int32)),
                 pa.nulls(m, pa.int64()) if keys is None else pa.array(keys[at:at + m]),
                 pa.nulls(m, pa.binary()) if names is None else pa.array(names[at:at + m], pa.binary()),
                 pa.array(n[at:at + m]),
@@ -407,22 +442,30 @@ def _by_place(t: pa.Table) -> np.ndarray:
 def _apply(depth: int, n_tokens: int, n_words: int):
     def run(chunk: pa.Table, values: pa.Table) -> pa.Table:
         log_p, count = (_by_place(values.filter(pc.equal(values.column("is_word"), kind))) for kind in (False, True))
+        del values
         docs = chunk.column("docs")[0].as_buffer()
-        keys, _, seen = _lists(docs, depth)
-        place = {w: i for i, w in enumerate(sorted(seen))}
-        del seen
+        scores = [np.zeros(part.num_rows) for part in _read(docs)]
+        first = 0
+        for span in _spans(docs, depth):
+            keys, _ = _chunk_grams(docs, depth, span)
+            own = log_p[first:first + len(keys)]
+            first += len(keys)
+            for part, score in zip(_read(docs), scores, strict=True):
+                for k, doc in _slices(part.column(2).to_pylist(), depth, span):
+                    if not len(k):
+                        continue
+                    packed = np.sort(k << DOC_BITS | doc)
+                    head = _runs(packed >> DOC_BITS)
+                    each = np.repeat(own[np.searchsorted(keys, packed[head] >> DOC_BITS)], np.diff(np.append(head, len(packed))))
+                    score += np.bincount(packed & (DOCS - 1), each, len(score))
+        del log_p
+        place = {w: i for i, w in enumerate(sorted(_chunk_words(docs)))}
         base = np.log10((count + 0.1) / (n_tokens + 0.1 * (n_words + 1)))
         known = count > 0
         out = []
-        for part in _read(docs):
+        for part, score in zip(_read(docs), scores, strict=True):
             texts = part.column(2).to_pylist()
             m = len(texts)
-            score = np.zeros(m)
-            for k, doc in _slices(texts, depth):
-                packed = np.sort(k << DOC_BITS | doc)
-                head = _runs(packed >> DOC_BITS)
-                each = np.repeat(log_p[np.searchsorted(keys, packed[head] >> DOC_BITS)], np.diff(np.append(head, len(packed))))
-                score += np.bincount(packed & (DOCS - 1), each, m)
             base_score, tokens, n_known = np.zeros(m), np.zeros(m, np.int64), np.zeros(m, np.int64)
             for i, t in enumerate(texts):
                 at = np.fromiter(map(place.__getitem__, [*words(t), b""]), np.int64)
@@ -469,6 +512,8 @@ def score_documents(docs: DataFrame, modulus: int = 10, held_out: int = 0, depth
     are written. A chunk asks for each distinct gram and word once and gets
     back their values by place in its sorted list; so a frequent gram or
     word is a row per chunk, and no table of all grams has to fit anywhere.
+    A worker goes over its chunk in ``PASSES`` passes and holds one pass's
+    grams at a time.
     """
     if not 2 <= depth <= 5:
         raise ValueError("depth must be from 2 to 5: a gram and a document's number share 63 bits")
