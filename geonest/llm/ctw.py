@@ -19,7 +19,8 @@ as its end; no text holds that byte.
 
 from __future__ import annotations
 
-from collections import Counter
+import itertools
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,16 +30,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from geonest.llm.common import id_remainder, pick, size_of, text_bytes, words, write_table
+from geonest.llm.common import id_remainder, pick, release_shuffles, size_of, text_bytes, words, write_table
 
 DEPTH = 5
 #: Text bytes of one chunk, the unit that gets its probabilities back.
-CHUNK_BYTES = 48 << 20
+CHUNK_BYTES = 32 << 20
 #: Documents read at once, and bytes whose grams are sorted at once.
 DOC_BITS = 8
 DOCS, SLICE = 1 << DOC_BITS, 1 << 20
 #: Passes over a chunk, each for a range of the byte before the coded one; one pass's grams are held at a time.
-PASSES = 6
+PASSES = 4
 #: Grams whose trees are worked out at once, at least.
 BATCH = 1 << 18
 PAD = 0xFF
@@ -234,6 +235,7 @@ def gram_scores(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
     dealt = counts.select("gram", "n").repartition(n, F.shiftright("gram", 8 * (depth - 1))).sortWithinPartitions("gram")
     sums = dealt.mapInArrow(_summaries(depth), "key bigint, bit int, value double").groupBy("key", "bit").agg(F.sum("value").alias("value"))
     ids, top = _top([tuple(r) for r in sums.collect()])
+    release_shuffles(spark)
     return dealt.mapInArrow(_gram_scores(depth, ids, top), "gram bigint, value double")
 
 
@@ -254,13 +256,22 @@ def _slices(texts: list[bytes], depth: int, span: tuple[int, int] = (0, 1 << 62)
 
 
 def _joined_keys(parts: list[bytes], docs: list[int], depth: int, span: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of many parts by one run over them all, without those that reach across two parts."""
-    keys = _keys(np.frombuffer(b"".join(parts), np.uint8), depth)
+    """Keys of many parts by one run over them all, without those that reach
+    across two parts. The byte before the coded one tells whether a key lies within ``span``."""
+    a = np.frombuffer(b"".join(parts), np.uint8)
+    before, (lo, hi) = a[depth - 1:-1], (x >> (8 * depth) for x in span)
     sizes = np.full((len(parts), 2), depth)
     sizes[:, 0] = [len(p) - depth for p in parts]
-    inside = np.repeat(np.tile([True, False], len(parts)), sizes.ravel())[:len(keys)]
-    use = np.flatnonzero(inside & (keys >= span[0]) & (keys < span[1]))
-    return keys[use], np.repeat(np.array(docs, np.int64), sizes.sum(1))[use]
+    use = np.repeat(np.tile([True, False], len(parts)), sizes.ravel())[:len(before)]
+    if lo > 0:
+        use &= before >= lo
+    if hi < 256:
+        use &= before < hi
+    at = np.flatnonzero(use)
+    keys = a[at + depth].astype(np.int64)
+    for d in range(1, depth + 1):
+        keys |= a[at + (depth - d)].astype(np.int64) << (8 * (depth + 1 - d))
+    return keys, np.array(docs, np.int64)[np.searchsorted(np.cumsum(sizes.sum(1)), at, "right")]
 
 
 def _spans(docs: pa.Buffer, depth: int) -> list[tuple[int, int]]:
@@ -362,6 +373,13 @@ def _chunk_grams(docs: pa.Buffer, depth: int, span: tuple[int, int]) -> tuple[np
     return _merge(held)
 
 
+def _distinct(held: list[np.ndarray]) -> np.ndarray:
+    keys = np.concatenate(held)
+    held.clear()
+    keys.sort(kind="stable")
+    return keys[_runs(keys)] if len(keys) else keys
+
+
 def _merge(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     keys, n = (np.concatenate(c) for c in zip(*held, strict=True))
     held.clear()  # what is merged need not be held beside it
@@ -447,30 +465,38 @@ def _apply(depth: int, n_tokens: int, n_words: int):
         scores = [np.zeros(part.num_rows) for part in _read(docs)]
         first = 0
         for span in _spans(docs, depth):
-            keys, _ = _chunk_grams(docs, depth, span)
-            own = log_p[first:first + len(keys)]
-            first += len(keys)
+            held = []
             for part, score in zip(_read(docs), scores, strict=True):
                 for k, doc in _slices(part.column(2).to_pylist(), depth, span):
-                    if not len(k):
-                        continue
-                    packed = np.sort(k << DOC_BITS | doc)
-                    head = _runs(packed >> DOC_BITS)
-                    each = np.repeat(own[np.searchsorted(keys, packed[head] >> DOC_BITS)], np.diff(np.append(head, len(packed))))
-                    score += np.bincount(packed & (DOCS - 1), each, len(score))
+                    if len(k):
+                        packed = np.sort(k << DOC_BITS | doc)
+                        held.append((packed, _runs(packed >> DOC_BITS), score))
+            keys = _distinct([np.zeros(0, np.int64), *(packed[head] >> DOC_BITS for packed, head, _ in held)])
+            own = log_p[first:first + len(keys)]
+            first += len(keys)
+            for packed, head, score in held:
+                each = np.repeat(own[np.searchsorted(keys, packed[head] >> DOC_BITS)], np.diff(np.append(head, len(packed))))
+                score += np.bincount(packed & (DOCS - 1), each, len(score))
+            del keys, own, held
         del log_p
-        place = {w: i for i, w in enumerate(sorted(_chunk_words(docs)))}
+        # words are numbered as they come, then by their place in the sorted list
+        number: defaultdict = defaultdict(itertools.count().__next__)
+        numbers = [
+            [np.fromiter(map(number.__getitem__, [*words(t), b""]), np.int32) for t in part.column(2).to_pylist()] for part in _read(docs)
+        ]
+        names = sorted(number)
+        order = np.fromiter(map(number.__getitem__, names), np.int64, len(names))
+        del names, number
+        count[order] = count.copy()
         base = np.log10((count + 0.1) / (n_tokens + 0.1 * (n_words + 1)))
         known = count > 0
         out = []
-        for part, score in zip(_read(docs), scores, strict=True):
-            texts = part.column(2).to_pylist()
-            m = len(texts)
-            base_score, tokens, n_known = np.zeros(m), np.zeros(m, np.int64), np.zeros(m, np.int64)
-            for i, t in enumerate(texts):
-                at = np.fromiter(map(place.__getitem__, [*words(t), b""]), np.int64)
-                base_score[i], tokens[i], n_known[i] = base[at].sum(), len(at), known[at].sum()
-            n_bytes = np.array([len(t) for t in texts], np.int64)
+        for part, score, found in zip(_read(docs), scores, numbers, strict=True):
+            m = part.num_rows
+            tokens = np.array([len(at) for at in found], np.int64)
+            base_score = np.array([base[at].sum() for at in found])
+            n_known = np.array([known[at].sum() for at in found], np.int64)
+            n_bytes = pc.binary_length(part.column(2)).to_numpy().astype(np.int64)
             out.append(
                 pa.table(
                     {
@@ -526,6 +552,7 @@ def score_documents(docs: DataFrame, modulus: int = 10, held_out: int = 0, depth
     asked = write_table(chunks.mapInArrow(_ask(depth), "chunk bigint, ord int, gram bigint, word binary, n bigint"), "lm-asked")
     asked_grams = asked.where("gram is not null").select("chunk", "ord", "gram", "n")
     counts = write_table(asked_grams.groupBy("gram").agg(F.sum("n").alias("n")), "lm-grams")
+    release_shuffles(docs.sparkSession)
     by_word = Window.partitionBy("word")
     word_counts = write_table(
         asked.where("word is not null").select(
@@ -534,6 +561,7 @@ def score_documents(docs: DataFrame, modulus: int = 10, held_out: int = 0, depth
         ),
         "lm-words",
     )
+    release_shuffles(docs.sparkSession)
     # a word is counted in the first chunk that asked for it
     total = word_counts.where("first").agg(F.sum("value").alias("n"), F.count_if(F.col("value") > 0).alias("v")).first()
     values = (
