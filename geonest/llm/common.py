@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +53,15 @@ def release_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.java.lang.System.gc()
 
 
+def give_back() -> None:
+    """Return a Python worker's freed memory to the system. Spark keeps idle
+    workers, and an executor's limit counts what they hold on to."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def size_of(df: DataFrame, text: str = "text") -> tuple[int, int]:
     """Rows and text bytes of a table (one aggregated row)."""
     r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(text)).alias("b")).first()

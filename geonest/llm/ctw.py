@@ -30,16 +30,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from geonest.llm.common import id_remainder, pick, release_shuffles, size_of, text_bytes, words, write_table
+from geonest.llm.common import give_back, id_remainder, pick, release_shuffles, size_of, text_bytes, words, write_table
 
 DEPTH = 5
 #: Text bytes of one chunk, the unit that gets its probabilities back.
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 48 << 20
 #: Documents read at once, and bytes whose grams are sorted at once.
 DOC_BITS = 8
 DOCS, SLICE = 1 << DOC_BITS, 1 << 20
 #: Passes over a chunk, each for a range of the byte before the coded one; one pass's grams are held at a time.
-PASSES = 4
+PASSES = 10
 #: Grams whose trees are worked out at once, at least.
 BATCH = 1 << 18
 PAD = 0xFF
@@ -218,6 +218,8 @@ def _gram_scores(depth: int, ids: np.ndarray, top: list[Mix]):
             for k in range(8):
                 score += np.log10(_descend(_climb(levels, ups, k), ups, top[k].take(at)).p)
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(score)], ["gram", "value"])
+        keys = n = levels = ups = two = at = score = None
+        give_back()
 
     return run
 
@@ -346,6 +348,8 @@ def _ask(depth: int):
                 seen = _chunk_words(docs)
                 names = sorted(seen)
                 yield from _asked(chunk, 0, np.array([seen[w] for w in names], np.int64), names=names)
+                del seen, names
+                give_back()
 
     return run
 
@@ -431,6 +435,8 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held, rows = [], 0
     if held:
         yield _packed(held)
+    held = None
+    give_back()
 
 
 def _packed(held: list[list[np.ndarray]]) -> pa.RecordBatch:
@@ -478,7 +484,9 @@ def _apply(depth: int, n_tokens: int, n_words: int):
                 each = np.repeat(own[np.searchsorted(keys, packed[head] >> DOC_BITS)], np.diff(np.append(head, len(packed))))
                 score += np.bincount(packed & (DOCS - 1), each, len(score))
             del keys, own, held
+            packed = head = each = None  # what a pass held goes before the next
         del log_p
+        give_back()
         # words are numbered as they come, then by their place in the sorted list
         number: defaultdict = defaultdict(itertools.count().__next__)
         numbers = [
@@ -512,6 +520,8 @@ def _apply(depth: int, n_tokens: int, n_words: int):
                     }
                 )
             )
+        del numbers, scores
+        give_back()
         return pa.concat_tables(out)
 
     return run
