@@ -38,7 +38,7 @@ CHUNK_BYTES = 48 << 20
 #: Documents read at once, and bytes whose grams are sorted at once.
 DOC_BITS = 8
 DOCS, SLICE = 1 << DOC_BITS, 1 << 20
-#: Passes over a chunk, each for a range of the byte before the coded one; one pass's grams are held at a time.
+#: Passes over a chunk, each for a range of the two bytes before the coded one; one pass's grams are held at a time.
 PASSES = 10
 #: Grams whose trees are worked out at once, at least.
 BATCH = 1 << 18
@@ -259,15 +259,15 @@ def _slices(texts: list[bytes], depth: int, span: tuple[int, int] = (0, 1 << 62)
 
 def _joined_keys(parts: list[bytes], docs: list[int], depth: int, span: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
     """Keys of many parts by one run over them all, without those that reach
-    across two parts. The byte before the coded one tells whether a key lies within ``span``."""
+    across two parts. The two bytes before the coded one tell whether a key lies within ``span``."""
     a = np.frombuffer(b"".join(parts), np.uint8)
-    before, (lo, hi) = a[depth - 1:-1], (x >> (8 * depth) for x in span)
+    before, (lo, hi) = a[depth - 1:-1].astype(np.uint16) << 8 | a[depth - 2:-2], (x >> (8 * (depth - 1)) for x in span)
     sizes = np.full((len(parts), 2), depth)
     sizes[:, 0] = [len(p) - depth for p in parts]
     use = np.repeat(np.tile([True, False], len(parts)), sizes.ravel())[:len(before)]
     if lo > 0:
         use &= before >= lo
-    if hi < 256:
+    if hi < 1 << 16:
         use &= before < hi
     at = np.flatnonzero(use)
     keys = a[at + depth].astype(np.int64)
@@ -278,15 +278,14 @@ def _joined_keys(parts: list[bytes], docs: list[int], depth: int, span: tuple[in
 
 def _spans(docs: pa.Buffer, depth: int) -> list[tuple[int, int]]:
     """Ranges of keys, in order, that share a chunk's grams out over the passes.
-    They are cut between two latest context bytes."""
-    n = np.zeros(256, np.int64)
+    They are cut between two-byte contexts."""
+    n = np.zeros(1 << 16, np.int64)
     for part in _read(docs):
-        texts = part.column(2).to_pylist()
-        n += np.bincount(np.frombuffer(b"".join(texts), np.uint8), minlength=256)
-        n[PAD] += len(texts)
+        a = np.frombuffer(b"".join(bytes([PAD, PAD]) + t for t in part.column(2).to_pylist()), np.uint8)
+        n += np.bincount(a[1:].astype(np.int64) << 8 | a[:-1], minlength=1 << 16)
     before = np.cumsum(n) - n
-    cuts = sorted({0, *(int(np.searchsorted(before, n.sum() * i / PASSES)) for i in range(1, PASSES)), 256})
-    return [(lo << (8 * depth), hi << (8 * depth)) for lo, hi in zip(cuts, cuts[1:], strict=False)]
+    cuts = sorted({0, *(int(np.searchsorted(before, n.sum() * i / PASSES)) for i in range(1, PASSES)), 1 << 16})
+    return [(lo << (8 * (depth - 1)), hi << (8 * (depth - 1))) for lo, hi in zip(cuts, cuts[1:], strict=False)]
 
 
 def _runs(sorted_keys: np.ndarray) -> np.ndarray:
