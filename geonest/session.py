@@ -23,12 +23,13 @@ PROFILE = {
 # Runtime settings for a large shared cluster, applied by build_session on
 # a session whose master is not local, unless the submitter set them.
 # Post-shuffle partitions are sized by bytes rather than spread over as
-# many cores as possible, and scans read larger splits: at ~100 TB this
-# keeps task counts in the hundreds of thousands, not millions.
+# many cores as possible. The bytes are compressed ones: rows that a task
+# sorts take some 8 to 17 times as much, so 32 MiB are a few hundred MB of
+# its memory and nothing spills; 256 MiB would be gigabytes.
 CLUSTER_PROFILE = {
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
+    "spark.sql.files.maxPartitionBytes": "64m",
 }
 
 

@@ -61,3 +61,9 @@ def test_a_cluster_needs_a_shared_folder():
 def test_scratch_names_make_no_folder(spark):
     path = S.new_scratch_dir(spark, "name")
     assert path != S.new_scratch_dir(spark, "name") and not os.path.exists(path.replace("file:", ""))
+
+
+def test_a_cluster_task_gets_what_it_can_sort():
+    # compressed bytes; sorted rows take up to 17 times as much
+    sizes = {k: int(v.rstrip("m")) for k, v in S.CLUSTER_PROFILE.items() if v.endswith("m")}
+    assert sizes["spark.sql.adaptive.advisoryPartitionSizeInBytes"] <= 64 and sizes["spark.sql.files.maxPartitionBytes"] <= 128
