@@ -25,7 +25,7 @@ from pyspark.sql.window import Window
 
 from geonest import constants as K
 from geonest import schemas as S
-from geonest.session import new_scratch_dir
+from geonest.session import new_scratch_dir, session_conf
 
 FIXED_RUN_TS = "2024-01-01 00:00:00"
 
@@ -276,19 +276,28 @@ def land_plain_layout(articles: DataFrame, path: str) -> str:
     return path
 
 
+#: Shuffled bytes of a task that writes a file per row: a few hundred files.
+LANDING_TASK_BYTES = 1 << 20
+
+
 def land_response_files(df: DataFrame, path: str) -> str:
     """Write each response body as its own file under
     ``country=<c>/topic=<t>/``, the shape a per-request loader lands. Rows
     are clustered by the folder keys first, so each folder is written by
-    few tasks."""
-    (
-        df.select("country", "topic", "body")
-        .hint("rebalance", "country", "topic")
-        .write.mode("overwrite")
-        .option("maxRecordsPerFile", 1)
-        .partitionBy("country", "topic")
-        .text(path)
-    )
+    few tasks. A file costs much more than its bytes, so tasks are small
+    (``LANDING_TASK_BYTES``), and each moves its own files into place when it
+    ends; the driver would move all of them one by one."""
+    spark = df.sparkSession
+    with session_conf(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(LANDING_TASK_BYTES)}):
+        (
+            df.select("country", "topic", "body")
+            .hint("rebalance", "country", "topic")
+            .write.mode("overwrite")
+            .option("maxRecordsPerFile", 1)
+            .option("mapreduce.fileoutputcommitter.algorithm.version", 2)
+            .partitionBy("country", "topic")
+            .text(path)
+        )
     return path
 
 

@@ -18,6 +18,9 @@ from geonest.plans.location import new_run_ts
 from geonest.sources.news import load_folder, read_loads, read_news_rejects, read_news_table, read_response_files, read_response_log, rejects_path
 
 NEWS_PARTITIONS = ["date", "country", "topic"]
+#: One body per file: Spark packs a file as 4 MiB at least, a dozen files to a
+#: task; bodies are some KB, and a task of hundreds costs less than its start.
+FILES_CONF = {"spark.sql.files.openCostInBytes": str(256 << 10)}
 
 
 def news_articles(responses: DataFrame, article: T.StructType = S.ARTICLE) -> tuple[DataFrame, DataFrame]:
@@ -114,7 +117,8 @@ def load_news(
     else:
         raise ValueError(f"landing must be 'log' or 'files', not {landing!r}")
     load = f"batch-{uuid.uuid4().hex}"
-    write_load(responses, table_path, load, article, new_only)
+    with session_conf(spark, FILES_CONF if landing == "files" else {}):
+        write_load(responses, table_path, load, article, new_only)
     return read_news_rejects(spark, table_path, [load])
 
 

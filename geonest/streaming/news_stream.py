@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from geonest import schemas as S
-from geonest.plans.news import file_envelopes, write_load
+from geonest.plans.news import FILES_CONF, file_envelopes, write_load
 from geonest.session import session_conf
 from geonest.sources.news import stream_response_files, stream_response_log
 
@@ -59,7 +59,7 @@ def start_news_stream(
         query = json.loads(spark.read.text(f"{checkpoint_path}/metadata").first()[0])["id"]
         # a stream's session has adaptive execution off; these writes are batch
         # jobs of their own and need it to split a hot folder
-        with session_conf(spark, {"spark.sql.adaptive.enabled": "true"}):
+        with session_conf(spark, {"spark.sql.adaptive.enabled": "true", **(FILES_CONF if landing == "files" else {})}):
             write_load(batch, table_path, f"stream-{query}-{batch_id}", article, new_only)
 
     w = responses.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_path).outputMode("append")

@@ -208,3 +208,21 @@ def test_whitespace_body_is_malformed_not_empty(spark):
     df = spark.createDataFrame([("ES", "tech", 0, " \n"), ("ES", "news", 0, "")], "country string, topic string, page long, body string")
     got = {r.topic: r.response_class for r in classify_responses(parse_responses(df)).collect()}
     assert got == {"tech": "malformed", "news": "empty"}  # only no content at all is empty
+
+
+def test_files_are_landed_by_many_tasks_and_read_by_few(spark, tmp_dir):
+    from geonest.fixtures import land_response_files
+    from geonest.plans.news import FILES_CONF
+    from geonest.session import session_conf
+    from geonest.sources.news import read_response_files
+
+    body = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(400)), lambda i: F.sha2(F.concat(F.col("id"), i), 256)), "")
+    df = spark.range(0, 300, 1, 8).select(F.lit("EN").alias("country"), F.lit("news").alias("topic"), F.col("id"), body.alias("body"))
+    with session_conf(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}):
+        land_response_files(df.repartition("id"), f"{tmp_dir}/landing")
+    landed = read_response_files(spark, f"{tmp_dir}/landing")
+    files = spark.read.text(f"{tmp_dir}/landing", wholetext=True, recursiveFileLookup=True).select(F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).alias("t"), "value")
+    assert files.count() == 300 and files.select("t").distinct().count() > 2
+    assert sorted(r[0] for r in landed.select("body").collect()) == sorted(r[0] for r in df.select("body").collect())
+    with session_conf(spark, {**FILES_CONF, "spark.sql.files.maxPartitionBytes": "64m"}):
+        assert read_response_files(spark, f"{tmp_dir}/landing").rdd.getNumPartitions() < 300 // 16
