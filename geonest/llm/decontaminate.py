@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geonest.llm.common import pick, text_bytes, write_table
+from geonest.llm.common import pick, text_bytes, tidy, write_table
 
 #: Words between the starts of two passages; a passage has twice as many.
 STRIDE = 64
@@ -227,6 +227,7 @@ def _search(items: Items, threshold: float, question: float, answer: float):
     return batch
 
 
+@tidy
 def _find(items: Items, *limits: float):
     search = _search(items, *limits)
 
@@ -243,6 +244,7 @@ def _find(items: Items, *limits: float):
     return run
 
 
+@tidy
 def _drop(items: Items, *limits: float):
     search = _search(items, *limits)
 
@@ -259,6 +261,7 @@ HITS = "doc_id bigint, item_id bigint, score double, question_overlap double, an
 _ITEM = "item_id bigint, question array<binary>, answer array<binary>, shard int, unit int, words array<binary>"
 
 
+@tidy
 def _items(answer_share: float, n_shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -17,7 +17,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geonest.llm.common import id_remainder, pick
+from geonest.llm.common import id_remainder, pick, tidy, worker_state
 
 DIM = 1024
 N = 3
@@ -28,7 +28,6 @@ NGRAM_CACHE = 16_000
 DOCS = 64
 
 _WORD = regex.compile(r"\p{L}+")
-_VECTORS: dict[tuple[int, int], "Profiles"] = {}
 
 
 class Profiles:
@@ -98,7 +97,7 @@ class Profiles:
 
 
 def _profiles(dim: int, n: int) -> Profiles:
-    return _VECTORS.setdefault((dim, n), Profiles(dim, n))
+    return worker_state(__name__, (dim, n), lambda: Profiles(dim, n))
 
 
 def _texts(b: pa.RecordBatch, column: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
@@ -107,6 +106,7 @@ def _texts(b: pa.RecordBatch, column: int) -> Iterator[tuple[pa.RecordBatch, lis
         yield part, [t or "" for t in part.column(column).to_pylist()]
 
 
+@tidy
 def _learn(dim: int, n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p, sums = _profiles(dim, n), {}
@@ -150,6 +150,7 @@ def learn_prototypes(docs: DataFrame, dim: int = DIM, n: int = N) -> dict[str, n
     return {k: v / max(np.linalg.norm(v), 1e-9) for k, v in sorted(out.items())}
 
 
+@tidy
 def _predict(prototypes: dict[str, np.ndarray], dim: int, n: int):
     names = list(prototypes)
     table = np.array([prototypes[k] for k in names], np.float32).reshape(-1, dim)

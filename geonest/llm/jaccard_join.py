@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geonest.llm.common import pick, release_shuffles, text_bytes, write_table
+from geonest.llm.common import pick, release_shuffles, text_bytes, tidy, write_table
 from geonest.llm.components import connected_components
 from geonest.llm.shingles import fingerprint, mix, shingle_sets
 
@@ -128,6 +128,7 @@ def read_keys(keys: list[bytes]) -> np.ndarray:
     return (total[1:] - begin)[steps < 255]
 
 
+@tidy
 def _info(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -138,6 +139,7 @@ def _info(size: int):
     return run
 
 
+@tidy
 def _counted(size: int):
     """The counted share of each text's features, with the set's name."""
 
@@ -163,6 +165,7 @@ def _feature_rows(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(feature.view(np.int64)), pa.array(owner)], ["feature", "owner"])
 
 
+@tidy
 def _sets(size: int, most_bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -181,6 +184,7 @@ def _sets(size: int, most_bits: int):
     return run
 
 
+@tidy
 def _signature_rows(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -203,6 +207,7 @@ def _pair_rows(held: list, names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(two, pa.int64())], names)
 
 
+@tidy
 def _near(percent: int):
     """Keeps pairs whose sketches allow similarity."""
 
@@ -216,6 +221,7 @@ def _near(percent: int):
     return run
 
 
+@tidy
 def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -247,6 +253,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
     return both.mapInArrow(_verify(percent), "a bigint, b bigint")
 
 
+@tidy
 def _across(percent: int, most: int, every: bool = False):
     """Pairs of two blocks of a signature's members that are in different
     components and may be similar by their short keys. Rows come sorted by

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geonest.llm.common import pick, text_bytes, write_table
+from geonest.llm.common import pick, text_bytes, tidy, write_table
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -33,6 +33,7 @@ def line_key(line: bytes, min_chars: int) -> bytes | None:
     return key
 
 
+@tidy
 def _keys(min_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -50,6 +51,7 @@ def _keys(min_chars: int):
     return run
 
 
+@tidy
 def _rebuild(min_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

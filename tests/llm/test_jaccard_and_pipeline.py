@@ -229,3 +229,28 @@ def test_entry_registers_the_queries():
     names = set(entry.queries())
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
     assert set(entry.oracle_sql()) <= names
+
+
+def test_a_worker_keeps_the_state_of_one_operator():
+    from geonest.llm import common, hd_language
+
+    common.drop_state("")
+    hd_language._profiles(64, 3)
+    common.worker_state("geonest.llm.packing", "path", dict)
+    list(hd_language._learn(64, 3)(iter([])))
+    assert [k[0] for k in common._STATE] == ["geonest.llm.hd_language"]
+    common.drop_state("")
+    assert not common._STATE
+
+
+def test_stages_hand_texts_over_in_small_batches(spark):
+    import corpus_pipeline
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    docs = spark.createDataFrame([(1, "some words", "en", "s", 10)], "doc_id long, text string, lang string, source string, n_chars long")
+    try:
+        corpus_pipeline.language(spark, docs, "")
+        assert int(spark.conf.get(key)) == 2048
+    finally:
+        spark.conf.set(key, before)
