@@ -22,23 +22,28 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from geonest.llm.common import pick, text_bytes, write_table
+from geonest.llm.common import binary_list, pick, text_bytes, tidy, worker_state, write_table
 
 CAPACITY = 2048
 SEPARATOR = 0
 #: Encoded words that a Python worker keeps (bounded memory, about 150 bytes each).
 WORD_CACHE = 400_000
+#: Text bytes, at least, whose distinct words are looked up at once; a longer text is looked up alone.
+TEXT_BYTES = 4 << 20
 #: Rows that one salted rank group holds on average.
 RANK_ROWS = 500_000
 
 WORD_END = "</w>"
-#: Letters below this (Latin, Greek, Cyrillic) are letters to the vocabulary too.
-LAST_PLAIN = "\u0530"
+#: Letters below this (Latin) are letters to the vocabulary too, stay as they
+#: are under its NFC, and have the small letters that Python knows.
+LAST_PLAIN = "\u0250"
+#: But for this one, whose small letter is two characters.
+DOTTED = "\u0130"
 TAIL = b"!#$%&()*+,-./:;<=>?@[]^_{|}~\\\""
-_STATE: dict = {}
 
 
 class WordEncoder:
@@ -46,100 +51,148 @@ class WordEncoder:
 
     The vocabulary drops white space and never merges across it, so a text's
     ids are its words' ids one after another; each distinct word (ASCII
-    lower-cased, as the vocabulary is) is encoded once per worker. Words
-    that end in ASCII punctuation reuse the ids of the bare word. A text
-    with ``<|`` may hold a special token, whose case counts: it is encoded
-    whole.
+    lower-cased, as the vocabulary is) of a group of texts is looked up once.
+    The words met last are kept: when half of the places are taken, those
+    met since the last time stay and older ones go. Words that end in ASCII
+    punctuation reuse the ids of the bare word. A text with ``<|`` may hold
+    a special token, whose case counts: it is encoded whole.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tok = Tokenizer.from_file(path)
+        # the same merges for words of plain letters: nothing to normalise, and no pattern to match
+        self.letters = Tokenizer(self.tok.model)
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         self.cache: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         vocabulary = self.tok.get_vocab(with_added_tokens=False)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
 
-    def _encode(self, words: list[bytes]) -> None:
+    def _encode(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Words of letters only are encoded as one text: each is one unit of
         the vocabulary, whose last id, alone, ends a word. Others go one by one."""
+        out: dict[bytes, bytes] = {}
         plain, other = [], []
         for w in words:
             text = w.decode("utf-8", "replace")
-            (plain if text.isalpha() and max(text) < LAST_PLAIN else other).append((w, text))
+            (plain if _plain(text) else other).append((w, text))
         if plain:
-            ids = np.array(self.tok.encode_batch_fast([" ".join(t for _, t in plain)], add_special_tokens=False)[0].ids, "<u4")
+            joined = " ".join([t for _, t in plain]).lower()
+            ids = np.array(self.letters.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
             cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
             if len(cuts) == len(plain):
                 lo, data = 0, ids.tobytes()
                 for (w, _), hi in zip(plain, cuts, strict=True):
-                    self.cache[w] = data[4 * lo:4 * hi]
+                    out[w] = data[4 * lo:4 * hi]
                     lo = hi
             else:
                 other += plain
         if other:
             got = self.tok.encode_batch_fast([t for _, t in other], add_special_tokens=False)
             for (w, _), e in zip(other, got, strict=True):
-                self.cache[w] = np.array(e.ids, "<u4").tobytes()
+                out[w] = np.array(e.ids, "<u4").tobytes()
+        return out
 
-    def learn(self, words: set[bytes]) -> None:
-        cache = self.cache
-        if len(cache) + len(words) > WORD_CACHE:
-            cache.clear()
+    def ids(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """The ids of each word."""
+        out = dict(zip(words, map(self.cache.get, words), strict=True))
+        found: dict[bytes, bytes] = {}
         new, built = set(), []
-        for w in words:
-            if w in cache:
+        for w in [w for w, ids in out.items() if ids is None]:
+            ids = self.older.get(w)
+            if ids is not None:
+                found[w] = ids
                 continue
             bare = w.rstrip(TAIL)
-            if bare and len(bare) < len(w) and bare[-1] < 128 and bare[-1:].isalnum():
-                tail = w[len(bare):]
-                built.append((w, bare, tail))
-                new.update(x for x in (bare, tail) if x not in cache)
+            if bare and len(bare) < len(w) and (bare[-1:].isalnum() or _plain(bare.decode("utf-8", "replace"))):
+                built.append((w, bare, w[len(bare):]))
             else:
                 new.add(w)
+        for x in {x for _, bare, tail in built for x in (bare, tail)} - new - found.keys():
+            ids = self.cache.get(x, self.older.get(x))
+            if ids is None:
+                new.add(x)
+            else:
+                found[x] = ids
         if new:
-            self._encode(list(new))
+            found.update(self._encode(list(new)))
         for w, bare, tail in built:
-            cache[w] = cache[bare] + cache[tail]
-
-    def texts(self, texts: list[bytes]) -> Iterator[bytes]:
+            found[w] = found[bare] + found[tail]
+        out.update(found)
+        if len(self.cache) + len(found) > WORD_CACHE // 2:
+            self.older, self.cache = self.cache, {}
+        if len(found) <= WORD_CACHE // 2:
+            self.cache.update(found)
+        return out
+
+    def texts(self, texts: list[bytes] | pa.Array) -> Iterator[bytes]:
         """Little-endian uint32 ids of each text."""
-        split = [None if b"<|" in t else t.lower().split() for t in texts]
-        for at in range(0, len(split), 64):
-            part = split[at:at + 64]
-            self.learn({w for ws in part if ws for w in ws})
-            for ws, t in zip(part, texts[at:at + 64], strict=True):
-                if ws is None:
-                    e = self.tok.encode_batch_fast([t.decode("utf-8", "replace")], add_special_tokens=False)[0]
-                    yield np.array(e.ids, "<u4").tobytes()
-                else:
-                    yield b"".join(map(self.cache.__getitem__, ws))
+        texts = pa.array(texts, pa.binary()) if isinstance(texts, list) else texts
+        at = 0
+        for end in _groups(texts):
+            yield from self._group(texts.slice(at, end - at))
+            at = end
+
+    def _group(self, texts: pa.Array) -> Iterator[bytes]:
+        texts = texts.cast(pa.large_binary()).view(pa.large_string())  # nothing below minds bytes that are no UTF-8
+        special = pc.match_substring(texts, "<|")
+        split = pc.ascii_split_whitespace(pc.ascii_lower(pc.if_else(special, pa.scalar("", pa.large_string()), texts)))
+        words = split.flatten().view(pa.large_binary()).dictionary_encode()
+        names = binary_list(words.dictionary)
+        ids = self.ids(names)
+        joined = pa.array([ids[w] for w in names], pa.large_binary()).take(words.indices)
+        ends = np.frombuffer(joined.buffers()[1], "<i8")[: len(joined) + 1]
+        ends = ends[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        data = joined.buffers()[2] or b""
+        for whole, t, lo, hi in zip(special.to_pylist(), texts, ends.tolist(), ends[1:].tolist(), strict=False):
+            if whole:
+                e = self.tok.encode_batch_fast([t.as_buffer().to_pybytes().decode("utf-8", "replace")], add_special_tokens=False)[0]
+                yield np.array(e.ids, "<u4").tobytes()
+            else:
+                yield bytes(data[lo:hi])
+
+
+def _plain(text: str) -> bool:
+    return text.isalpha() and (text.isascii() or (max(text) < LAST_PLAIN and DOTTED not in text))
+
+
+def _groups(texts: pa.Array) -> Iterator[int]:
+    """Where each group of texts ends."""
+    sizes = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64))
+    at = 0
+    while at < len(sizes):
+        at = min(int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + TEXT_BYTES)) + 1, len(sizes))
+        yield at
 
 
 def _encoder(path: str) -> WordEncoder:
-    if path not in _STATE:
-        _STATE[path] = WordEncoder(path)
-    return _STATE[path]
+    return worker_state(__name__, path, lambda: WordEncoder(path))
 
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
+@tidy
 def _pieces(path: str, capacity: int, separator: int, with_ids: bool):
-    end = np.array([separator], "<u4").tobytes()
+    end_ids = np.array([separator], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _encoder(path)
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                b = whole.slice(at, 256)
+            at = 0
+            for end in _groups(whole.column(1)):
+                b, at = whole.slice(at, end - at), end
                 rows: list[tuple] = []
-                for doc_id, ids in zip(b.column(0).to_pylist(), enc.texts(b.column(1).to_pylist()), strict=True):
-                    ids += end
+                for doc_id, ids in zip(b.column(0).to_pylist(), enc.texts(b.column(1)), strict=True):
+                    ids += end_ids
                     for piece, lo in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[lo:lo + 4 * capacity]
-                        rows.append((doc_id, piece, lo // 4, len(part) // 4, zlib.crc32(part), part))
+                        rows.append((doc_id, piece, lo // 4, len(part) // 4, zlib.crc32(part), part if with_ids else None))
                 cols = list(zip(*rows, strict=True))
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()] + [pa.binary()] * with_ids
                 yield pa.RecordBatch.from_arrays(

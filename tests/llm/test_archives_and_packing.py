@@ -169,3 +169,24 @@ def test_one_size_is_ranked_in_salted_parts(spark):
     assert check_places(got, 2048) == 2500
     with pytest.raises(ValueError):
         pack_pieces(pieces.withColumn("length", pieces.length + 5000), 2048)
+
+
+def test_a_word_with_punctuation_is_not_encoded_anew():
+    encoder, met = WordEncoder(VOCABULARY), []
+    encode = encoder._encode
+    encoder._encode = lambda words: met.extend(words) or encode(words)
+    texts = ["été allée! Straße", "été, (straße) allée... Été,", "allée? STRASSE straße."]
+    got = [np.frombuffer(g, "<u4").tolist() for t in texts for g in encoder.texts([t.encode()])]
+    tok = Tokenizer.from_file(VOCABULARY)
+    assert got == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(met) == len(set(met)) and not {"été,".encode(), "allée!".encode(), "allée...".encode(), "allée?".encode(), "straße.".encode()} & set(met)
+
+
+def test_words_are_kept_within_bounds(monkeypatch):
+    monkeypatch.setattr("geonest.llm.packing.WORD_CACHE", 20)
+    monkeypatch.setattr("geonest.llm.packing.TEXT_BYTES", 16)
+    texts = [" ".join(random.choices(["one", "two,", "Three", "x1", "five.", "", "six " * 9, *map(str, range(30))], k=12)) for _ in range(80)]
+    encoder, tok = WordEncoder(VOCABULARY), Tokenizer.from_file(VOCABULARY)
+    got = [np.frombuffer(g, "<u4").tolist() for g in encoder.texts([t.encode() for t in texts])]
+    assert got == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(encoder.cache) <= 10 and len(encoder.older) <= 10
