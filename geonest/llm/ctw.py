@@ -27,10 +27,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from geonest.llm.common import give_back, id_remainder, pick, release_shuffles, size_of, text_bytes, words, write_table
+from geonest.llm.common import binary_list, give_back, id_remainder, pick, release_shuffles, size_of, text_bytes, write_table
 
 DEPTH = 5
 #: Text bytes of one chunk, the unit that gets its probabilities back.
@@ -38,6 +38,8 @@ CHUNK_BYTES = 48 << 20
 #: Documents read at once, and bytes whose grams are sorted at once.
 DOC_BITS = 8
 DOCS, SLICE = 1 << DOC_BITS, 1 << 20
+#: Text bytes, at least, whose distinct words are looked up at once.
+WORDS_BYTES = 4 << 20
 #: Passes over a chunk, each for a range of the two bytes before the coded one; one pass's grams are held at a time.
 PASSES = 10
 #: Grams whose trees are worked out at once, at least.
@@ -241,39 +243,46 @@ def gram_scores(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
     return dealt.mapInArrow(_gram_scores(depth, ids, top), "gram bigint, value double")
 
 
-def _slices(texts: list[bytes], depth: int, span: tuple[int, int] = (0, 1 << 62)) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(keys within ``span``, document numbers) of about SLICE bytes of whole or cut texts."""
-    pad, parts, docs, size = bytes([PAD]) * depth, [], [], 0
-    for i, t in enumerate(texts):
-        t = pad + t + bytes([PAD])
-        for at in range(0, len(t) - depth, SLICE):
-            parts.append(t[at:at + SLICE + depth])
-            docs.append(i)
-            size += len(parts[-1])
-            if size >= SLICE:
-                yield _joined_keys(parts, docs, depth, span)
-                parts, docs, size = [], [], 0
-    if parts:
-        yield _joined_keys(parts, docs, depth, span)
-
-
-def _joined_keys(parts: list[bytes], docs: list[int], depth: int, span: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of many parts by one run over them all, without those that reach
-    across two parts. The two bytes before the coded one tell whether a key lies within ``span``."""
-    a = np.frombuffer(b"".join(parts), np.uint8)
-    before, (lo, hi) = a[depth - 1:-1].astype(np.uint16) << 8 | a[depth - 2:-2], (x >> (8 * (depth - 1)) for x in span)
-    sizes = np.full((len(parts), 2), depth)
-    sizes[:, 0] = [len(p) - depth for p in parts]
-    use = np.repeat(np.tile([True, False], len(parts)), sizes.ravel())[:len(before)]
-    if lo > 0:
-        use &= before >= lo
-    if hi < 1 << 16:
-        use &= before < hi
-    at = np.flatnonzero(use)
-    keys = a[at + depth].astype(np.int64)
-    for d in range(1, depth + 1):
-        keys |= a[at + (depth - d)].astype(np.int64) << (8 * (depth + 1 - d))
-    return keys, np.array(docs, np.int64)[np.searchsorted(np.cumsum(sizes.sum(1)), at, "right")]
+def padded(text: Column, depth: int = DEPTH) -> Column:
+    """A text as chunks hold it: ``depth`` bytes PAD, its bytes, and one PAD as its end."""
+    return F.concat(F.lit(bytes([PAD]) * depth), text, F.lit(bytes([PAD])))
+
+
+def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts, one after another, and where each text begins."""
+    begin = np.frombuffer(texts.buffers()[1], "<i4")[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    return np.frombuffer(texts.buffers()[2], np.uint8)[begin[0]:begin[-1]], begin[:-1] - begin[0]
+
+
+def _slices(texts: pa.Array, depth: int, span: tuple[int, int] = (0, 1 << 62)) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(keys within ``span``, document numbers) of padded texts, SLICE bytes of them at once.
+    The two bytes before the coded one tell whether a key lies within ``span``."""
+    a, begin = _bytes_of(texts)
+    lo, hi = (x >> (8 * (depth - 1)) for x in span)
+    for first in range(depth, len(a), SLICE):
+        end = min(first + SLICE, len(a))
+        use = _within(a[first - 2:end - 1], lo, hi)
+        # the bytes that a text begins with are not coded
+        starts = begin[np.searchsorted(begin, first - depth, "right"):np.searchsorted(begin, end)]
+        pads = (starts[:, None] + np.arange(depth)).ravel() - first
+        use[pads[(pads >= 0) & (pads < len(use))]] = False
+        at = np.flatnonzero(use) + first
+        keys = a[at].astype(np.int64)
+        for d in range(1, depth + 1):
+            keys |= a[at - d].astype(np.int64) << (8 * (depth + 1 - d))
+        yield keys, np.searchsorted(begin, at, "right") - 1
+
+
+def _within(a: np.ndarray, lo: int, hi: int) -> np.ndarray:
+    """Whether each two bytes in a row, the second on top, are from ``lo`` to below ``hi``."""
+    m = len(a) - 1
+    if lo <= 0 and hi >= 1 << 16:
+        return np.ones(m, bool)
+    use = np.empty(m, bool)
+    for odd in range(min(m, 2)):
+        pairs = a[odd:odd + (m - odd + 1) // 2 * 2].view("<u2")
+        np.less(pairs - np.uint16(lo), np.uint16(min(hi - lo, (1 << 16) - 1)), out=use[odd::2])
+    return use
 
 
 def _spans(docs: pa.Buffer, depth: int) -> list[tuple[int, int]]:
@@ -281,13 +290,28 @@ def _spans(docs: pa.Buffer, depth: int) -> list[tuple[int, int]]:
     They are cut between two-byte contexts."""
     n = np.zeros(1 << 16, np.int64)
     for part in _read(docs):
-        a = np.frombuffer(b"".join(bytes([PAD, PAD]) + t for t in part.column(2).to_pylist()), np.uint8)
-        n += np.bincount(a[1:].astype(np.int64) << 8 | a[:-1], minlength=1 << 16)
+        a, _ = _bytes_of(part.column(2))
+        for at in range(0, len(a) - 1, SLICE):
+            b = a[at:at + SLICE + 1]
+            n += np.bincount(b[1:].astype(np.int64) << 8 | b[:-1], minlength=1 << 16)
     before = np.cumsum(n) - n
     cuts = sorted({0, *(int(np.searchsorted(before, n.sum() * i / PASSES)) for i in range(1, PASSES)), 1 << 16})
     return [(lo << (8 * (depth - 1)), hi << (8 * (depth - 1))) for lo, hi in zip(cuts, cuts[1:], strict=False)]
 
 
+def _words(texts: pa.Array, depth: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct words of padded texts, the place of each word of all texts
+    among them, and where each text's words begin (and the last one's end)."""
+    plain = pc.binary_slice(texts, depth, -1).view(pa.string())  # nothing below minds bytes that are no UTF-8
+    split = pc.ascii_split_whitespace(pc.ascii_lower(plain))
+    found = split.flatten().view(pa.binary())
+    # white space at an end leaves an empty word there
+    some = pc.not_equal(pc.binary_length(found), 0).to_numpy(zero_copy_only=False)
+    coded = found.filter(pa.array(some)).dictionary_encode()
+    ends = np.concatenate([[0], np.cumsum(some)])[split.offsets.to_numpy() - split.offsets[0].as_py()]
+    return binary_list(coded.dictionary), coded.indices.to_numpy(), ends
+
+
 def _runs(sorted_keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1]]))
 
@@ -295,9 +319,10 @@ def _runs(sorted_keys: np.ndarray) -> np.ndarray:
 _DOC = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("text", pa.binary())])
 
 
-def _bundle(chunk_bytes: int):
-    """Puts a task's documents into chunks: one row, an id and the documents
-    as a compressed stream of small batches."""
+def _bundle(chunk_bytes: int, depth: int):
+    """Puts a task's documents (padded texts) into chunks: one row, an id and
+    the documents as a compressed stream of small batches."""
+    pads = depth + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 24
@@ -310,7 +335,7 @@ def _bundle(chunk_bytes: int):
                     sink = pa.BufferOutputStream()
                     stream = pa.ipc.new_stream(sink, _DOC, options=pa.ipc.IpcWriteOptions(compression="zstd"))
                 stream.write_batch(pa.RecordBatch.from_arrays(part.columns, schema=_DOC))
-                size += pc.sum(pc.binary_length(part.column(2))).as_py() or 0
+                size += (pc.sum(pc.binary_length(part.column(2))).as_py() or 0) - pads * part.num_rows
                 if size >= chunk_bytes:
                     stream.close()
                     yield _chunk_row(number, sink)
@@ -330,6 +355,19 @@ def _read(docs: bytes) -> Iterator[pa.RecordBatch]:
     yield from pa.ipc.open_stream(docs)
 
 
+def _read_many(docs: bytes) -> Iterator[pa.RecordBatch]:
+    """The documents again, WORDS_BYTES bytes of them at once."""
+    held, size = [], 0
+    for part in _read(docs):
+        if size >= WORDS_BYTES:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+        held.append(part)
+        size += part.column(2).nbytes
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def _ask(depth: int):
     """A chunk's distinct grams and words, each list sorted, with their counts
     in training texts. Words that only other texts have count 0; the empty
@@ -344,7 +382,7 @@ def _ask(depth: int):
                     yield from _asked(chunk, first, n, keys=keys)
                     first += len(keys)
                     del keys, n
-                seen = _chunk_words(docs)
+                seen = _chunk_words(docs, depth)
                 names = sorted(seen)
                 yield from _asked(chunk, 0, np.array([seen[w] for w in names], np.int64), names=names)
                 del seen, names
@@ -353,15 +391,15 @@ def _ask(depth: int):
     return run
 
 
-def _chunk_words(docs: pa.Buffer) -> Counter:
+def _chunk_words(docs: pa.Buffer, depth: int) -> Counter:
     seen: Counter = Counter()
-    for part in _read(docs):
-        for t, held in zip(part.column(2).to_pylist(), part.column(1).to_pylist(), strict=True):
-            if held:
-                seen.update(dict.fromkeys([*words(t), b""], 0))
-            else:
-                seen.update(words(t))
-                seen[b""] += 1
+    for part in _read_many(docs):
+        trains = ~part.column(1).to_numpy(zero_copy_only=False)
+        names, at, ends = _words(part.column(2), depth)
+        n = np.bincount(at[np.repeat(trains, np.diff(ends))], minlength=len(names))
+        for w, m in zip(names, n.tolist(), strict=True):
+            seen[w] += m
+        seen[b""] += int(trains.sum())
     return seen
 
 
@@ -370,7 +408,7 @@ def _chunk_grams(docs: pa.Buffer, depth: int, span: tuple[int, int]) -> tuple[np
     held: list[tuple[np.ndarray, np.ndarray]] = []
     for part in _read(docs):
         trains = ~part.column(1).to_numpy(zero_copy_only=False)
-        held.append(_distinct_grams(part.column(2).to_pylist(), trains.astype(np.int64), depth, span))
+        held.append(_distinct_grams(part.column(2), trains.astype(np.int64), depth, span))
         if sum(len(k) for k, _ in held[1:]) > len(held[0][0]) // 2 + SLICE // PASSES:
             held = [_merge(held)]
     return _merge(held)
@@ -395,7 +433,7 @@ def _merge(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.nd
     return keys[head], np.add.reduceat(n, head)
 
 
-def _distinct_grams(texts: list[bytes], trains: np.ndarray, depth: int, span: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+def _distinct_grams(texts: pa.Array, trains: np.ndarray, depth: int, span: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct grams of some texts with their counts in the training ones."""
     out = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
     for k, doc in _slices(texts, depth, span):
@@ -472,7 +510,7 @@ def _apply(depth: int, n_tokens: int, n_words: int):
         for span in _spans(docs, depth):
             held = []
             for part, score in zip(_read(docs), scores, strict=True):
-                for k, doc in _slices(part.column(2).to_pylist(), depth, span):
+                for k, doc in _slices(part.column(2), depth, span):
                     if len(k):
                         packed = np.sort(k << DOC_BITS | doc)
                         held.append((packed, _runs(packed >> DOC_BITS), score))
@@ -488,22 +526,26 @@ def _apply(depth: int, n_tokens: int, n_words: int):
         give_back()
         # words are numbered as they come, then by their place in the sorted list
         number: defaultdict = defaultdict(itertools.count().__next__)
-        numbers = [
-            [np.fromiter(map(number.__getitem__, [*words(t), b""]), np.int32) for t in part.column(2).to_pylist()] for part in _read(docs)
-        ]
+        numbers = []  # by document
+        for part in _read_many(docs):
+            found, at, ends = _words(part.column(2), depth)
+            at = np.fromiter(map(number.__getitem__, found), np.int32, len(found))[at]
+            end = np.array([number[b""]], np.int32)
+            numbers += [np.concatenate([at[lo:hi], end]) for lo, hi in zip(ends.tolist(), ends[1:].tolist(), strict=False)]
         names = sorted(number)
         order = np.fromiter(map(number.__getitem__, names), np.int64, len(names))
         del names, number
         count[order] = count.copy()
         base = np.log10((count + 0.1) / (n_tokens + 0.1 * (n_words + 1)))
         known = count > 0
-        out = []
-        for part, score, found in zip(_read(docs), scores, numbers, strict=True):
+        out, row = [], 0
+        for part, score in zip(_read(docs), scores, strict=True):
             m = part.num_rows
+            found, row = numbers[row:row + m], row + m
             tokens = np.array([len(at) for at in found], np.int64)
             base_score = np.array([base[at].sum() for at in found])
             n_known = np.array([known[at].sum() for at in found], np.int64)
-            n_bytes = pc.binary_length(part.column(2)).to_numpy().astype(np.int64)
+            n_bytes = pc.binary_length(part.column(2)).to_numpy().astype(np.int64) - depth - 1
             out.append(
                 pa.table(
                     {
@@ -556,8 +598,8 @@ def score_documents(docs: DataFrame, modulus: int = 10, held_out: int = 0, depth
     _, size = size_of(d)
     is_held = F.coalesce(id_remainder("doc_id", modulus) == held_out, F.lit(False))
     n_tasks = max(1, -(-size // chunk_bytes))
-    whole = d.select("doc_id", is_held.alias("held_out"), text_bytes("text").alias("text")).coalesce(n_tasks)
-    chunks = write_table(whole.mapInArrow(_bundle(chunk_bytes), "chunk bigint, docs binary"), "lm-chunks")
+    whole = d.select("doc_id", is_held.alias("held_out"), padded(text_bytes("text"), depth).alias("text")).coalesce(n_tasks)
+    chunks = write_table(whole.mapInArrow(_bundle(chunk_bytes, depth), "chunk bigint, docs binary"), "lm-chunks")
     asked = write_table(chunks.mapInArrow(_ask(depth), "chunk bigint, ord int, gram bigint, word binary, n bigint"), "lm-asked")
     asked_grams = asked.where("gram is not null").select("chunk", "ord", "gram", "n")
     counts = write_table(asked_grams.groupBy("gram").agg(F.sum("n").alias("n")), "lm-grams")

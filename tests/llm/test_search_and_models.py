@@ -241,3 +241,17 @@ def test_blocks_are_skipped():
     s.add(blocks)
     scores = np.concatenate([b[1] @ s.queries[0] for b in blocks])
     assert s.best[0][1].tolist() == sorted(scores, reverse=True)[:5] and s.scored < 60
+
+
+def test_chunks_are_cut_into_the_grams_and_words_of_each_text(monkeypatch):
+    from geonest.llm import ctw
+
+    monkeypatch.setattr(ctw, "SLICE", 7)
+    texts = [b"", b"a", " Été\t the The\n".encode(), b"", b"\x0b" * 9, b"the end" * 5, "\u2003x".encode()]
+    for depth in (2, 5):
+        padded = ctw.pa.array([bytes([ctw.PAD]) * depth + t + bytes([ctw.PAD]) for t in texts], ctw.pa.binary())
+        for span in ((0, 1 << 62), (0, 0x6400 << 8 * (depth - 1)), (0x6400 << 8 * (depth - 1), 1 << 62)):
+            got = sorted((int(d), int(k)) for keys, docs in ctw._slices(padded, depth, span) for k, d in zip(keys, docs, strict=True))
+            assert got == sorted((i, k) for i, t in enumerate(texts) for k in ctw.grams(t, depth).tolist() if span[0] <= k < span[1])
+        names, at, ends = ctw._words(padded, depth)
+        assert [[names[k] for k in at[lo:hi]] for lo, hi in zip(ends, ends[1:], strict=False)] == [t.lower().split() for t in texts]
