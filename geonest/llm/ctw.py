@@ -275,13 +275,13 @@ def _slices(texts: pa.Array, depth: int, span: tuple[int, int] = (0, 1 << 62)) -
 
 def _within(a: np.ndarray, lo: int, hi: int) -> np.ndarray:
     """Whether each two bytes in a row, the second on top, are from ``lo`` to below ``hi``."""
-    m = len(a) - 1
-    if lo <= 0 and hi >= 1 << 16:
+    m, lo, hi = len(a) - 1, max(lo, 0), min(hi, 1 << 16)
+    if hi - lo >= 1 << 16:
         return np.ones(m, bool)
     use = np.empty(m, bool)
     for odd in range(min(m, 2)):
         pairs = a[odd:odd + (m - odd + 1) // 2 * 2].view("<u2")
-        np.less(pairs - np.uint16(lo), np.uint16(min(hi - lo, (1 << 16) - 1)), out=use[odd::2])
+        np.less(pairs - np.uint16(lo), np.uint16(hi - lo), out=use[odd::2])
     return use
 
 
