@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import functools
 import re
@@ -125,6 +126,19 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+@contextlib.contextmanager
+def handing_over(spark: SparkSession, most: int) -> Iterator[None]:
+    """Jobs run inside hand Python workers batches of about ``most`` bytes at
+    most, where rows are whole texts."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
+
+
 def size_of(df: DataFrame, text: str = "text") -> tuple[int, int]:
     """Rows and text bytes of a table (one aggregated row)."""
     r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(text)).alias("b")).first()

@@ -19,8 +19,6 @@ as its end; no text holds that byte.
 
 from __future__ import annotations
 
-import itertools
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,18 +28,21 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from geonest.llm.common import binary_list, give_back, id_remainder, pick, release_shuffles, size_of, text_bytes, write_table
+from geonest.llm.common import binary_list, give_back, handing_over, id_remainder, pick, release_shuffles, size_of, text_bytes, write_table
 
 DEPTH = 5
 #: Text bytes of one chunk, the unit that gets its probabilities back.
 CHUNK_BYTES = 48 << 20
-#: Documents read at once, and bytes whose grams are sorted at once.
-DOC_BITS = 8
-DOCS, SLICE = 1 << DOC_BITS, 1 << 20
-#: Text bytes, at least, whose distinct words are looked up at once.
-WORDS_BYTES = 4 << 20
-#: Passes over a chunk, each for a range of the two bytes before the coded one; one pass's grams are held at a time.
-PASSES = 10
+#: Text bytes of one piece of a chunk, and its documents at most.
+PIECE_BYTES = 2 << 20
+DOC_BITS = 14
+DOCS = 1 << DOC_BITS
+#: Bytes whose grams are sorted at once.
+SLICE = 1 << 20
+#: Distinct grams of a chunk that a worker holds before it asks for them.
+HELD = 1 << 22
+#: Bytes of texts that Spark hands to a worker at once.
+BATCH_BYTES = 4 << 20
 #: Grams whose trees are worked out at once, at least.
 BATCH = 1 << 18
 PAD = 0xFF
@@ -70,11 +71,12 @@ def grams(text: bytes, depth: int = DEPTH) -> np.ndarray:
 
 
 def _keys(a: np.ndarray, depth: int) -> np.ndarray:
-    m = len(a) - depth
-    keys = a[depth:].astype(np.int64)
-    for d in range(1, depth + 1):
-        keys |= a[depth - d:depth - d + m].astype(np.int64) << (8 * (depth + 1 - d))
-    return keys
+    m = max(0, len(a) - depth)
+    # eight bytes from each place on; the context's last byte goes on top, the coded one out
+    keys = np.ndarray((m,), "<u8", np.concatenate([a, np.zeros(8, np.uint8)]), 0, (1,)) << np.uint64(8)
+    keys &= np.uint64((1 << 8 * (depth + 1)) - 1)
+    keys |= a[depth:]
+    return keys.view(np.int64)
 
 
 class Level:
@@ -254,52 +256,24 @@ def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(texts.buffers()[2], np.uint8)[begin[0]:begin[-1]], begin[:-1] - begin[0]
 
 
-def _slices(texts: pa.Array, depth: int, span: tuple[int, int] = (0, 1 << 62)) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(keys within ``span``, document numbers) of padded texts, SLICE bytes of them at once.
-    The two bytes before the coded one tell whether a key lies within ``span``."""
+def _slices(texts: pa.Array, depth: int, span: tuple[int, int] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(keys, document numbers) of padded texts, SLICE bytes of them at once; with ``span``, the keys from one to below the other."""
     a, begin = _bytes_of(texts)
-    lo, hi = (x >> (8 * (depth - 1)) for x in span)
     for first in range(depth, len(a), SLICE):
         end = min(first + SLICE, len(a))
-        use = _within(a[first - 2:end - 1], lo, hi)
+        keys = _keys(a[first - depth:end], depth)
+        use = np.ones(len(keys), bool) if span is None else (keys >= span[0]) & (keys < span[1])
         # the bytes that a text begins with are not coded
         starts = begin[np.searchsorted(begin, first - depth, "right"):np.searchsorted(begin, end)]
         pads = (starts[:, None] + np.arange(depth)).ravel() - first
         use[pads[(pads >= 0) & (pads < len(use))]] = False
-        at = np.flatnonzero(use) + first
-        keys = a[at].astype(np.int64)
-        for d in range(1, depth + 1):
-            keys |= a[at - d].astype(np.int64) << (8 * (depth + 1 - d))
-        yield keys, np.searchsorted(begin, at, "right") - 1
-
-
-def _within(a: np.ndarray, lo: int, hi: int) -> np.ndarray:
-    """Whether each two bytes in a row, the second on top, are from ``lo`` to below ``hi``."""
-    m, lo, hi = len(a) - 1, max(lo, 0), min(hi, 1 << 16)
-    if hi - lo >= 1 << 16:
-        return np.ones(m, bool)
-    use = np.empty(m, bool)
-    for odd in range(min(m, 2)):
-        pairs = a[odd:odd + (m - odd + 1) // 2 * 2].view("<u2")
-        np.less(pairs - np.uint16(lo), np.uint16(hi - lo), out=use[odd::2])
-    return use
-
-
-def _spans(docs: pa.Buffer, depth: int) -> list[tuple[int, int]]:
-    """Ranges of keys, in order, that share a chunk's grams out over the passes.
-    They are cut between two-byte contexts."""
-    n = np.zeros(1 << 16, np.int64)
-    for part in _read(docs):
-        a, _ = _bytes_of(part.column(2))
-        for at in range(0, len(a) - 1, SLICE):
-            b = a[at:at + SLICE + 1]
-            n += np.bincount(b[1:].astype(np.int64) << 8 | b[:-1], minlength=1 << 16)
-    before = np.cumsum(n) - n
-    cuts = sorted({0, *(int(np.searchsorted(before, n.sum() * i / PASSES)) for i in range(1, PASSES)), 1 << 16})
-    return [(lo << (8 * (depth - 1)), hi << (8 * (depth - 1))) for lo, hi in zip(cuts, cuts[1:], strict=False)]
+        lo, hi = np.searchsorted(begin, first, "right"), np.searchsorted(begin, end)
+        doc = np.repeat(np.arange(lo - 1, hi, dtype=np.int32), np.diff(np.concatenate([[first], begin[lo:hi], [end]])))
+        keys, doc = keys[use], doc[use]
+        yield keys, doc
 
 
-def _words(texts: pa.Array, depth: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+def _coded_words(texts: pa.Array, depth: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """The distinct words of padded texts, the place of each word of all texts
     among them, and where each text's words begin (and the last one's end)."""
     plain = pc.binary_slice(texts, depth, -1).view(pa.string())  # nothing below minds bytes that are no UTF-8
@@ -309,7 +283,24 @@ def _words(texts: pa.Array, depth: int) -> tuple[list[bytes], np.ndarray, np.nda
     some = pc.not_equal(pc.binary_length(found), 0).to_numpy(zero_copy_only=False)
     coded = found.filter(pa.array(some)).dictionary_encode()
     ends = np.concatenate([[0], np.cumsum(some)])[split.offsets.to_numpy() - split.offsets[0].as_py()]
-    return binary_list(coded.dictionary), coded.indices.to_numpy(), ends
+    return coded.dictionary, coded.indices.to_numpy(), ends
+
+
+def _words(texts: pa.Array, depth: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """``_coded_words`` with the words as Python has them."""
+    names, at, ends = _coded_words(texts, depth)
+    return binary_list(names), at, ends
+
+
+def _numbered(names: list[pa.Array]) -> tuple[pa.Array, list[np.ndarray]]:
+    """The distinct words of a chunk, the empty one (the end of a text) first
+    and the others as they come in its pieces, and the numbers of each piece's words."""
+    cuts = np.cumsum([1, *map(len, names)])
+    found = pa.concat_arrays([pa.array([b""], pa.binary()), *names])
+    names.clear()  # what is put together need not be held beside it
+    coded = found.dictionary_encode()
+    del found
+    return coded.dictionary, np.split(coded.indices.to_numpy(), cuts)[1:-1]
 
 
 def _runs(sorted_keys: np.ndarray) -> np.ndarray:
@@ -319,150 +310,152 @@ def _runs(sorted_keys: np.ndarray) -> np.ndarray:
 _DOC = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("text", pa.binary())])
 
 
+def _pieces(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """The documents again, ``most`` bytes of them at once or just beyond."""
+    held, size, rows = [], 0, 0
+    for b in batches:
+        before = np.concatenate([[0], np.cumsum(pc.binary_length(b.column(2)).to_numpy().astype(np.int64))])
+        first = 0
+        while first < b.num_rows:
+            end = min(int(np.searchsorted(before, before[first] + most - size)), first + DOCS - rows, b.num_rows)
+            held.append(b.slice(first, end - first))
+            size, rows, first = size + int(before[end] - before[first]), rows + end - first, end
+            if size >= most or rows >= DOCS:
+                yield _one(held)
+                held, size, rows = [], 0, 0
+        b = None
+    if held:
+        yield _one(held)
+
+
+def _one(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """A copy, which holds none of the batches it comes from."""
+    return pa.RecordBatch.from_arrays([pa.concat_arrays([b.column(c) for b in held]) for c in range(len(_DOC))], schema=_DOC)
+
+
 def _bundle(chunk_bytes: int, depth: int):
-    """Puts a task's documents (padded texts) into chunks: one row, an id and
-    the documents as a compressed stream of small batches."""
+    """Puts a task's documents (padded texts) into chunks, which are written
+    by pieces. A chunk asks for its distinct grams and words, each with its
+    count in training texts; what only other texts have has count 0."""
     pads = depth + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 24
-        sink = stream = None
-        size = 0
-        for b in batches:
-            for at in range(0, b.num_rows, DOCS):
-                part = b.slice(at, DOCS)
-                if stream is None:
-                    sink = pa.BufferOutputStream()
-                    stream = pa.ipc.new_stream(sink, _DOC, options=pa.ipc.IpcWriteOptions(compression="zstd"))
-                stream.write_batch(pa.RecordBatch.from_arrays(part.columns, schema=_DOC))
-                size += (pc.sum(pc.binary_length(part.column(2))).as_py() or 0) - pads * part.num_rows
-                if size >= chunk_bytes:
-                    stream.close()
-                    yield _chunk_row(number, sink)
-                    number, sink, stream, size = number + 1, None, None, 0
-        if stream is not None:
-            stream.close()
-            yield _chunk_row(number, sink)
+        asks = _Asks(number)
+        for part in _pieces(batches, min(PIECE_BYTES, chunk_bytes)):
+            yield _row_batch(number, 1, place=[len(asks.names)], docs=[_stored(part)])
+            yield from asks.add(part, depth)
+            if len(asks.names) % 4 == 0:
+                give_back()
+            if asks.size - pads * asks.rows >= chunk_bytes:
+                yield from asks.rest()
+                number += 1
+                asks = _Asks(number)
+        part = None
+        if asks.size:
+            yield from asks.rest()
+        asks = None
+        give_back()
 
     return run
 
 
-def _chunk_row(number: int, sink: pa.BufferOutputStream) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["chunk", "docs"])
+def _row_batch(chunk: int, rows: int, **cols) -> pa.RecordBatch:
+    """Rows of the written table; columns not given are null."""
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(rows, chunk)), *(pa.array(cols[f.name], f.type) if f.name in cols else pa.nulls(rows, f.type) for f in _ROWS)],
+        ["chunk", *(f.name for f in _ROWS)],
+    )
 
 
-def _read(docs: bytes) -> Iterator[pa.RecordBatch]:
-    yield from pa.ipc.open_stream(docs)
+_ROWS = pa.schema([("place", pa.int32()), ("docs", pa.binary()), ("gram", pa.int64()), ("word", pa.binary()), ("n", pa.int64())])
 
 
-def _read_many(docs: bytes) -> Iterator[pa.RecordBatch]:
-    """The documents again, WORDS_BYTES bytes of them at once."""
-    held, size = [], 0
-    for part in _read(docs):
-        if size >= WORDS_BYTES:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            held, size = [], 0
-        held.append(part)
-        size += part.column(2).nbytes
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+def _stored(part: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, _DOC, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_batch(part)
+    return sink.getvalue().to_pybytes()
 
 
-def _ask(depth: int):
-    """A chunk's distinct grams and words, each list sorted, with their counts
-    in training texts. Words that only other texts have count 0; the empty
-    word stands for the end of a text."""
+def _read(docs: pa.Buffer) -> pa.RecordBatch:
+    return pa.ipc.open_stream(docs).read_next_batch()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for chunk, column in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                docs, first = column.as_buffer(), 0
-                for span in _spans(docs, depth):
-                    keys, n = _chunk_grams(docs, depth, span)
-                    yield from _asked(chunk, first, n, keys=keys)
-                    first += len(keys)
-                    del keys, n
-                seen = _chunk_words(docs, depth)
-                names = sorted(seen)
-                yield from _asked(chunk, 0, np.array([seen[w] for w in names], np.int64), names=names)
-                del seen, names
-                give_back()
 
-    return run
+class _Asks:
+    """The grams and words of one chunk."""
 
+    def __init__(self, chunk: int):
+        self.chunk, self.rows, self.size, self.ends = chunk, 0, 0, 0
+        self.held, self.new = [(np.zeros(0, np.int64), np.zeros(0, np.int64))], 0
+        self.names: list[pa.Array] = []
+        self.counts: list[np.ndarray] = []
 
-def _chunk_words(docs: pa.Buffer, depth: int) -> Counter:
-    seen: Counter = Counter()
-    for part in _read_many(docs):
-        trains = ~part.column(1).to_numpy(zero_copy_only=False)
-        names, at, ends = _words(part.column(2), depth)
-        n = np.bincount(at[np.repeat(trains, np.diff(ends))], minlength=len(names))
-        for w, m in zip(names, n.tolist(), strict=True):
-            seen[w] += m
-        seen[b""] += int(trains.sum())
-    return seen
-
-
-def _chunk_grams(docs: pa.Buffer, depth: int, span: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct grams of a chunk within ``span`` and their counts in training texts."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    for part in _read(docs):
+    def add(self, part: pa.RecordBatch, depth: int) -> Iterator[pa.RecordBatch]:
         trains = ~part.column(1).to_numpy(zero_copy_only=False)
-        held.append(_distinct_grams(part.column(2), trains.astype(np.int64), depth, span))
-        if sum(len(k) for k, _ in held[1:]) > len(held[0][0]) // 2 + SLICE // PASSES:
-            held = [_merge(held)]
-    return _merge(held)
-
-
-def _distinct(held: list[np.ndarray]) -> np.ndarray:
-    keys = np.concatenate(held)
-    held.clear()
-    keys.sort(kind="stable")
-    return keys[_runs(keys)] if len(keys) else keys
+        names, at, ends = _coded_words(part.column(2), depth)
+        self.names.append(names)
+        self.counts.append(np.bincount(at[np.repeat(trains, np.diff(ends))], minlength=len(names)))
+        self.ends += int(trains.sum())
+        self.rows += part.num_rows
+        self.size += pc.sum(pc.binary_length(part.column(2))).as_py()
+        for keys, n in _distinct_grams(part.column(2), trains.astype(np.int64), depth):
+            self.held.append((keys, n))
+            self.new += len(keys)
+            if self.new > len(self.held[0][0]) // 2 + SLICE:
+                yield from self._merge(HELD)
+
+    def _merge(self, most: int) -> Iterator[pa.RecordBatch]:
+        """One list of all; it is asked for if it is longer than ``most``."""
+        self.held, self.new = [_merge(self.held)], 0
+        keys, n = self.held[0]
+        if len(keys) > most:
+            for at in range(0, len(keys), BATCH):
+                m = len(keys[at:at + BATCH])
+                yield _row_batch(self.chunk, m, gram=keys[at:at + BATCH], n=n[at:at + BATCH])
+            self.held = [(keys[:0].copy(), n[:0].copy())]
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        yield from self._merge(0)
+        self.held = []
+        give_back()
+        names, numbers = _numbered(self.names)
+        n = np.zeros(len(names), np.int64)
+        n[0] = self.ends
+        for at, m in zip(numbers, self.counts, strict=True):
+            n[at] += m
+        for at in range(0, len(n), BATCH):
+            m = len(n[at:at + BATCH])
+            yield _row_batch(self.chunk, m, place=np.arange(at, at + m, dtype=np.int32), word=names[at:at + m], n=n[at:at + m])
 
 
 def _merge(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys, n = (np.concatenate(c) for c in zip(*held, strict=True))
-    held.clear()  # what is merged need not be held beside it
-    if not len(keys):
-        return keys, n
-    order = np.argsort(keys, kind="stable")
-    keys, n = keys[order], n[order]
-    del order
-    head = _runs(keys)
-    return keys[head], np.add.reduceat(n, head)
-
-
-def _distinct_grams(texts: pa.Array, trains: np.ndarray, depth: int, span: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct grams of some texts with their counts in the training ones."""
-    out = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-    for k, doc in _slices(texts, depth, span):
-        if not len(k):
-            continue
-        packed = np.sort(k << 1 | trains[doc])
-        head = _runs(packed >> 1)
-        out.append((packed[head] >> 1, np.add.reduceat(packed & 1, head)))
-    return _merge(out)
-
-
-def _asked(chunk: int, first: int, n: np.ndarray, keys: np.ndarray | None = None, names: list[bytes] | None = None) -> Iterator[pa.RecordBatch]:
-    for at in range(0, len(n), BATCH):
-        m = len(n[at:at + BATCH])
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.full(m, chunk)),
-                pa.array(np.arange(first + at, first + at + m, dtype=np.int32)),
-                pa.nulls(m, pa.int64()) if keys is None else pa.array(keys[at:at + m]),
-                pa.nulls(m, pa.binary()) if names is None else pa.array(names[at:at + m], pa.binary()),
-                pa.array(n[at:at + m]),
-            ],
-            ["chunk", "ord", "gram", "word", "n"],
-        )
+    """One list of sorted lists, each without repeats."""
+    keys = np.concatenate([k for k, _ in held])
+    keys.sort()
+    keys = keys[_runs(keys)] if len(keys) else keys
+    n = np.zeros(len(keys), np.int64)
+    while held:
+        each, m = held.pop()
+        n[np.searchsorted(keys, each)] += m
+    return keys, n
+
+
+def _distinct_grams(texts: pa.Array, trains: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Sorted distinct grams of some texts with their counts in the training ones, a slice at a time."""
+    for keys, doc in _slices(texts, depth):
+        if len(keys):
+            keys <<= 1
+            keys |= trains[doc]
+            del doc
+            keys.sort()
+            head = _runs(keys >> 1)
+            yield keys[head] >> 1, np.add.reduceat(keys & 1, head)
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(chunk, is_word, ord, value) rows as one row per chunk and kind with the
-    places and values as bytes; what is held at once is bounded."""
+    """(chunk, is_word, item, value) rows as one row per chunk and kind with the
+    items and values as bytes; what is held at once is bounded."""
     held, rows = [], 0
     for b in batches:
         held.append([c.to_numpy(zero_copy_only=False) for c in b.columns])
@@ -477,97 +470,106 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _packed(held: list[list[np.ndarray]]) -> pa.RecordBatch:
-    chunk, is_word, place, value = (np.concatenate(c) for c in zip(*held, strict=True))
-    order = np.lexsort((place, is_word, chunk))
-    chunk, is_word, place, value = chunk[order], is_word[order], place[order].astype("<i4"), value[order].astype("<f8")
+    chunk, is_word, item, value = (np.concatenate(c) for c in zip(*held, strict=True))
+    order = np.lexsort((item, is_word, chunk))
+    chunk, is_word, item, value = chunk[order], is_word[order], item[order].astype("<i8"), value[order].astype("<f8")
     head = np.flatnonzero(np.concatenate([[True], (chunk[1:] != chunk[:-1]) | (is_word[1:] != is_word[:-1])]))
     cuts = list(zip(head, np.append(head[1:], len(chunk)), strict=True))
     return pa.RecordBatch.from_arrays(
         [
             pa.array(chunk[head]), pa.array(is_word[head]),
-            pa.array([place[a:b].tobytes() for a, b in cuts], pa.binary()), pa.array([value[a:b].tobytes() for a, b in cuts], pa.binary()),
+            # lowest bytes of all items first, and so on: sorted items differ little in the others
+            pa.array([item[a:b].view(np.uint8).reshape(-1, 8).T.tobytes() for a, b in cuts], pa.binary()),
+            pa.array([value[a:b].tobytes() for a, b in cuts], pa.binary()),
         ],
-        ["chunk", "is_word", "ords", "values"],
+        ["chunk", "is_word", "items", "values"],
     )
 
 
-def _by_place(t: pa.Table) -> np.ndarray:
-    if not t.num_rows:
-        return np.zeros(0)
-    ords, values = (np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in t.column(c)]) for c, kind in (("ords", "<i4"), ("values", "<f8")))
-    out = np.zeros(len(ords))
-    out[ords] = values
-    return out
+def _by_item(values: pa.Table, is_word: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted grams, or words' numbers, and their values."""
+    rows = np.flatnonzero(values.column("is_word").to_numpy() == is_word).tolist()
+    items = [np.frombuffer(values.column("items")[i].as_buffer(), np.uint8).reshape(8, -1) for i in rows]
+    item = np.concatenate([np.zeros((8, 0), np.uint8), *items], axis=1).T.copy().view("<i8").ravel()
+    order = np.argsort(item, kind="stable")
+    value = np.concatenate([np.zeros(0), *(np.frombuffer(values.column("values")[i].as_buffer(), "<f8") for i in rows)])
+    return item[order], value[order]
+
+
+def _text_scores(texts: pa.Array, depth: int, keys: np.ndarray, log_p: np.ndarray) -> np.ndarray:
+    """The sum of the values of each padded text's grams."""
+    score = np.zeros(len(texts))
+    for k, doc in _slices(texts, depth):
+        if len(k):
+            k <<= DOC_BITS
+            k |= doc
+            del doc
+            k.sort()
+            head = _runs(k >> DOC_BITS)
+            own = log_p[np.searchsorted(keys, k[head] >> DOC_BITS)]
+            each = np.repeat(own, np.diff(np.append(head, len(k))))
+            k &= DOCS - 1
+            score += np.bincount(k, each, len(score))
+    return score
 
 
 def _apply(depth: int, n_tokens: int, n_words: int):
     def run(chunk: pa.Table, values: pa.Table) -> pa.Table:
-        log_p, count = (_by_place(values.filter(pc.equal(values.column("is_word"), kind))) for kind in (False, True))
+        keys, log_p = _by_item(values, False)
+        _, count = _by_item(values, True)
         del values
-        docs = chunk.column("docs")[0].as_buffer()
-        scores = [np.zeros(part.num_rows) for part in _read(docs)]
-        first = 0
-        for span in _spans(docs, depth):
-            held = []
-            for part, score in zip(_read(docs), scores, strict=True):
-                for k, doc in _slices(part.column(2), depth, span):
-                    if len(k):
-                        packed = np.sort(k << DOC_BITS | doc)
-                        held.append((packed, _runs(packed >> DOC_BITS), score))
-            keys = _distinct([np.zeros(0, np.int64), *(packed[head] >> DOC_BITS for packed, head, _ in held)])
-            own = log_p[first:first + len(keys)]
-            first += len(keys)
-            for packed, head, score in held:
-                each = np.repeat(own[np.searchsorted(keys, packed[head] >> DOC_BITS)], np.diff(np.append(head, len(packed))))
-                score += np.bincount(packed & (DOCS - 1), each, len(score))
-            del keys, own, held
-            packed = head = each = None  # what a pass held goes before the next
-        del log_p
         give_back()
-        # words are numbered as they come, then by their place in the sorted list
-        number: defaultdict = defaultdict(itertools.count().__next__)
-        numbers = []  # by document
-        for part in _read_many(docs):
-            found, at, ends = _words(part.column(2), depth)
-            at = np.fromiter(map(number.__getitem__, found), np.int32, len(found))[at]
-            end = np.array([number[b""]], np.int32)
-            numbers += [np.concatenate([at[lo:hi], end]) for lo, hi in zip(ends.tolist(), ends[1:].tolist(), strict=False)]
-        names = sorted(number)
-        order = np.fromiter(map(number.__getitem__, names), np.int64, len(names))
-        del names, number
-        count[order] = count.copy()
+        order = np.argsort(chunk.column("place").to_numpy())
+        pieces = [chunk.column("docs")[i].as_buffer() for i in order.tolist()]
+        out, names, places = [], [], []
+        for docs in pieces:
+            part = _read(docs)
+            texts = part.column(2)
+            score = _text_scores(texts, depth, keys, log_p)
+            found, at, ends = _coded_words(texts, depth)
+            names.append(found)
+            places.append((at, ends))
+            n_bytes = pc.binary_length(texts).to_numpy().astype(np.int64) - depth - 1
+            out.append((_own(part.column(0)), _own(part.column(1)), score, n_bytes))
+            del part, texts, score, found, at, ends
+            if len(names) % 4 == 0:
+                give_back()
+        del chunk, pieces, docs, keys, log_p
+        give_back()
         base = np.log10((count + 0.1) / (n_tokens + 0.1 * (n_words + 1)))
-        known = count > 0
-        out, row = [], 0
-        for part, score in zip(_read(docs), scores, strict=True):
-            m = part.num_rows
-            found, row = numbers[row:row + m], row + m
-            tokens = np.array([len(at) for at in found], np.int64)
-            base_score = np.array([base[at].sum() for at in found])
-            n_known = np.array([known[at].sum() for at in found], np.int64)
-            n_bytes = pc.binary_length(part.column(2)).to_numpy().astype(np.int64) - depth - 1
-            out.append(
+        tables = []
+        _, numbers = _numbered(names)
+        for (doc_id, is_held, score, n_bytes), (at, ends), number in zip(out, places, numbers, strict=True):
+            words = np.diff(ends)
+            doc, at = np.repeat(np.arange(len(words)), words), number[at]
+            tables.append(
                 pa.table(
                     {
-                        "doc_id": part.column(0),
-                        "held_out": part.column(1),
-                        "n_tokens": tokens,
-                        "n_known": n_known,
-                        "train_tokens": np.full(m, n_tokens, np.int64),
-                        "base_score": base_score,
+                        "doc_id": doc_id,
+                        "held_out": is_held,
+                        "n_tokens": words + 1,
+                        # word 0 is the end, the last token of each text
+                        "n_known": np.bincount(doc, count[at] > 0, len(words)).astype(np.int64) + int(count[0] > 0),
+                        "train_tokens": np.full(len(words), n_tokens, np.int64),
+                        "base_score": np.bincount(doc, base[at], len(words)) + base[0],
                         "score": score,
                         "n_bytes": n_bytes,
                         "bits_per_byte": -score * np.log2(10) / (n_bytes + 1),
                     }
                 )
             )
-        del numbers, scores
+        del out, places, numbers, number, at, doc
         give_back()
-        return pa.concat_tables(out)
+        return pa.concat_tables(tables)
 
     return run
 
 
+def _own(column: pa.Array) -> pa.Array:
+    """A copy, which does not hold the batch it comes from."""
+    return column.take(pa.array(np.arange(len(column))))
+
+
 SCORES = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, n_bytes bigint, bits_per_byte double"
 
 
@@ -586,11 +588,11 @@ def score_documents(docs: DataFrame, modulus: int = 10, held_out: int = 0, depth
     by row; an empty table gives no rows; other columns are ignored.
 
     Each task puts its documents into chunks of about ``chunk_bytes``, which
-    are written. A chunk asks for each distinct gram and word once and gets
-    back their values by place in its sorted list; so a frequent gram or
-    word is a row per chunk, and no table of all grams has to fit anywhere.
-    A worker goes over its chunk in ``PASSES`` passes and holds one pass's
-    grams at a time.
+    are written in pieces of ``PIECE_BYTES``. A chunk asks for each distinct
+    gram and word once and gets them back with their values; so a frequent
+    gram or word is a row per chunk, and no table of all grams has to fit
+    anywhere. A worker holds a piece's grams and a chunk's distinct ones; of
+    these it asks for ``HELD`` at a time, and then for some again.
     """
     if not 2 <= depth <= 5:
         raise ValueError("depth must be from 2 to 5: a gram and a document's number share 63 bits")
@@ -599,15 +601,16 @@ def score_documents(docs: DataFrame, modulus: int = 10, held_out: int = 0, depth
     is_held = F.coalesce(id_remainder("doc_id", modulus) == held_out, F.lit(False))
     n_tasks = max(1, -(-size // chunk_bytes))
     whole = d.select("doc_id", is_held.alias("held_out"), padded(text_bytes("text"), depth).alias("text")).coalesce(n_tasks)
-    chunks = write_table(whole.mapInArrow(_bundle(chunk_bytes, depth), "chunk bigint, docs binary"), "lm-chunks")
-    asked = write_table(chunks.mapInArrow(_ask(depth), "chunk bigint, ord int, gram bigint, word binary, n bigint"), "lm-asked")
-    asked_grams = asked.where("gram is not null").select("chunk", "ord", "gram", "n")
+    with handing_over(docs.sparkSession, BATCH_BYTES):
+        asked = write_table(whole.mapInArrow(_bundle(chunk_bytes, depth), "chunk bigint, place int, docs binary, gram bigint, word binary, n bigint"), "lm-asked")
+    chunks = asked.where("docs is not null").select("chunk", "place", "docs")
+    asked_grams = asked.where("gram is not null").select("chunk", "gram", "n")
     counts = write_table(asked_grams.groupBy("gram").agg(F.sum("n").alias("n")), "lm-grams")
     release_shuffles(docs.sparkSession)
     by_word = Window.partitionBy("word")
     word_counts = write_table(
         asked.where("word is not null").select(
-            "chunk", "ord", F.sum("n").over(by_word).cast("double").alias("value"),
+            "chunk", "place", F.sum("n").over(by_word).cast("double").alias("value"),
             (F.min("chunk").over(by_word) == F.col("chunk")).alias("first"),
         ),
         "lm-words",
@@ -617,9 +620,9 @@ def score_documents(docs: DataFrame, modulus: int = 10, held_out: int = 0, depth
     total = word_counts.where("first").agg(F.sum("value").alias("n"), F.count_if(F.col("value") > 0).alias("v")).first()
     values = (
         asked_grams.join(gram_scores(counts, depth), "gram")
-        .select("chunk", F.lit(False).alias("is_word"), "ord", "value")
-        .union(word_counts.select("chunk", F.lit(True).alias("is_word"), "ord", "value"))
-        .mapInArrow(_pack, "chunk bigint, is_word boolean, ords binary, values binary")
+        .select("chunk", F.lit(False).alias("is_word"), F.col("gram").alias("item"), "value")
+        .union(word_counts.select("chunk", F.lit(True).alias("is_word"), F.col("place").cast("long").alias("item"), "value"))
+        .mapInArrow(_pack, "chunk bigint, is_word boolean, items binary, values binary")
     )
     return (
         chunks.groupBy("chunk")

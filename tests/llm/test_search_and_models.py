@@ -255,3 +255,50 @@ def test_chunks_are_cut_into_the_grams_and_words_of_each_text(monkeypatch):
             assert got == sorted((i, k) for i, t in enumerate(texts) for k in ctw.grams(t, depth).tolist() if span[0] <= k < span[1])
         names, at, ends = ctw._words(padded, depth)
         assert [[names[k] for k in at[lo:hi]] for lo, hi in zip(ends, ends[1:], strict=False)] == [t.lower().split() for t in texts]
+
+
+def test_a_chunk_is_held_by_pieces(monkeypatch):
+    """Short lists and pieces change what is held at once, not what comes out."""
+    from geonest.llm import ctw
+
+    rng = np.random.default_rng(4)
+    depth, chunk_bytes = 5, 3000
+    texts = [b"", b"x" * 2500, *(" ".join(rng.choice(["The", "the", "cat", "ñu", "a\n", "Zz"], rng.integers(0, 40))).encode() for _ in range(150)), b"new words"]
+    held_out = [i % 7 == 0 for i in range(len(texts))]
+    padded = [bytes([ctw.PAD]) * depth + t + bytes([ctw.PAD]) for t in texts]
+    docs = [ctw.pa.RecordBatch.from_arrays([ctw.pa.array(range(a, a + len(padded[a:a + 60]))), ctw.pa.array(held_out[a:a + 60]), ctw.pa.array(padded[a:a + 60], ctw.pa.binary())], schema=ctw._DOC) for a in range(0, len(texts), 60)]
+    task = type("Task", (), {"get": lambda: type("Task", (), {"partitionId": lambda self: 3})()})
+    for name, value in (("PIECE_BYTES", 500), ("HELD", 40), ("SLICE", 64), ("BATCH", 50), ("TaskContext", task)):
+        monkeypatch.setattr(ctw, name, value)
+    rows = ctw.pa.Table.from_batches(ctw._bundle(chunk_bytes, depth)(iter(docs))).to_pylist()
+    pieces = [r for r in rows if r["docs"] is not None]
+    sizes = [[len(t) for t in ctw._read(ctw.pa.py_buffer(r["docs"])).column(2).to_pylist()] for r in pieces]
+    assert sum(map(len, sizes)) == len(texts) and all(sum(s[:-1]) < 500 for s in sizes)
+    assert len({r["chunk"] for r in rows}) > 1
+    asked = [(r["chunk"], r["gram"]) for r in rows if r["gram"] is not None]
+    assert len(set(asked)) < len(asked)  # a full list was asked for and begun anew
+    grams, words = Counter(), Counter()
+    for r in rows:
+        if r["gram"] is not None:
+            grams[r["gram"]] += r["n"]
+        elif r["docs"] is None:
+            words[r["word"]] += r["n"]
+    train = [t for t, h in zip(texts, held_out, strict=True) if not h]
+    assert +grams == Counter(k for t in train for k in ctw.grams(t, depth).tolist())
+    assert +words == Counter(w for t in train for w in [*t.lower().split(), b""])
+    n, v = sum(words.values()), len(+words)
+    value = lambda k: -1 - k % 1009 / 1009
+    got = {}
+    for chunk in {r["chunk"] for r in rows}:
+        own = [r for r in rows if r["chunk"] == chunk]
+        items = [(False, r["gram"], value(r["gram"])) if r["gram"] is not None else (True, r["place"], float(words[r["word"]])) for r in own if r["docs"] is None]
+        parts = [[np.full(len(x), chunk), *(np.array(c) for c in zip(*x, strict=True))] for x in (items[1::2], items[0::2])]
+        packed = ctw.pa.Table.from_batches([ctw._packed([p]) for p in parts])
+        stored = [r for r in own if r["docs"] is not None][::-1]
+        table = ctw.pa.table({"chunk": [chunk] * len(stored), "place": [r["place"] for r in stored], "docs": ctw.pa.array([r["docs"] for r in stored], ctw.pa.binary())})
+        got |= {r["doc_id"]: r for r in ctw._apply(depth, n, v)(table, packed).to_pylist()}
+    for i, t in enumerate(texts):
+        tokens = [*t.lower().split(), b""]
+        r = got[i]
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["n_bytes"]) == (held_out[i], len(tokens), sum(words[w] > 0 for w in tokens), len(t))
+        assert np.allclose([r["score"], r["base_score"]], [sum(value(k) for k in ctw.grams(t, depth).tolist()), sum(log10((words[w] + 0.1) / (n + 0.1 * (v + 1))) for w in tokens)])
