@@ -43,7 +43,7 @@ SLICE = 1 << 20
 HELD = 1 << 22
 #: Bytes of texts that Spark hands to a worker at once.
 BATCH_BYTES = 4 << 20
-#: Grams whose trees are worked out at once, at least.
+#: Grams whose trees are worked out at once, at least; twice as many at most, but for a three-byte context.
 BATCH = 1 << 18
 PAD = 0xFF
 HALF = np.log(0.5)
@@ -161,31 +161,71 @@ def _ladder(keys: np.ndarray, n: np.ndarray, steps: int) -> tuple[list[Level], l
     return levels, ups
 
 
-def _sorted_batches(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Sorted (keys, counts), never cut within one two-byte context."""
-    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+def _sorted_batches(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[list[tuple[np.ndarray, np.ndarray]]]:
+    """Sorted (keys, counts) of whole two-byte contexts, in one part; if they
+    are many, in parts of whole three-byte contexts."""
+    held, rows, most = [], 0, BATCH
     for b in batches:
-        keys, counts = np.concatenate([keys, b.column(0).to_numpy()]), np.concatenate([counts, b.column(1).to_numpy()])
-        if len(keys) >= BATCH:
+        held.append((b.column(0).to_numpy(), b.column(1).to_numpy()))
+        rows += b.num_rows
+        if rows >= most:
+            keys, counts = (np.concatenate(c) for c in zip(*held, strict=True))
             part = keys >> (8 * (depth - 1))
             cut = int(np.searchsorted(part, part[-1]))
+            del part
             if cut:
-                yield keys[:cut], counts[:cut]
-                keys, counts = keys[cut:], counts[cut:]
-    if len(keys):
-        yield keys, counts
+                yield _parts(keys[:cut], counts[:cut], depth)
+            held, rows = [(keys[cut:].copy(), counts[cut:].copy())], len(keys) - cut
+            most = max(BATCH, 2 * rows)  # a long context is not put together again for every batch
+    if rows:
+        yield _parts(*(np.concatenate(c) for c in zip(*held, strict=True)), depth)
+
+
+def _parts(keys: np.ndarray, counts: np.ndarray, depth: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    if len(keys) < 2 * BATCH or depth < 3:
+        return [(keys, counts)]
+    heads = np.append(_runs(keys >> (8 * (depth - 2))), len(keys))
+    cuts = np.unique(heads[np.searchsorted(heads, np.append(np.arange(0, len(keys), BATCH), len(keys)))])
+    return [(keys[lo:hi], counts[lo:hi]) for lo, hi in zip(cuts, cuts[1:], strict=False)]
+
+
+def _joined(parts: list[tuple[np.ndarray, np.ndarray]], depth: int) -> tuple[Level, list[Nodes]]:
+    """The level of two-byte contexts over several parts, and its nodes by bit;
+    one part's deeper levels are held at a time."""
+    found, nodes_of, sums_of = [], [[] for _ in range(8)], [[] for _ in range(8)]
+    for keys, n in parts:
+        levels, ups = _ladder(keys, n, depth - 3)
+        two, up = levels[-1].shorter()
+        found.append(two)
+        for k in range(8):
+            below, here = _climb(levels, ups, k)[-1], two.nodes(k)
+            nodes_of[k].append(two.ids[here.head] >> (8 - k))
+            sums_of[k].append(np.bincount(here.of[up[below.head]], below.pw, len(here.head)))
+    ids, at = np.unique(np.concatenate([x.ids for x in found]), return_inverse=True)
+    two = Level(ids, np.bincount(at, np.concatenate([x.n for x in found]), len(ids)))
+    out = [two.nodes(k) for k in range(8)]
+    for k, nodes in enumerate(out):
+        at = np.searchsorted(two.ids[nodes.head] >> (8 - k), np.concatenate(nodes_of[k]))
+        nodes.weigh(np.bincount(at, np.concatenate(sums_of[k]), len(nodes.head)))
+    return two, out
 
 
 def _summaries(depth: int):
     """Counts by (previous byte, byte) and, for each node there, its children's log Pw."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, n in _sorted_batches(batches, depth):
-            levels, ups = _ladder(keys, n, depth - 2)
-            one, up = levels[-1].shorter()
+        for parts in _sorted_batches(batches, depth):
+            if len(parts) > 1:
+                two, nodes = _joined(parts, depth)
+                below_of = nodes.__getitem__
+            else:
+                levels, ups = _ladder(*parts[0], depth - 2)
+                two = levels[-1]
+                below_of = lambda k: _climb(levels, ups, k)[-1]  # noqa: B023, E731
+            one, up = two.shorter()
             out_key, out_bit, out_value = [one.ids], [np.full(len(one.ids), -1)], [one.n]
             for k in range(8):
-                below, here = _climb(levels, ups, k)[-1], one.nodes(k)
+                below, here = below_of(k), one.nodes(k)
                 sums = np.bincount(here.of[up[below.head]], below.pw, len(here.head))
                 out_key.append(one.ids[here.head] >> (8 - k) << (8 - k))
                 out_bit.append(np.full(len(sums), k))
@@ -214,15 +254,26 @@ def _top(rows: list[tuple[int, int, float]]) -> tuple[np.ndarray, list[Mix]]:
 
 def _gram_scores(depth: int, ids: np.ndarray, top: list[Mix]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, n in _sorted_batches(batches, depth):
-            levels, ups = _ladder(keys, n, depth - 2)
-            two = levels[-1].ids
-            at = np.searchsorted(ids, (two >> 16 << 8) | (two & 255))
-            score = np.zeros(len(keys))
-            for k in range(8):
-                score += np.log10(_descend(_climb(levels, ups, k), ups, top[k].take(at)).p)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(score)], ["gram", "value"])
-        keys = n = levels = ups = two = at = score = None
+        for parts in _sorted_batches(batches, depth):
+            many = len(parts) > 1
+            if many:
+                two, nodes = _joined(parts, depth)
+            else:
+                levels, ups = _ladder(*parts[0], depth - 2)
+                two = levels[-1]
+            at = np.searchsorted(ids, (two.ids >> 16 << 8) | (two.ids & 255))
+            begun = [top[k].take(at).step(nodes[k]) if many else top[k].take(at) for k in range(8)]
+            for keys, n in parts:
+                if many:
+                    levels, ups = _ladder(keys, n, depth - 3)
+                    part, up = levels[-1].shorter()
+                    place = np.searchsorted(two.ids, part.ids)[up]
+                score = np.zeros(len(keys))
+                for k in range(8):
+                    mix = begun[k].take(place) if many else begun[k]
+                    score += np.log10(_descend(_climb(levels, ups, k), ups, mix).p)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(score)], ["gram", "value"])
+        parts = keys = n = levels = ups = two = nodes = at = begun = part = up = place = mix = score = None
         give_back()
 
     return run

@@ -302,3 +302,31 @@ def test_a_chunk_is_held_by_pieces(monkeypatch):
         r = got[i]
         assert (r["held_out"], r["n_tokens"], r["n_known"], r["n_bytes"]) == (held_out[i], len(tokens), sum(words[w] > 0 for w in tokens), len(t))
         assert np.allclose([r["score"], r["base_score"]], [sum(value(k) for k in ctw.grams(t, depth).tolist()), sum(log10((words[w] + 0.1) / (n + 0.1 * (v + 1))) for w in tokens)])
+
+
+def test_long_contexts_are_worked_out_in_parts(monkeypatch):
+    from geonest.llm import ctw
+
+    rng = np.random.default_rng(6)
+    text = "".join(rng.choice(["e a", "e b", "e", " ", "ab", "ñ"], 4000)).encode()
+    for depth in (2, 3, 5):
+        keys, n = np.unique(ctw.grams(text, depth), return_counts=True)
+        n[::5] = 0  # asked for by texts that do not teach
+        batches = lambda: iter([ctw.pa.RecordBatch.from_arrays([ctw.pa.array(keys[a:a + 9]), ctw.pa.array(n[a:a + 9])], ["gram", "n"]) for a in range(0, len(keys), 9)])  # noqa: B023, E731
+
+        def scores():
+            rows = [r for b in ctw._summaries(depth)(batches()) for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]  # noqa: B023
+            summed = Counter()
+            for key, bit, value in rows:
+                summed[key, bit] += value
+            out = list(ctw._gram_scores(depth, *ctw._top([(*k, v) for k, v in summed.items()]))(batches()))  # noqa: B023
+            return np.concatenate([b.column(0).to_numpy() for b in out]), np.concatenate([b.column(1).to_numpy() for b in out]), max(b.num_rows for b in out)
+
+        want_keys, want, longest = scores()
+        assert longest == len(keys) and want_keys.tolist() == keys.tolist()
+        with monkeypatch.context() as m:
+            m.setattr(ctw, "BATCH", 20)
+            got_keys, got, longest = scores()
+        assert got_keys.tolist() == keys.tolist() and np.allclose(got, want, rtol=1e-11)
+        context = np.unique(keys >> 8 * max(depth - 2, 1), return_counts=True)[1].max()
+        assert longest <= 40 + context
