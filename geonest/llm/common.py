@@ -41,12 +41,13 @@ def id_remainder(doc_id: Column | str, modulus: int) -> Column:
     return F.crc32(c.cast("string").cast("binary")) % modulus
 
 
-def write_table(df: DataFrame, name: str) -> DataFrame:
+def write_table(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
     """``df`` written to a fresh folder under ``spark.checkpoint.dir`` and
-    read back: cuts the lineage with files every executor can reach."""
+    read back: cuts the lineage with files every executor can reach.
+    ``options`` are the Parquet writer's."""
     spark = df.sparkSession
     path = f"{new_scratch_dir(spark, name)}/t.parquet"
-    df.write.parquet(path)
+    df.write.options(**options or {}).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -32,7 +32,7 @@ from geonest.llm.common import binary_list, give_back, handing_over, id_remainde
 
 DEPTH = 5
 #: Text bytes of one chunk, the unit that gets its probabilities back.
-CHUNK_BYTES = 48 << 20
+CHUNK_BYTES = 40 << 20
 #: Text bytes of one piece of a chunk, and its documents at most.
 PIECE_BYTES = 2 << 20
 DOC_BITS = 14
@@ -41,6 +41,9 @@ DOCS = 1 << DOC_BITS
 SLICE = 1 << 20
 #: Distinct grams of a chunk that a worker holds before it asks for them.
 HELD = 1 << 22
+#: How pieces are written: a page is cut by its size from the first row on. Snappy would keep buffers
+#: of the longest page outside the heap in every executor.
+PAGES = {"compression": "zstd", "parquet.page.size.row.check.min": "1"}
 #: Bytes of texts that Spark hands to a worker at once.
 BATCH_BYTES = 4 << 20
 #: Grams whose trees are worked out at once, at least; twice as many at most, but for a three-byte context.
@@ -653,7 +656,7 @@ def score_documents(docs: DataFrame, modulus: int = 10, held_out: int = 0, depth
     n_tasks = max(1, -(-size // chunk_bytes))
     whole = d.select("doc_id", is_held.alias("held_out"), padded(text_bytes("text"), depth).alias("text")).coalesce(n_tasks)
     with handing_over(docs.sparkSession, BATCH_BYTES):
-        asked = write_table(whole.mapInArrow(_bundle(chunk_bytes, depth), "chunk bigint, place int, docs binary, gram bigint, word binary, n bigint"), "lm-asked")
+        asked = write_table(whole.mapInArrow(_bundle(chunk_bytes, depth), "chunk bigint, place int, docs binary, gram bigint, word binary, n bigint"), "lm-asked", PAGES)
     chunks = asked.where("docs is not null").select("chunk", "place", "docs")
     asked_grams = asked.where("gram is not null").select("chunk", "gram", "n")
     counts = write_table(asked_grams.groupBy("gram").agg(F.sum("n").alias("n")), "lm-grams")
@@ -675,8 +678,10 @@ def score_documents(docs: DataFrame, modulus: int = 10, held_out: int = 0, depth
         .union(word_counts.select("chunk", F.lit(True).alias("is_word"), F.col("place").cast("long").alias("item"), "value"))
         .mapInArrow(_pack, "chunk bigint, is_word boolean, items binary, values binary")
     )
-    return (
+    scored = (
         chunks.groupBy("chunk")
         .cogroup(values.groupBy("chunk"))
         .applyInArrow(_apply(depth, int(total["n"] or 0), int(total["v"] or 0)), SCORES)
     )
+    with handing_over(docs.sparkSession, BATCH_BYTES):
+        return write_table(scored, "lm-scores")
