@@ -118,13 +118,17 @@ def tidy(factory: Callable) -> Callable:
 
 #: Rows of an Arrow batch where rows are whole texts (Spark's own number is 10,000).
 BATCH_ROWS = 2048
+#: And its bytes, about: an executor's JVM keeps buffers of that size outside its heap.
+BATCH_BYTES = 2 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
-    """From now on the session hands Python workers ``BATCH_ROWS`` rows at once, unless the submitter chose a number."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if key not in {k for k, _ in spark.sparkContext.getConf().getAll()}:
-        spark.conf.set(key, str(BATCH_ROWS))
+    """From now on the session hands Python workers ``BATCH_ROWS`` rows or
+    about ``BATCH_BYTES`` at once, unless the submitter chose a number."""
+    chosen = {k for k, _ in spark.sparkContext.getConf().getAll()}
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        if f"spark.sql.execution.arrow.{key}" not in chosen:
+            spark.conf.set(f"spark.sql.execution.arrow.{key}", str(most))
 
 
 @contextlib.contextmanager

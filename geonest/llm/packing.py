@@ -34,6 +34,10 @@ SEPARATOR = 0
 WORD_CACHE = 400_000
 #: Text bytes, at least, whose distinct words are looked up at once; a longer text is looked up alone.
 TEXT_BYTES = 4 << 20
+#: Words that the tokenizer library gets at once: it holds some hundreds of bytes for each of their tokens.
+CALL_WORDS = 8192
+#: How pieces are written: Snappy keeps buffers of a page's size outside the heap of every executor.
+PAGES = {"compression": "zstd"}
 #: Rows that one salted rank group holds on average.
 RANK_ROWS = 500_000
 
@@ -74,27 +78,30 @@ class WordEncoder:
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
 
     def _encode(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Words of letters only are encoded as one text: each is one unit of
-        the vocabulary, whose last id, alone, ends a word. Others go one by one."""
+        """Words of letters only are encoded as one text, ``CALL_WORDS`` at a
+        time: each is one unit of the vocabulary, whose last id, alone, ends a
+        word. Others go one by one."""
         out: dict[bytes, bytes] = {}
         plain, other = [], []
         for w in words:
             text = w.decode("utf-8", "replace")
             (plain if _plain(text) else other).append((w, text))
-        if plain:
-            joined = " ".join([t for _, t in plain]).lower()
+        for at in range(0, len(plain), CALL_WORDS):
+            part = plain[at:at + CALL_WORDS]
+            joined = " ".join([t for _, t in part]).lower()
             ids = np.array(self.letters.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
             cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-            if len(cuts) == len(plain):
+            if len(cuts) == len(part):
                 lo, data = 0, ids.tobytes()
-                for (w, _), hi in zip(plain, cuts, strict=True):
+                for (w, _), hi in zip(part, cuts, strict=True):
                     out[w] = data[4 * lo:4 * hi]
                     lo = hi
             else:
-                other += plain
-        if other:
-            got = self.tok.encode_batch_fast([t for _, t in other], add_special_tokens=False)
-            for (w, _), e in zip(other, got, strict=True):
+                other += part
+        for at in range(0, len(other), CALL_WORDS):
+            part = other[at:at + CALL_WORDS]
+            got = self.tok.encode_batch_fast([t for _, t in part], add_special_tokens=False)
+            for (w, _), e in zip(part, got, strict=True):
                 out[w] = np.array(e.ids, "<u4").tobytes()
         return out
 
@@ -313,4 +320,4 @@ def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, s
     by id, piece and content; an empty table gives no rows; other columns
     are ignored.
     """
-    return pack_pieces(write_table(token_pieces(docs, vocabulary, capacity, separator, with_ids), "pieces"), capacity)
+    return pack_pieces(write_table(token_pieces(docs, vocabulary, capacity, separator, with_ids), "pieces", PAGES), capacity)

@@ -190,3 +190,23 @@ def test_words_are_kept_within_bounds(monkeypatch):
     got = [np.frombuffer(g, "<u4").tolist() for g in encoder.texts([t.encode() for t in texts])]
     assert got == [tok.encode(t, add_special_tokens=False).ids for t in texts]
     assert len(encoder.cache) <= 10 and len(encoder.older) <= 10
+
+
+def test_the_tokenizer_library_gets_few_words_at_once(monkeypatch):
+    monkeypatch.setattr("geonest.llm.packing.CALL_WORDS", 5)
+    texts = [" ".join([f"{w}{c}" for w in ["one", "É", "straße", "x1", "мир", "don't", "七", ""] for c in "abcdefgh"])]
+    encoder, most = WordEncoder(VOCABULARY), []
+
+    class Counted:
+        def __init__(self, tok):
+            self.tok = tok
+
+        def encode_batch_fast(self, words, **kwargs):
+            most.append(sum(len(w.split()) for w in words))
+            return self.tok.encode_batch_fast(words, **kwargs)
+
+    encoder.tok, encoder.letters = Counted(encoder.tok), Counted(encoder.letters)
+    got = [np.frombuffer(g, "<u4").tolist() for g in encoder.texts([t.encode() for t in texts])]
+    tok = Tokenizer.from_file(VOCABULARY)
+    assert got == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sum(most) == 64 and max(most) == 5

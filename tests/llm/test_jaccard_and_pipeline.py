@@ -254,3 +254,26 @@ def test_stages_hand_texts_over_in_small_batches(spark):
         assert int(spark.conf.get(key)) == 2048
     finally:
         spark.conf.set(key, before)
+
+
+def test_a_batch_of_a_stage_is_bounded_in_bytes(spark):
+    import pyarrow as pa
+
+    from geonest.llm.common import BATCH_BYTES, BATCH_ROWS, small_batches
+
+    keys = [f"spark.sql.execution.arrow.{k}" for k in ("maxRecordsPerBatch", "maxBytesPerBatch")]
+    before = [spark.conf.get(k) for k in keys]
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "bytes"])
+
+    try:
+        small_batches(spark)
+        long = spark.range(0, 1000, 1, 1).selectExpr("id", "repeat('x', 20000) as text")
+        got = long.mapInArrow(sizes, "n long, bytes long").collect()
+    finally:
+        for k, v in zip(keys, before, strict=True):
+            spark.conf.set(k, v)
+    assert sum(r.n for r in got) == 1000
+    assert max(r.n for r in got) <= BATCH_ROWS and max(r.bytes for r in got) < BATCH_BYTES + 100_000
