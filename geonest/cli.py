@@ -83,7 +83,7 @@ def run(args: argparse.Namespace, spark: SparkSession):
     """Run one parsed command; returns its result DataFrame (checks or
     rejects) when it has one."""
     from geonest.plans.location import convert_json_to_parquet, run_elt, run_location_pipeline
-    from geonest.plans.news import load_news
+    from geonest.plans.news import load_news, packed_files
     from geonest.streaming.news_stream import start_news_stream
 
     if args.command == "convert":
@@ -106,12 +106,13 @@ def run(args: argparse.Namespace, spark: SparkSession):
     if args.command == "news-load":
         return load_news(spark, args.landing, args.table, landing=args.landing_kind, article=article)
     if args.command == "news-stream":
-        q = start_news_stream(
-            spark, args.landing, args.table, args.checkpoint, available_now=args.once,
-            processing_time=args.interval, max_files_per_trigger=args.max_files_per_trigger,
-            landing=args.landing_kind, article=article,
-        )
-        q.awaitTermination()
+        with packed_files(spark, args.landing_kind):
+            q = start_news_stream(
+                spark, args.landing, args.table, args.checkpoint, available_now=args.once,
+                processing_time=args.interval, max_files_per_trigger=args.max_files_per_trigger,
+                landing=args.landing_kind, article=article,
+            )
+            q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
         return None

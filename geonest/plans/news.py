@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +25,13 @@ NEWS_PARTITIONS = ["date", "country", "topic"]
 FILES_CONF = {"spark.sql.files.openCostInBytes": str(256 << 10)}
 
 
+def packed_files(spark: SparkSession, landing: str):
+    """The session's settings while a landing of this kind is read. A stream
+    plans its reads by the session that it was started in, so this must hold
+    there while it runs; set in a micro-batch it comes too late."""
+    return session_conf(spark, FILES_CONF if landing == "files" else {})
+
+
 def news_articles(responses: DataFrame, article: T.StructType = S.ARTICLE) -> tuple[DataFrame, DataFrame]:
     """Articles of ok responses, stamped with the request time, with a
     ``yyyy-MM-dd`` ``date`` key (a ``yyyy/MM/dd`` value would be escaped in
@@ -44,6 +53,21 @@ def file_envelopes(files: DataFrame, run_ts=None) -> DataFrame:
     )
 
 
+@contextmanager
+def read_once(files: DataFrame, landing: str = "files"):
+    """One-body-per-file responses, kept on the executors' disks by the first
+    job that reads them: opening a file costs more than its text, and a load's
+    articles and rejects are two jobs. A log's lines are read twice."""
+    if landing != "files":
+        yield files
+        return
+    held = files.persist(StorageLevel.DISK_ONLY)
+    try:
+        yield held
+    finally:
+        held.unpersist()
+
+
 def write_load(
     responses: DataFrame, table_path: str, load: str, article: T.StructType = S.ARTICLE, new_only: bool = False
 ) -> bool:
@@ -117,7 +141,7 @@ def load_news(
     else:
         raise ValueError(f"landing must be 'log' or 'files', not {landing!r}")
     load = f"batch-{uuid.uuid4().hex}"
-    with session_conf(spark, FILES_CONF if landing == "files" else {}):
+    with packed_files(spark, landing):
         write_load(responses, table_path, load, article, new_only)
     return read_news_rejects(spark, table_path, [load])
 

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from geonest import schemas as S
-from geonest.plans.news import FILES_CONF, file_envelopes, write_load
+from geonest.plans.news import file_envelopes, packed_files, read_once, write_load
 from geonest.session import session_conf
 from geonest.sources.news import stream_response_files, stream_response_log
 
@@ -41,7 +41,9 @@ def start_news_stream(
 
     ``landing="log"``: JSON-lines envelopes; ``landing="files"``: one body
     per ``<country>/<topic>/`` file, stamped with ``run_ts`` or, without
-    it, the time of the micro-batch that loads the file.
+    it, the time of the micro-batch that loads the file. Small files are
+    packed to tasks as ``plans.news.packed_files`` says while it holds in
+    ``spark``.
 
     A micro-batch is written like a batch load: clustered by the folder
     keys through a rebalance, so each task writes few folders, and a folder
@@ -59,8 +61,8 @@ def start_news_stream(
         query = json.loads(spark.read.text(f"{checkpoint_path}/metadata").first()[0])["id"]
         # a stream's session has adaptive execution off; these writes are batch
         # jobs of their own and need it to split a hot folder
-        with session_conf(spark, {"spark.sql.adaptive.enabled": "true", **(FILES_CONF if landing == "files" else {})}):
-            write_load(batch, table_path, f"stream-{query}-{batch_id}", article, new_only)
+        with session_conf(spark, {"spark.sql.adaptive.enabled": "true"}), read_once(batch, landing) as held:
+            write_load(held, table_path, f"stream-{query}-{batch_id}", article, new_only)
 
     w = responses.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_path).outputMode("append")
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 minute")
@@ -72,9 +74,10 @@ def run_news_stream_once(
     article: T.StructType = S.ARTICLE, new_only: bool = False,
 ) -> None:
     """Process every file landed so far, then stop."""
-    q = start_news_stream(
-        spark, landing_dir, table_path, checkpoint_path, available_now=True, landing=landing, run_ts=run_ts, article=article, new_only=new_only
-    )
-    q.awaitTermination()
+    with packed_files(spark, landing):
+        q = start_news_stream(
+            spark, landing_dir, table_path, checkpoint_path, available_now=True, landing=landing, run_ts=run_ts, article=article, new_only=new_only
+        )
+        q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

@@ -226,3 +226,39 @@ def test_files_are_landed_by_many_tasks_and_read_by_few(spark, tmp_dir):
     assert sorted(r[0].rstrip() for r in landed.select("body").collect()) == sorted(r[0] for r in df.select("body").collect())
     with session_conf(spark, {**FILES_CONF, "spark.sql.files.maxPartitionBytes": "64m"}):
         assert read_response_files(spark, f"{tmp_dir}/landing").rdd.getNumPartitions() < 300 // 16
+
+
+ODD_KEYS = ["a b", "50%", "x+y", "k=v", "a:b", "é", "q\"'*#", "\x01\x1f\x7f", "{[]^}", "\\?", "<|>", "", None]
+
+
+def test_landed_files_lie_where_sparks_writer_puts_them(spark, tmp_dir):
+    import glob
+    import os
+
+    from geonest.fixtures import land_response_files
+
+    rows = [(k, "news", b) for k in ODD_KEYS for b in ("{}", "{}", "", None, "two\nlines é")]
+    df = spark.createDataFrame(rows, "country string, topic string, body string")
+    (df.write.option("maxRecordsPerFile", 1).partitionBy("country", "topic").text(f"{tmp_dir}/spark"))
+    land_response_files(df, f"{tmp_dir}/own")
+    land_response_files(df, f"{tmp_dir}/own")  # replaces what lies there
+
+    def landed(at):
+        root = f"{tmp_dir}/{at}".replace("file:", "")
+        files = [f for f in glob.glob(f"{root}/*/*/*")]
+        return sorted((os.path.relpath(os.path.dirname(f), root), open(f, "rb").read()) for f in files)
+
+    assert landed("own") == landed("spark") and len(landed("own")) == len(rows)
+    # nothing beside the bodies: no checksum file that the local file system starts a process for
+    assert not glob.glob(f"{tmp_dir}/own/*/*/.*".replace("file:", ""))
+
+
+def test_files_are_landed_in_a_store_that_only_spark_reaches(spark, tmp_dir):
+    from geonest.fixtures import land_response_files
+    from geonest.sources.news import read_response_files
+
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.landing.link./in", f"file://{tmp_dir.replace('file:', '')}")
+    df = spark.createDataFrame([("NG", "tech", "{}"), ("NG", "tech", "[]"), (None, "news", "{bad")], "country string, topic string, body string")
+    land_response_files(df, "viewfs://landing/in/store")
+    got = sorted((r.country or "", r.topic, r.body.rstrip()) for r in read_response_files(spark, "viewfs://landing/in/store").collect())
+    assert got == [("", "news", "{bad"), ("NG", "tech", "[]"), ("NG", "tech", "{}")]

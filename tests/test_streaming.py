@@ -130,3 +130,26 @@ def test_a_repeated_micro_batch_replaces_its_own_rows(spark, tmp_dir):
         os.remove(f)  # as if the batch had been written but not committed
     run_news_stream_once(spark, landing, table, ckpt)
     assert spark.read.parquet(table).count() == 3
+
+
+def test_a_stream_packs_small_files_and_opens_each_once(spark, tmp_dir):
+    import glob
+
+    from geonest.plans.news import packed_files
+    from geonest.streaming.news_stream import start_news_stream
+
+    landing = f"{tmp_dir}/files"
+    body = json.dumps({"status": "ok", "articles": [{"id": 1, "text": "x", "n_chars": 1}]})
+    for i in range(300):  # every other one is rejected
+        _land_file(landing, "NG", "tech", f"r{i}.json", body if i % 2 else "{bad")
+    run_news_stream_once(spark, landing, f"{tmp_dir}/once", f"{tmp_dir}/once-ckpt", landing="files", run_ts="2024-03-04 00:00:00")
+    # one file of rejects for each task that read: some 30 files a task without packing
+    assert len(glob.glob(f"{tmp_dir}/once-rejects/load=*/*.parquet".replace("file:", ""))) <= 5
+    assert spark.read.parquet(f"{tmp_dir}/once").count() == 150
+    with packed_files(spark, "files"):
+        q = start_news_stream(spark, landing, f"{tmp_dir}/table", f"{tmp_dir}/ckpt", landing="files", run_ts="2024-03-04 00:00:00")
+        q.awaitTermination()
+    assert sum(p["numInputRows"] for p in q.recentProgress) == 300  # articles and rejects come from one reading
+    assert spark.read.parquet(f"{tmp_dir}/table").count() == 150
+    assert spark.read.parquet(f"{tmp_dir}/table-rejects").count() == 150
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == 0
