@@ -141,8 +141,8 @@ def load_news(
     else:
         raise ValueError(f"landing must be 'log' or 'files', not {landing!r}")
     load = f"batch-{uuid.uuid4().hex}"
-    with packed_files(spark, landing):
-        write_load(responses, table_path, load, article, new_only)
+    with packed_files(spark, landing), read_once(responses, landing) as held:
+        write_load(held, table_path, load, article, new_only)
     return read_news_rejects(spark, table_path, [load])
 
 

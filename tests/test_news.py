@@ -262,3 +262,18 @@ def test_files_are_landed_in_a_store_that_only_spark_reaches(spark, tmp_dir):
     land_response_files(df, "viewfs://landing/in/store")
     got = sorted((r.country or "", r.topic, r.body.rstrip()) for r in read_response_files(spark, "viewfs://landing/in/store").collect())
     assert got == [("", "news", "{bad"), ("NG", "tech", "[]"), ("NG", "tech", "{}")]
+
+
+def test_a_load_keeps_the_bodies_of_files_between_its_jobs(spark, tmp_dir, monkeypatch):
+    from geonest.fixtures import land_response_files
+    from geonest.plans import news
+
+    ok = '{"status":"ok","articles":[{"id":1,"text":"a","n_chars":1}]}'
+    df = spark.createDataFrame([("NG", "tech", ok), ("NG", "news", "{bad")], "country string, topic string, body string")
+    land_response_files(df, f"{tmp_dir}/landing")
+    kept, whole = [], news.write_load
+    monkeypatch.setattr(news, "write_load", lambda r, *a: (kept.append(r.storageLevel.useDisk), whole(r, *a))[1])
+    rejects = news.load_news(spark, f"{tmp_dir}/landing", f"{tmp_dir}/table", landing="files", run_ts="2024-05-06 07:08:09")
+    assert [r.response_class for r in rejects.collect()] == ["malformed"]
+    assert spark.read.parquet(f"{tmp_dir}/table").count() == 1
+    assert kept == [True] and spark.sparkContext._jsc.sc().getPersistentRDDs().size() == 0
