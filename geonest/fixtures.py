@@ -37,6 +37,10 @@ from geonest.session import new_scratch_dir, session_conf
 
 FIXED_RUN_TS = "2024-01-01 00:00:00"
 
+#: Shuffle files go when the write that made them ends, not when the driver
+#: happens to collect its garbage; nobody reads these frames again.
+FREE_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -124,8 +128,14 @@ def location_docs_of(customers: DataFrame, orders: DataFrame, lines: DataFrame,
     states = states_frame(orders, lines)
     kind = S.COUNTRY["states"].dataType
     keys = orders.select(F.col("o_custkey").alias("_child_key")).distinct()
-    parts = nest_children(states, ["o_custkey"], F.expr(f"o_orderkey div {STATES_PER_PART}"), F.col("state"), "states")
-    matched = parents.join(parts, parents["c_custkey"] == parts["o_custkey"]).select(*fields, F.col("states").cast(kind))
+    # Customers go to their parts, not the parts to their customers: a part is
+    # nested where it is joined, so only raw rows move again. No quotient of a
+    # bigint is as small as what stands for that of a null order key.
+    part = F.coalesce(F.expr(f"o_orderkey div {STATES_PER_PART}"), F.lit(-(1 << 62)))
+    owners = parents.join(orders.select(F.col("o_custkey").alias("_owner"), part.alias("_range")).distinct(), F.col("c_custkey") == F.col("_owner"))
+    parts = nest_children(states, ["o_custkey"], part, F.col("state"), "states")
+    of_part = (F.col("_owner") == F.col("o_custkey")) & (F.col("_range") == F.col("_part"))
+    matched = owners.join(parts, of_part).select(*fields, F.col("states").cast(kind))
     childless = parents.join(keys, parents["c_custkey"] == keys["_child_key"], "left_anti").select(*fields, F.lit(None).cast(kind).alias("states"))
     empty = cust.where(household).select(*fields, F.array().cast(kind).alias("states"))
     c = matched.union(childless).union(empty)
@@ -166,7 +176,8 @@ def location_docs_path(spark: SparkSession, sf_dir: str) -> str:
     key = ("locations", sf_dir)
     if key not in _materialised:
         path = new_scratch_dir(spark, "fixture-locations")
-        location_docs_frame(spark, sf_dir).write.mode("overwrite").parquet(path)
+        with session_conf(spark, FREE_SHUFFLES):
+            location_docs_frame(spark, sf_dir).write.mode("overwrite").option("compression", "zstd").parquet(path)
         _materialised[key] = path
     return _materialised[key]
 
@@ -286,9 +297,6 @@ def land_plain_layout(articles: DataFrame, path: str) -> str:
 
 #: Shuffled bytes of a task that writes a file per row: a few hundred files.
 LANDING_TASK_BYTES = 1 << 20
-#: Shuffle files go when the write that made them ends, not when the driver
-#: happens to collect its garbage; nobody reads these frames again.
-FREE_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 _LANDING_CONF = {
     **FREE_SHUFFLES,
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(LANDING_TASK_BYTES),
@@ -364,7 +372,9 @@ def _land_bodies(root: str):
 RAW_FILE_BYTES = 64 * 1024 * 1024
 
 
-def write_multiline_json(df: DataFrame, path: str, n_files: int | None = None, file_bytes: int = RAW_FILE_BYTES) -> str:
+def write_multiline_json(
+    df: DataFrame, path: str, n_files: int | None = None, file_bytes: int = RAW_FILE_BYTES, compression: str = "none"
+) -> str:
     """Write ``df`` as whole-file JSON arrays (the shape of the original
     raw location files), one array per output file.
 
@@ -376,6 +386,9 @@ def write_multiline_json(df: DataFrame, path: str, n_files: int | None = None, f
     last closes it, both found by one window over the file's rows. Nothing
     is concatenated into one value, so a file may be larger than any row
     can be.
+
+    ``compression``: for readers that take a file whole; a compressed file
+    cannot be read by splits.
     """
     rows = df.select(F.to_json(F.struct(*df.columns)).alias("_json"))
     if not n_files:
@@ -400,7 +413,8 @@ def write_multiline_json(df: DataFrame, path: str, n_files: int | None = None, f
     )
     # Rows leave the window sorted by (_file, _key, _json), so each file's
     # lines are written in that order.
-    lines.write.mode("overwrite").partitionBy("_file").text(path)
+    with session_conf(df.sparkSession, FREE_SHUFFLES):
+        lines.write.mode("overwrite").option("compression", compression).partitionBy("_file").text(path)
     return path
 
 

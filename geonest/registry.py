@@ -31,6 +31,7 @@ from geonest.streaming.news_stream import run_news_stream_once
 
 RUN_TS = FX.FIXED_RUN_TS
 SCRATCH_DB = "geonest_scratch"
+RAW_CODEC = "lz4"
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -107,16 +108,25 @@ def q_top10(spark, sf):
 
 def _raw_json(spark, sf) -> tuple[str, str]:
     """The raw multi-line JSON landings (location documents, population),
-    written once per process: input data, like the nested fixture."""
+    written once per process: input data, like the nested fixture. Their
+    readers take each file whole, so the files are compressed."""
     key = ("raw-json", sf)
     if key not in FX._materialised:
         FX._materialised[key] = (
-            FX.write_multiline_json(FX.location_docs(spark, sf), new_scratch_dir(spark, "raw-locations")),
-            FX.write_multiline_json(FX.population_frame(spark, sf), new_scratch_dir(spark, "raw-population")),
+            FX.write_multiline_json(FX.location_docs(spark, sf), new_scratch_dir(spark, "raw-locations"), compression=RAW_CODEC),
+            FX.write_multiline_json(FX.population_frame(spark, sf), new_scratch_dir(spark, "raw-population"), compression=RAW_CODEC),
         )
     return FX._materialised[key]
 
 
+def _raw_ranges(spark, sf) -> str:
+    """The raw location documents as plain text, which can be read by splits."""
+    key = ("raw-ranges", sf)
+    if key not in FX._materialised:
+        FX._materialised[key] = FX.write_multiline_json(FX.location_docs(spark, sf), new_scratch_dir(spark, "raw-ranges"))
+    return FX._materialised[key]
+
+
 def q_json_to_parquet(spark, sf):
     raw = _raw_json(spark, sf)[0]
     out = new_scratch_dir(spark, "preprocessed-locations")
@@ -127,7 +137,7 @@ def q_json_to_parquet(spark, sf):
 
 def q_json_ranges_convert(spark, sf):
     """SC1, TR5 with files read by splits."""
-    raw = _raw_json(spark, sf)[0]
+    raw = _raw_ranges(spark, sf)
     out = new_scratch_dir(spark, "preprocessed-ranges")
     convert_json_to_parquet(spark, raw, out, S.COUNTRY, split_files=True)
     return comparable(flatten_cities(spark.read.schema(S.COUNTRY).parquet(out), outer=True, run_ts=RUN_TS))

@@ -55,10 +55,10 @@ def cluster_by(df: DataFrame, cols: list[str] | None) -> DataFrame:
 def write_parquet_overwrite(df: DataFrame, path: str, input_paths=()) -> str:
     """SK1: replace a Parquet folder. Refuses to overwrite one of its own
     inputs, or a folder that holds or lies in one (the job would delete
-    what it is still reading)."""
+    what it is still reading). Zstandard, as for the loads below."""
     if any(overlap(path, p) for p in input_paths):
         raise ValueError(f"output path {path} overlaps an input")
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return path
 
 

@@ -127,3 +127,57 @@ def test_raw_files_are_sized_by_bytes_and_spread_a_hot_id(spark, tmp_dir):
     path = FX.write_multiline_json(df, f"{tmp_dir}/ml", file_bytes=5_000)
     sizes = [len(json.load(open(f))) for f in glob.glob(f"{path}/_file=*/part-*")]
     assert sum(sizes) == 400 and len(sizes) >= 8 and max(sizes) < 100
+
+
+def test_customers_meet_their_parts_by_null_and_repeated_keys(spark):
+    cust = "c_custkey long, c_name string, c_nationkey int, c_mktsegment string, c_acctbal double"
+    customers = spark.createDataFrame([(1, "twice", 0, "BUILDING", 1.5)] * 2 + [(2, "none", 0, "BUILDING", 1.5), (None, "null", 0, "BUILDING", 1.5)], cust)
+    order = "o_orderkey long, o_custkey long, o_orderpriority string, o_orderstatus string, o_totalprice double"
+    orders = spark.createDataFrame(
+        [(None, 1, "a", "F", 1.0), (None, 1, "b", "F", 1.0), (5, 1, "c", "F", 1.0), (-5, 1, "d", "F", 1.0), (-9_000, 1, "e", "F", 1.0), (9_000, 1, "f", "F", 1.0), (7, None, "g", "F", 1.0)], order
+    )
+    lines = spark.createDataFrame([(5, 1, "N", "F", 3.0)], "l_orderkey long, l_linenumber int, l_returnflag string, l_linestatus string, l_extendedprice double")
+    nations = spark.createDataFrame([(0, "N0", 0)], "n_nationkey int, n_name string, n_regionkey int")
+    regions = spark.createDataFrame([(0, "R0")], "r_regionkey int, r_name string")
+    docs = FX.location_docs_of(customers, orders, lines, nations, regions)
+    got = sorted((d.name, sorted(s.name for s in d.states) if d.states is not None else None) for d in docs.collect())
+    parts = [["a", "b"], ["c", "d"], ["e"], ["f"]]  # by range of the order key, a null key apart
+    assert got == [("none", None), ("null", None)] + sorted(("twice", p) for p in parts for _ in range(2))
+
+
+def _shuffle_files(spark):
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for d in dirs for f in glob.glob(f"{d}/*/shuffle_*")}
+
+
+def test_built_input_leaves_no_shuffle_files(spark, hot, tmp_dir, monkeypatch):
+    import time
+
+    t, _, _ = hot
+    for name in ("customer", "orders", "lineitem", "nation", "region"):
+        t[name].write.parquet(f"{tmp_dir}/in/{name}.parquet")
+    monkeypatch.setattr(FX, "_materialised", {})
+    before = _shuffle_files(spark)
+    docs = FX.location_docs(spark, f"{tmp_dir}/in")
+    FX.write_multiline_json(docs, f"{tmp_dir}/raw", n_files=3)
+    for _ in range(50):  # files go in the background
+        if not (left := _shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    assert not left and docs.count() > 4
+
+
+def test_compressed_raw_files_convert_to_the_same_documents(spark, hot, tmp_dir):
+    from geonest import schemas as S
+    from geonest.plans.location import convert_json_to_parquet
+    from geonest.registry import RAW_CODEC
+
+    _, docs, _ = hot
+    FX.write_multiline_json(docs, f"{tmp_dir}/plain", n_files=2)
+    FX.write_multiline_json(docs, f"{tmp_dir}/small", n_files=2, compression=RAW_CODEC)
+    size = {k: sum(len(open(f, "rb").read()) for f in glob.glob(f"{tmp_dir}/{k}/_file=*/part-*")) for k in ("plain", "small")}
+    assert 0 < 3 * size["small"] < size["plain"]
+    for k in ("plain", "small"):
+        convert_json_to_parquet(spark, f"{tmp_dir}/{k}", f"{tmp_dir}/out-{k}", S.COUNTRY)
+    got = [rows_of(spark.read.schema(S.COUNTRY).parquet(f"{tmp_dir}/out-{k}")) for k in ("plain", "small")]
+    assert got[0] == got[1] == rows_of(docs)
