@@ -348,7 +348,7 @@ def _cut_units(entries, levels: tuple[str, ...]):
 
 
 def _written(df: DataFrame, path: str) -> DataFrame:
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

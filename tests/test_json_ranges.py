@@ -180,3 +180,22 @@ def test_odd_files(spark, tmp_dir):
         with open(path, "w") as f:
             f.write(text)
         assert read_json_ranges(spark, path, S.COUNTRY).count() == want, text
+
+
+def test_scratch_and_converted_files_are_zstandard(spark, tmp_dir):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from geonest.plans.location import convert_json_to_parquet
+    from geonest.session import checkpoint_root
+
+    spark.createDataFrame([('[{"id":1},\n{"id":2}]',)], "value string").coalesce(1).write.text(f"{tmp_dir}/raw")
+    at = lambda p: {f for f in glob.glob(f"{p}/**/*.parquet".replace("file:", ""), recursive=True)}
+    units = f"{checkpoint_root(spark)}/geonest/json-units-*"
+    before = at(units)
+    convert_json_to_parquet(spark, f"{tmp_dir}/raw", f"{tmp_dir}/out", S.COUNTRY, split_files=True)
+    files = (at(units) - before) | at(f"{tmp_dir}/out")
+    assert len(files) >= 3
+    codecs = {m.row_group(0).column(0).compression for m in (pq.ParquetFile(f).metadata for f in files) if m.num_row_groups}
+    assert codecs == {"ZSTD"} and spark.read.parquet(f"{tmp_dir}/out").count() == 2
