@@ -33,14 +33,10 @@ from pyspark.sql.window import Window
 
 from geonest import constants as K
 from geonest import schemas as S
-from geonest.session import new_scratch_dir, session_conf
+from geonest.session import FREE_SHUFFLES, new_scratch_dir, session_conf
 
 FIXED_RUN_TS = "2024-01-01 00:00:00"
 
-#: Shuffle files go when the write that made them ends, not when the driver
-#: happens to collect its garbage; nobody reads these frames again.
-FREE_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -307,28 +303,29 @@ _LANDING_CONF = {
 
 def land_response_files(df: DataFrame, path: str) -> str:
     """Write each response body as its own file under
-    ``country=<c>/topic=<t>/``, the shape a per-request loader lands. Rows
-    are clustered by the folder keys first, so each folder is written by
-    few tasks. A file costs much more than its bytes, so tasks are small
+    ``country=<c>/topic=<t>/``, the shape a per-request loader lands. A file
+    costs much more than its bytes, so tasks are small
     (``LANDING_TASK_BYTES``), and each moves its own files into place; the
     driver would move all of them one by one.
 
     Hadoop's local file system starts a process or two for each file that it
     creates (``chmod``, without its native library), which costs many times the
     file; there the tasks write the files themselves, with the bytes and folder
-    names of Spark's text writer."""
+    names of Spark's text writer, and rows stay where they are. That writer
+    gets its rows clustered by the folder keys."""
     spark = df.sparkSession
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
     with session_conf(spark, _LANDING_CONF):
-        rows = df.select("country", "topic", "body").hint("rebalance", "country", "topic")
+        rows = df.select("country", "topic", "body")
         if fs.getScheme() == "file":
             fs.delete(target, True)
             fs.mkdirs(target)
             rows.mapInArrow(_land_bodies(target.toUri().getPath()), "n bigint").agg(F.sum("n")).collect()
         else:
             (
-                rows.write.mode("overwrite")
+                rows.hint("rebalance", "country", "topic")
+                .write.mode("overwrite")
                 .option("maxRecordsPerFile", 1)
                 .option("mapreduce.fileoutputcommitter.algorithm.version", 2)
                 .partitionBy("country", "topic")

@@ -3,21 +3,22 @@
 from __future__ import annotations
 
 import uuid
-from contextlib import contextmanager
+from collections.abc import Iterable
+from contextlib import contextmanager, nullcontext
+from itertools import chain
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from geonest import schemas as S
 from geonest.operators.news import articles_from_responses
-from geonest.session import session_conf
+from geonest.session import FREE_SHUFFLES, session_conf
 from geonest.sinks.commit_log import CommitLog
-from geonest.sinks.files import write_partitioned
+from geonest.sinks.files import cluster_by, write_partitioned
 from geonest.functions.scalars import run_stamp, utc_date
 from geonest.plans.location import new_run_ts
-from geonest.sources.news import load_folder, read_loads, read_news_rejects, read_news_table, read_response_files, read_response_log, rejects_path
+from geonest.sources.news import landing_groups, load_folder, read_loads, read_news_rejects, read_news_table, read_response_files, read_response_log, rejects_path
 
 NEWS_PARTITIONS = ["date", "country", "topic"]
 #: One body per file: Spark packs a file as 4 MiB at least, a dozen files to a
@@ -54,22 +55,25 @@ def file_envelopes(files: DataFrame, run_ts=None) -> DataFrame:
 
 
 @contextmanager
-def read_once(files: DataFrame, landing: str = "files"):
-    """One-body-per-file responses, kept on the executors' disks by the first
-    job that reads them: opening a file costs more than its text, and a load's
-    articles and rejects are two jobs. A log's lines are read twice."""
-    if landing != "files":
-        yield files
-        return
-    held = files.persist(StorageLevel.DISK_ONLY)
+def read_once(files: DataFrame, rest: Iterable[DataFrame], log: CommitLog, load: str):
+    """One-body-per-file responses as Parquet beside the table while a load is
+    written: opening a file costs more than its text, and articles and rejects
+    are two jobs. They are clustered by the folder keys here, where they are
+    smaller than their articles, and not again. ``rest``: as in ``write_load``."""
+    spark, path = files.sparkSession, log.staging(load)
     try:
-        yield held
+        with session_conf(spark, FREE_SHUFFLES):
+            for i, part in enumerate(chain([files], rest)):
+                writer = cluster_by(part, ["country", "topic"]).write.mode("append" if i else "overwrite")
+                writer.option("compression", "zstd").parquet(path)
+        yield spark.read.schema(files.schema).parquet(path)
     finally:
-        held.unpersist()
+        log.discard(load)
 
 
 def write_load(
-    responses: DataFrame, table_path: str, load: str, article: T.StructType = S.ARTICLE, new_only: bool = False
+    responses: DataFrame, table_path: str, load: str, article: T.StructType = S.ARTICLE, new_only: bool = False, files: bool = False,
+    rest: Iterable[DataFrame] = (),
 ) -> bool:
     """Write the articles and the rejects of ``responses`` as one load and
     commit it. A load that is committed already is left as it is (False), so
@@ -77,17 +81,21 @@ def write_load(
     which failed has left under the load's name are replaced.
 
     ``new_only`` leaves out articles (by ``article_key``) that the table
-    already has, and repeats within the load."""
+    already has, and repeats within the load. ``files``: the responses are one
+    body per file, of one load time; ``rest`` has those that are staged after
+    them, one frame at a time."""
     spark = responses.sparkSession
     log = CommitLog(spark, table_path).open()
     if log.has(load):
         return False
-    articles, rejects = news_articles(responses, article)
-    if new_only:
-        articles = only_new(articles, table_path)
-    write_partitioned(articles, load_folder(table_path, load), NEWS_PARTITIONS)
-    # few rows: one shuffle-free write, no folders by key
-    rejects.write.mode("overwrite").parquet(load_folder(rejects_path(table_path), load))
+    with read_once(responses, rest, log, load) if files else nullcontext(responses) as held:
+        articles, rejects = news_articles(held, article)
+        if new_only:
+            articles = only_new(articles, table_path)
+        with session_conf(spark, FREE_SHUFFLES):
+            write_partitioned(articles, load_folder(table_path, load), NEWS_PARTITIONS, clustered=files and not new_only)
+        # few rows: one shuffle-free write, no folders by key
+        rejects.write.mode("overwrite").parquet(load_folder(rejects_path(table_path), load))
     return log.commit(load)
 
 
@@ -134,15 +142,16 @@ def load_news(
     ``landing="log"``: JSON lines with request keys and time;
     ``landing="files"``: one body per ``<country>/<topic>/<file>``, stamped
     with ``run_ts`` (one load time per run). ``new_only``: as in ``write_load``."""
+    load = f"batch-{uuid.uuid4().hex}"
     if landing == "log":
-        responses = read_response_log(spark, landing_path)
+        write_load(read_response_log(spark, landing_path), table_path, load, article, new_only)
     elif landing == "files":
-        responses = file_envelopes(read_response_files(spark, landing_path), run_ts or new_run_ts())
+        stamp = run_ts or new_run_ts()
+        parts = (file_envelopes(read_response_files(spark, paths), stamp) for paths in landing_groups(spark, landing_path))
+        with packed_files(spark, landing):
+            write_load(next(parts), table_path, load, article, new_only, files=True, rest=parts)
     else:
         raise ValueError(f"landing must be 'log' or 'files', not {landing!r}")
-    load = f"batch-{uuid.uuid4().hex}"
-    with packed_files(spark, landing), read_once(responses, landing) as held:
-        write_load(held, table_path, load, article, new_only)
     return read_news_rejects(spark, table_path, [load])
 
 

@@ -74,6 +74,11 @@ def build_session(
     return spark
 
 
+#: For a write: its shuffle files go when it ends, not when the driver happens
+#: to collect its garbage. Only where nobody uses the written frame again.
+FREE_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
 @contextmanager
 def session_conf(spark: SparkSession, settings: dict[str, str]):
     """Settings that hold for the jobs started inside."""

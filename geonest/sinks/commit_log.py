@@ -62,6 +62,13 @@ class CommitLog:
             return False
         raise OSError(f"the entry {name} could not be put into the log of {self.table}")
 
+    def staging(self, load: str) -> str:
+        """A folder for what a load keeps until it counts; no data to readers of the table."""
+        return f"{self.table}/_staged/{load}"
+
+    def discard(self, load: str) -> None:
+        self._fs.delete(self._at("_staged", load), True)
+
     def commit(self, load: str, replaces: list[str] = (), **figures) -> bool:
         """Make a load count. False if it already does."""
         missing = set(replaces) - set(self.loads())

@@ -69,11 +69,12 @@ def append_partitioned(df: DataFrame, path: str, partition_by: list[str], fmt: s
     return path
 
 
-def write_partitioned(df: DataFrame, path: str, partition_by: list[str]) -> str:
+def write_partitioned(df: DataFrame, path: str, partition_by: list[str], clustered: bool = False) -> str:
     """The rows as ``col=value`` folders of ``path``, in place of what an
     earlier attempt left there. Zstandard: article texts take a good deal less
-    than with the default codec, and each load and compaction writes them."""
+    than with the default codec, and each load and compaction writes them.
+    ``clustered``: the rows of a folder are in few tasks already."""
     df = guard_partition_values(df, partition_by)
-    writer = cluster_by(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd")
+    writer = cluster_by(df, [] if clustered else partition_by).write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd")
     writer.partitionBy(*partition_by).parquet(path)
     return path

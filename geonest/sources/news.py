@@ -52,7 +52,46 @@ def _unescape(c: Column) -> Column:
     return F.url_decode(safe)
 
 
-def read_response_files(spark: SparkSession, path: str) -> DataFrame:
+#: Files of a per-file landing that are planned at once: the driver holds about
+#: a kilobyte of each, and a group's staged rows go before the next is read.
+GROUP_FILES = 1 << 16
+
+
+def landing_groups(spark: SparkSession, path: str, most: int = GROUP_FILES) -> list[list[str]]:
+    """The folders of a per-file landing in groups of about ``most`` files, or of
+    one folder that has more. Together they are all that reading ``path`` reads."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    root = hadoop(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return [[path]]  # a pattern, or the reader's error
+    groups, room = [], 0
+
+    def add(folder, count: int) -> None:
+        nonlocal room
+        if not groups or count > room:
+            groups.append([])
+            room = most
+        groups[-1].append(folder.toString())
+        room -= count
+
+    def walk(folder, count: int) -> None:
+        below = fs.listStatus(folder) if count > most else []
+        if not below or not all(s.isDirectory() for s in below):
+            add(folder, count)
+            return
+        for status in sorted(below, key=lambda s: s.getPath().toString()):
+            name = status.getPath().getName()
+            # as Spark's readers pass over them
+            if not name.startswith(".") and ("=" in name or not name.startswith("_")):
+                walk(status.getPath(), fs.getContentSummary(status.getPath()).getFileCount())
+
+    walk(root, fs.getContentSummary(root).getFileCount())
+    pattern = any(set("{}[]^*?\\") & set(folder) for group in groups for folder in group)  # to a reader
+    return [[path]] if pattern or len(groups) < 2 else groups
+
+
+def read_response_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """SC6 for one-body-per-file landings laid out as
     ``.../<country>/<topic>/<file>`` (or ``country=/topic=`` folders): the
     body is the whole file and the request keys come from the file path.

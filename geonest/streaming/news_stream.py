@@ -19,9 +19,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from geonest import schemas as S
-from geonest.plans.news import file_envelopes, packed_files, read_once, write_load
+from geonest.plans.news import file_envelopes, packed_files, write_load
 from geonest.session import session_conf
-from geonest.sources.news import stream_response_files, stream_response_log
+from geonest.sources.news import GROUP_FILES, stream_response_files, stream_response_log
 
 
 def start_news_stream(
@@ -61,8 +61,8 @@ def start_news_stream(
         query = json.loads(spark.read.text(f"{checkpoint_path}/metadata").first()[0])["id"]
         # a stream's session has adaptive execution off; these writes are batch
         # jobs of their own and need it to split a hot folder
-        with session_conf(spark, {"spark.sql.adaptive.enabled": "true"}), read_once(batch, landing) as held:
-            write_load(held, table_path, f"stream-{query}-{batch_id}", article, new_only)
+        with packed_files(spark, landing), session_conf(spark, {"spark.sql.adaptive.enabled": "true"}):
+            write_load(batch, table_path, f"stream-{query}-{batch_id}", article, new_only, files=landing == "files")
 
     w = responses.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_path).outputMode("append")
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 minute")
@@ -73,10 +73,12 @@ def run_news_stream_once(
     spark: SparkSession, landing_dir: str, table_path: str, checkpoint_path: str, landing: str = "log", run_ts=None,
     article: T.StructType = S.ARTICLE, new_only: bool = False,
 ) -> None:
-    """Process every file landed so far, then stop."""
+    """Process every file landed so far, then stop; of a per-file landing
+    ``GROUP_FILES`` in a micro-batch."""
     with packed_files(spark, landing):
         q = start_news_stream(
-            spark, landing_dir, table_path, checkpoint_path, available_now=True, landing=landing, run_ts=run_ts, article=article, new_only=new_only
+            spark, landing_dir, table_path, checkpoint_path, available_now=True, max_files_per_trigger=GROUP_FILES if landing == "files" else None,
+            landing=landing, run_ts=run_ts, article=article, new_only=new_only,
         )
         q.awaitTermination()
     if q.exception() is not None:

@@ -264,16 +264,48 @@ def test_files_are_landed_in_a_store_that_only_spark_reaches(spark, tmp_dir):
     assert got == [("", "news", "{bad"), ("NG", "tech", "[]"), ("NG", "tech", "{}")]
 
 
-def test_a_load_keeps_the_bodies_of_files_between_its_jobs(spark, tmp_dir, monkeypatch):
+def test_a_load_opens_each_file_once(spark, tmp_dir, monkeypatch):
+    import glob
+    import os
+
     from geonest.fixtures import land_response_files
     from geonest.plans import news
 
     ok = '{"status":"ok","articles":[{"id":1,"text":"a","n_chars":1}]}'
     df = spark.createDataFrame([("NG", "tech", ok), ("NG", "news", "{bad")], "country string, topic string, body string")
     land_response_files(df, f"{tmp_dir}/landing")
-    kept, whole = [], news.write_load
-    monkeypatch.setattr(news, "write_load", lambda r, *a: (kept.append(r.storageLevel.useDisk), whole(r, *a))[1])
+    parse = news.news_articles
+
+    def late(responses, article):  # what is landed goes before articles and rejects are worked out
+        for f in glob.glob(f"{tmp_dir}/landing/*/*/part-*".replace("file:", "")):
+            os.remove(f)
+        return parse(responses, article)
+
+    monkeypatch.setattr(news, "news_articles", late)
     rejects = news.load_news(spark, f"{tmp_dir}/landing", f"{tmp_dir}/table", landing="files", run_ts="2024-05-06 07:08:09")
     assert [r.response_class for r in rejects.collect()] == ["malformed"]
     assert spark.read.parquet(f"{tmp_dir}/table").count() == 1
-    assert kept == [True] and spark.sparkContext._jsc.sc().getPersistentRDDs().size() == 0
+    assert not glob.glob(f"{tmp_dir}/table/_staged/*".replace("file:", ""))
+
+
+def test_a_landing_is_loaded_in_groups_of_folders(spark, tmp_dir, monkeypatch):
+    from geonest.fixtures import land_response_files
+    from geonest.plans import news
+    from geonest.sources import news as source
+
+    rows = [(c, t, f'{{"status":"ok","articles":[{{"id":{10 * i + j},"text":"a","n_chars":1}}]}}') for i, c in enumerate("ABC") for j, t in enumerate(("x", "_y", None))]
+    df = spark.createDataFrame(rows + [("A", "x", "{bad")], "country string, topic string, body string")
+    landing = land_response_files(df, f"{tmp_dir}/landing")
+    spark.range(1).selectExpr("'{bad' as value").write.text(f"{tmp_dir}/landing/_hidden")
+    groups = source.landing_groups(spark, landing, 4)
+    assert len(groups) == 3 and groups == sorted(groups)  # country folders of 4, 3 and 3 files
+    parts = [p.split("landing/")[1] for g in source.landing_groups(spark, landing, 2) for p in g]  # large folders are taken apart
+    assert "country=A/topic=_y" in parts and "country=A" not in parts and len(parts) == 9
+    assert source.landing_groups(spark, landing) == [[landing]]
+    read = []
+    monkeypatch.setattr(news, "landing_groups", lambda s, p: source.landing_groups(s, p, 3))
+    monkeypatch.setattr(news, "read_response_files", lambda s, p: (read.append(p), source.read_response_files(s, p))[1])
+    rejects = news.load_news(spark, landing, f"{tmp_dir}/table", landing="files", run_ts="2024-05-06 07:08:09")
+    assert len(read) > 2 and rejects.count() == 1
+    got = source.read_news_table(spark, f"{tmp_dir}/table").collect()
+    assert sorted(r.id for r in got) == [0, 1, 2, 10, 11, 12, 20, 21, 22]

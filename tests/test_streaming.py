@@ -152,4 +152,4 @@ def test_a_stream_packs_small_files_and_opens_each_once(spark, tmp_dir):
     assert sum(p["numInputRows"] for p in q.recentProgress) == 300  # articles and rejects come from one reading
     assert spark.read.parquet(f"{tmp_dir}/table").count() == 150
     assert spark.read.parquet(f"{tmp_dir}/table-rejects").count() == 150
-    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == 0
+    assert not glob.glob(f"{tmp_dir}/*/_staged/*".replace("file:", ""))
