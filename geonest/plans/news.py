@@ -23,7 +23,8 @@ from geonest.sources.news import landing_groups, load_folder, read_loads, read_n
 NEWS_PARTITIONS = ["date", "country", "topic"]
 #: One body per file: Spark packs a file as 4 MiB at least, a dozen files to a
 #: task; bodies are some KB, and a task of hundreds costs less than its start.
-FILES_CONF = {"spark.sql.files.openCostInBytes": str(256 << 10)}
+#: Nor is a listing of them kept in the driver, which reads each file once.
+FILES_CONF = {"spark.sql.files.openCostInBytes": str(256 << 10), "spark.sql.hive.filesourcePartitionFileCacheSize": "0"}
 
 
 def packed_files(spark: SparkSession, landing: str):
